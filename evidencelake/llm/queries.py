@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, quality, simhash, token_files
+from . import decontaminate, images, langid, licenses, mixing, quality, simhash, token_files, toxicity, url_filter
 
 #: The tokenizer of op6; PUBLIC_TOKENIZER overrides it.
 END_ID = 2
@@ -36,6 +36,22 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op4_image_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Edited copies of the pictures of every fiftieth page, searched for among the pictures of all pages."""
+    pages = table(spark, sf_dir, "pages")
+    queries = images.page_images(pages.where(pages["page_id"] % 50 == 0), copies=True)
+    return images.search(images.descriptors(queries, most=48), images.descriptors(images.page_images(pages)))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_ids(table(spark, sf_dir, "documents"), tokenizer_path(), END_ID)
 
@@ -48,6 +64,15 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents")).drop("spans")
+
+
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.fit(docs))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -55,7 +80,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality, op2_mixing, op6_token_files, op7_decontamination, op8_simhash, pipeline)}
+    return {f.__name__: f for f in (op1_quality, op2_mixing, op3_url_filter, op4_image_copies, op5_toxicity, op6_token_files, op7_decontamination, op8_simhash, op9_licenses, op10_language, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
