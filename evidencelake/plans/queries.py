@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import relational
+
+MODULES = (relational,)
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return {name: getattr(m, name) for m in MODULES for name in m.NAMES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {k: v for m in MODULES for k, v in m.SQL.items()}
