@@ -9,7 +9,8 @@ fractional document, and these residuals meet in the next level of a reduction
 tree until one is left for a source, which is rounded. So a source's taken
 words differ from its target by less than the size of one document.
 
-Defined results: a null text has size 0. Rows with the same id, source and size
+Defined results: a null text has size 0; a text of size 0 is copied as often as
+the whole part of its source's ratio says. Rows with the same id, source and size
 are one unit and get the same number of copies. Draws are hashes of ids, so
 runs agree whatever the partitioning. Null sources are one source, the last.
 Other columns of the input are ignored.

@@ -250,7 +250,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int | None
     index = F.lit(0)
     cuts = F.array(*(F.lit(int(b)) for b in bounds)) if bounds else None
     if cuts is not None:  # the number of bounds below the id
-        index = F.coalesce(F.size(F.filter(cuts, lambda b: b < F.col("doc_id"))), F.lit(len(bounds)))
+        index = F.when(F.col("doc_id").isNull(), F.lit(len(bounds))).otherwise(F.size(F.filter(cuts, lambda b: b < F.col("doc_id"))))
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lens, words = shared.value
