@@ -24,10 +24,10 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpoint, map_texts, materialize, tune
+from .common import checkpoint, fresh, map_texts, materialize, tune
 
 SEED = 42
 FAN = 8
@@ -288,16 +288,200 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return marked.join(classes, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, distance: int = 3) -> DataFrame:
-    """The rows of ``docs`` that stay: of each component the row with its id; of rows that share an id the one with the least text.
+# Wide fingerprints: near-duplicates of a given similarity of their shingle sets.
 
-    Rows with null ids that are linked to a row with an id go, as the other copies do.
+WIDE = 4
+#: Bits of each mask, number of masks, and the distance in 256 bits up to which fingerprints are linked: of two
+#: texts of similarity 0.8 a bit differs with probability 0.15, one of the masks agrees with probability 0.95.
+MASK_BITS, N_MASKS, WIDE_DISTANCE = 18, 60, 47
+_SALTS = np.array([0, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
+
+
+def _wide_batch(texts: list[bytes], width: int) -> np.ndarray:
+    """(n, 4) words: the SimHash of each text's set of shingles under four mixes of their hashes."""
+    out, todo, held = [], [], 0
+
+    def flush() -> None:
+        hashes, sizes = np.concatenate(todo), np.array([len(x) for x in todo])
+        words = []
+        for salt in _SALTS:
+            h = hashes ^ salt
+            if salt:
+                h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+                h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+                h ^= h >> np.uint64(31)
+            words.append(majority(h, sizes))
+        out.append(np.stack(words, axis=1))
+        todo.clear()
+
+    for text in texts:
+        todo.append(np.unique(shingle_hashes(text, width)))
+        held += len(todo[-1])
+        if held > 400_000:
+            flush()
+            held = 0
+    if todo:
+        flush()
+    return np.concatenate(out) if out else np.empty((0, WIDE), np.uint64)
+
+
+def wide_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5) -> DataFrame:
+    """(doc_id, w0..w3) of every row; no shuffle."""
+    kind = docs.schema[id_col].dataType.simpleString()
+
+    def run(texts: list[bytes]) -> dict[str, pa.Array]:
+        words = _wide_batch(texts, width).view(np.int64)
+        return {f"w{k}": pa.array(np.ascontiguousarray(words[:, k])) for k in range(WIDE)}
+
+    return map_texts(docs, id_col, text_col, run, f"doc_id {kind}, w0 long, w1 long, w2 long, w3 long")
+
+
+def _mask_bits(extra: int) -> np.ndarray:
+    """The bit positions of each mask; deeper nodes add ``extra`` more of the mask's own sequence."""
+    rng = np.random.default_rng(17)
+    return np.stack([rng.permutation(64 * WIDE)[: MASK_BITS + extra] for _ in range(N_MASKS)])
+
+
+def _patterns(words: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    value = np.zeros(len(words), np.int64)
+    for k, b in enumerate(bits.tolist()):
+        value |= ((words[:, b // 64] >> np.uint64(b % 64)) & np.uint64(1)).astype(np.int64) << k
+    return value
+
+
+def wide_group_links(key: np.ndarray, words: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
+    """Indices of spanning links among rows of the same key whose words differ in at most ``distance`` bits.
+
+    As ``group_links``: Gray order (of the first word), nodes of shared bits, dual descent.
     """
-    from pyspark.sql import Window
+    order = np.lexsort((words[:, 1], gray_rank(words[:, 0]), key))
+    key, words = key[order], words[order]
+    edge = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+    group = np.repeat(np.arange(len(edge)), np.diff(np.r_[edge, len(key)]))
+    levels = [(words, words, group, np.arange(len(words) + 1))]
+    while True:
+        low, high, group, _ = levels[-1]
+        first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
+        sizes = np.diff(np.r_[first, len(group)])
+        if len(sizes) == 0 or sizes.max() == 1:
+            break
+        starts = np.flatnonzero((np.arange(len(group)) - np.repeat(first, sizes)) % FAN == 0)
+        levels.append((np.bitwise_and.reduceat(low, starts, axis=0), np.bitwise_or.reduceat(high, starts, axis=0), group[starts], np.r_[starts, len(group)]))
+    forest = Forest(len(words))
+    tops = np.arange(len(levels[-1][0]))
+    stack = [(len(levels) - 1, tops, tops)]
+    while stack:
+        level, a, b = stack.pop()
+        if len(a) > 50_000:
+            half = len(a) // 2
+            stack += [(level, a[half:], b[half:]), (level, a[:half], b[:half])]
+            continue
+        if level == 0:
+            forest.link(a, b)
+            continue
+        first = levels[level][3]
+        na, nb = first[a + 1] - first[a], first[b + 1] - first[b]
+        total = na * nb
+        pair = np.repeat(np.arange(len(a)), total)
+        inner = np.arange(len(pair)) - np.repeat(np.cumsum(total) - total, total)
+        i, j = first[a][pair] + inner // nb[pair], first[b][pair] + inner % nb[pair]
+        keep = i <= j if level > 1 else i < j
+        i, j = i[keep], j[keep]
+        low, high = levels[level - 1][:2]
+        shared = ~(low[i] ^ high[i]) & ~(low[j] ^ high[j])
+        close = np.bitwise_count((low[i] ^ low[j]) & shared).sum(axis=1, dtype=np.int64) <= distance
+        stack.append((level - 1, i[close], j[close]))
+    leaf = np.flatnonzero(forest.root != np.arange(len(words)))
+    return order[leaf], order[forest.root[leaf]]
+
+
+def wide_links(codes: DataFrame, distance: int = WIDE_DISTANCE, node_rows: int = 200_000, step: int = 6) -> DataFrame:
+    """(u, v) links between ``codes`` (fp, w0..w3), fp naming a code.
 
-    kept = near_duplicates(docs, id_col, text_col, width, distance).select(F.col("component_id").alias("__kept")).distinct()
-    rank = "__rank"
-    while rank in docs.columns:
-        rank += "_"
+    A node holds the codes that agree on one mask. Nodes of more than
+    ``node_rows`` codes are divided by ``step`` more bits of their mask, again
+    and again; texts that part there can still meet under the other masks.
+    """
+    tune(codes.sparkSession)
+    names = ["fp", "w0", "w1", "w2", "w3"]
+
+    def spread(extra: int):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            bits = _mask_bits(extra)
+            for batch in batches:
+                words = np.stack([np.asarray(batch.column(batch.schema.get_field_index(f"w{k}"))) for k in range(WIDE)], axis=1).view(np.uint64)
+                if extra == 0:
+                    for mask in range(N_MASKS):
+                        key = (_patterns(words, bits[mask]) * N_MASKS + mask).astype(np.int64)
+                        yield pa.RecordBatch.from_arrays([pa.array(key), *batch.columns], names=["key", *names])
+                    continue
+                old = np.asarray(batch.column(0))
+                mask = old % N_MASKS
+                key = np.zeros(len(old), np.int64)
+                for m in np.unique(mask):
+                    rows = mask == m
+                    key[rows] = _patterns(words[rows], bits[m]) * N_MASKS + m
+                yield pa.RecordBatch.from_arrays([pa.array(key), *batch.columns[1:]], names=["key", *names])
+
+        return run
+
+    schema = "key long, fp long, w0 long, w1 long, w2 long, w3 long"
+    level, parts, extra = codes.select(*names).mapInArrow(spread(0), schema), [], 0
+    while True:
+        large = level.groupBy("key").count().where(F.col("count") > node_rows).select("key")
+        if extra > 30 or large.isEmpty():
+            parts.append(level.withColumn("depth", F.lit(extra)))
+            break
+        large = checkpoint(large)
+        parts.append(level.join(large, "key", "left_anti").withColumn("depth", F.lit(extra)))
+        extra += step
+        level = level.join(large, "key", "left_semi").mapInArrow(spread(extra), schema)
+    nodes = parts[0]
+    for part in parts[1:]:
+        nodes = nodes.unionByName(part)
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+
+        def found(rows: np.ndarray) -> pa.RecordBatch:
+            key = np.cumsum(np.r_[False, (rows[1:, :2] != rows[:-1, :2]).any(axis=1)])
+            u, v = wide_group_links(key, np.ascontiguousarray(rows[:, 3:]).view(np.uint64), distance)
+            return pa.RecordBatch.from_arrays([pa.array(rows[u, 2]), pa.array(rows[v, 2])], names=["u", "v"])
+
+        for batch in batches:
+            held.append(np.stack([np.asarray(batch.column(i)).astype(np.int64) for i in range(7)], axis=1))
+            if sum(map(len, held)) < 100_000:
+                continue
+            rows = np.concatenate(held)
+            differ = np.flatnonzero((rows[:, :2] != rows[-1, :2]).any(axis=1))
+            start = differ[-1] + 1 if len(differ) else 0
+            held = [rows[start:]]
+            if start:
+                yield found(rows[:start])
+        if held:
+            yield found(np.concatenate(held))
+
+    keyed = nodes.select("depth", "key", *names)
+    return keyed.repartition("depth", "key").sortWithinPartitions("depth", "key").mapInArrow(search, "u long, v long").distinct()
+
+
+def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, distance: int = WIDE_DISTANCE) -> DataFrame:
+    """(doc_id, component_id) by wide fingerprints of shingle sets: groups of texts whose sets are about 0.8 alike or more."""
+    marked = materialize(wide_fingerprints(docs, id_col, text_col, width).withColumn("fp", F.xxhash64("w0", "w1", "w2", "w3")))
+    codes = materialize(marked.groupBy("fp", "w0", "w1", "w2", "w3").agg(F.min("doc_id").alias("least")))
+    stars = components(wide_links(codes, distance))
+    rooted = codes.join(stars, codes["fp"] == stars["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    classes = rooted.select("fp", "root").join(named, "root").select("fp", "component_id")
+    return marked.select("doc_id", "fp").join(classes, "fp").select("doc_id", "component_id")
+
+
+def one_of_each(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay: of each component of ``groups`` the row with its id; of rows that share an id the one with the least text.
+
+    Rows with null ids that are linked to a row with an id go, as the other copies do.
+    """
+    kept = groups.select(F.col("component_id").alias("__kept")).distinct()
+    rank = fresh(docs, "__rank")
     stay = docs.join(kept, docs[id_col].eqNullSafe(kept["__kept"]), "left_semi")
     return stay.withColumn(rank, F.row_number().over(Window.partitionBy(id_col).orderBy(F.col(text_col).asc_nulls_first()))).where(F.col(rank) == 1).drop(rank)

@@ -333,3 +333,62 @@ def test_url_templates(spark):
     got = url_filter.judge(spark.createDataFrame(rows, "page_id long, url string"), spark.createDataFrame(labels, "page_id long, bad int"), rules=()).toPandas().set_index("page_id")
     assert got.loc[151, "verdict"] == "block" and got.loc[150, "verdict"] == "allow" and got.loc[151, "template"] == "/ads/*"
     assert url_filter.judge(spark.createDataFrame([], "page_id long, url string")).count() == 0
+
+
+def test_similar_texts_form_groups(spark):
+    """Copies with few words changed meet, others do not; big nodes are divided without losing them."""
+    rng = random.Random(12)
+    vocabulary = ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(500)]
+    rows = []
+    for g in range(40):
+        base = [rng.choice(vocabulary) for _ in range(150)]
+        for c in range(4):
+            words = list(base)
+            for _ in range(c % 3):
+                words[rng.randrange(150)] = rng.choice(vocabulary)
+            rows.append((g * 10 + c, " ".join(words), "en", "s", 0, None, None))
+    rows += [(1000, "", None, None, None, None, None), (1001, None, None, None, None, None, None), (1002, "a b", None, None, None, None, None), (None, rows[0][1], "en", "s", 0, None, None)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    got = simhash.similar(docs).toPandas()
+    assert len(got) == len(rows)
+    by_id = got.dropna(subset=["doc_id"]).set_index("doc_id")["component_id"]
+    assert all(by_id[r[0]] == r[0] // 10 * 10 for r in rows[:160]) and by_id[1000] == by_id[1001] == 1000 and by_id[1002] == 1002
+    kept = simhash.one_of_each(docs, simhash.similar(docs))
+    assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == [*range(0, 400, 10), 1000, 1002]
+    codes = simhash.wide_fingerprints(docs).selectExpr("xxhash64(w0, w1, w2, w3) AS fp", "w0", "w1", "w2", "w3").distinct()
+    few = simhash.components(simhash.wide_links(codes, node_rows=3)).count()
+    assert few == simhash.components(simhash.wide_links(codes)).count()
+
+
+def test_pipeline(spark, tmp_path):
+    """Each stage of the pipeline against what it is meant to keep."""
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    docs, labels = learned(spark, None)
+    bench_text = " ".join(f"w{k}" for k in range(30))
+    extra = [(2000, bench_text + " and a lot of other words", "en", "t", 5, None, None), (2001, docs.where("doc_id = 2").first()["text"], "en", "t", 5, None, None)]
+    docs = docs.unionByName(spark.createDataFrame(extra, SCHEMA))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([("b", bench_text)], "item_id string, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    state = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        before = state.toPandas()
+        stage(spark, state, str(tmp_path)).write.parquet(f"{tmp_path}/stage{k}")
+        state = spark.read.parquet(f"{tmp_path}/stage{k}")
+        if k < 4:
+            assert state.columns == docs.columns
+        ids = [r["doc_id"] for r in state.collect()]
+        if k == 0:
+            assert sum(i % 4 != 0 for i in ids if i is not None and i < 600) > 440 and sum(i % 4 == 0 for i in ids if i is not None and i < 600) < 8
+        if k == 1:
+            assert 2 in ids and 2001 not in ids and len(ids) == len(before["text"].fillna("").unique())
+        if k == 2:
+            assert 2000 not in ids and len(ids) == len(before) - (2000 in set(before["doc_id"]))
+        if k == 3:
+            words = before["text"].fillna("").str.split().str.len().sum()
+            taken = sum(len((r["text"] or "").split()) for r in state.collect())
+            assert abs(taken - 1.5 * words) < 200 and max(pd.Series(ids).value_counts()) <= 2
+        if k == 4:
+            assert len(ids) == len(before) and [r["start"] for r in state.orderBy("start").collect()][0] == 0
+    total = corpus_pipeline.run(spark, str(tmp_path)).count()
+    assert total == len(ids)
