@@ -1,15 +1,15 @@
 """Token ids in Huffman-coded block files.
 
-Two passes over the texts. The first counts all ids; the counts give one
-length-limited canonical Huffman code for the corpus (package-merge). The
-second encodes each text where it lies, and only the coded bits are shuffled
-into ranges of ascending ids. A file row is one independent block: some
+Texts are tokenized once and their ids written to the shared folder. A pass over
+them counts all ids; the counts give one length-limited canonical Huffman code
+for the corpus (package-merge). A second pass encodes each document where it
+lies, and only the coded bits are shuffled into ranges of ascending ids. A file row is one independent block: some
 documents, their numbers of ids, the coded words, and a checkpoint (bit offset)
 every ``STEP`` ids, from which a table-driven decoder can start. The code
 lengths are written beside the blocks, so the files stand alone.
 
-Both passes split texts at ASCII white space, which the tokenizer drops, and
-keep the ids of pieces already seen in a bounded memo of the worker process;
+Texts are split at ASCII white space, which the tokenizer drops, and the ids of
+pieces already seen are kept in a bounded memo of the worker process;
 tests hold the result against encoding whole texts.
 
 Defined results: a null or empty text has the end id alone. Rows with equal ids
@@ -20,83 +20,160 @@ the input are ignored. An empty table makes an empty file.
 from __future__ import annotations
 
 import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import shared_dir, texts_of, tune
+from .common import materialize, shared_dir, texts_of, tune
 
 STEP = 512
 MAX_BITS = 16
 BLOCK_IDS = 1 << 16
-MEMO_PIECES = 800_000
-MEMO_BYTES = 48
+MEMO_PIECES = 1_000_000
+MEMO_RUNS = 500_000
+MEMO_BYTES = 40
 
-_memos: dict[str, tuple] = {}
+_encoders: dict[str, "_Encoder"] = {}
 
 
-def _encoder(path: str):
-    """The tokenizer, its BPE model and the memo of this process."""
-    if path not in _memos:
+#: Letters of ASCII and Latin-1, then ASCII punctuation without the apostrophe: the tokenizer cuts between the two runs.
+_SIMPLE = re.compile(r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+)([!-&(-/:-@\[-`{-~]*)")
+_IS_SPACE = np.zeros(256, bool)
+_IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_POWERS = np.cumprod(np.r_[np.uint64(1), np.full(MEMO_BYTES, 0x9E3779B97F4A7C15, np.uint64)])
+
+
+class _Encoder:
+    """The tokenizer of a worker process, with a bounded memo of pieces: sorted 64-bit hashes and the ids behind each.
+
+    A hash stands for a piece of at most ``MEMO_BYTES`` bytes; with as many
+    pieces as the memo and a batch hold, two pieces share one with a chance
+    below one in a million million for each batch.
+    """
+
+    def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(path)
-        _memos[path] = (tokenizer, tokenizer.model, {}, _plain(tokenizer))
-    return _memos[path]
-
-
-def _plain(tokenizer) -> bool:
-    """Whether ASCII letters in lower case reach the model as one unchanged piece, cut only from other characters."""
-    probe = "alphabetagammadeltaepsilon"
-    whole = tokenizer.encode(probe.upper() + ".,", add_special_tokens=False).ids
-    apart = [t.id for t in tokenizer.model.tokenize(probe)] + tokenizer.encode(".,", add_special_tokens=False).ids
-    return whole == apart
-
-
-def _learn(pieces: list[bytes], path: str) -> dict[bytes, bytes]:
-    tokenizer, model, memo, plain = _encoder(path)
-    made, hard = {}, []
-    stops = {b".": None, b",": None}
-    for piece in pieces:
-        if plain and piece.isalpha() and piece.isascii():
-            made[piece] = np.array([t.id for t in model.tokenize(piece.lower().decode())], "<u4").tobytes()
-        elif plain and piece[-1:] in stops and piece[:-1].isalpha() and piece.isascii():
-            stop = piece[-1:]
-            if stops[stop] is None:
-                stops[stop] = [t.id for t in model.tokenize(stop.decode())]
-            made[piece] = np.array([t.id for t in model.tokenize(piece[:-1].lower().decode())] + stops[stop], "<u4").tobytes()
-        else:
-            hard.append(piece)
-    for piece, got in zip(hard, tokenizer.encode_batch_fast([p.decode() for p in hard], add_special_tokens=False), strict=True):
-        made[piece] = np.array(got.ids, "<u4").tobytes()
-    for piece, ids in made.items():
-        if len(memo) >= MEMO_PIECES:
-            break
-        if len(piece) <= MEMO_BYTES:
-            memo[piece] = ids
-    return made
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.keys, self.first, self.count = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
+        self.runs: dict[str, list[int]] = {}
+        spell = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.bytes_of = {c: spell.pre_tokenize_str(chr(c))[0][0] for c in range(0xC0, 0x100)}
+        self.simple = self._is_simple()
+
+    def run(self, text: str) -> list[int]:
+        """Ids of a run of letters in lower case, or of punctuation, straight from the BPE model."""
+        ids = self.runs.get(text)
+        if ids is None:
+            ids = [t.id for t in self.model.tokenize(text if text.isascii() else text.translate(self.bytes_of))]
+            if len(self.runs) < MEMO_RUNS:
+                self.runs[text] = ids
+        return ids
+
+    def _is_simple(self) -> bool:
+        """Whether this tokenizer lower-cases simple pieces and cuts them as we do; otherwise all pieces go through it whole."""
+        probes = ["Alphabet", "TheThatWith!!", "Éléphant.,", "Übergrößen|", "ñandúÿ$$$", "ÀÖØÞÐ@#", "a", "z.", "reason###"]
+        return all(self.tokenizer.encode(p, add_special_tokens=False).ids == self._cut(_SIMPLE.fullmatch(p)) for p in probes)
+
+    def _cut(self, match: re.Match) -> list[int]:
+        letters, stops = match.groups()
+        return self.run(letters.lower()) + self.run(stops) if stops else self.run(letters.lower())
+
+    def encode_pieces(self, pieces: list[bytes]) -> list[list[int]]:
+        out: list[list[int] | None] = []
+        hard = []
+        for k, piece in enumerate(pieces):
+            if self.simple and piece.isalpha():
+                out.append(self.run(piece.lower().decode()))
+                continue
+            match = _SIMPLE.fullmatch(piece.decode()) if self.simple and len(piece) <= MEMO_BYTES else None
+            out.append(self._cut(match) if match else None)
+            if match is None:
+                hard.append(k)
+        for k, got in zip(hard, self.tokenizer.encode_batch_fast([pieces[k].decode() for k in hard], add_special_tokens=False), strict=True):
+            out[k] = got.ids
+        return out
+
+    def _remember(self, keys: np.ndarray, ids: list[list[int]]) -> None:
+        """Add sorted new keys while there is room."""
+        room = max(0, MEMO_PIECES - len(self.keys))
+        keys, ids = keys[:room], ids[:room]
+        if not len(keys):
+            return
+        count = np.fromiter(map(len, ids), np.int64, len(ids))
+        new = np.fromiter(chain.from_iterable(ids), np.uint32, int(count.sum()))
+        while self.used + len(new) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros(len(self.flat), np.uint32)])
+        self.flat[self.used : self.used + len(new)] = new
+        first = self.used + np.cumsum(count) - count
+        self.used += len(new)
+        at = np.searchsorted(self.keys, keys)
+        self.keys, self.first, self.count = np.insert(self.keys, at, keys), np.insert(self.first, at, first), np.insert(self.count, at, count)
+
+    def encode(self, texts: list[bytes], end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts, one text after the other with ``end_id`` behind each, and how many each has."""
+        data = b"\n".join(texts) + b"\n"
+        raw = np.frombuffer(data, np.uint8)
+        text_ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
+        space = _IS_SPACE[raw]
+        edge = np.flatnonzero(space[1:] != space[:-1]) + 1
+        edge = edge if space[0] else np.r_[0, edge]
+        starts, ends = edge[0 : len(edge) // 2 * 2 : 2], edge[1::2]  # the last byte is a space
+        sizes = ends - starts
+        short = sizes <= MEMO_BYTES
+        inside = np.arange(len(raw)) - np.repeat(np.r_[0, starts], np.diff(np.r_[0, starts, len(raw)]))
+        terms = np.where(space, np.uint64(0), (raw.astype(np.uint64) + np.uint64(1)) * _POWERS[np.minimum(inside, MEMO_BYTES)])
+        hashes = (np.add.reduceat(terms, starts) if len(starts) else np.zeros(0, np.uint64)) ^ (sizes.astype(np.uint64) << np.uint64(56))
+        long = np.flatnonzero(~short)
+        hashes[long] = np.arange(len(long), dtype=np.uint64)  # long pieces stand for themselves
+        keys, sample, which = np.unique(hashes, return_index=True, return_inverse=True)
+        own = ~short[sample]
+        at = np.searchsorted(self.keys, keys)
+        at[at == len(self.keys)] = 0
+        known = (self.keys[at] == keys) & ~own if len(self.keys) else np.zeros(len(keys), bool)
+        count = np.zeros(len(keys) + 1, np.int64)
+        first = np.zeros(len(keys) + 1, np.int64)
+        count[:-1][known], first[:-1][known] = self.count[at[known]], self.first[at[known]]
+        new = np.flatnonzero(~known)
+        made = self.encode_pieces([data[a:b] for a, b in zip(starts[sample[new]].tolist(), ends[sample[new]].tolist(), strict=True)])
+        made.append([] if end_id is None else [end_id])
+        places = np.r_[new, len(keys)]
+        count[places] = np.fromiter(map(len, made), np.int64, len(made))
+        first[places] = self.used + np.cumsum(count[places]) - count[places]
+        source = np.concatenate([self.flat[: self.used], np.fromiter(chain.from_iterable(made), np.uint32)])
+        # the words of each text, then its end
+        words = np.searchsorted(starts, text_ends)
+        order = np.insert(which, words, len(keys))
+        n = count[order]
+        total = np.cumsum(n)
+        ids = source[np.repeat(first[order] - (total - n), n) + np.arange(total[-1] if len(total) else 0)]
+        last = words + np.arange(len(words))  # where the ends stand in `order`
+        fresh = ~own[new]
+        self._remember(keys[new][fresh], [m for m, f in zip(made, fresh.tolist(), strict=False) if f])
+        return ids, np.diff(np.r_[0, total[last]])
+
+
+def _encoder(path: str) -> _Encoder:
+    if path not in _encoders:
+        _encoders[path] = _Encoder(path)
+    return _encoders[path]
 
 
 def encode_texts(texts: list[bytes], path: str, end_id: int | None) -> list[np.ndarray]:
     """The ids of whole texts, each with ``end_id`` behind them."""
-    memo = _encoder(path)[2]
-    split = [t.split() for t in texts]
-    unknown = {w for words in split for w in words if w not in memo}
-    more = _learn(list(unknown), path) if unknown else {}
-    tail = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
-    out = []
-    for words in split:
-        if more:
-            out.append(b"".join([memo[w] if w in memo else more[w] for w in words]) + tail)
-        else:
-            out.append(b"".join(map(memo.__getitem__, words)) + tail)
-    return [np.frombuffer(x, "<u4") for x in out]
+    ids, sizes = _encoder(path).encode(texts, end_id)
+    return np.split(ids, np.cumsum(sizes)[:-1]) if texts else []
 
 
 def _portions(texts: list[bytes]) -> Iterator[list[bytes]]:
@@ -165,10 +242,8 @@ def decode_table(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return ids, bits
 
 
-def pack(docs: list[np.ndarray], lengths: np.ndarray, codes: np.ndarray) -> tuple[list[bytes], list[np.ndarray]]:
-    """Coded 32-bit words of each document, and its checkpoints."""
-    sizes = np.array([len(d) for d in docs])
-    ids = np.concatenate(docs)
+def pack(ids: np.ndarray, sizes: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> tuple[list[bytes], list[np.ndarray]]:
+    """Coded 32-bit words of each document, and its checkpoints; ``sizes`` are the documents' numbers of ids, none of them 0."""
     bits = lengths[ids].astype(np.int64)
     first = np.cumsum(sizes) - sizes
     ends = np.cumsum(bits)
@@ -216,23 +291,54 @@ def _spread(texts: DataFrame, id_col: str, parts: int) -> list:
     return sorted(set(found))
 
 
-def id_counts(docs: DataFrame, text_col: str, tokenizer: str, end_id: int | None) -> np.ndarray:
-    """How often each id occurs in all texts."""
+def encoded(docs: DataFrame, tokenizer: str, end_id: int | None, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, ids binary) of all texts, written to the shared folder: texts are tokenized once. Two bytes for each id if all fit."""
     tune(docs.sparkSession)
+    kind = id_type(tokenizer, end_id)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, np.int64)
+        encoder = _encoder(tokenizer)
         for batch in batches:
+            done = 0
             for texts in _portions(texts_of(batch, "__text")):
-                got = np.bincount(np.concatenate([np.zeros(0, "<u4"), *encode_texts(texts, tokenizer, end_id)]).astype(np.int64))
-                if len(got) < len(total):
-                    got.resize(len(total))
-                got[: len(total)] += total
-                total = got
+                ids, sizes = encoder.encode(texts, end_id)
+                data = ids.astype(kind)
+                ends = np.cumsum(sizes) * data.itemsize
+                coded = pa.BinaryArray.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(np.r_[0, ends].astype(np.int32).tobytes()), pa.py_buffer(data.tobytes())])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(done, len(texts)), coded], names=["doc_id", "ids"])
+                done += len(texts)
+
+    return materialize(docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").cast("binary").alias("__text")).mapInArrow(run, "doc_id long, ids binary"))
+
+
+def id_type(tokenizer: str, end_id: int | None) -> str:
+    from tokenizers import Tokenizer
+
+    return "<u2" if max(Tokenizer.from_file(tokenizer).get_vocab_size(with_added_tokens=True), end_id or 0) <= 1 << 16 else "<u4"
+
+
+def _flat(column: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of a binary column, and how many each row has."""
+    rows = column.to_pylist()
+    ids = np.frombuffer(b"".join(rows), kind)
+    return ids, np.fromiter(map(len, rows), np.int64, len(rows)) // ids.itemsize
+
+
+def id_counts(ids: DataFrame, kind: str) -> np.ndarray:
+    """How often each id occurs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(0, np.int64)
+        for batch in batches:
+            got = np.bincount(_flat(batch.column(0), kind)[0])
+            if len(got) < len(total):
+                got.resize(len(total))
+            got[: len(total)] += total
+            total = got
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["id", "n"])
 
-    rows = docs.select(docs[text_col].cast("string").cast("binary").alias("__text")).mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
+    rows = ids.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
     counts = np.zeros(int(rows["id"].max()) + 1 if len(rows) else 1, np.int64)  # at most the vocabulary's size
     counts[rows["id"]] = rows["n"]
     return counts
@@ -241,12 +347,14 @@ def id_counts(docs: DataFrame, text_col: str, tokenizer: str, end_id: int | None
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int | None = 2, id_col: str = "doc_id", text_col: str = "text", parts: int | None = None) -> None:
     """Write the ids of all texts, in ascending order of ``id_col`` (an integer), as coded blocks under ``path``."""
     spark = docs.sparkSession
-    lengths = code_lengths(id_counts(docs, text_col, tokenizer, end_id))
+    kind = id_type(tokenizer, end_id)
+    tokens = encoded(docs, tokenizer, end_id, id_col, text_col)
+    lengths = code_lengths(id_counts(tokens, kind))
     codes = canonical(lengths)
     spark.createDataFrame([(lengths.tobytes(), MAX_BITS, STEP)], "lengths binary, max_bits int, step int").coalesce(1).write.parquet(f"{path}/code")
     shared = spark.sparkContext.broadcast((lengths, codes))
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    bounds = _spread(docs, id_col, parts)
+    bounds = _spread(tokens, "doc_id", parts)
     index = F.lit(0)
     cuts = F.array(*(F.lit(int(b)) for b in bounds)) if bounds else None
     if cuts is not None:  # the number of bounds below the id
@@ -255,13 +363,11 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int | None
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lens, words = shared.value
         for batch in batches:
-            done = 0
-            for texts in _portions(texts_of(batch, "__text")):
-                ids = encode_texts(texts, tokenizer, end_id)
-                streams, marks = pack(ids, lens, words)
-                rows = batch.slice(done, len(texts))
-                done += len(texts)
-                yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array([len(i) for i in ids], pa.int64()), pa.array([m.astype("<i8").tobytes() for m in marks], pa.binary()), pa.array(streams, pa.binary())], names=["doc_id", "part", "n_ids", "marks", "stream"])
+            for at in range(0, batch.num_rows, 500):
+                rows = batch.slice(at, 500)
+                ids, sizes = _flat(rows.column(2), kind)
+                streams, marks = pack(ids, sizes, lens, words)
+                yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(sizes), pa.array([m.astype("<i8").tobytes() for m in marks], pa.binary()), pa.array(streams, pa.binary())], names=["doc_id", "part", "n_ids", "marks", "stream"])
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -285,7 +391,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int | None
         if held:
             yield flush()
 
-    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").cast("binary").alias("__text")).select("doc_id", index.alias("part"), "__text").mapInArrow(coded, "doc_id long, part int, n_ids long, marks binary, stream binary")
+    rows = tokens.select("doc_id", index.alias("part"), "ids").mapInArrow(coded, "doc_id long, part int, n_ids long, marks binary, stream binary")
     ordered = rows.repartition(len(bounds) + 1, "part").sortWithinPartitions("part", F.col("doc_id").asc_nulls_last(), "stream")
     ordered.mapInArrow(blocks, "part int, block long, ids_before long, doc_ids array<long>, n_ids array<long>, marks binary, words array<long>, stream binary").write.option("compression", "none").parquet(f"{path}/blocks")
 
@@ -302,25 +408,39 @@ def read_tokens(spark: SparkSession, path: str, with_ids: bool = False) -> DataF
     # one row for each range of ids, as many as partitions were asked for
     before = sums.select("part", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("ids_of_parts"))
 
+    names = ["doc_id", "start", "n_tokens", "ids_crc32", *(["ids"] if with_ids else [])]
+
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = decode_table(shared.value)
-        names = ["doc_id", "start", "n_tokens", "ids_crc32", *(["ids"] if with_ids else [])]
         for batch in batches:
+            held: list[dict] = []
             for row in batch.to_pylist():
-                n = np.array(row["n_ids"], np.int64)
-                segments = -(-n // step)
-                counts = np.full(int(segments.sum()), step, np.int64)
-                counts[np.cumsum(segments) - 1] = n - (segments - 1) * step
-                words = np.array(row["words"], np.int64)
-                offsets = np.frombuffer(row["marks"], "<i8") + np.repeat(32 * (np.cumsum(words) - words), segments)
-                ids = unpack(row["stream"], offsets, counts, table)
-                ends = np.cumsum(n)
-                view = memoryview(ids).cast("B")
-                crcs = [zlib.crc32(view[4 * a : 4 * b]) for a, b in zip((ends - n).tolist(), ends.tolist(), strict=True)]
-                made = [pa.array(row["doc_ids"], pa.int64()), pa.array(row["ids_of_parts"] + row["ids_before"] + ends - n), pa.array(n), pa.array(crcs, pa.int64())]
-                if with_ids:
-                    made.append(pa.array([ids[a:b].tolist() for a, b in zip((ends - n).tolist(), ends.tolist(), strict=True)], pa.list_(pa.int64())))
-                yield pa.RecordBatch.from_arrays(made, names=names)
+                held.append(row)
+                if sum(len(r["stream"]) for r in held) > 4 << 20:  # bounds memory, and is enough to decode in step
+                    yield several(held, table)
+                    held = []
+            if held:
+                yield several(held, table)
+
+    def several(rows: list[dict], table: tuple[np.ndarray, np.ndarray]) -> pa.RecordBatch:
+        """The documents of some blocks: all their checkpoints are decoded in step."""
+        n = np.array(list(chain.from_iterable(r["n_ids"] for r in rows)), np.int64)
+        words = np.array(list(chain.from_iterable(r["words"] for r in rows)), np.int64)
+        segments = -(-n // step)
+        counts = np.full(int(segments.sum()), step, np.int64)
+        counts[np.cumsum(segments) - 1] = n - (segments - 1) * step
+        offsets = np.frombuffer(b"".join(r["marks"] for r in rows), "<i8") + np.repeat(32 * (np.cumsum(words) - words), segments)
+        ids = unpack(b"".join(r["stream"] for r in rows), offsets, counts, table)
+        ends = np.cumsum(n)
+        view = memoryview(ids).cast("B")
+        spans = list(zip((ends - n).tolist(), ends.tolist(), strict=True))
+        docs_of = [len(r["n_ids"]) for r in rows]
+        first = np.cumsum(docs_of) - docs_of
+        before = np.array([r["ids_of_parts"] + r["ids_before"] for r in rows], np.int64) - (ends - n)[first]
+        made = [pa.array(list(chain.from_iterable(r["doc_ids"] for r in rows)), pa.int64()), pa.array(np.repeat(before, docs_of) + ends - n), pa.array(n), pa.array([zlib.crc32(view[4 * a : 4 * b]) for a, b in spans], pa.int64())]
+        if with_ids:
+            made.append(pa.array([ids[a:b].tolist() for a, b in spans], pa.list_(pa.int64())))
+        return pa.RecordBatch.from_arrays(made, names=names)
 
     # `before` has a row for each part; Spark broadcasts it if it is small by its own measure
     return blocks.join(before, "part").drop("part", "block").mapInArrow(decoded, "doc_id long, start long, n_tokens long, ids_crc32 long" + (", ids array<long>" if with_ids else ""))

@@ -152,7 +152,7 @@ def test_huffman():
     used = lengths[lengths > 0].astype(float)
     assert lengths.max() <= 16 and (lengths > 0).sum() == (counts > 0).sum() and abs((2.0**-used).sum() - 1) < 1e-12
     docs = [rng.choice(np.flatnonzero(counts), n).astype("<u4") for n in (1, 511, 512, 513, 3000)]
-    streams, marks = token_files.pack(docs, lengths, token_files.canonical(lengths))
+    streams, marks = token_files.pack(np.concatenate(docs), np.array([len(d) for d in docs]), lengths, token_files.canonical(lengths))
     table = token_files.decode_table(lengths)
     for d, s, m in zip(docs, streams, marks, strict=True):
         n = np.full(len(m), 512)
