@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import relational, textual
+from . import composite, relational, textual
 
-MODULES = (relational, textual)
+MODULES = (relational, textual, composite)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

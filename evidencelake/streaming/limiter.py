@@ -38,7 +38,7 @@ def limited(hits: DataFrame, key: str, ts: str, seq: str, limit: int, window: fl
     """
     from pyspark.sql import Window
 
-    seconds = F.unix_micros(ts) / 1e6
+    seconds = F.unix_micros(F.col(ts).cast("timestamp")) / 1e6
     in_order = Window.partitionBy(key).orderBy("_t", seq)
     timed = hits.select(key, seq, seconds.alias("_t"))
     cut = timed.withColumn("_run", F.sum((F.col("_t") - F.lag("_t").over(in_order) >= window).cast("int")).over(in_order))
@@ -62,7 +62,7 @@ def limited_stream(hits: DataFrame, key: str, ts: str, seq: str, limit: int, win
         state.update((list(held),))
         yield pdf[[key, seq]].assign(accepted=accepted)
 
-    timed = hits.select(key, seq, (F.unix_micros(ts) / 1e6).alias("_t"))
+    timed = hits.select(key, seq, (F.unix_micros(F.col(ts).cast("timestamp")) / 1e6).alias("_t"))
     return timed.groupBy(key).applyInPandasWithState(run, schema, "held array<double>", "append", GroupStateTimeout.NoTimeout)
 
 
