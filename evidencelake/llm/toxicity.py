@@ -102,8 +102,8 @@ def train(rows: list[np.ndarray], y: np.ndarray, n_terms: int, rank: int, epochs
     return bias, weights, vectors
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text", folds: int = 4, held_out: int = 2, max_rows: int = 20_000, max_terms: int = 4096, rank: int = 4, epochs: int = 12, rate: float = 0.15, ridge: float = 1e-5, seed: int = 7) -> Model:
-    """A model of ``label`` from rows outside the held-out fold; ``max_terms`` bounds the model."""
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text", folds: int = 4, held_out: int = 2, max_rows: int = 20_000, max_terms: int = 4096, rank: int = 4, epochs: int = 12, steps: int = 800, rate: float = 0.15, ridge: float = 2e-5, seed: int = 7) -> Model:
+    """A model of ``label`` from rows outside the held-out fold; ``max_terms`` bounds the model. Small samples get more epochs, ``steps`` batches in all at least."""
     tune(docs.sparkSession)
     sample = labelled_sample(docs, labels, label, id_col, text_col, folds, held_out, max_rows, "toxicity")
 
@@ -149,7 +149,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str =
     known = table.mapInArrow(slots, "y double, at array<int>").toPandas()  # about max_rows rows of picked terms
     order = sorted(range(len(known)), key=lambda i: (known["y"][i], len(known["at"][i]), *known["at"][i][:8]))
     rows = [np.sort(np.asarray(known["at"][i], np.int64)) for i in order]
-    model.bias, model.weights, model.vectors = train(rows, known["y"].to_numpy()[order], len(picked), rank, epochs, rate, ridge, seed)
+    model.bias, model.weights, model.vectors = train(rows, known["y"].to_numpy()[order], len(picked), rank, max(epochs, steps * 256 // len(rows)), rate, ridge, seed)
     return model
 
 
