@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_BYTES, texts_of, tune
+from .common import WORD_BYTES, materialize, texts_of, tune
 
 RADIUS = 6
 BITS = 128
@@ -73,34 +73,35 @@ def edit(pixels: np.ndarray, number: int) -> np.ndarray:
     return np.rot90(np.rint(part).astype(np.uint8), number % 4)
 
 
-def _box(a: np.ndarray, r: int) -> np.ndarray:
-    """Sums over squares of side 2r + 1, zero beyond the border."""
+def _slid(a: np.ndarray, r: int, both) -> np.ndarray:
+    """``both`` (add or maximum) over squares of side 2r + 1, zero beyond the border."""
     for axis in (1, 2):
-        wide = [(0, 0)] * 3
-        wide[axis] = (r + 1, r)
-        c = np.cumsum(np.pad(a, wide), axis=axis)
         n = a.shape[axis]
-        hi, lo = [slice(None)] * 3, [slice(None)] * 3
-        hi[axis], lo[axis] = slice(2 * r + 1, 2 * r + 1 + n), slice(0, n)
-        a = c[tuple(hi)] - c[tuple(lo)]
+        out = a.copy()
+        for d in range(1, r + 1):
+            low, high = [slice(None)] * 3, [slice(None)] * 3
+            low[axis], high[axis] = slice(0, n - d), slice(d, n)
+            both(out[tuple(low)], a[tuple(high)], out=out[tuple(low)])
+            both(out[tuple(high)], a[tuple(low)], out=out[tuple(high)])
+        a = out
     return a
 
 
+def _box(a: np.ndarray, r: int) -> np.ndarray:
+    return _slid(a, r, np.add)
+
+
 def corners(stack: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(image, y, x) of the strongest corners of each image of a stack of equal size."""
     gy, gx = np.zeros_like(stack), np.zeros_like(stack)
     gy[:, 1:-1] = stack[:, 2:] - stack[:, :-2]
     gx[:, :, 1:-1] = stack[:, :, 2:] - stack[:, :, :-2]
     a, b, c = _box(gx * gx, 2), _box(gy * gy, 2), _box(gx * gy, 2)
-    strength = a * b - c * c - 0.05 * (a + b) ** 2
+    strength = a * b - c * c - np.float32(0.05) * (a + b) ** 2
     edge = RADIUS + 2
     strength[:, :edge] = strength[:, -edge:] = 0
     strength[:, :, :edge] = strength[:, :, -edge:] = 0
-    peak = strength > 0
-    for dy in range(-2, 3):
-        for dx in range(-2, 3):
-            if dy or dx:
-                peak[:, 2:-2, 2:-2] &= strength[:, 2:-2, 2:-2] >= strength[:, 2 + dy : strength.shape[1] - 2 + dy, 2 + dx : strength.shape[2] - 2 + dx]
+    peak = (strength > 0) & (strength >= _slid(strength, 2, np.maximum))
     image, y, x = np.nonzero(peak)
     order = np.lexsort((x, y, -strength[image, y, x], image))
     image, y, x = image[order], y[order], x[order]
@@ -116,7 +117,7 @@ def describe_stack(stack: np.ndarray, most: int) -> dict[str, np.ndarray]:
     for octave in range(2):
         if min(level.shape[1:]) < 2 * (RADIUS + 2) + 5:
             break
-        smooth = _box(level.astype(np.float64), 1) / 9
+        smooth = _box(level, 1) / np.float32(9)
         image, y, x = corners(smooth, most if octave == 0 else most // 2)
         if len(image):
             patch = smooth[image[:, None], y[:, None] + _disc[:, 0], x[:, None] + _disc[:, 1]]
@@ -126,7 +127,7 @@ def describe_stack(stack: np.ndarray, most: int) -> dict[str, np.ndarray]:
             reach = lambda v: np.clip(np.rint(v).astype(int), -RADIUS - 2, RADIUS + 2)
             p = smooth[image[:, None], y[:, None] + reach(sin * px + cos * py), x[:, None] + reach(cos * px - sin * py)]
             q = smooth[image[:, None], y[:, None] + reach(sin * qx + cos * qy), x[:, None] + reach(cos * qx - sin * qy)]
-            words = np.packbits(p < q - 1e-6, axis=1).view(">u4").astype(np.int64)
+            words = np.packbits(p < q - np.float32(0.01), axis=1).view(">u4").astype(np.int64)
             found.append((image, y * 2**octave, x * 2**octave, np.full(len(image), octave), angle, words))
         level = (level[:, 0 : level.shape[1] // 2 * 2 : 2] + level[:, 1::2][:, : level.shape[1] // 2]) / 2
         level = (level[:, :, 0 : level.shape[2] // 2 * 2 : 2] + level[:, :, 1::2][:, :, : level.shape[2] // 2]) / 2
@@ -150,7 +151,7 @@ def descriptors(media: DataFrame, id_col: str = "media_id", image_col: str = "im
                 if p is not None and p.size:
                     by_shape.setdefault(p.shape, []).append(i)
             for shape, rows in by_shape.items():
-                step = max(1, 400_000 // (shape[0] * shape[1]))
+                step = max(1, 130_000 // (shape[0] * shape[1]))
                 for k in range(0, len(rows), step):
                     part = np.array(rows[k : k + step])
                     d = describe_stack(np.stack([pixels[i] for i in part]), most)
@@ -159,23 +160,62 @@ def descriptors(media: DataFrame, id_col: str = "media_id", image_col: str = "im
     return media.select(media[id_col].alias("media_id"), media[image_col].alias("image")).mapInArrow(run, f"media_id {kind}, y float, x float, octave int, angle float, w0 long, w1 long, w2 long, w3 long")
 
 
-def _tables(d: DataFrame, mark: str) -> DataFrame:
-    """Each descriptor under its four words."""
-    whole = F.struct(*(F.col(c).alias(c) for c in ("media_id", "y", "x", "octave", "angle", "w0", "w1", "w2", "w3"))).alias(mark)
-    return d.select(whole, F.posexplode(F.array("w0", "w1", "w2", "w3")).alias("band", "word"))
+#: Bits of the filter that index words must pass; what it lets through in vain is sorted out by the join.
+FILTER_BITS = 27
+
+
+def _slots(keys: np.ndarray) -> np.ndarray:
+    h = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return ((h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(64 - FILTER_BITS)
+
+
+def _tables(d: DataFrame, passing: np.ndarray | None = None) -> DataFrame:
+    """Each descriptor under its four words (key: table and word); with a filter only words that pass it."""
+    tune(d.sparkSession)
+    shared = None if passing is None else d.sparkSession.sparkContext.broadcast(passing)
+    names = d.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for band in range(4):
+                keys = np.asarray(batch.column(names.index(f"w{band}"))) | (band << 32)
+                slots = _slots(keys)
+                rows = batch
+                if shared is not None:
+                    kept = np.flatnonzero((shared.value[slots >> np.uint64(3)] >> (slots & np.uint64(7)).astype(np.uint8)) & 1)
+                    rows, keys, slots = batch.take(pa.array(kept)), keys[kept], slots[kept]
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(slots.astype(np.int64) + 1), *rows.columns], names=["key", "slot", *names])
+
+    return d.mapInArrow(run, "key long, slot long, " + ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in d.schema))
+
+
+def _filter_of(tables: DataFrame) -> np.ndarray:
+    """A bitmap of 2 ** FILTER_BITS bits, 16 MB, of the slots that occur: put together by Spark in pieces of 4 KB."""
+    pieces = tables.groupBy(F.bitmap_bucket_number("slot").alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("m"))
+    bits = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
+    for row in pieces.toLocalIterator():
+        at = (row["b"] - 1) * 4096
+        bits[at : at + 4096] |= np.frombuffer(bytes(row["m"]), np.uint8)[: len(bits) - at]
+    return bits
+
+
+def _whole(tables: DataFrame, mark: str) -> DataFrame:
+    return tables.select("key", F.struct(*(c for c in tables.columns if c not in ("key", "slot"))).alias(mark))
 
 
 def search(queries: DataFrame, index: DataFrame, differing: int = 24, agreeing: int = 3, turn: float = 30.0, shift: float = 8.0) -> DataFrame:
     """(query_id, media_id, matches, inliers, rotation, scale, dy, dx) of images that share a geometry; both sides are descriptors.
 
-    Only words of queries meet the index. Votes fall in bins of ``turn`` degrees
-    and ``shift`` pixels, laid out twice with half a bin between.
+    Words of the index that no query has are left out before the shuffle, by a
+    filter of fixed size. Votes fall in bins of ``turn`` degrees and ``shift``
+    pixels, laid out twice with half a bin between.
     """
-    near = _tables(queries.dropDuplicates(), "q").join(_tables(index.dropDuplicates(), "i"), ["band", "word"])
+    asked = materialize(_tables(queries))
+    near = _whole(asked, "q").join(_whole(_tables(index, _filter_of(asked)), "i"), "key")
     bits = sum(F.bit_count(F.col(f"q.w{k}").bitwiseXOR(F.col(f"i.w{k}"))) for k in range(4))
     earlier = F.lit(False)
     for k in range(3):  # a pair that an earlier word has joined
-        earlier = earlier | ((F.col("band") > k) & (F.col(f"q.w{k}") == F.col(f"i.w{k}")))
+        earlier = earlier | ((F.shiftright("key", 32) > k) & (F.col(f"q.w{k}") == F.col(f"i.w{k}")))
     scale = F.pow(F.lit(2.0), F.col("q.octave") - F.col("i.octave"))
     turned = F.pmod(F.degrees(F.col("q.angle") - F.col("i.angle")), F.lit(360.0))
     theta = F.radians(F.round(turned / turn) * turn)
