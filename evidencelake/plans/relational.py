@@ -208,7 +208,7 @@ SELECT o_custkey, CASE WHEN replaced THEN rk ELSE o_orderkey END AS o_orderkey,
 
 def diverse_topn(spark, sf):
     d = table(spark, sf, "documents").withColumn("school", F.when(F.col("source") == "src0", "").otherwise(F.col("source")))
-    return dedupe.diverse_top(d, ["lang"], "school", "n_chars", "doc_id", 12).select("lang", "rank", "doc_id")
+    return dedupe.diverse_top(d, ["lang"], "school", "n_chars", "doc_id", 12).select("lang", F.col("rank").cast("long").alias("rank"), "doc_id")
 
 
 SQL["diverse_topn"] = """WITH d AS (SELECT doc_id, lang, n_chars, CASE WHEN source = 'src0' THEN '' ELSE source END AS school FROM documents),
@@ -217,7 +217,7 @@ SELECT lang, rank, doc_id FROM (SELECT *, row_number() OVER (PARTITION BY lang O
 
 
 def stratified_sample(spark, sf):
-    return dedupe.stratified(table(spark, sf, "customer"), "c_nationkey", ["c_custkey"], 100).select("c_nationkey", "c_custkey", "turn")
+    return dedupe.stratified(table(spark, sf, "customer"), "c_nationkey", ["c_custkey"], 100).select("c_nationkey", "c_custkey", F.col("turn").cast("long").alias("turn"))
 
 
 SQL["stratified_sample"] = "SELECT c_nationkey, c_custkey, turn FROM (SELECT *, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS turn FROM customer) ORDER BY turn, c_nationkey LIMIT 100"
@@ -294,7 +294,7 @@ SQL["trend_tags"] = "SELECT l_linestatus, tag, count(*) AS documents, count(DIST
 
 def top_names(spark, sf):
     p = table(spark, sf, "part")
-    return aggregates.most_common(p, ["p_brand"], "p_size", "p_partkey", 5)
+    return aggregates.most_common(p, ["p_brand"], "p_size", "p_partkey", 5).withColumn("rank", F.col("rank").cast("long"))
 
 
 SQL["top_names"] = "SELECT * FROM (SELECT p_brand, p_size, count, row_number() OVER (PARTITION BY p_brand ORDER BY count DESC, f) AS rank FROM (SELECT p_brand, p_size, count(*) AS count, min(p_partkey) AS f FROM part GROUP BY ALL)) WHERE rank <= 5"
