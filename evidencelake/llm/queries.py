@@ -83,5 +83,21 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_quality, op2_mixing, op3_url_filter, op4_image_copies, op5_toxicity, op6_token_files, op7_decontamination, op8_simhash, op9_licenses, op10_language, pipeline)}
 
 
+#: Words of a text after A-Z is lower-cased.
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+SQL = {
+    "op7_decontamination": f"""WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark),
+bw AS (SELECT DISTINCT item, least(len(w), 10) AS n, array_to_string(w[k : k + 9], ' ') AS win FROM (SELECT item, w, unnest(range(1, greatest(1, len(w) - 9) + 1)) AS k FROM b WHERE len(w) > 0)),
+dw AS (SELECT rid, k, n, array_to_string(w[k : k + n - 1], ' ') AS win FROM (SELECT rid, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM d JOIN (SELECT DISTINCT n FROM bw) ON len(w) >= n)),
+hits AS (SELECT rid, k, n, item FROM dw JOIN bw USING (n, win)),
+places AS (SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(k, k + n)) AS p FROM hits) GROUP BY rid),
+items AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT rid, item FROM hits) GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated FROM d LEFT JOIN places USING (rid) LEFT JOIN items USING (rid)""",
+}
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL of the queries that SQL expresses; the others are held against brute force in the tests."""
+    return SQL
