@@ -283,7 +283,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     codes = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("least")))
     stars = components(links(codes.select("fp"), distance, node_rows))
     rooted = codes.join(stars, codes["fp"] == stars["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    # written, so that Spark can split the members of a large component when it joins them
+    named = materialize(rooted.groupBy("root").agg(F.min("least").alias("component_id")))
     classes = rooted.select("fp", "root").join(named, "root").select("fp", "component_id")
     return marked.join(classes, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
@@ -292,8 +293,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 WIDE = 4
 #: Bits of each mask, number of masks, and the distance in 256 bits up to which fingerprints are linked: of two
-#: texts of similarity 0.8 a bit differs with probability 0.15, one of the masks agrees with probability 0.95.
-MASK_BITS, N_MASKS, WIDE_DISTANCE = 18, 60, 47
+#: texts of similarity 0.8 a bit differs with probability 0.15, one of the masks agrees with probability 0.98.
+MASK_BITS, N_MASKS, WIDE_DISTANCE = 18, 72, 52
 _SALTS = np.array([0, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 
 
@@ -471,7 +472,8 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
     codes = materialize(marked.groupBy("fp", "w0", "w1", "w2", "w3").agg(F.min("doc_id").alias("least")))
     stars = components(wide_links(codes, distance))
     rooted = codes.join(stars, codes["fp"] == stars["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    # written, so that Spark can split the members of a large component when it joins them
+    named = materialize(rooted.groupBy("root").agg(F.min("least").alias("component_id")))
     classes = rooted.select("fp", "root").join(named, "root").select("fp", "component_id")
     return marked.select("doc_id", "fp").join(classes, "fp").select("doc_id", "component_id")
 
