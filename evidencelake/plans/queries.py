@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import composite, relational, textual
+from . import composite, relational, small, textual
 
-MODULES = (relational, textual, composite)
+MODULES = (relational, textual, composite, small)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
