@@ -337,10 +337,10 @@ def wide_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     return map_texts(docs, id_col, text_col, run, f"doc_id {kind}, w0 long, w1 long, w2 long, w3 long")
 
 
-def _mask_bits(extra: int) -> np.ndarray:
-    """The bit positions of each mask; deeper nodes add ``extra`` more of the mask's own sequence."""
+def _mask_bits() -> np.ndarray:
+    """The bit positions of each mask."""
     rng = np.random.default_rng(17)
-    return np.stack([rng.permutation(64 * WIDE)[: MASK_BITS + extra] for _ in range(N_MASKS)])
+    return np.stack([rng.permutation(64 * WIDE)[:MASK_BITS] for _ in range(N_MASKS)])
 
 
 def _patterns(words: np.ndarray, bits: np.ndarray) -> np.ndarray:
@@ -354,6 +354,8 @@ def wide_group_links(key: np.ndarray, words: np.ndarray, distance: int) -> tuple
     """Indices of spanning links among rows of the same key whose words differ in at most ``distance`` bits.
 
     As ``group_links``: Gray order (of the first word), nodes of shared bits, dual descent.
+    Nodes whose members are all linked already are not compared again, so that many
+    copies of one text do not take all their pairs.
     """
     order = np.lexsort((words[:, 1], gray_rank(words[:, 0]), key))
     key, words = key[order], words[order]
@@ -369,8 +371,12 @@ def wide_group_links(key: np.ndarray, words: np.ndarray, distance: int) -> tuple
         starts = np.flatnonzero((np.arange(len(group)) - np.repeat(first, sizes)) % FAN == 0)
         levels.append((np.bitwise_and.reduceat(low, starts, axis=0), np.bitwise_or.reduceat(high, starts, axis=0), group[starts], np.r_[starts, len(group)]))
     forest = Forest(len(words))
+    each = np.arange(len(words))
+    for other in (np.maximum(each - 1, edge[levels[0][2]]), edge[levels[0][2]]):  # the neighbour and the first of the group
+        close = np.bitwise_count(words ^ words[other]).sum(axis=1, dtype=np.int64) <= distance
+        forest.link(each[close], other[close])
     tops = np.arange(len(levels[-1][0]))
-    stack = [(len(levels) - 1, tops, tops)]
+    stack, spans = [(len(levels) - 1, tops, tops)], []
     while stack:
         level, a, b = stack.pop()
         if len(a) > 50_000:
@@ -379,6 +385,16 @@ def wide_group_links(key: np.ndarray, words: np.ndarray, distance: int) -> tuple
             continue
         if level == 0:
             forest.link(a, b)
+            spans = []
+            continue
+        if not spans:  # least and greatest root below each node
+            spans = [(forest.root, forest.root)]
+            for _, _, _, starts in levels[1:]:
+                spans.append((np.minimum.reduceat(spans[-1][0], starts[:-1]), np.maximum.reduceat(spans[-1][1], starts[:-1])))
+        least, most = spans[level]
+        apart = np.minimum(least[a], least[b]) != np.maximum(most[a], most[b])
+        a, b = a[apart], b[apart]
+        if not len(a):
             continue
         first = levels[level][3]
         na, nb = first[a + 1] - first[a], first[b + 1] - first[b]
@@ -396,50 +412,32 @@ def wide_group_links(key: np.ndarray, words: np.ndarray, distance: int) -> tuple
     return order[leaf], order[forest.root[leaf]]
 
 
-def wide_links(codes: DataFrame, distance: int = WIDE_DISTANCE, node_rows: int = 200_000, step: int = 6) -> DataFrame:
+def wide_links(codes: DataFrame, distance: int = WIDE_DISTANCE, node_rows: int = 200_000) -> DataFrame:
     """(u, v) links between ``codes`` (fp, w0..w3), fp naming a code.
 
     A node holds the codes that agree on one mask. Nodes of more than
-    ``node_rows`` codes are divided by ``step`` more bits of their mask, again
-    and again; texts that part there can still meet under the other masks.
+    ``node_rows`` codes are cut into blocks of half as many by hash, and each two
+    blocks are searched together in a task: every pair of a node is compared.
     """
     tune(codes.sparkSession)
     names = ["fp", "w0", "w1", "w2", "w3"]
 
-    def spread(extra: int):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            bits = _mask_bits(extra)
-            for batch in batches:
-                words = np.stack([np.asarray(batch.column(batch.schema.get_field_index(f"w{k}"))) for k in range(WIDE)], axis=1).view(np.uint64)
-                if extra == 0:
-                    for mask in range(N_MASKS):
-                        key = (_patterns(words, bits[mask]) * N_MASKS + mask).astype(np.int64)
-                        yield pa.RecordBatch.from_arrays([pa.array(key), *batch.columns], names=["key", *names])
-                    continue
-                old = np.asarray(batch.column(0))
-                mask = old % N_MASKS
-                key = np.zeros(len(old), np.int64)
-                for m in np.unique(mask):
-                    rows = mask == m
-                    key[rows] = _patterns(words[rows], bits[m]) * N_MASKS + m
-                yield pa.RecordBatch.from_arrays([pa.array(key), *batch.columns[1:]], names=["key", *names])
-
-        return run
-
-    schema = "key long, fp long, w0 long, w1 long, w2 long, w3 long"
-    level, parts, extra = codes.select(*names).mapInArrow(spread(0), schema), [], 0
-    while True:
-        large = level.groupBy("key").count().where(F.col("count") > node_rows).select("key")
-        if extra > 30 or large.isEmpty():
-            parts.append(level.withColumn("depth", F.lit(extra)))
-            break
-        large = checkpoint(large)
-        parts.append(level.join(large, "key", "left_anti").withColumn("depth", F.lit(extra)))
-        extra += step
-        level = level.join(large, "key", "left_semi").mapInArrow(spread(extra), schema)
-    nodes = parts[0]
-    for part in parts[1:]:
-        nodes = nodes.unionByName(part)
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = _mask_bits()
+        for batch in batches:
+            words = np.stack([np.asarray(batch.column(batch.schema.get_field_index(f"w{k}"))) for k in range(WIDE)], axis=1).view(np.uint64)
+            for mask in range(N_MASKS):
+                key = (_patterns(words, bits[mask]) * N_MASKS + mask).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(key), *batch.columns], names=["key", *names])
+
+    level = codes.select(*names).mapInArrow(spread, "key long, fp long, w0 long, w1 long, w2 long, w3 long")
+    nodes = level.withColumn("pair", F.lit(-1).cast("long"))
+    large = checkpoint(level.groupBy("key").count().where(F.col("count") > node_rows).select("key", F.ceil(F.col("count") * 2 / node_rows).alias("blocks")))
+    if not large.isEmpty():
+        block = F.pmod(F.xxhash64("fp"), F.col("blocks"))
+        cut = level.join(large, "key").select("*", block.alias("block"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")).where("block <> other")
+        paired = cut.withColumn("pair", F.least("block", "other") * F.col("blocks") + F.greatest("block", "other"))
+        nodes = nodes.join(large, "key", "left_anti").unionByName(paired.select(*nodes.columns))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -462,8 +460,8 @@ def wide_links(codes: DataFrame, distance: int = WIDE_DISTANCE, node_rows: int =
         if held:
             yield found(np.concatenate(held))
 
-    keyed = nodes.select("depth", "key", *names)
-    return keyed.repartition("depth", "key").sortWithinPartitions("depth", "key").mapInArrow(search, "u long, v long").distinct()
+    keyed = nodes.select("pair", "key", *names)
+    return keyed.repartition("pair", "key").sortWithinPartitions("pair", "key").mapInArrow(search, "u long, v long").distinct()
 
 
 def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, distance: int = WIDE_DISTANCE) -> DataFrame:

@@ -335,6 +335,19 @@ def test_url_templates(spark):
     assert url_filter.judge(spark.createDataFrame([], "page_id long, url string")).count() == 0
 
 
+def test_wide_links_compare_every_pair_of_a_hot_node(spark):
+    """Cutting nodes into blocks leaves the components as they are, also among many codes near one another."""
+    rng = np.random.default_rng(8)
+    bits = np.zeros((3000, 256), bool)
+    varying = rng.permutation(256)[:120]
+    bits[:1500, varying] = rng.random((1500, 120)) < 0.5
+    bits[1500:, varying] = bits[:1500, varying] ^ (rng.random((1500, 120)) < 0.3)
+    words = np.packbits(bits, axis=1).view(np.int64)
+    codes = spark.createDataFrame([(k, *map(int, w)) for k, w in enumerate(words)], "fp long, w0 long, w1 long, w2 long, w3 long").cache()
+    found = [{tuple(r) for r in simhash.components(simhash.wide_links(codes, 42, node_rows=n)).collect()} for n in (200_000, 4)]
+    assert found[0] == found[1] and len(found[0]) > 1000
+
+
 def test_similar_texts_form_groups(spark):
     """Copies with few words changed meet, others do not; big nodes are divided without losing them."""
     rng = random.Random(12)
