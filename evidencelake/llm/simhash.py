@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpoint, fresh, map_texts, materialize, tune
+from .common import checkpoint, fresh, map_texts, materialize, texts_of, tune
 
 SEED = 42
 FAN = 8
@@ -292,14 +292,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 # Wide fingerprints: near-duplicates of a given similarity of their shingle sets.
 
 WIDE = 4
-#: Bits of each mask, number of masks, and the distance in 256 bits up to which fingerprints are linked: of two
-#: texts of similarity 0.8 a bit differs with probability 0.15, one of the masks agrees with probability 0.98.
-MASK_BITS, N_MASKS, WIDE_DISTANCE = 18, 72, 52
+#: Bits of each mask, number of masks, and the distance in 256 bits up to which fingerprints are candidates: of two
+#: texts of similarity 0.8 a bit differs with probability 0.15, one of the masks agrees with probability 0.999.
+MASK_BITS, N_MASKS, WIDE_DISTANCE = 16, 96, 72
 _SALTS = np.array([0, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 
 
-def _wide_batch(texts: list[bytes], width: int) -> np.ndarray:
-    """(n, 4) words: the SimHash of each text's set of shingles under four mixes of their hashes."""
+def _wide_batch(sets: list[np.ndarray]) -> np.ndarray:
+    """(n, 4) words: the SimHash of each set of shingles under four mixes of their hashes."""
     out, todo, held = [], [], 0
 
     def flush() -> None:
@@ -315,9 +315,9 @@ def _wide_batch(texts: list[bytes], width: int) -> np.ndarray:
         out.append(np.stack(words, axis=1))
         todo.clear()
 
-    for text in texts:
-        todo.append(np.unique(shingle_hashes(text, width)))
-        held += len(todo[-1])
+    for hashes in sets:
+        todo.append(hashes)
+        held += len(hashes)
         if held > 400_000:
             flush()
             held = 0
@@ -326,15 +326,36 @@ def _wide_batch(texts: list[bytes], width: int) -> np.ndarray:
     return np.concatenate(out) if out else np.empty((0, WIDE), np.uint64)
 
 
+def _sets(texts: list[bytes], width: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """The sorted shingle hashes of each text, and a name for each set."""
+    sets = [np.unique(shingle_hashes(t, width)) for t in texts]
+    return sets, np.array([xxhash.xxh64_intdigest(x.tobytes(), SEED) for x in sets], np.uint64).view(np.int64)
+
+
 def wide_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5) -> DataFrame:
-    """(doc_id, w0..w3) of every row; no shuffle."""
+    """(doc_id, w0..w3, fp, text_hash) of every row; fp names the set of shingles. No shuffle."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(texts: list[bytes]) -> dict[str, pa.Array]:
-        words = _wide_batch(texts, width).view(np.int64)
-        return {f"w{k}": pa.array(np.ascontiguousarray(words[:, k])) for k in range(WIDE)}
+        sets, names = _sets(texts, width)
+        words = _wide_batch(sets).view(np.int64)
+        return {f"w{k}": pa.array(np.ascontiguousarray(words[:, k])) for k in range(WIDE)} | {"fp": pa.array(names)}
 
-    return map_texts(docs, id_col, text_col, run, f"doc_id {kind}, w0 long, w1 long, w2 long, w3 long")
+    keep = {"doc_id": docs[id_col], "text_hash": F.xxhash64(docs[text_col])}
+    return map_texts(docs, id_col, text_col, run, f"doc_id {kind}, text_hash long, w0 long, w1 long, w2 long, w3 long, fp long", keep)
+
+
+def shingle_sets(docs: DataFrame, text_col: str = "text", width: int = 5) -> DataFrame:
+    """(fp, shingles) with the hashes of each set as bytes; each set once for a batch."""
+    tune(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets, names = _sets(texts_of(batch, "__text"), width)
+            names, first = np.unique(names, return_index=True)
+            yield pa.RecordBatch.from_arrays([pa.array(names), pa.array([sets[k].tobytes() for k in first], pa.binary())], names=["fp", "shingles"])
+
+    return docs.select(docs[text_col].cast("string").cast("binary").alias("__text")).mapInArrow(run, "fp long, shingles binary")
 
 
 def _mask_bits() -> np.ndarray:
@@ -464,11 +485,112 @@ def wide_links(codes: DataFrame, distance: int = WIDE_DISTANCE, node_rows: int =
     return keyed.repartition("pair", "key").sortWithinPartitions("pair", "key").mapInArrow(search, "u long, v long").distinct()
 
 
-def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, distance: int = WIDE_DISTANCE) -> DataFrame:
-    """(doc_id, component_id) by wide fingerprints of shingle sets: groups of texts whose sets are about 0.8 alike or more."""
-    marked = materialize(wide_fingerprints(docs, id_col, text_col, width).withColumn("fp", F.xxhash64("w0", "w1", "w2", "w3")))
+def set_links(sets: list[np.ndarray], linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Indices of spanning links among sets with a Jaccard similarity of at least 0.8; sets of equal ``linked`` are linked already."""
+    n = len(sets)
+    forest = Forest(n)
+    _, first, inverse = np.unique(linked, return_index=True, return_inverse=True)
+    forest.link(np.arange(n), first[inverse])
+    given = forest.root.copy()
+    sizes = np.array([len(x) for x in sets])
+    tokens, at = np.unique(np.concatenate(sets), return_inverse=True) if n else (np.empty(0), np.empty(0, int))
+    ends = np.cumsum(sizes)
+    total = np.zeros(len(at) + 1, np.int64)
+    mark = np.zeros(len(tokens), np.int64)
+    for i in range(n):
+        others = np.flatnonzero(forest.root != forest.root[i])
+        if not len(others):
+            break
+        others = others[others > i]
+        if not len(others):
+            continue
+        own = at[ends[i] - sizes[i] : ends[i]]
+        mark[own] = 1
+        np.cumsum(mark[at], out=total[1:])
+        mark[own] = 0
+        shared = total[ends[others]] - total[ends[others] - sizes[others]]
+        close = others[9 * shared >= 4 * (sizes[i] + sizes[others])]  # shared >= 0.8 (a + b - shared)
+        if len(close):
+            forest.link(np.full(len(close), i), close)
+    leaf = np.flatnonzero((forest.root != np.arange(n)) & (forest.root != given))
+    return leaf, forest.root[leaf]
+
+
+def _set_search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(u, v): links of sets that have the same task; input (task, fp, class, shingles) is sorted by task."""
+    held: list[tuple[int, int, bytes]] = []
+    task = None
+
+    def found() -> pa.RecordBatch:
+        rows = list({fp: (fp, c, x) for fp, c, x in held}.values())
+        names = np.array([r[0] for r in rows], np.int64)
+        u, v = set_links([np.frombuffer(r[2], np.uint64) for r in rows], np.array([r[1] for r in rows], np.int64))
+        return pa.RecordBatch.from_arrays([pa.array(names[u]), pa.array(names[v])], names=["u", "v"])
+
+    for batch in batches:
+        for now, *row in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
+            if now != task and held:
+                yield found()
+                held.clear()
+            task = now
+            held.append(tuple(row))
+    if held:
+        yield found()
+
+
+def _searched(rows: DataFrame, *task: str) -> DataFrame:
+    keyed = rows.select(F.struct(*task).alias("task"), "fp", "class", "shingles")
+    return keyed.repartition("task").sortWithinPartitions("task").mapInArrow(_set_search, "u long, v long")
+
+
+def similar_sets(rooted: DataFrame, sets: DataFrame, block_rows: int = 1000, pivots: int = 16) -> DataFrame:
+    """(node, root): components of the links of Jaccard similarity 0.8 or more inside each group of ``rooted`` (fp, root).
+
+    All pairs of a group are compared. A group of more than ``block_rows`` sets is
+    cut into blocks; each is searched by itself together with a few sets that all
+    blocks of the group get. What that leaves apart is searched in pairs of blocks,
+    but for blocks that belong to one component already.
+    """
+    sizes = rooted.groupBy("root").agg(F.count("*").alias("n")).where("n > 1")
+    blocks = F.ceil(F.col("n") / block_rows)
+    members = materialize(rooted.join(sizes, "root").select("fp", "root", blocks.alias("blocks")))
+    held = materialize(sets.join(members, "fp"))
+    own = held.withColumn("block", F.pmod(F.xxhash64("fp"), "blocks")).withColumn("class", F.col("fp"))
+    # about as many in each group; any choice gives the same result
+    picked = held.where("blocks > 1").where(F.pmod(F.xxhash64("fp", F.lit("pivot")), F.col("blocks") * block_rows) < pivots)
+    given = picked.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).withColumn("class", F.col("fp"))
+    edges = checkpoint(_searched(own.unionByName(given.select(*own.columns)), "root", "block"))
+    if members.where("blocks > 1").isEmpty():
+        return components(edges)
+    classes = components(edges)
+    large = members.where("blocks > 1").join(classes, members["fp"] == classes["node"], "left").select("fp", members["root"], F.coalesce(classes["root"], "fp").alias("class"))
+    counts = checkpoint(large.groupBy("root", "class").agg(F.count("*").alias("n")))
+    small = counts.where(F.col("n") < block_rows).groupBy("root").agg(F.sum("n").alias("small"))
+    # blocks of a large class hold nothing else; small classes are dealt out whole
+    mine = F.when(F.col("n") >= block_rows, F.struct(F.col("class").alias("of"), F.pmod(F.xxhash64("fp"), F.ceil(F.col("n") / block_rows)).alias("no")))
+    rest = F.struct(F.lit(None).cast("long").alias("of"), F.pmod(F.xxhash64("class"), F.ceil(F.col("small") / block_rows)).alias("no"))
+    placed = materialize(large.join(counts, ["root", "class"]).join(small, "root", "left").select("fp", "root", "class", F.coalesce(mine, rest).alias("block")))
+    each = checkpoint(placed.select("root", "block").distinct())
+    left, right = each.withColumnRenamed("block", "a"), each.withColumnRenamed("block", "b")
+    pairs = left.join(right, "root").where("a <= b AND NOT (a.of <=> b.of AND a.of IS NOT NULL)")
+    ways = checkpoint(pairs.select("root", "a", "b", F.col("a").alias("block")).union(pairs.where("a <> b").select("root", "a", "b", F.col("b").alias("block"))))
+    if ways.isEmpty():
+        return classes
+    apart = placed.join(ways, ["root", "block"]).join(held.select("fp", "shingles"), "fp")
+    return components(edges.union(_searched(apart, "root", "a", "b")))
+
+
+def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, distance: int = WIDE_DISTANCE, block_rows: int = 1000) -> DataFrame:
+    """(doc_id, component_id): components of texts whose sets of shingles have a Jaccard similarity of at least 0.8.
+
+    Wide fingerprints find groups of candidates; inside each group the sets
+    themselves decide. Texts without words have the empty set and are one component.
+    """
+    marked = materialize(wide_fingerprints(docs, id_col, text_col, width))
     codes = materialize(marked.groupBy("fp", "w0", "w1", "w2", "w3").agg(F.min("doc_id").alias("least")))
-    stars = components(wide_links(codes, distance))
+    near = components(wide_links(codes, distance))
+    grouped = codes.join(near, codes["fp"] == near["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"))
+    stars = similar_sets(grouped, shingle_sets(docs, text_col, width), block_rows)
     rooted = codes.join(stars, codes["fp"] == stars["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     # written, so that Spark can split the members of a large component when it joins them
     named = materialize(rooted.groupBy("root").agg(F.min("least").alias("component_id")))

@@ -348,6 +348,31 @@ def test_wide_links_compare_every_pair_of_a_hot_node(spark):
     assert found[0] == found[1] and len(found[0]) > 1000
 
 
+def test_similar_means_jaccard_of_sets(spark):
+    """Pairs of similarity 0.8 or more are linked, pairs below are not, whatever their fingerprints; also across blocks."""
+    rng = random.Random(3)
+    vocabulary = ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(500)]
+    made = ["one two three four five six seven eight", "one two three four five six seven nine"]
+    for g in range(30):
+        base = [rng.choice(vocabulary) for _ in range(104)]
+        for changed in (0, *(rng.randint(1, 5) for _ in range(3 if g else 60))):
+            words = list(base)
+            for k in range(changed):  # five shingles each
+                words[10 + 15 * k + rng.randrange(8)] = rng.choice(vocabulary)
+            made.append(" ".join(words))
+    sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in map(str.split, made)]
+    root = list(range(len(made)))
+    for i in range(len(made)):
+        for j in range(i):
+            if 9 * len(sets[i] & sets[j]) >= 4 * (len(sets[i]) + len(sets[j])) and root[i] != root[j]:
+                low, high = sorted((root[i], root[j]))
+                root = [low if r == high else r for r in root]
+    assert len(set(root)) > 40
+    docs = spark.createDataFrame([(k, t, None, None, None, None, None) for k, t in enumerate(made)], SCHEMA)
+    for block_rows in (1000, 7):
+        assert {r["doc_id"]: r["component_id"] for r in simhash.similar(docs, block_rows=block_rows).collect()} == dict(enumerate(root))
+
+
 def test_similar_texts_form_groups(spark):
     """Copies with few words changed meet, others do not; big nodes are divided without losing them."""
     rng = random.Random(12)
