@@ -581,10 +581,11 @@ def similar_sets(rooted: DataFrame, sets: DataFrame, block_rows: int = 1000, piv
 
 
 def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, distance: int = WIDE_DISTANCE, block_rows: int = 1000) -> DataFrame:
-    """(doc_id, component_id): components of texts whose sets of shingles have a Jaccard similarity of at least 0.8.
+    """(doc_id, component_id, root, text_hash): components, named by ``root``, of texts whose sets of shingles have a Jaccard similarity of at least 0.8.
 
     Wide fingerprints find groups of candidates; inside each group the sets
     themselves decide. Texts without words have the empty set and are one component.
+    ``component_id`` is the least id of a component, null if all are null.
     """
     marked = materialize(wide_fingerprints(docs, id_col, text_col, width))
     codes = materialize(marked.groupBy("fp", "w0", "w1", "w2", "w3").agg(F.min("doc_id").alias("least")))
@@ -594,16 +595,18 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
     rooted = codes.join(stars, codes["fp"] == stars["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     # written, so that Spark can split the members of a large component when it joins them
     named = materialize(rooted.groupBy("root").agg(F.min("least").alias("component_id")))
-    classes = rooted.select("fp", "root").join(named, "root").select("fp", "component_id")
-    return marked.select("doc_id", "fp").join(classes, "fp").select("doc_id", "component_id")
+    classes = rooted.select("fp", "root").join(named, "root").select("fp", "root", "component_id")
+    return marked.select("doc_id", "fp", "text_hash").join(classes, "fp").select("doc_id", "component_id", "root", "text_hash")
 
 
 def one_of_each(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay: of each component of ``groups`` the row with its id; of rows that share an id the one with the least text.
+    """One row of ``docs`` for each component of ``groups`` (from ``similar``): the one with the least id, null ids last, and of these the least hash of the text.
 
-    Rows with null ids that are linked to a row with an id go, as the other copies do.
+    Ids need not be unique or known: rows of different components stay whatever
+    their ids are. Of rows with the same id and text any one stays.
     """
-    kept = groups.select(F.col("component_id").alias("__kept")).distinct()
-    rank = fresh(docs, "__rank")
-    stay = docs.join(kept, docs[id_col].eqNullSafe(kept["__kept"]), "left_semi")
-    return stay.withColumn(rank, F.row_number().over(Window.partitionBy(id_col).orderBy(F.col(text_col).asc_nulls_first()))).where(F.col(rank) == 1).drop(rank)
+    least = groups.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_hash")).alias("of"))
+    root, rank = fresh(docs, "__root"), fresh(docs, "__rank")
+    kept = least.select(F.col("root").alias(root), F.col("of.doc_id").alias("__kept"), F.col("of.text_hash").alias("__hash"))
+    stay = docs.join(kept, docs[id_col].eqNullSafe(kept["__kept"]) & (F.xxhash64(docs[text_col]) == kept["__hash"])).select(*(docs[c] for c in docs.columns), root)
+    return stay.withColumn(rank, F.row_number().over(Window.partitionBy(root).orderBy(F.lit(0)))).where(F.col(rank) == 1).drop(rank, root)

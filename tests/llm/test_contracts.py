@@ -373,6 +373,16 @@ def test_similar_means_jaccard_of_sets(spark):
         assert {r["doc_id"]: r["component_id"] for r in simhash.similar(docs, block_rows=block_rows).collect()} == dict(enumerate(root))
 
 
+def test_one_of_each_component_stays_whatever_the_ids(spark):
+    """Different texts without ids all stay; so do different texts that share an id; rows that repeat do not."""
+    a, b, c, d = (" ".join(f"{x}{k}" for k in range(30)) for x in "abcd")
+    rows = [(None, a), (None, b), (None, b), (1, c), (1, d), (1, d), (2, c), (None, None)]
+    docs = spark.createDataFrame([(i, t, None, None, None, None, None) for i, t in rows], SCHEMA)
+    kept = simhash.one_of_each(docs, simhash.similar(docs))
+    assert kept.columns == docs.columns
+    assert sorted([(r["doc_id"], r["text"]) for r in kept.collect()], key=str) == sorted([(None, a), (None, b), (1, c), (1, d), (None, None)], key=str)
+
+
 def test_similar_texts_form_groups(spark):
     """Copies with few words changed meet, others do not; big nodes are divided without losing them."""
     rng = random.Random(12)
