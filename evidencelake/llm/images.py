@@ -1,19 +1,27 @@
-"""Local image descriptors: cropped, turned or relit copies of images.
+"""Local image descriptors: cropped, turned, halved or relit copies of images.
 
-Corners are found at two scales (Harris response, strongest of their
+Corners are found at two scales (Harris response, largest of their
 surroundings); each gets the direction of its patch's intensity centroid and
 128 comparisons of smoothed pixels, turned by that direction. Descriptors meet
-in Hamming tables: two of them are compared if one of four 32-bit words agrees
-(always so up to three differing bits) and kept if few bits differ. Matches of
-two images then vote for a common rotation, scale and shift; a pair of images
-needs several matches in one bin.
+in Hamming tables: each stands under the six pairs of its four 32-bit words,
+so two of them are compared if at most two words differ (always so up to two
+differing bits). 64 bits make chance meetings rare enough that joined rows grow
+with the copies there are, not with queries times images. Pairs of images with
+enough matches then vote for a common rotation, scale and shift.
+
+Identical images are one class, described and matched once: results are pairs
+of classes, and ``members`` tells which images are in them. A query's corners
+are all used; of an indexed image those strongest in each cell of ``CELL``
+pixels, so that any part of it holds its share whatever its size.
 
 Images are binary PGM (``P5``, 8 bits). No table has images, so ``page_images``
-draws one from each page's words, and ``edited`` makes copies to search for.
+draws one from each page's words, and ``edit`` makes copies to search for.
 
 Defined results: a null or malformed image, or one too small for a patch, has no
-descriptors and no pairs. Identical images all match. Rows that repeat count as
-one image. Other columns of the input are ignored.
+descriptors and no pairs; a null image has no class. Repeated rows and ids are
+members of one class each. Of equally good votes the smallest turn wins, then
+the first grid. Empty tables give no rows. Other columns of the input are
+ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -32,6 +40,9 @@ RADIUS = 6
 BITS = 128
 _rng = np.random.default_rng(11)
 _pairs = np.clip(_rng.normal(0, RADIUS / 2.2, (BITS, 4)), -RADIUS + 1, RADIUS - 1)
+CELL = 16
+#: Directions are rounded to this many steps, a multiple of four: quarter turns shift them exactly.
+STEPS = 32
 _disc = np.array([(y, x) for y in range(-RADIUS, RADIUS + 1) for x in range(-RADIUS, RADIUS + 1) if x * x + y * y <= RADIUS * RADIUS])
 
 
@@ -92,8 +103,25 @@ def _box(a: np.ndarray, r: int) -> np.ndarray:
     return _slid(a, r, np.add)
 
 
-def corners(stack: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(image, y, x) of the strongest corners of each image of a stack of equal size."""
+def _turned_pairs() -> np.ndarray:
+    """(STEPS, 2, BITS, 2): both points (y, x) of each test under each direction."""
+    points = _pairs.reshape(BITS, 2, 2).transpose(1, 0, 2)
+    out = np.empty((STEPS, 2, BITS, 2), np.int64)
+    quarter = STEPS // 4
+    for k in range(quarter):
+        c, s = np.cos(2 * np.pi * k / STEPS), np.sin(2 * np.pi * k / STEPS)
+        turned = np.stack([s * points[..., 1] + c * points[..., 0], c * points[..., 1] - s * points[..., 0]], axis=-1)
+        out[k] = np.clip(np.rint(turned), -RADIUS - 2, RADIUS + 2)
+    for k in range(quarter, STEPS):
+        out[k] = np.stack([out[k - quarter][..., 1], -out[k - quarter][..., 0]], axis=-1)
+    return out
+
+
+_TURNED = _turned_pairs()
+
+
+def corners(stack: np.ndarray, per_cell: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(image, y, x) of the corners of each image of a stack of equal size: all, or the ``per_cell`` strongest of each cell."""
     gy, gx = np.zeros_like(stack), np.zeros_like(stack)
     gy[:, 1:-1] = stack[:, 2:] - stack[:, :-2]
     gx[:, :, 1:-1] = stack[:, :, 2:] - stack[:, :, :-2]
@@ -102,92 +130,130 @@ def corners(stack: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.nd
     edge = RADIUS + 2
     strength[:, :edge] = strength[:, -edge:] = 0
     strength[:, :, :edge] = strength[:, :, -edge:] = 0
-    peak = (strength > 0) & (strength >= _slid(strength, 2, np.maximum))
-    image, y, x = np.nonzero(peak)
-    order = np.lexsort((x, y, -strength[image, y, x], image))
-    image, y, x = image[order], y[order], x[order]
-    first = np.searchsorted(image, image, side="left")
-    keep = np.arange(len(image)) - first < most
+    image, y, x = np.nonzero((strength > 0) & (strength >= _slid(strength, 2, np.maximum)))
+    if per_cell is None:
+        return image, y, x
+    across = -(-stack.shape[2] // CELL)
+    cell = (image * (-(-stack.shape[1] // CELL)) + y // CELL) * across + x // CELL
+    order = np.lexsort((x, y, -strength[image, y, x], cell))
+    cell = cell[order]
+    keep = order[np.arange(len(cell)) - np.searchsorted(cell, cell, side="left") < per_cell]
     return image[keep], y[keep], x[keep]
 
 
-def describe_stack(stack: np.ndarray, most: int) -> dict[str, np.ndarray]:
+def describe_stack(stack: np.ndarray, per_cell: int | None) -> dict[str, np.ndarray]:
     """Image, place (in full-size pixels), scale, direction and four 32-bit words of each descriptor."""
-    found: list[tuple[np.ndarray, ...]] = []
+    names = ("image", "y", "x", "octave", "angle", "words")
+    found: list[tuple[np.ndarray, ...]] = [(np.empty(0, int), np.empty(0), np.empty(0), np.empty(0, int), np.empty(0), np.empty((0, 4), np.int64))]
     level = stack.astype(np.float32)
     for octave in range(2):
         if min(level.shape[1:]) < 2 * (RADIUS + 2) + 5:
             break
         smooth = _box(level, 1) / np.float32(9)
-        image, y, x = corners(smooth, most if octave == 0 else most // 2)
-        if len(image):
-            patch = smooth[image[:, None], y[:, None] + _disc[:, 0], x[:, None] + _disc[:, 1]]
-            angle = np.arctan2(patch @ _disc[:, 0], patch @ _disc[:, 1])
-            cos, sin = np.cos(angle)[:, None], np.sin(angle)[:, None]
-            py, px, qy, qx = _pairs.T
-            reach = lambda v: np.clip(np.rint(v).astype(int), -RADIUS - 2, RADIUS + 2)
-            p = smooth[image[:, None], y[:, None] + reach(sin * px + cos * py), x[:, None] + reach(cos * px - sin * py)]
-            q = smooth[image[:, None], y[:, None] + reach(sin * qx + cos * qy), x[:, None] + reach(cos * qx - sin * qy)]
-            words = np.packbits(p < q - np.float32(0.01), axis=1).view(">u4").astype(np.int64)
-            found.append((image, y * 2**octave, x * 2**octave, np.full(len(image), octave), angle, words))
-        level = (level[:, 0 : level.shape[1] // 2 * 2 : 2] + level[:, 1::2][:, : level.shape[1] // 2]) / 2
-        level = (level[:, :, 0 : level.shape[2] // 2 * 2 : 2] + level[:, :, 1::2][:, :, : level.shape[2] // 2]) / 2
-    names = ("image", "y", "x", "octave", "angle", "words")
-    if not found:
-        return dict(zip(names, (np.empty(0, int), np.empty(0), np.empty(0), np.empty(0, int), np.empty(0), np.empty((0, 4), np.int64)), strict=True))
+        image, y, x = corners(smooth, per_cell)
+        width = level.shape[2]
+        flat = smooth.reshape(-1)
+        at = (image * level.shape[1] + y) * width + x
+        patch = flat[at[:, None] + (_disc[:, 0] * width + _disc[:, 1])]
+        angle = np.arctan2(patch @ _disc[:, 0].astype(np.float32), patch @ _disc[:, 1].astype(np.float32))
+        step = np.rint(angle * (STEPS / (2 * np.pi))).astype(np.int64) % STEPS
+        p, q = (flat[at[:, None] + (_TURNED[:, j, :, 0] * width + _TURNED[:, j, :, 1])[step]] for j in (0, 1))
+        words = np.packbits(p < q - np.float32(0.01), axis=1).view(">u4").astype(np.int64)
+        found.append((image, y * 2**octave, x * 2**octave, np.full(len(image), octave), angle, words))
+        h, w = (n // 2 * 2 for n in level.shape[1:])
+        level = level[:, :h, :w].reshape(len(level), h // 2, 2, w // 2, 2).mean(axis=(2, 4))
     return {k: np.concatenate([f[i] for f in found]) for i, k in enumerate(names)}
 
 
-def descriptors(media: DataFrame, id_col: str = "media_id", image_col: str = "image", most: int = 16) -> DataFrame:
-    """(media_id, y, x, octave, angle, w0..w3): up to ``most`` descriptors of the full size and half as many of the half size."""
+#: The pairs of words under which a descriptor stands.
+PAIRS = tuple((a, b) for a in range(4) for b in range(a + 1, 4))
+DESCRIPTOR = "digest string, y float, x float, octave int, angle float, w0 long, w1 long, w2 long, w3 long"
+_NAMES = ["digest", "y", "x", "octave", "angle", "w0", "w1", "w2", "w3"]
+
+
+def _described(digests: list[str], images: list[bytes | None], per_cell: int | None) -> Iterator[pa.RecordBatch]:
+    """Descriptors of the distinct images, stack by stack."""
+    by_shape: dict[tuple, dict[str, np.ndarray]] = {}
+    for digest, data in dict(zip(digests, images, strict=True)).items():
+        pixels = read_pgm(data)
+        if pixels is not None and pixels.size:
+            by_shape.setdefault(pixels.shape, {})[digest] = pixels
+    for shape, group in by_shape.items():
+        names, pixels = np.array(list(group)), list(group.values())
+        step = max(1, 130_000 // (shape[0] * shape[1]))
+        for k in range(0, len(names), step):
+            d = describe_stack(np.stack(pixels[k : k + step]), per_cell)
+            yield pa.RecordBatch.from_arrays([pa.array(names[k : k + step][d["image"]], pa.string()), *(pa.array(d[c].astype(np.float32)) for c in ("y", "x")), pa.array(d["octave"].astype(np.int32)), pa.array(d["angle"].astype(np.float32)), *(pa.array(np.ascontiguousarray(d["words"][:, j])) for j in range(4))], names=_NAMES)
+
+
+def _hashed(media: DataFrame, id_col: str, image_col: str) -> DataFrame:
+    return media.select(media[id_col].alias("media_id"), F.left(F.sha2(media[image_col], 256), F.lit(32)).alias("digest"), media[image_col].alias("image")).where("image is not null")
+
+
+def members(media: DataFrame, id_col: str = "media_id", image_col: str = "image") -> DataFrame:
+    """(media_id, digest): which class of identical images each one is in."""
+    return _hashed(media, id_col, image_col).select("media_id", "digest")
+
+
+def descriptors(media: DataFrame, id_col: str = "media_id", image_col: str = "image", per_cell: int | None = None) -> DataFrame:
+    """(digest, y, x, octave, angle, w0..w3) of the images; identical ones of a batch are described once."""
     tune(media.sparkSession)
-    kind = media.schema[id_col].dataType.simpleString()
-    names = ["media_id", "y", "x", "octave", "angle", "w0", "w1", "w2", "w3"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            by_shape: dict[tuple, list[int]] = {}
-            pixels = [read_pgm(d) for d in batch.column(1).to_pylist()]
-            for i, p in enumerate(pixels):
-                if p is not None and p.size:
-                    by_shape.setdefault(p.shape, []).append(i)
-            for shape, rows in by_shape.items():
-                step = max(1, 130_000 // (shape[0] * shape[1]))
-                for k in range(0, len(rows), step):
-                    part = np.array(rows[k : k + step])
-                    d = describe_stack(np.stack([pixels[i] for i in part]), most)
-                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(part[d["image"]])), *(pa.array(d[c].astype(np.float32), pa.float32()) for c in ("y", "x")), pa.array(d["octave"].astype(np.int32)), pa.array(d["angle"].astype(np.float32)), *(pa.array(np.ascontiguousarray(d["words"][:, j])) for j in range(4))], names=names)
+            yield from _described(batch.column(0).to_pylist(), batch.column(1).to_pylist(), per_cell)
 
-    return media.select(media[id_col].alias("media_id"), media[image_col].alias("image")).mapInArrow(run, f"media_id {kind}, y float, x float, octave int, angle float, w0 long, w1 long, w2 long, w3 long")
+    return _hashed(media, id_col, image_col).select("digest", "image").mapInArrow(run, DESCRIPTOR)
 
 
 #: Bits of the filter that index words must pass; what it lets through in vain is sorted out by the join.
 FILTER_BITS = 27
 
 
-def _slots(keys: np.ndarray) -> np.ndarray:
-    h = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    return ((h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(64 - FILTER_BITS)
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = h * np.uint64(0x9E3779B97F4A7C15)
+    return (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+
+
+def _keyed(batch: pa.RecordBatch, bits: np.ndarray | None) -> Iterator[pa.RecordBatch]:
+    """The descriptors of a batch under each pair of words; with a filter only those that pass it."""
+    words = [np.asarray(batch.column(_NAMES.index(f"w{k}"))).astype(np.uint64) for k in range(4)]
+    for k, (a, b) in enumerate(PAIRS):
+        hashed = _mixed(((words[a] << np.uint64(32)) | words[b]) ^ _mixed(np.uint64(k + 1)))
+        slots = hashed >> np.uint64(64 - FILTER_BITS)
+        rows = batch
+        if bits is not None:
+            kept = np.flatnonzero((bits[slots >> np.uint64(3)] >> (slots & np.uint64(7)).astype(np.uint8)) & 1)
+            rows, hashed, slots = batch.take(pa.array(kept)), hashed[kept], slots[kept]
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(hashed), k, np.int32)), pa.array(hashed.view(np.int64)), pa.array(slots.astype(np.int64) + 1), *rows.columns], names=["pair", "key", "slot", *_NAMES])
+
+
+_KEYED = f"pair int, key long, slot long, {DESCRIPTOR}"
 
 
 def _tables(d: DataFrame, passing: np.ndarray | None = None) -> DataFrame:
-    """Each descriptor under its four words (key: table and word); with a filter only words that pass it."""
+    """Descriptors under their keys."""
     tune(d.sparkSession)
     shared = None if passing is None else d.sparkSession.sparkContext.broadcast(passing)
-    names = d.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for band in range(4):
-                keys = np.asarray(batch.column(names.index(f"w{band}"))) | (band << 32)
-                slots = _slots(keys)
-                rows = batch
-                if shared is not None:
-                    kept = np.flatnonzero((shared.value[slots >> np.uint64(3)] >> (slots & np.uint64(7)).astype(np.uint8)) & 1)
-                    rows, keys, slots = batch.take(pa.array(kept)), keys[kept], slots[kept]
-                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(slots.astype(np.int64) + 1), *rows.columns], names=["key", "slot", *names])
+            yield from _keyed(batch, None if shared is None else shared.value)
+
+    return d.select(*_NAMES).mapInArrow(run, _KEYED)
+
+
+def _image_tables(media: DataFrame, passing: np.ndarray, id_col: str, image_col: str, per_cell: int | None) -> DataFrame:
+    """As ``_tables`` of ``descriptors``, in one step: what the filter drops never leaves Python."""
+    tune(media.sparkSession)
+    shared = media.sparkSession.sparkContext.broadcast(passing)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for found in _described(batch.column(0).to_pylist(), batch.column(1).to_pylist(), per_cell):
+                yield from _keyed(found, shared.value)
 
-    return d.mapInArrow(run, "key long, slot long, " + ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in d.schema))
+    return _hashed(media, id_col, image_col).select("digest", "image").mapInArrow(run, _KEYED)
 
 
 def _filter_of(tables: DataFrame) -> np.ndarray:
@@ -201,32 +267,67 @@ def _filter_of(tables: DataFrame) -> np.ndarray:
 
 
 def _whole(tables: DataFrame, mark: str) -> DataFrame:
-    return tables.select("key", F.struct(*(c for c in tables.columns if c not in ("key", "slot"))).alias(mark))
-
+    """One row for each key and descriptor, whichever batches its image was in."""
+    return tables.select("pair", "key", F.struct(*_NAMES).alias(mark)).distinct()
 
-def search(queries: DataFrame, index: DataFrame, differing: int = 24, agreeing: int = 3, turn: float = 30.0, shift: float = 8.0) -> DataFrame:
-    """(query_id, media_id, matches, inliers, rotation, scale, dy, dx) of images that share a geometry; both sides are descriptors.
 
-    Words of the index that no query has are left out before the shuffle, by a
-    filter of fixed size. Votes fall in bins of ``turn`` degrees and ``shift``
-    pixels, laid out twice with half a bin between.
-    """
-    asked = materialize(_tables(queries))
-    near = _whole(asked, "q").join(_whole(_tables(index, _filter_of(asked)), "i"), "key")
+def _geometry(asked: DataFrame, known: DataFrame, differing: int, agreeing: int, turn: float, shift: float) -> DataFrame:
+    near = _whole(asked, "q").join(_whole(known, "i"), ["pair", "key"])
     bits = sum(F.bit_count(F.col(f"q.w{k}").bitwiseXOR(F.col(f"i.w{k}"))) for k in range(4))
-    earlier = F.lit(False)
-    for k in range(3):  # a pair that an earlier word has joined
-        earlier = earlier | ((F.shiftright("key", 32) > k) & (F.col(f"q.w{k}") == F.col(f"i.w{k}")))
+    agree = [(F.col(f"q.w{a}") == F.col(f"i.w{a}")) & (F.col(f"q.w{b}") == F.col(f"i.w{b}")) for a, b in PAIRS]
+    first = F.coalesce(*(F.when(x, F.lit(k)) for k, x in enumerate(agree)))  # of the pairs of words that agree
     scale = F.pow(F.lit(2.0), F.col("q.octave") - F.col("i.octave"))
     turned = F.pmod(F.degrees(F.col("q.angle") - F.col("i.angle")), F.lit(360.0))
     theta = F.radians(F.round(turned / turn) * turn)
     dy = F.col("q.y") - scale * (F.cos(theta) * F.col("i.y") + F.sin(theta) * F.col("i.x"))
     dx = F.col("q.x") - scale * (F.cos(theta) * F.col("i.x") - F.sin(theta) * F.col("i.y"))
-    matched = near.where((bits <= differing) & ~earlier).select(F.col("q.media_id").alias("query_id"), F.col("i.media_id").alias("media_id"), F.struct("i.y", "i.x", "i.octave").alias("spot"), (F.round(turned / turn) % int(360 / turn) * turn).alias("rotation"), scale.alias("scale"), dy.alias("dy"), dx.alias("dx"))
+    matched = materialize(near.where((bits <= differing) & (first == F.col("pair"))).select(F.col("q.digest").alias("asked"), F.col("i.digest").alias("found"), F.struct("i.y", "i.x", "i.octave").alias("spot"), (F.round(turned / turn) % int(360 / turn) * turn).alias("rotation"), scale.alias("scale"), dy.alias("dy"), dx.alias("dx")))
+    # a bin cannot hold more spots than the pair has: lone chance hits never get as far as the bins
+    pairs = matched.groupBy("asked", "found").agg(F.count_distinct("spot").alias("matches")).where(F.col("matches") >= agreeing)
     bins = F.array(*(F.struct(F.lit(a * 2 + b).alias("grid"), F.floor(F.col("dy") / shift + a * 0.5).alias("by"), F.floor(F.col("dx") / shift + b * 0.5).alias("bx")) for a in (0, 1) for b in (0, 1)))
-    votes = matched.select("*", F.explode(bins).alias("bin")).groupBy("query_id", "media_id", "rotation", "scale", "bin").agg(F.count_distinct("spot").alias("inliers"), F.avg("dy").alias("dy"), F.avg("dx").alias("dx"))
-    best = votes.groupBy("query_id", "media_id").agg(F.max(F.struct("inliers", -F.col("rotation"), -F.col("bin.grid"), "scale", "dy", "dx")).alias("b"), F.sum(F.when(F.col("bin.grid") == 0, F.col("inliers"))).alias("matches"))
-    return best.where(F.col("b.inliers") >= agreeing).select("query_id", "media_id", "matches", F.col("b.inliers").alias("inliers"), (-F.col("b.col2")).alias("rotation"), F.col("b.scale").alias("scale"), F.round("b.dy", 1).alias("dy"), F.round("b.dx", 1).alias("dx"))
+    votes = matched.join(pairs, ["asked", "found"]).select("*", F.explode(bins).alias("bin")).groupBy("asked", "found", "matches", "rotation", "scale", "bin").agg(F.count_distinct("spot").alias("inliers"), F.avg("dy").alias("dy"), F.avg("dx").alias("dx"))
+    best = votes.groupBy("asked", "found", "matches").agg(F.max(F.struct("inliers", (-F.col("rotation")).alias("back"), -F.col("bin.grid"), "scale", "dy", "dx")).alias("b"))
+    return best.where(F.col("b.inliers") >= agreeing).select("asked", "found", "matches", F.col("b.inliers").alias("inliers"), (-F.col("b.back")).alias("rotation"), F.col("b.scale").alias("scale"), F.round("b.dy", 1).alias("dy"), F.round("b.dx", 1).alias("dx"))
+
+
+def match(queries: DataFrame, index: DataFrame, differing: int = 24, agreeing: int = 3, turn: float = 30.0, shift: float = 8.0) -> DataFrame:
+    """(asked, found, matches, inliers, rotation, scale, dy, dx): digests of images that share a geometry; both sides are descriptors.
+
+    ``inliers`` places of ``found`` agree, out of ``matches``, within a bin of
+    ``turn`` degrees and ``shift`` pixels; bins are laid out twice with half a
+    bin between.
+    """
+    asked = materialize(_tables(queries))
+    return _geometry(asked, _tables(index, _filter_of(asked)), differing, agreeing, turn, shift)
+
+
+def search(queries: DataFrame, index: DataFrame, id_col: str = "media_id", image_col: str = "image", per_cell: int = 3, differing: int = 24, agreeing: int = 3, turn: float = 30.0, shift: float = 8.0) -> DataFrame:
+    """As ``match``, from images: all corners of the queries, the ``per_cell`` strongest of each cell of the index.
+
+    Words of the index that no query has are left out before the shuffle, by a
+    filter of fixed size.
+    """
+    asked = materialize(_tables(descriptors(queries, id_col, image_col)))
+    return _geometry(asked, _image_tables(index, _filter_of(asked), id_col, image_col, per_cell), differing, agreeing, turn, shift)
+
+
+def copies(queries: DataFrame, index: DataFrame, id_col: str = "media_id", image_col: str = "image", **options) -> DataFrame:
+    """(kind, media_id, class_id, of_class, matches, inliers, rotation, scale, dy, dx).
+
+    ``indexed`` and ``query`` rows: the class (least id of identical images) of each image.
+    ``copy`` rows: query class ``class_id`` shows a copy of a part of index class ``of_class``.
+    """
+    found = search(queries, index, id_col, image_col, **options)
+    parts, named = [], {}
+    for kind, media in (("indexed", index), ("query", queries)):
+        mine = materialize(members(media, id_col, image_col))
+        least = mine.groupBy("digest").agg(F.min("media_id").alias("class_id"))
+        named[kind] = least
+        parts.append(mine.join(least, "digest").select(F.lit(kind).alias("kind"), "media_id", "class_id"))
+    asked = named["query"].select(F.col("digest").alias("asked"), "class_id")
+    of = named["indexed"].select(F.col("digest").alias("found"), F.col("class_id").alias("of_class"))
+    pairs = found.join(asked, "asked").join(of, "found").drop("asked", "found").withColumn("kind", F.lit("copy"))
+    return parts[0].unionByName(parts[1]).unionByName(pairs, allowMissingColumns=True)
 
 
 def page_images(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", copies: bool = False) -> DataFrame:

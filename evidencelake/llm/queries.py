@@ -41,10 +41,9 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_image_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Edited copies of the pictures of every fiftieth page, searched for among the pictures of all pages."""
+    """Edited copies of the pictures of every fiftieth page, searched for among the pictures of all pages; classes of both."""
     pages = table(spark, sf_dir, "pages")
-    queries = images.page_images(pages.where(pages["page_id"] % 50 == 0), copies=True)
-    return images.search(images.descriptors(queries, most=48), images.descriptors(images.page_images(pages)))
+    return images.copies(images.page_images(pages.where(pages["page_id"] % 50 == 0), copies=True), images.page_images(pages))
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
