@@ -126,15 +126,46 @@ def blobs(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], dict[str, np.n
     return [dict(zip(found, parts, strict=True)) for parts in zip(*found.values(), strict=True)] if found else []
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, id_col: str, text_col: str, folds: int, held_out: int, max_rows: int, salt: str) -> DataFrame:
-    """(y double, __text binary) of about ``max_rows`` labelled rows outside the held-out fold.
+#: Slots of a key filter: 16 MB of bits whatever the number of keys. A full filter lets more rows through, never fewer.
+FILTER_SLOTS = 1 << 27
 
-    Ids are drawn by hash with probability ``max_rows / labelled rows``; labels of
+
+def _slot(key: Column) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(FILTER_SLOTS)) + 1
+
+
+def key_filter(keys: DataFrame, key: str) -> DataFrame:
+    """(__bucket, __bits): a bitmap of the slots of all keys, 4,096 rows of 4 KB at most, written to the shared folder."""
+    slots = keys.select(_slot(F.col(key)).alias("s"))
+    return materialize(slots.groupBy(F.bitmap_bucket_number("s").alias("__bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("s")).alias("__bits")))
+
+
+def passing(df: DataFrame, key: Column, bitmap: DataFrame, wanted: bool = True) -> DataFrame:
+    """The rows of ``df`` whose key is in the filter (or only seems to be); with ``wanted`` false all other rows. No shuffle."""
+    slot, bucket, bits = fresh(df, "__slot"), fresh(df, "__bucket"), fresh(df, "__bits")
+    pieces = F.broadcast(bitmap.select(F.col("__bucket").alias(bucket), F.col("__bits").alias(bits)))
+    marked = df.withColumn(slot, _slot(key))
+    found = marked.join(pieces, F.bitmap_bucket_number(slot) == pieces[bucket], "left")
+    octet = f"cast(conv(hex(substring(`{bits}`, cast(floor(bitmap_bit_position(`{slot}`) / 8) + 1 as int), 1)), 16, 10) as int)"
+    hit = F.coalesce(F.expr(f"({octet} & shiftleft(1, cast(bitmap_bit_position(`{slot}`) % 8 as int))) <> 0"), F.lit(False))
+    return found.where(hit if wanted else ~hit).select(*(marked[c] for c in df.columns))
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, id_col: str, text_col: str, folds: int, held_out: int, max_rows: int, salt: str, rows_per_id: int = 16) -> DataFrame:
+    """(__id, y double, __text binary) of about ``max_rows`` labelled rows outside the held-out fold.
+
+    Ids are drawn by hash with probability ``max_rows / labelled ids``; labels of
     one id are averaged and rounded, null labels and ids ignored. The drawn ids
     are at most a few per cent more than ``max_rows`` (a binomial draw), which
-    bounds the broadcast; texts are never shuffled.
+    bounds the broadcast. Of an id with more than ``rows_per_id`` rows about as
+    many are drawn by hash of the text. Texts are never shuffled; callers keep
+    one of the rows that repeat both id and text.
     """
     usable = labels.where(labels[label].isNotNull() & labels[id_col].isNotNull() & (crc_fold(labels[id_col], folds) != held_out))
-    n = usable.count()
+    n = usable.select(usable[id_col]).distinct().count()
     drawn = usable.where(hash_share(usable[id_col], salt, max_rows / max(1, n))).groupBy(usable[id_col].alias("__id")).agg((F.avg(label) >= 0.5).cast("double").alias("y"))
-    return docs.select(docs[id_col].alias("__id"), docs[text_col].cast("string").cast("binary").alias("__text")).join(F.broadcast(drawn), "__id").select("y", "__text")
+    drawn = F.broadcast(materialize(drawn))
+    often = docs.select(docs[id_col].alias("__id")).join(drawn, "__id").groupBy("__id").agg(F.count("*").alias("__rows")).where(F.col("__rows") > rows_per_id)
+    often = F.broadcast(materialize(often.select("__id", (rows_per_id / F.col("__rows")).alias("__share"))))  # some of the drawn ids
+    rows = docs.select(docs[id_col].alias("__id"), docs[text_col].cast("string").cast("binary").alias("__text")).join(drawn, "__id").join(often, "__id", "left")
+    return rows.where(F.col("__share").isNull() | (F.pmod(F.xxhash64("__text", F.lit(salt)), F.lit(1 << 30)) < F.col("__share") * (1 << 30))).select("__id", "y", "__text")

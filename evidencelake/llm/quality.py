@@ -9,8 +9,13 @@ those scores turns ridge values into probabilities.
 The fit uses at most about ``max_rows`` labelled rows (a documented bound, drawn
 by hash); scoring covers every row and whole texts, without a shuffle.
 
-Defined results: null and empty texts are scored as texts without words. Without
-usable labels, or with labels of one kind, every score is their mean (0.5 for none).
+Defined results: null and empty texts are scored as texts without words. A text
+of any length is summed up by its 25 statistics. Rows that repeat stay rows and
+score alike; rows of one id are scored one by one; a null id is in the fold of
+the empty text. Repeated labels of an id are averaged, ties count as 1; equal
+ridge values have one calibrated score. Without usable labels, or with labels of
+one kind, every score is their mean (0.5 for none). Empty tables give no rows.
+Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -75,7 +80,6 @@ def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             s, n, at = blocks.pop()
             blocks[-1] = [blocks[-1][0] + s, blocks[-1][1] + n, blocks[-1][2] + at]
     sums = np.array(blocks)
-    # one pseudo-row of each label keeps block values off 0 and 1
     return sums[:, 2] / sums[:, 1], sums[:, 0] / sums[:, 1]
 
 
@@ -104,10 +108,11 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str
     def stats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                m = _matrix([t or b"" for t in batch.column(1).to_pylist()])
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(m.tolist(), pa.list_(pa.float64()))], names=["y", "x"])
+                m = _matrix([t or b"" for t in batch.column(2).to_pylist()])
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(m.tolist(), pa.list_(pa.float64()))], names=["id", "y", "x"])
 
-    table = materialize(sample.mapInArrow(stats, "y double, x array<double>").coalesce(8))
+    # the sample is bounded, its scan is not: only what lies behind the shuffle is brought into few tasks
+    table = materialize(sample.mapInArrow(stats, f"id {docs.schema[id_col].dataType.simpleString()}, y double, x array<double>").distinct().select("y", "x").coalesce(8))
     pick = [F.col("x")[i] for i in range(N_STATS)]
     row = table.agg(F.count("*"), F.avg("y"), *(F.avg(c) for c in pick), *(F.stddev_pop(c) for c in pick)).first()
     n, base = row[0], row[1]

@@ -1,17 +1,24 @@
 """Toxicity scores by a factorization machine over hashed terms.
 
-Terms are words and word stems hashed into buckets; a log-likelihood test over
-the labelled sample picks the buckets that tell the labels apart, and a
-factorization machine learns a weight for each and a vector for each, so that
-pairs of terms (an insult together with a mention of a group) count beyond the
-sum of their weights.
+Terms are words and word stems hashed into buckets. A likelihood-ratio test over
+the labelled sample picks the buckets that tell the labels apart; a second one
+picks those that tell them apart among the rows with one of the strongest of
+these, though perhaps not alone. A factorization machine learns a weight for
+each and a vector for each, so that pairs of terms (an insult together with a
+mention of a group) count beyond the sum of their weights.
 
 The fit uses at most about ``max_rows`` labelled rows (a documented bound, drawn
 by hash); scoring covers every row and whole texts, without a shuffle.
-
-Defined results: null and empty texts are scored as texts without terms.
-Without usable labels, or with labels of one kind, every score is their mean (0
-for none).
+``max_terms`` and ``max_pair_terms`` bound the model, not the rows: the picked
+terms are those of the highest statistics, equal ones by bucket.
+
+Defined results: null and empty texts are scored as texts without terms, which
+is the bias alone. A text of any length counts each of its terms once, so
+repeats in it change nothing. Rows that repeat stay rows and score alike; rows of
+one id are scored one by one; a null id is in the fold of the empty text.
+Repeated labels of an id are averaged, ties count as 1. Without usable labels,
+or with labels of one kind, every score is their mean (0 for none). Empty tables
+give no rows. Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -102,17 +109,47 @@ def train(rows: list[np.ndarray], y: np.ndarray, n_terms: int, rank: int, epochs
     return bias, weights, vectors
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text", folds: int = 4, held_out: int = 2, max_rows: int = 20_000, max_terms: int = 4096, rank: int = 4, epochs: int = 12, steps: int = 800, rate: float = 0.15, ridge: float = 2e-5, seed: int = 7) -> Model:
-    """A model of ``label`` from rows outside the held-out fold; ``max_terms`` bounds the model. Small samples get more epochs, ``steps`` batches in all at least."""
+def pair_terms(table: DataFrame, best: np.ndarray, seen: np.ndarray, most: int, chance: float = 10.8, least: int = 5) -> np.ndarray:
+    """At most ``most`` buckets that tell the labels apart among the rows that hold one of the buckets ``best``.
+
+    ``table`` is (y, terms); ``seen`` counts the rows of each label that hold each of ``best``.
+    Pairs are counted in each batch, then in Spark, and tested by a likelihood ratio (``chance``: one in a thousand).
+    """
+    shared = table.sparkSession.sparkContext.broadcast(np.sort(best))
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
+        for batch in batches:
+            found = [np.empty(0, np.int64)]
+            for y, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                terms = np.asarray(t.values).astype(np.int64)
+                held = np.intersect1d(known, terms)
+                found.append(((held[:, None] * BUCKETS + terms) * 2 + int(y)).ravel())
+            keys, n = np.unique(np.concatenate(found), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(keys >> 1), pa.array(np.where(keys & 1, 0, n)), pa.array(np.where(keys & 1, n, 0))], names=["pair", "no", "yes"])
+
+    counts = table.mapInArrow(pairs, "pair long, no long, yes long").groupBy("pair").agg(F.sum("no").alias("no"), F.sum("yes").alias("yes")).where(F.col("no") + F.col("yes") >= least)
+    totals = table.sparkSession.createDataFrame([(int(k), float(a), float(b)) for k, a, b in zip(best.tolist(), *seen.tolist(), strict=True)], "k long, all_no double, all_yes double")
+    part = lambda n, row, column: F.when(n > 0, n * F.log(n * (F.col("all_no") + F.col("all_yes")) / (row * column))).otherwise(0.0)
+    no, yes, none, both = F.col("no"), F.col("yes"), F.col("all_no") - F.col("no"), F.col("all_yes") - F.col("yes")
+    cells = part(no, no + yes, F.col("all_no")) + part(yes, no + yes, F.col("all_yes")) + part(none, none + both, F.col("all_no")) + part(both, none + both, F.col("all_yes"))
+    told = counts.withColumn("k", F.floor(F.col("pair") / BUCKETS)).join(F.broadcast(totals), "k").withColumn("surprise", 2 * cells).where(F.col("surprise") > chance)
+    terms = told.groupBy((F.col("pair") % BUCKETS).alias("term")).agg(F.max("surprise").alias("surprise")).orderBy(F.desc("surprise"), "term").limit(most)
+    return np.array([r["term"] for r in terms.collect()], np.int64)
+
+
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text", folds: int = 4, held_out: int = 2, max_rows: int = 20_000, max_terms: int = 4096, max_pair_terms: int = 1024, strongest: int = 48, rank: int = 4, epochs: int = 12, steps: int = 800, rate: float = 0.15, ridge: float = 2e-5, seed: int = 7) -> Model:
+    """A model of ``label`` from rows outside the held-out fold. Small samples get more epochs, ``steps`` batches in all at least."""
     tune(docs.sparkSession)
     sample = labelled_sample(docs, labels, label, id_col, text_col, folds, held_out, max_rows, "toxicity")
 
     def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([term_buckets(t or b"").astype(np.int32) for t in batch.column(1).to_pylist()], pa.list_(pa.int32()))], names=["y", "terms"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([term_buckets(t or b"").astype(np.int32) for t in batch.column(2).to_pylist()], pa.list_(pa.int32()))], names=["id", "y", "terms"])
 
-    table = materialize(sample.mapInArrow(terms, "y double, terms array<int>").coalesce(6))
+    # the sample is bounded, its scan is not: only what lies behind the shuffle is brought into few tasks
+    table = materialize(sample.mapInArrow(terms, f"id {docs.schema[id_col].dataType.simpleString()}, y double, terms array<int>").distinct().select("y", "terms").coalesce(6))
 
     def counts(batches: Iterator[pa.RecordBatch]) -> dict[str, np.ndarray]:
         seen, n = np.zeros((2, BUCKETS), np.int32), np.zeros(2, np.int64)
@@ -136,6 +173,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str =
     surprise[total < 3] = 0
     picked = np.sort(np.argsort(-surprise, kind="stable")[:max_terms])
     picked = picked[surprise[picked] > 6.6]  # one in a hundred by chance
+    best = picked[np.argsort(-surprise[picked], kind="stable")[:strongest]]
+    picked = np.union1d(picked, pair_terms(table, best, seen[:, best], max_pair_terms))
     model = Model(picked, 0.0, np.zeros(len(picked)), np.zeros((len(picked), rank)))
 
     def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
