@@ -10,10 +10,15 @@ tree until one is left for a source, which is rounded. So a source's taken
 words differ from its target by less than the size of one document.
 
 Defined results: a null text has size 0; a text of size 0 is copied as often as
-the whole part of its source's ratio says. Rows with the same id, source and size
+the whole part of its source's ratio says. Rows with the same id, source and text
 are one unit and get the same number of copies. Draws are hashes of ids, so
-runs agree whatever the partitioning. Null sources are one source, the last.
-Other columns of the input are ignored.
+runs agree whatever the partitioning. Null sources are one source, the last;
+sources with equal names as text are one. Texts of any length count whole. Empty
+tables give no rows. Other columns of the input are ignored, whatever their
+names. Rows are counted into units before anything else is shuffled, so an id
+that a third of all rows share (or lack) with one text is one unit, and with
+different texts as many units as texts.
+The targets need all sources in order: one task sorts a row for each source.
 """
 
 from __future__ import annotations
@@ -27,21 +32,29 @@ from pyspark.sql import functions as F
 
 from .common import fresh, materialize, tune
 
-UNIT = "doc_id {id}, source string, size long, rows long, ratio double, part double, copies long, draw long, settled boolean"
+#: Rows of a unit that one row stands for while they are dealt out.
+PORTION = 10_000
+
+UNIT = "doc_id {id}, source string, size long, mark long, rows long, ratio double, part double, copies long, draw long, settled boolean"
 
 
 def sized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    return docs.select(docs[id_col].alias("doc_id"), docs[source_col].cast("string").alias("source"), F.coalesce(F.regexp_count(docs[text_col], F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long").alias("size"))
+    return docs.select(docs[id_col].alias("doc_id"), docs[source_col].cast("string").alias("source"), F.coalesce(F.regexp_count(docs[text_col], F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long").alias("size"), F.xxhash64(docs[text_col]).alias("mark"))
+
+
+def units_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """(doc_id, source, size, mark, rows): rows of one id, source and text as one unit; ``mark`` is the text's hash."""
+    return sized(docs, id_col, text_col, source_col).groupBy("doc_id", "source", "size", "mark").agg(F.count("*").alias("rows"))
 
 
 def targets(units: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.5, most: float = 2.0) -> DataFrame:
-    """(source, source_size, n, target): one row for each source.
+    """(source, source_size, n, target) of (doc_id, source, size, rows): one row for each source, ``n`` its units.
 
     ``share`` times all words go to the sources by weight, none above ``most``
     times its size; sorted by cap over weight, the capped sources come first, so
     one running sum finds the water level.
     """
-    sources = units.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
+    sources = units.groupBy("source").agg(F.sum(F.col("size") * F.col("rows")).alias("source_size"), F.count("*").alias("n"))
     named = sources.withColumn("k", F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1)
     weighed = named.withColumn("weight", F.element_at(F.array(*(F.lit(float(w)) for w in weights)), (F.col("k") % len(weights) + 1).cast("int"))).withColumn("cap", F.col("source_size") * float(most))
     upward = Window.orderBy(F.col("cap") / F.col("weight"), "k")
@@ -82,9 +95,8 @@ def pivot_round(part: np.ndarray, weight: np.ndarray, draw: np.ndarray) -> int |
 
 def _round_group(pdf: pd.DataFrame, tries: int = 1) -> pd.DataFrame:
     """Settle all units of a group but one. Of several draws the one counts that leaves the least to be rounded."""
-    pdf = pdf.groupby(["doc_id", "source", "size", "ratio", "part", "copies", "draw"], dropna=False, as_index=False)["rows"].sum() if len(pdf) > 1 else pdf[["doc_id", "source", "size", "ratio", "part", "copies", "draw", "rows"]].copy()
     # larger units first, so that what is left is rather a small one
-    pdf = pdf.sort_values(["size", "draw", "doc_id"], ascending=[False, True, True], ignore_index=True)
+    pdf = pdf.sort_values(["size", "draw", "mark"], ascending=[False, True, True], ignore_index=True)
     weight = (pdf["size"] * pdf["rows"]).to_numpy(np.float64)
     draw = pdf["draw"].to_numpy(np.int64).astype(np.uint64)
     best = None
@@ -102,7 +114,7 @@ def _round_group(pdf: pd.DataFrame, tries: int = 1) -> pd.DataFrame:
     full = pdf["settled"] & (pdf["part"] >= 1)
     pdf.loc[full, "copies"] += 1
     pdf.loc[pdf["settled"], "part"] = 0.0
-    return pdf[["doc_id", "source", "size", "rows", "ratio", "part", "copies", "draw", "settled"]]
+    return pdf[["doc_id", "source", "size", "mark", "rows", "ratio", "part", "copies", "draw", "settled"]]
 
 
 def _rounder(tries: int):
@@ -110,13 +122,13 @@ def _rounder(tries: int):
 
 
 def copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: Sequence[float] = (3, 1, 2), share: float = 1.5, most: float = 2.0, group_rows: int = 4096, tries: int = 16, seed: str = "mix") -> tuple[DataFrame, DataFrame]:
-    """(doc_id, source, size, rows, copies), one row for each unit, and the targets of the sources."""
+    """(doc_id, source, size, mark, rows, copies), one row for each unit, and the targets of the sources."""
     tune(docs.sparkSession)
-    units = sized(docs, id_col, text_col, source_col)
+    units = materialize(units_of(docs, id_col, text_col, source_col))
     goal = materialize(targets(units, weights, share, most))
     kind = docs.schema[id_col].dataType.simpleString()
     plan = goal.select(F.col("source").alias("__source"), F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0).alias("ratio"), F.ceil(F.col("n") / group_rows).alias("groups"))
-    state = units.join(plan, F.col("source").eqNullSafe(F.col("__source"))).select("doc_id", "source", "size", F.lit(1).cast("long").alias("rows"), "ratio", F.when(F.col("size") > 0, F.col("ratio") - F.floor("ratio")).otherwise(0.0).alias("part"), F.floor("ratio").alias("copies"), F.xxhash64("doc_id", "source", "size", F.lit(seed)).alias("draw"), F.pmod(F.xxhash64("doc_id", F.lit(f"{seed} group")), "groups").alias("group"))
+    state = units.join(plan, F.col("source").eqNullSafe(F.col("__source"))).select("doc_id", "source", "size", "mark", "rows", "ratio", F.when(F.col("size") > 0, F.col("ratio") - F.floor("ratio")).otherwise(0.0).alias("part"), F.floor("ratio").alias("copies"), F.xxhash64("doc_id", "source", "mark", F.lit(seed)).alias("draw"), F.pmod(F.xxhash64("doc_id", "mark", F.lit(f"{seed} group")), "groups").alias("group"))
     width = goal.agg(F.max(F.ceil(F.col("n") / group_rows))).first()[0] or 0
     settled = None
     while True:
@@ -127,25 +139,29 @@ def copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sour
         if width <= 1:
             break
         width = -(-width // group_rows)
-        state = left.drop("settled").withColumn("group", F.pmod(F.xxhash64("doc_id", F.lit(f"{seed} {width}")), F.lit(width)))
+        state = left.drop("settled").withColumn("group", F.pmod(F.xxhash64("doc_id", "mark", F.lit(f"{seed} {width}")), F.lit(width)))
     # one residual for each source at most: the nearer whole number
     last = left.withColumn("copies", F.col("copies") + F.when(F.col("part") >= 0.5, 1).otherwise(0))
-    return settled.unionByName(last).select("doc_id", "source", "size", "rows", "copies"), goal
+    return settled.unionByName(last).select("doc_id", "source", "size", "mark", "rows", "copies"), goal
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
     """(doc_id, size, source_size, target, taken), one row for each row of ``docs``."""
     units, goal = copies(docs, id_col, text_col, source_col, **options)
     goal = goal.select(F.col("source").alias("__source"), "source_size", "target")
-    rows = units.join(goal, F.col("source").eqNullSafe(F.col("__source"))).withColumn("__row", F.explode(F.sequence(F.lit(1), F.col("rows"))))
+    rows = units.join(goal, F.col("source").eqNullSafe(F.col("__source")))
+    # a unit of many rows is dealt out before it is spread
+    few, many = rows.where(F.col("rows") <= PORTION), rows.where(F.col("rows") > PORTION)
+    dealt = many.withColumn("__at", F.explode(F.sequence(F.lit(0).cast("long"), F.col("rows") - 1, F.lit(PORTION).cast("long")))).repartition("doc_id", "size", "__at").withColumn("rows", F.least(F.lit(PORTION).cast("long"), F.col("rows") - F.col("__at"))).drop("__at")
+    rows = few.unionByName(dealt).withColumn("__row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))))
     return rows.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it; all columns stay."""
     units, _ = copies(docs, id_col, text_col, source_col, **options)
-    size, times = fresh(docs, "__size"), fresh(docs, "__copies")
-    take = units.where("copies > 0").select(F.col("doc_id").alias("__u_id"), F.col("source").alias("__u_source"), F.col("size").alias("__u_size"), F.col("copies").alias(times))
-    counted = docs.withColumn(size, F.coalesce(F.regexp_count(docs[text_col], F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long"))
-    picked = counted.join(take, counted[id_col].eqNullSafe(take["__u_id"]) & counted[source_col].cast("string").eqNullSafe(take["__u_source"]) & (counted[size] == take["__u_size"]))
+    mark, times = fresh(docs, "__mark"), fresh(docs, "__copies")
+    take = units.where("copies > 0").select(F.col("doc_id").alias("__u_id"), F.col("source").alias("__u_source"), F.col("mark").alias("__u_mark"), F.col("copies").alias(times))
+    marked = docs.withColumn(mark, F.xxhash64(docs[text_col]))
+    picked = marked.join(take, marked[id_col].eqNullSafe(take["__u_id"]) & marked[source_col].cast("string").eqNullSafe(take["__u_source"]) & (marked[mark] == take["__u_mark"]))
     return picked.withColumn(times, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*docs.columns)
