@@ -87,32 +87,29 @@ _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRS
 
 
 
-def _url_sql(depth: int = 4, prior: float = 0.1, weight: float = 8.0, z: float = 1.96, threshold: float = 0.5) -> str:
+def _url_sql(prior: float = 0.1, weight: float = 8.0, z: float = 1.96, threshold: float = 0.5) -> str:
     """The url filter in SQL: rules, templates level by level, purity."""
     rules = sorted(url_filter.RULES, key=lambda r: (-len(r[1]), r[1]))
     fits = [(v, r, "(host = '{0}' OR ends_with(host, '.{0}')) AND starts_with(path, '/{1}')".format(*r.split("/", 1))) for v, r in rules]
     case = lambda k: "CASE " + " ".join(f"WHEN {f[2]} THEN '{f[k]}'" for f in fits) + " END"
     variable = r"regexp_matches(x, '^[0-9]+(\.[A-Za-z]+)?$') OR regexp_matches(x, '^[0-9a-fA-F-]{16,}$') OR (regexp_matches(x, '^[A-Za-z0-9_.-]{12,}$') AND regexp_matches(x, '[0-9]') AND regexp_matches(x, '[A-Za-z]'))"
-    parts = f"""r AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) END AS rest FROM pages),
+    a, b = f"(cl + {weight})", f"(nl - cl + {weight})"
+    p, q = f"((cb + {weight * prior}) / {a})", f"((nb - cb + {weight * prior}) / {b})"
+    pooled = f"(({p} * {a} + {q} * {b}) / ({a} + {b}))"
+    differs = f"abs({p} - {q}) > {z} * sqrt({pooled} * (1 - {pooled}) * (1 / {a} + 1 / {b}))"
+    return f"""WITH RECURSIVE r AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) END AS rest FROM pages),
 p AS (SELECT page_id, coalesce(translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host, coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path FROM r),
-j AS (SELECT *, {case(1)} AS rule, {case(0)} AS told, list_transform(list_filter(string_split(path, '/'), lambda x: x <> ''), lambda x: CASE WHEN {variable} THEN '*' ELSE x END) AS named FROM p),
-u AS (SELECT *, CASE WHEN len(named) > {depth} THEN named[1 : {depth}] || ['**'] ELSE named END AS segs FROM j),
-s0 AS (SELECT host, segs, count(told) AS labelled, count(*) FILTER (told = 'block') AS bad, '' AS prefix FROM u WHERE host <> '' GROUP BY host, segs)"""
-    for k in range(depth + 1):
-        a, b = f"(cl + {weight})", f"(nl - cl + {weight})"
-        q1, q2 = f"((cb + {weight * prior}) / {a})", f"((nb - cb + {weight * prior}) / {b})"
-        pooled = f"(({q1} * {a} + {q2} * {b}) / ({a} + {b}))"
-        differs = f"abs({q1} - {q2}) > {z} * sqrt({pooled} * (1 - {pooled}) * (1 / {a} + 1 / {b}))"
-        parts += f""",
-t{k} AS (SELECT *, CASE WHEN len(segs) > {k} THEN segs[{k + 1}] ELSE '' END AS seg FROM s{k}),
-c{k} AS (SELECT host, prefix, seg, sum(labelled) AS cl, sum(bad) AS cb FROM t{k} GROUP BY ALL),
-n{k} AS (SELECT host, prefix, sum(cl) AS nl, sum(cb) AS nb, count(*) FILTER (seg <> '') AS branches FROM c{k} GROUP BY ALL),
-g{k} AS (SELECT host, prefix, seg, CASE WHEN seg IN ('', '**') OR branches = 1 OR {differs} THEN seg ELSE '*' END AS name FROM c{k} JOIN n{k} USING (host, prefix)),
-s{k + 1} AS (SELECT host, segs, labelled, bad, CASE WHEN name = '' THEN prefix ELSE prefix || '/' || name END AS prefix FROM t{k} JOIN g{k} USING (host, prefix, seg))"""
-    last = f"s{depth + 1}"
-    return f"""WITH {parts},
-v AS (SELECT host, prefix, (sum(bad) + {prior * weight}) / (sum(labelled) + {weight}) AS purity FROM {last} GROUP BY ALL),
-w AS (SELECT host, segs, purity FROM {last} JOIN v USING (host, prefix))
+u AS (SELECT *, {case(1)} AS rule, {case(0)} AS told, list_transform(list_filter(string_split(path, '/'), lambda x: x <> ''), lambda x: CASE WHEN {variable} THEN '*' ELSE x END) AS segs FROM p),
+walk AS (
+SELECT host, segs, count(told) AS labelled, count(*) FILTER (told = 'block') AS bad, '' AS prefix, 0 AS level FROM u WHERE host <> '' GROUP BY host, segs
+UNION ALL
+SELECT host, segs, labelled, bad, CASE WHEN seg = '' THEN prefix WHEN branches = 1 OR {differs} THEN prefix || '/' || seg ELSE prefix || '/*' END, level + 1 FROM (
+SELECT *, sum(labelled) OVER child AS cl, sum(bad) OVER child AS cb, sum(labelled) OVER node AS nl, sum(bad) OVER node AS nb, count(DISTINCT CASE WHEN seg <> '' THEN seg END) OVER node AS branches
+FROM (SELECT *, CASE WHEN len(segs) > level THEN segs[level + 1] ELSE '' END AS seg FROM walk WHERE level <= len(segs))
+WINDOW child AS (PARTITION BY host, prefix, seg), node AS (PARTITION BY host, prefix))),
+t AS (SELECT * FROM walk WHERE level = len(segs) + 1),
+v AS (SELECT host, prefix, (sum(bad) + {prior * weight}) / (sum(labelled) + {weight}) AS purity FROM t GROUP BY ALL),
+w AS (SELECT host, segs, purity FROM t JOIN v USING (host, prefix))
 SELECT page_id, host, path, rule, coalesce(told, CASE WHEN purity >= {threshold} THEN 'block' ELSE 'allow' END) AS verdict FROM u LEFT JOIN w USING (host, segs)"""
 
 

@@ -4,13 +4,16 @@ Only DataFrame functions. URLs are first counted by host and lexical template
 (digits, hex runs and long mixed tokens become ``*``), so later steps see few
 rows. Then, level by level, the literal branches of a node are held against
 their siblings: branches whose smoothed share of bad labels does not differ
-significantly are merged into ``*``, others stay. A template is blocked if its
-smoothed share of bad labels reaches ``threshold``; a template without labels
-keeps the prior and is allowed.
+significantly are merged into ``*``, others stay. Levels go on until no node has
+two paths left, however deep; a path that is alone in its node keeps its other
+segments as they are. A template is blocked if its smoothed share of bad labels
+reaches ``threshold``; a template without labels keeps the prior and is allowed.
 
 Defined results: a null url, or one without ``://``, has an empty host and path,
-no rule, and is allowed. Rows that repeat stay rows and count each. Other
-columns of the input are ignored. Segments beyond ``depth`` make up one branch.
+no rule, and is allowed. Rows that repeat stay rows and count each. An id whose
+labels are evenly good and bad is bad; a purity of exactly ``threshold`` blocks.
+Very long paths are taken whole. Empty tables of urls give no rows, empty labels
+leave all to the prior. Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -46,46 +49,52 @@ def rule_column(rules: Sequence[tuple[str, str]], value: int) -> Column:
     return found
 
 
-def segments(path: Column, depth: int) -> Column:
-    """Segments of a path with variable ones as ``*``; empty ones dropped, those beyond ``depth`` as one ``**``."""
+def segments(path: Column) -> Column:
+    """Segments of a path with variable ones as ``*``; empty ones dropped."""
     parts = F.filter(F.split(path, "/"), lambda s: s != "")
     variable = r"^[0-9]+(\.[A-Za-z]+)?$|^[0-9a-fA-F-]{16,}$|^(?=.*[0-9])(?=.*[A-Za-z])[A-Za-z0-9_.-]{12,}$"
-    named = F.transform(parts, lambda s: F.when(s.rlike(variable), F.lit("*")).otherwise(s))
-    return F.when(F.size(named) > depth, F.concat(F.slice(named, 1, depth), F.array(F.lit("**")))).otherwise(named)
+    return F.transform(parts, lambda s: F.when(s.rlike(variable), F.lit("*")).otherwise(s))
 
 
-def templates(counts: DataFrame, depth: int, prior: float, weight: float, z: float) -> DataFrame:
-    """(host, segments, template) from rows (host, segments, n, labelled, bad): each raw path's template after merging."""
-    state = materialize(counts.withColumn("prefix", F.lit("")))
-    for level in range(depth + 1):
-        state = state.withColumn("seg", F.when(F.size("segments") > level, F.col("segments")[level]).otherwise(F.lit("")))
-        child = state.groupBy("host", "prefix", "seg").agg(F.sum("labelled").alias("c_labelled"), F.sum("bad").alias("c_bad"))
-        node = child.groupBy("host", "prefix").agg(F.sum("c_labelled").alias("n_labelled"), F.sum("c_bad").alias("n_bad"), F.count_if(F.col("seg") != "").alias("branches"))
+def templates(counts: DataFrame, prior: float, weight: float, z: float) -> DataFrame:
+    """(host, segments, labelled, bad, template) of rows (host, segments, labelled, bad): each path's template after merging."""
+    state, done, level = counts.select("host", "segments", "labelled", "bad", F.lit("").alias("prefix")), None, 0
+    while True:
+        branch = state.withColumn("seg", F.when(F.size("segments") > level, F.col("segments")[level]).otherwise(F.lit("")))
+        child = branch.groupBy("host", "prefix", "seg").agg(F.sum("labelled").alias("c_labelled"), F.sum("bad").alias("c_bad"), F.count("*").alias("c_paths"))
+        node = child.groupBy("host", "prefix").agg(F.sum("c_labelled").alias("n_labelled"), F.sum("c_bad").alias("n_bad"), F.sum("c_paths").alias("paths"), F.count_if(F.col("seg") != "").alias("branches"))
         a, b = F.col("c_labelled") + weight, F.col("n_labelled") - F.col("c_labelled") + weight
         p, q = (F.col("c_bad") + weight * prior) / a, (F.col("n_bad") - F.col("c_bad") + weight * prior) / b
         pooled = (p * a + q * b) / (a + b)
         differs = F.abs(p - q) > z * F.sqrt(pooled * (1 - pooled) * (1 / a + 1 / b))
-        name = F.when((F.col("seg") == "") | (F.col("seg") == "**") | (F.col("branches") == 1) | differs, F.col("seg")).otherwise(F.lit("*"))
-        choice = child.join(node, ["host", "prefix"]).select("host", "prefix", "seg", name.alias("name"))
-        # written at each level: the state is read twice
-        state = materialize(state.join(choice, ["host", "prefix", "seg"]).withColumn("prefix", F.when(F.col("name") == "", F.col("prefix")).otherwise(F.concat("prefix", F.lit("/"), "name"))).drop("name", "seg"))
-    return state.withColumnRenamed("prefix", "template")
-
-
-def judge(urls: DataFrame, labels: DataFrame | None = None, rules: Sequence[tuple[str, str]] = RULES, id_col: str = "page_id", url_col: str = "url", depth: int = 4, prior: float = 0.1, weight: float = 8.0, z: float = 1.96, threshold: float = 0.5) -> DataFrame:
+        name = F.when((F.col("seg") == "") | (F.col("branches") == 1) | differs, F.col("seg")).otherwise(F.lit("*"))
+        choice = child.join(node, ["host", "prefix"]).select("host", "prefix", "seg", "paths", name.alias("name"))
+        rest = F.when(F.col("paths") == 1, F.slice("segments", level + 1, F.greatest(F.size("segments") - level, F.lit(0)))).when(F.col("name") == "", F.array().cast("array<string>")).otherwise(F.array("name"))
+        walked = branch.join(choice, ["host", "prefix", "seg"]).select("host", "segments", "labelled", "bad", F.concat_ws("/", F.array("prefix"), rest).alias("prefix"), ((F.size("segments") <= level) | (F.col("paths") == 1)).alias("ends"))
+        # written at each level: it is read three times
+        walked = materialize(walked)
+        ended = walked.where("ends").select("host", "segments", "labelled", "bad", F.col("prefix").alias("template"))
+        done = ended if done is None else done.unionByName(ended)
+        state, level = walked.where("not ends").drop("ends"), level + 1
+        if state.isEmpty():
+            return done
+
+
+def judge(urls: DataFrame, labels: DataFrame | None = None, rules: Sequence[tuple[str, str]] = RULES, id_col: str = "page_id", url_col: str = "url", prior: float = 0.1, weight: float = 8.0, z: float = 1.96, threshold: float = 0.5) -> DataFrame:
     """(page_id, host, path, rule, verdict, template, purity), one row for each row of ``urls``.
 
     ``labels`` (the id column, bad 0/1) teach the tree; without them the rules'
     own verdicts do.
     """
-    rows = parsed(urls, id_col, url_col).withColumn("rule", rule_column(rules, 1)).withColumn("by_rule", rule_column(rules, 0)).withColumn("segments", segments(F.col("path"), depth))
+    rows = parsed(urls, id_col, url_col).withColumn("rule", rule_column(rules, 1)).withColumn("by_rule", rule_column(rules, 0)).withColumn("segments", segments(F.col("path")))
     if labels is None:
         known = rows.withColumn("bad", F.when(F.col("by_rule") == "block", 1).when(F.col("by_rule") == "allow", 0))
     else:
         told = labels.groupBy(labels[id_col].alias("page_id")).agg((F.avg("bad") >= 0.5).cast("int").alias("bad"))
         known = rows.join(told, "page_id", "left")
-    counts = known.where("host <> ''").groupBy("host", "segments").agg(F.count("*").alias("n"), F.count("bad").alias("labelled"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
-    tree = templates(counts, depth, prior, weight, z)
+    counts = known.where("host <> ''").groupBy("host", "segments").agg(F.count("bad").alias("labelled"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
+    # read at each level and by the verdicts
+    tree = templates(materialize(counts), prior, weight, z)
     purity = tree.groupBy("host", "template").agg(((F.sum("bad") + prior * weight) / (F.sum("labelled") + weight)).alias("purity"))
     named = tree.select("host", "segments", "template").join(purity, ["host", "template"])
     found = rows.join(named, ["host", "segments"], "left")
