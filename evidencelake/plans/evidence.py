@@ -23,12 +23,14 @@ def manifest(log: DataFrame) -> DataFrame:
 def evidence_records(documents: DataFrame, rules: RulePack = PLANS_KO) -> DataFrame:
     """Documents x subjects that occur in them (stored labels where none is found), with evidence around their place."""
     masked = documents.withColumn("text", T.mask_sensitive(F.coalesce("text", F.lit("")), rules))
-    hits = T.subject_hits(F.col("text"), rules)
-    listed = masked.withColumn("_h", F.explode(F.array_distinct(F.when(F.size(hits) > 0, hits).otherwise(F.coalesce("subject_hits", F.array().cast("array<struct<subject:string,curriculum_hint:string>>"))))))
-    subjects = listed.withColumn("subject", F.col("_h.subject")).withColumn("curriculum_hint", F.col("_h.curriculum_hint")).drop("_h", "subject_hits").where("subject <> ''")
-    read = subjects.withColumn("_e", located.evidence(F.col("text"), F.col("subject"), rules)).where("_e.position IS NOT NULL").select("*", "_e.*").drop("_e", "text", "position")
-    marked = read.withColumn("marker_counts", T.marker_counts(F.col("local"), rules)).drop("local")
-    return marked.withColumn("evidence_score", T.evidence_score(F.col("marker_counts"), F.size("action_tags"), F.col("extract_status"), rules))
+    found = T.subject_hits(F.col("text"), rules)
+    stored = F.coalesce("subject_hits", F.array().cast("array<struct<subject:string,curriculum_hint:string>>"))
+    hits = F.filter(F.array_distinct(F.when(F.size(found) > 0, found).otherwise(stored)), lambda h: h["subject"] != "")
+    listed = masked.withColumn("_h", hits).where(F.size("_h") > 0)
+    # a document is read once for all its subjects
+    read = listed.withColumn("_e", located.evidence(F.col("text"), F.transform("_h", lambda h: h["subject"]), rules)).withColumn("_p", F.explode(F.arrays_zip("_h", "_e")))
+    rows = read.where("_p._e IS NOT NULL").select("*", F.col("_p._h.subject").alias("subject"), F.col("_p._h.curriculum_hint").alias("curriculum_hint"), "_p._e.*").drop("_h", "_e", "_p", "subject_hits", "text")
+    return rows.withColumn("evidence_score", T.evidence_score(F.col("marker_counts"), F.size("action_tags"), F.col("extract_status"), rules))
 
 
 def strict_records(evidence: DataFrame, rules: RulePack = PLANS_KO) -> tuple[DataFrame, DataFrame]:

@@ -12,9 +12,13 @@ SUBJECTS = {
 }
 
 # What may follow a subject's name as its number, and what must not.
-FIRST = r"(?:(?:\s*Ⅰ|\s*I(?!I))|1(?!\d))"
-SECOND = r"(?:(?:\s*Ⅱ|\s*II)|2(?!\d))"
-PLAIN = rf"(?!{FIRST})(?!{SECOND})"
+ROMAN_1 = r"(?:\s*Ⅰ|\s*I(?!I))"
+ROMAN_2 = r"(?:\s*Ⅱ|\s*II)"
+DIGIT_1 = r"1(?!\d)"
+DIGIT_2 = r"2(?!\d)"
+FIRST = rf"(?:{ROMAN_1}|{DIGIT_1})"
+SECOND = rf"(?:{ROMAN_2}|{DIGIT_2})"
+PLAIN = rf"(?!{ROMAN_1})(?!{DIGIT_1})(?!{ROMAN_2})(?!{DIGIT_2})"
 
 # Subject patterns, searched without regard to case.
 SUBJECT_PATTERNS = (

@@ -1,10 +1,11 @@
 """Text functions and the evidence pipeline on small inputs of our own."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from evidencelake.functions import text as T
-from evidencelake.functions.evidence import Reader, merged_windows, sampled
+from evidencelake.functions.evidence import Document, Patterns, action_tags, representatives, task_bounds, task_names, windows
 from evidencelake.plans import evidence as E
 from evidencelake.rules import JUMP, PLANS_KO
 
@@ -55,17 +56,37 @@ def test_candidate(spark):
 
 def test_windows():
     text = "".join(chr(97 + i % 26) for i in range(5000))
-    assert merged_windows(text, [100, 200], 50, 12000) == text[50:250]
-    assert merged_windows(text, [100, 2000], 50, 12000) == text[50:150] + JUMP + text[1950:2050]
-    assert len(merged_windows(text, [2500], 2000, 100)) == 100
-    assert sampled(list(range(12))) == {0, 1, 4, 6, 8, 11}
+    at = lambda *places: np.array(places, np.int64)
+    assert windows(text, at(100, 200), 50, 12000) == text[50:250]
+    assert windows(text, at(100, 280), 50, 12000) == text[50:330] and windows(text, at(100, 281), 50, 12000) == text[50:150] + JUMP + text[231:331]
+    assert windows(text, at(100, 2000), 50, 12000) == text[50:150] + JUMP + text[1950:2050]
+    assert len(windows(text, at(2500), 2000, 100)) == 100 and windows(text, at(100, 2000, 4000), 50, 150) == text[50:150] + JUMP + text[1950:2000]
+    assert windows(text, at()) == "" and windows("", at(0)) == ""
+    assert representatives(np.arange(12)).tolist() == [0, 1, 4, 6, 8, 11] and representatives(np.arange(6)).tolist() == list(range(6))
+
+
+def test_places():
+    patterns = Patterns(PLANS_KO)
+    far = "x" * 10_000
+    place = lambda text, subject="생명과학": Document(text, patterns).place(subject)
+    assert place("생명과학 하나 생명과학 둘") == 0 and place("물리학") is None and place("생명과학", "없음") is None
+    assert place("생명과학 " + far + "\n생명과학 수행평가") == 10_006  # anchors near
+    assert place("생명과학 수행평가 배점\n" + far + "\n  ## 생명과학") == len("생명과학 수행평가 배점\n" + far + "\n  ## ")  # a labelled line
+    head = "2025학년도 교수·학습 및 평가 계획\n"
+    document = Document(head + "생명과학\n" + head + "끝", patterns)
+    assert document.section(document.place("생명과학")) == (0, len(head) + 5, "course_header")
+    assert Document(far, patterns).section(9_000) == (5_500, 10_000, "bounded_window")
+    section = "서문\n가. 수행평가 세부 계획\n내용\n3. 결시 처리\n뒤"
+    assert section[slice(*task_bounds(section, patterns)[:2])] == "가. 수행평가 세부 계획\n내용\n"
+    assert task_bounds("서문\n평가영역 및 반영비율\n표", patterns) == (0, 16, "assessment_table_heading") and task_bounds("a", patterns) == (0, 1, "full_subject_section")
 
 
 def test_action_tags():
-    reader = Reader(PLANS_KO)
-    assert reader.action_tags("수행평가 방법: □ 프로젝트 ☑ 발표", True) == ["발표"]
-    assert reader.action_tags("토론", False) == []
-    assert reader.task_names("가. 세포 관찰\n나) 결시 처리\n다. 유전  탐구 #") == ["세포 관찰", "유전 탐구"]
+    patterns = Patterns(PLANS_KO)
+    assert action_tags("수행평가 방법: □ 프로젝트 ☑ 발표", patterns, True) == ["발표"]
+    assert action_tags("☑\n토론", patterns, False) == [] and action_tags("토론", patterns, True) == ["토론"]
+    assert action_tags("토론 " + "x" * 310 + " 수행평가", patterns, False) == ["토론"] and action_tags("토론 " + "x" * 330 + " 수행평가", patterns, False) == []
+    assert task_names("가. 세포 관찰\n나) 결시 처리\n다. 유전  탐구 #", patterns) == ["세포 관찰", "유전 탐구"]
 
 
 def test_pipeline(spark):
