@@ -1,151 +1,180 @@
 """Benchmark decontamination with one Aho-Corasick automaton.
 
-Patterns are windows of consecutive benchmark words, framed by spaces and
-normalised as the documents are; a text is scanned once and hits are mapped
-back to words and to character offsets of the original.
+Patterns are windows of consecutive benchmark words, normalised as the documents
+are. The automaton runs over numbers of words, so a window of ten words has ten
+nodes at most; a text is scanned once and hits are mapped back to words and to
+character offsets of the original.
+
+A worker process builds an automaton once and keeps it for its later tasks. A
+benchmark of more than ``max_nodes`` nodes (about 50 bytes each) is cut into
+shares below that bound, long items into pieces; texts are then scanned once for
+each share and hits of all shares united, with the same result.
 
 Defined results: null and empty texts have no words and no hits; an item
 without words has no window; windows that several items share count for each of
-them. Rows that repeat stay rows; other columns of the input are ignored.
+them, an item without an id as one more item that is not named. Repeated items
+and texts of one id count once. Rows that repeat stay rows. Texts of any length
+are scanned whole. An empty benchmark hits nothing, an empty table of documents
+gives no rows. Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
 import pickle
+import uuid
 from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_BYTES, texts_of, tune, word_bytes
-
-SCHEMA = "doc_id {kind}, n_words long, n_hit long, items array<string>, spans array<struct<start:long,end:long>>"
-
-
-def windows(items: list[tuple[str, bytes]], size: int) -> dict[bytes, tuple[int, list[str]]]:
-    """Each window as framed bytes, with its number of words and the ids of its items."""
-    found: dict[bytes, tuple[int, list[str]]] = {}
-    for item, text in items:
-        words = word_bytes(text)
-        for k in range(max(1, len(words) - size + 1) if words else 0):
-            part = words[k : k + size]
-            ids = found.setdefault(b" " + b" ".join(part) + b" ", (len(part), []))[1]
-            if not ids or ids[-1] != item:
-                ids.append(item)
+from .common import WORD_BYTES, materialize, texts_of, tune, word_bytes
+
+#: Words of an item that one row holds when shares are dealt.
+PIECE = 10_000
+MAX_NODES = 4_000_000
+
+Item = tuple[str | None, bytes]
+
+
+def by_name(item: str | None) -> tuple[bool, str]:
+    return item is None, item or ""
+
+
+class Scanner:
+    """The automaton of some items' windows."""
+
+    def __init__(self, items: list[Item], size: int) -> None:
+        self.numbers: dict[bytes, int] = {}
+        windows: dict[tuple[int, ...], list[str | None]] = {}
+        for item, text in items:
+            coded = [self.numbers.setdefault(w, len(self.numbers) + 1) for w in word_bytes(text)]
+            for k in range(max(1, len(coded) - size + 1) if coded else 0):
+                names = windows.setdefault(tuple(coded[k : k + size]), [])
+                if not names or names[-1] != item:
+                    names.append(item)
+        self.machine = None
+        if windows:
+            self.machine = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+            for window, names in windows.items():
+                self.machine.add_word(window, (len(window), names))
+            self.machine.make_automaton()
+
+    def scan(self, text: bytes) -> tuple[int, list[str | None], list[dict]]:
+        """Words of one text, items hit, and runs of words hit: first, behind, and their characters in the original."""
+        spaced = text.translate(WORD_BYTES)
+        words = spaced.split()
+        if not words or self.machine is None:
+            return len(words), [], []
+        number = self.numbers.get
+        hits = list(self.machine.iter(tuple([number(w, 0) for w in words])))
+        if not hits:
+            return len(words), [], []
+        step = np.zeros(len(words) + 1, np.int64)
+        items: set[str | None] = set()
+        for last, (n, names) in hits:
+            step[last + 1 - n] += 1
+            step[last + 1] -= 1
+            items.update(names)
+        edge = np.diff(np.r_[0, np.cumsum(step[:-1]) > 0, 0])
+        first, behind = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        letter = np.diff(np.r_[0, np.frombuffer(spaced, np.uint8) != 32, 0].astype(np.int8))
+        starts, ends = np.flatnonzero(letter == 1), np.flatnonzero(letter == -1)
+        chars = np.r_[0, np.cumsum((np.frombuffer(text, np.uint8) & 0xC0) != 0x80)]
+        runs = zip(first.tolist(), behind.tolist(), chars[starts[first]].tolist(), chars[ends[behind - 1]].tolist(), strict=True)
+        return len(words), sorted(items, key=by_name), [dict(zip(("first", "behind", "start", "end"), r, strict=True)) for r in runs]
+
+
+_kept: dict[str, Scanner] = {}
+
+
+def _scanner(name: str, shared: Broadcast, size: int) -> Scanner:
+    """The scanner of a share; a worker process keeps the last one."""
+    if name not in _kept:
+        _kept.clear()
+        _kept[name] = Scanner(pickle.loads(shared.value), size)
+    return _kept[name]
+
+
+def _shares(benchmark: DataFrame, item_col: str, text_col: str, size: int, max_nodes: int) -> list[tuple[str, Broadcast]]:
+    """Broadcast items, in as many shares as keep each below about ``max_nodes`` nodes."""
+    spark = benchmark.sparkSession
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for item, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                words = word_bytes(text)
+                rows += [(item, b" ".join(words[k : k + PIECE + size - 1]), min(PIECE, len(words) - k)) for k in range(0, max(1, len(words) - size + 1), PIECE) if words]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.string(), pa.binary(), pa.int64()), strict=True)], names=["item", "words", "n"])
+
+    tune(spark)
+    items = benchmark.select(benchmark[item_col].cast("string").alias("item"), benchmark[text_col].cast("string").cast("binary").alias("text")).where("text is not null")
+    pieces = materialize(items.mapInArrow(cut, "item string, words binary, n long").distinct())
+    total = pieces.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    shares = -(-total * size // max_nodes) or 1
+    found = []
+    for k in range(shares):
+        part = pieces.where(F.pmod(F.xxhash64("item", "words"), F.lit(shares)) == k).select("item", "words").collect()  # bounded by max_nodes
+        data = sorted(((r["item"], bytes(r["words"])) for r in part), key=lambda r: (by_name(r[0]), r[1]))
+        found.append((uuid.uuid4().hex, spark.sparkContext.broadcast(pickle.dumps(data))))
     return found
 
 
-def automaton(items: list[tuple[str, bytes]], size: int) -> ahocorasick.Automaton | None:
-    machine = ahocorasick.Automaton()
-    for pattern, value in windows(items, size).items():
-        machine.add_word(pattern.decode("latin-1"), value)
-    if not len(machine):
-        return None
-    machine.make_automaton()
-    return machine
-
-
-def scan(text: bytes, machine) -> tuple[int, int, list[str], list[dict]]:
-    """Words, words hit, items and spans (characters of the original, merged) of one text."""
-    spaced = text.translate(WORD_BYTES)
-    words = spaced.split()
-    if not words or machine is None:
-        return len(words), 0, [], []
-    joined = b" " + b" ".join(words) + b" "
-    hits = list(machine.iter(joined.decode("latin-1")))
-    if not hits:
-        return len(words), 0, [], []
-    gaps = np.flatnonzero(np.frombuffer(joined, np.uint8) == 32)
-    last = np.searchsorted(gaps, [end for end, _ in hits])  # the words end before this gap
-    step = np.zeros(len(words) + 1, np.int64)
-    items: set[str] = set()
-    for end, (_, (n, ids)) in zip(last.tolist(), hits, strict=True):
-        step[end - n] += 1
-        step[end] -= 1
-        items.update(ids)
-    hit = np.cumsum(step[:-1]) > 0
-    letter = np.frombuffer(spaced, np.uint8) != 32
-    starts, ends = np.flatnonzero(letter & ~np.r_[False, letter[:-1]]), np.flatnonzero(letter & ~np.r_[letter[1:], False]) + 1
-    chars = np.r_[0, np.cumsum((np.frombuffer(text, np.uint8) & 0xC0) != 0x80)]
-    first = np.flatnonzero(hit & ~np.r_[False, hit[:-1]])
-    final = np.flatnonzero(hit & ~np.r_[hit[1:], False])
-    spans = [{"start": int(chars[starts[a]]), "end": int(chars[ends[b]])} for a, b in zip(first, final, strict=True)]
-    return len(words), int(hit.sum()), sorted(items), spans
-
-
-def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", size: int = 10, max_bytes: int = 64 << 20) -> DataFrame:
-    """(doc_id, n_words, n_hit, items, spans) for each row of ``docs``.
-
-    The benchmark is collected only after its size is known to be at most
-    ``max_bytes`` of text. A larger one is cut by hash into shares below that
-    bound; the texts are scanned once for each share and the spans of a row are
-    united, so memory stays bounded and the result the same.
-    """
-    tune(docs.sparkSession)
-    items = benchmark.select(benchmark[item_col].cast("string").alias("item"), benchmark[item_text_col].cast("string").cast("binary").alias("text")).where("item is not null and text is not null")
-    total = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
-    shares = -(-total // max_bytes) or 1
-    kind = docs.schema[id_col].dataType.simpleString()
-    if shares == 1:
-        return _scan_share(docs, items, id_col, text_col, size, kind)
-    key, parts = ["doc_id", "sum", "n_words"], None
-    for k in range(shares):
-        share = items.where(F.pmod(F.xxhash64("item"), F.lit(shares)) == k)
-        part = _scan_share(docs, share, id_col, text_col, size, kind, with_words=True)
-        parts = part if parts is None else parts.unionByName(part)
-    return _united(parts, docs, id_col, text_col, key)
+RUNS = "array<struct<first:long,behind:long,start:long,end:long>>"
+_runs = pa.list_(pa.struct([(c, pa.int64()) for c in ("first", "behind", "start", "end")]))
 
 
-def _scan_share(docs: DataFrame, items: DataFrame, id_col: str, text_col: str, size: int, kind: str, with_words: bool = False) -> DataFrame:
-    data = pickle.dumps([(r["item"], bytes(r["text"])) for r in items.orderBy("item", "text").collect()])
-    shared = docs.sparkSession.sparkContext.broadcast(data)
+def _scanned(docs: DataFrame, share: tuple[str, Broadcast], id_col: str, text_col: str, size: int, hits_only: bool = False) -> DataFrame:
+    """(doc_id, mark, n_words, items, runs) of every row, or of those with hits; ``mark`` is the hash of the text."""
+    name, shared = share
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine = automaton(pickle.loads(shared.value), size)
-        span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         for batch in batches:
-            found = [scan(t, machine) for t in texts_of(batch, "__text")]
-            if found:
-                n, hit, ids, spans = zip(*found, strict=True)
-                more = [batch.column(1)] if with_words else []
-                yield pa.RecordBatch.from_arrays([batch.column(0), *more, pa.array(n, pa.int64()), pa.array(hit, pa.int64()), pa.array(ids, pa.list_(pa.string())), pa.array(spans, span)], names=["doc_id", *(["sum"] if with_words else []), "n_words", "n_hit", "items", "spans"])
-
-    picked = [docs[id_col].alias("doc_id")]
-    schema = SCHEMA.format(kind=kind)
-    if with_words:
-        picked.append(F.xxhash64(docs[text_col]).alias("sum"))
-        schema = schema.replace("n_words long", "sum long, n_words long")
-    return docs.select(*picked, docs[text_col].cast("string").cast("binary").alias("__text")).mapInArrow(run, schema)
-
-
-def _united(parts: DataFrame, docs: DataFrame, id_col: str, text_col: str, key: list[str]) -> DataFrame:
-    """Items and spans of the shares together; words hit are counted again from the united spans."""
-    grouped = parts.groupBy(*key).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"))
+            scan = _scanner(name, shared, size).scan
+            found = [scan(t) for t in texts_of(batch, "__text")]
+            at = [k for k, f in enumerate(found) if f[1] or not hits_only]
+            n, items, runs = zip(*(found[k] for k in at), strict=True) if at else ((), (), ())
+            kept = [batch.column(c).take(pa.array(at, pa.int64())) for c in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(n, pa.int64()), pa.array(items, pa.list_(pa.string())), pa.array(runs, _runs)], names=["doc_id", "mark", "n_words", "items", "runs"])
+
     kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(docs[id_col].alias("doc_id"), F.xxhash64(docs[text_col]).alias("sum"), docs[text_col].cast("string").cast("binary").alias("__text"))
-    joined = rows.join(grouped.select(F.col("doc_id").alias("__id"), F.col("sum").alias("__sum"), "n_words", "items", "spans"), F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("sum") == F.col("__sum"))).select("doc_id", "n_words", "items", "spans", "__text")
+    rows = docs.select(docs[id_col].alias("doc_id"), F.xxhash64(docs[text_col]).alias("mark"), docs[text_col].cast("string").cast("binary").alias("__text"))
+    return rows.mapInArrow(run, f"doc_id {kind}, mark long, n_words long, items array<string>, runs {RUNS}")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for row in batch.to_pylist():
-                merged: list[list[int]] = []
-                text = (row["__text"] or b"").decode()
-                for s in row["spans"]:
-                    # spans that meet with no word between them are one
-                    if merged and not word_bytes(text[merged[-1][1] : max(s["start"], merged[-1][1])].encode()):
-                        merged[-1][1] = max(merged[-1][1], s["end"])
-                    else:
-                        merged.append([s["start"], s["end"]])
-                hit = sum(len(word_bytes(text[a:b].encode())) for a, b in merged)
-                out.append({"doc_id": row["doc_id"], "n_words": row["n_words"], "n_hit": hit, "items": row["items"], "spans": [{"start": a, "end": b} for a, b in merged]})
-            if out:
-                yield pa.RecordBatch.from_pylist(out)
-
-    return joined.mapInArrow(run, SCHEMA.format(kind=kind))
+
+def _merged(runs):
+    """Runs of several shares, sorted, as runs without overlap; those that touch are one."""
+    def add(done, run):
+        last = F.element_at(done, -1)
+        joined = F.struct(last["first"].alias("first"), F.greatest(last["behind"], run["behind"]).alias("behind"), last["start"].alias("start"), F.greatest(last["end"], run["end"]).alias("end"))
+        touches = (F.size(done) > 0) & (run["first"] <= F.try_element_at(done, F.lit(-1))["behind"])
+        return F.when(touches, F.concat(F.slice(done, 1, F.size(done) - 1), F.array(joined))).otherwise(F.concat(done, F.array(run)))
+
+    return F.aggregate(F.array_sort(runs), F.array().cast(RUNS), add)
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", size: int = 10, max_nodes: int = MAX_NODES) -> DataFrame:
+    """(doc_id, n_words, n_hit, items, spans) for each row of ``docs``; spans are characters of the original."""
+    tune(docs.sparkSession)
+    shares = _shares(benchmark, item_col, item_text_col, size, max_nodes)
+    rows = _scanned(docs, shares[0], id_col, text_col, size)
+    if len(shares) > 1:
+        # equal rows have equal hits; only those with hits are shuffled with more than their key
+        parts = [rows.where(F.size("items") > 0), *(_scanned(docs, s, id_col, text_col, size, hits_only=True) for s in shares[1:])]
+        hits = parts[0].select("doc_id", "mark", "items", "runs")
+        for part in parts[1:]:
+            hits = hits.unionByName(part.select("doc_id", "mark", "items", "runs"))
+        hits = hits.distinct().groupBy(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark")).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), _merged(F.flatten(F.collect_list("runs"))).alias("runs"))
+        base = rows.select("doc_id", "mark", "n_words")
+        none = lambda c, t: F.coalesce(c, F.array().cast(t)).alias(c)
+        rows = base.join(hits, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("mark") == F.col("__mark")), "left").select("doc_id", "n_words", none("items", "array<string>"), none("runs", RUNS))
+    n_hit = F.aggregate("runs", F.lit(0).cast("long"), lambda n, r: n + r["behind"] - r["first"])
+    return rows.select("doc_id", "n_words", n_hit.alias("n_hit"), "items", F.transform("runs", lambda r: F.struct(r["start"].alias("start"), r["end"].alias("end"))).alias("spans"))
 
 
 def digest(found: DataFrame) -> DataFrame:
@@ -153,25 +182,21 @@ def digest(found: DataFrame) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 10, max_bytes: int = 64 << 20) -> DataFrame:
+def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", size: int = 10, max_nodes: int = MAX_NODES) -> DataFrame:
     """The rows of ``docs`` that hold no window; all columns stay and no text is shuffled."""
-    items = benchmark.select(benchmark["item_id"].cast("string").alias("item"), benchmark["text"].cast("string").cast("binary").alias("text")).where("item is not null and text is not null")
-    total = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
-    shares = -(-total // max_bytes) or 1
     tune(docs.sparkSession)
-    for k in range(shares):
-        share = items.where(F.pmod(F.xxhash64("item"), F.lit(shares)) == k)
-        docs = _clean_share(docs, pickle.dumps([(r["item"], bytes(r["text"])) for r in share.orderBy("item", "text").collect()]), text_col, size)
+    for k, share in enumerate(_shares(benchmark, item_col, item_text_col, size, max_nodes)):
+        docs = _clean_share(docs if k == 0 else materialize(docs), share, text_col, size)  # one automaton at a time in a worker
     return docs
 
 
-def _clean_share(docs: DataFrame, data: bytes, text_col: str, size: int) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(data)
+def _clean_share(docs: DataFrame, share: tuple[str, Broadcast], text_col: str, size: int) -> DataFrame:
+    name, shared = share
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine = automaton(pickle.loads(shared.value), size)
         for batch in batches:
-            yield batch.filter(pa.array([scan((t or "").encode(), machine)[1] == 0 for t in batch.column(at).to_pylist()], pa.bool_()))
+            scan = _scanner(name, shared, size).scan
+            yield batch.filter(pa.array([not scan((t or "").encode())[1] for t in batch.column(at).to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -11,9 +11,11 @@ argument keeps that exact. Each task hands on a spanning forest of the links it
 found, never all pairs, and components come from alternating star contraction.
 
 Defined results: a null or empty text, or one of white space only, has
-fingerprint zero and is linked like any other. Rows that repeat stay rows. A
-null doc_id never is a component's id unless all its ids are null. Other
-columns of the input are ignored.
+fingerprint zero and is linked like any other. Rows that repeat stay rows, and
+rows of one id need not be in one component. A null doc_id never is a
+component's id unless all its ids are null. A bit set in exactly half the hashes
+is 0. Texts of any length count whole. Empty tables give no rows. Other columns
+of the input are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpoint, fresh, map_texts, materialize, texts_of, tune
+from .common import checkpoint, fresh, key_filter, map_texts, materialize, passing, texts_of, tune
 
 SEED = 42
 FAN = 8
@@ -252,16 +254,35 @@ def links(codes: DataFrame, distance: int = 3, node_rows: int = 200_000, max_dep
         return np.cumsum(np.r_[False, (rows[1:, :2] != rows[:-1, :2]).any(axis=1)])
 
     keyed = nodes.select((F.col("depth") * 256 + F.col("path")).cast("long").alias("node"), "pattern", "fp")
-    return keyed.repartition("node", "pattern").sortWithinPartitions("node", "pattern").mapInArrow(search, "u long, v long").distinct()
+    return keyed.repartition("node", "pattern").sortWithinPartitions("node", "pattern").mapInArrow(search, "u long, v long")
+
+
+def contracted(edges: DataFrame, portion: int = 200_000) -> DataFrame:
+    """Edges with the same components, fewer of them: each portion of about ``portion`` edges becomes a forest of stars."""
+    parts = max(4, -(-edges.count() // portion))
+
+    def forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [np.stack([np.asarray(b.column(0)), np.asarray(b.column(1))], axis=1) for b in batches if b.num_rows]
+        if held:
+            names, ends = np.unique(np.concatenate(held), return_inverse=True)
+            ends = ends.reshape(-1, 2)
+            local = Forest(len(names))
+            local.link(ends[:, 0], ends[:, 1])
+            leaf = np.flatnonzero(local.root != np.arange(len(names)))
+            yield pa.RecordBatch.from_arrays([pa.array(names[leaf]), pa.array(names[local.root[leaf]])], names=["u", "v"])
+
+    return edges.repartition(parts).mapInArrow(forest, "u long, v long")
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, root): the smallest node that can be reached, for each node that has an edge; columns ``u``, ``v`` in.
 
-    Alternating large and small stars; the edges are checkpointed after each
-    round, so a lost executor costs a round at most.
+    Portions of edges are contracted, then alternating large and small stars
+    join them; the edges are checkpointed after each round, so a lost executor
+    costs a round at most.
     """
-    e = checkpoint(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    e = contracted(checkpoint(edges.select("u", "v").where("u <> v")))
+    e = checkpoint(e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     state = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
     while state[0]:
         both = e.union(e.select(F.col("v"), F.col("u")))
@@ -293,8 +314,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 WIDE = 4
 #: Bits of each mask, number of masks, and the distance in 256 bits up to which fingerprints are candidates: of two
-#: texts of similarity 0.8 a bit differs with probability 0.15, one of the masks agrees with probability 0.999.
-MASK_BITS, N_MASKS, WIDE_DISTANCE = 16, 96, 72
+#: texts of similarity 0.8 a bit differs with probability 0.15 (38 bits), one of the masks agrees with probability 0.999.
+MASK_BITS, N_MASKS, WIDE_DISTANCE = 16, 96, 64
 _SALTS = np.array([0, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 
 
@@ -332,21 +353,30 @@ def _sets(texts: list[bytes], width: int) -> tuple[list[np.ndarray], np.ndarray]
     return sets, np.array([xxhash.xxh64_intdigest(x.tobytes(), SEED) for x in sets], np.uint64).view(np.int64)
 
 
+def _code_names(words: np.ndarray) -> np.ndarray:
+    """A long for each code of four words; should two codes share one, their texts are only compared in vain."""
+    h = np.zeros(len(words), np.uint64)
+    for k in range(WIDE):
+        h = (h ^ words[:, k]) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(32)
+    return h.view(np.int64)
+
+
 def wide_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5) -> DataFrame:
-    """(doc_id, w0..w3, fp, text_hash) of every row; fp names the set of shingles. No shuffle."""
+    """(doc_id, text_hash, w0..w3, code, fp) of every row; code names the words, fp the set of shingles. No shuffle."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(texts: list[bytes]) -> dict[str, pa.Array]:
         sets, names = _sets(texts, width)
-        words = _wide_batch(sets).view(np.int64)
-        return {f"w{k}": pa.array(np.ascontiguousarray(words[:, k])) for k in range(WIDE)} | {"fp": pa.array(names)}
+        words = _wide_batch(sets)
+        return {f"w{k}": pa.array(np.ascontiguousarray(words[:, k]).view(np.int64)) for k in range(WIDE)} | {"code": pa.array(_code_names(words)), "fp": pa.array(names)}
 
     keep = {"doc_id": docs[id_col], "text_hash": F.xxhash64(docs[text_col])}
-    return map_texts(docs, id_col, text_col, run, f"doc_id {kind}, text_hash long, w0 long, w1 long, w2 long, w3 long, fp long", keep)
+    return map_texts(docs, id_col, text_col, run, f"doc_id {kind}, text_hash long, w0 long, w1 long, w2 long, w3 long, code long, fp long", keep)
 
 
 def shingle_sets(docs: DataFrame, text_col: str = "text", width: int = 5) -> DataFrame:
-    """(fp, shingles) with the hashes of each set as bytes; each set once for a batch."""
+    """(fp, shingles) with the hashes of each set as bytes, each set once."""
     tune(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -355,7 +385,8 @@ def shingle_sets(docs: DataFrame, text_col: str = "text", width: int = 5) -> Dat
             names, first = np.unique(names, return_index=True)
             yield pa.RecordBatch.from_arrays([pa.array(names), pa.array([sets[k].tobytes() for k in first], pa.binary())], names=["fp", "shingles"])
 
-    return docs.select(docs[text_col].cast("string").cast("binary").alias("__text")).mapInArrow(run, "fp long, shingles binary")
+    sets = docs.select(docs[text_col].cast("string").cast("binary").alias("__text")).mapInArrow(run, "fp long, shingles binary")
+    return sets.groupBy("fp").agg(F.first("shingles").alias("shingles"))
 
 
 def _mask_bits() -> np.ndarray:
@@ -434,46 +465,54 @@ def wide_group_links(key: np.ndarray, words: np.ndarray, distance: int) -> tuple
 
 
 def wide_links(codes: DataFrame, distance: int = WIDE_DISTANCE, node_rows: int = 200_000) -> DataFrame:
-    """(u, v) links between ``codes`` (fp, w0..w3), fp naming a code.
+    """(u, v) links between the codes (w0..w3, in rows of ``codes``), each named as ``_code_names`` does.
 
-    A node holds the codes that agree on one mask. Nodes of more than
-    ``node_rows`` codes are cut into blocks of half as many by hash, and each two
-    blocks are searched together in a task: every pair of a node is compared.
+    A node holds the codes that agree on one mask. Nodes of more than about
+    ``node_rows`` codes, as a sample of them tells, are cut into blocks of half
+    as many by hash, and each two blocks are searched together in a task: every
+    pair of a node is compared, whatever its size.
     """
     tune(codes.sparkSession)
-    names = ["fp", "w0", "w1", "w2", "w3"]
+    names = [f"w{k}" for k in range(WIDE)]
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = _mask_bits()
         for batch in batches:
-            words = np.stack([np.asarray(batch.column(batch.schema.get_field_index(f"w{k}"))) for k in range(WIDE)], axis=1).view(np.uint64)
+            words = np.stack([np.asarray(c) for c in batch.columns], axis=1).view(np.uint64)
             for mask in range(N_MASKS):
-                key = (_patterns(words, bits[mask]) * N_MASKS + mask).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(key), *batch.columns], names=["key", *names])
-
-    level = codes.select(*names).mapInArrow(spread, "key long, fp long, w0 long, w1 long, w2 long, w3 long")
-    nodes = level.withColumn("pair", F.lit(-1).cast("long"))
-    large = checkpoint(level.groupBy("key").count().where(F.col("count") > node_rows).select("key", F.ceil(F.col("count") * 2 / node_rows).alias("blocks")))
+                yield pa.RecordBatch.from_arrays([pa.array(_patterns(words, bits[mask]) * N_MASKS + mask), *batch.columns], names=["key", *names])
+
+    schema = "key long, w0 long, w1 long, w2 long, w3 long"
+    codes = codes.select(*names)
+    level = codes.mapInArrow(spread, schema)
+    mark = F.xxhash64(*names)
+    share = max(1, min(64, node_rows // 2000))
+    counted = codes.where(F.pmod(F.shiftright(mark, 20), F.lit(share)) == 0).mapInArrow(spread, schema).groupBy("key").agg((F.count("*") * share).alias("n"))
+    large = checkpoint(counted.where(F.col("n") > node_rows * 0.75).select("key", (F.ceil(F.col("n") * 2 / node_rows) + 1).alias("blocks")))
+    nodes = level
     if not large.isEmpty():
-        block = F.pmod(F.xxhash64("fp"), F.col("blocks"))
-        cut = level.join(large, "key").select("*", block.alias("block"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")).where("block <> other")
-        paired = cut.withColumn("pair", F.least("block", "other") * F.col("blocks") + F.greatest("block", "other"))
-        nodes = nodes.join(large, "key", "left_anti").unionByName(paired.select(*nodes.columns))
+        cut = level.join(large, "key").select("*", F.pmod(mark, F.col("blocks")).alias("block"))
+        cut = cut.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")).where("block <> other")
+        # the pair of blocks stands above the bits of the key
+        pair = F.least("block", "other") * F.col("blocks") + F.greatest("block", "other") + 1
+        nodes = level.join(large, "key", "left_anti").unionByName(cut.select((pair * F.lit(N_MASKS << MASK_BITS) + F.col("key")).alias("key"), *names))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
 
         def found(rows: np.ndarray) -> pa.RecordBatch:
-            key = np.cumsum(np.r_[False, (rows[1:, :2] != rows[:-1, :2]).any(axis=1)])
-            u, v = wide_group_links(key, np.ascontiguousarray(rows[:, 3:]).view(np.uint64), distance)
-            return pa.RecordBatch.from_arrays([pa.array(rows[u, 2]), pa.array(rows[v, 2])], names=["u", "v"])
+            words = np.ascontiguousarray(rows[:, 1:]).view(np.uint64)
+            u, v = wide_group_links(rows[:, 0], words, distance)
+            codes_of = _code_names(words)
+            ends = np.unique(np.stack([codes_of[u], codes_of[v]], axis=1), axis=0)
+            return pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], names=["u", "v"])
 
         for batch in batches:
-            held.append(np.stack([np.asarray(batch.column(i)).astype(np.int64) for i in range(7)], axis=1))
+            held.append(np.stack([np.asarray(c) for c in batch.columns], axis=1))
             if sum(map(len, held)) < 100_000:
                 continue
             rows = np.concatenate(held)
-            differ = np.flatnonzero((rows[:, :2] != rows[-1, :2]).any(axis=1))
+            differ = np.flatnonzero(rows[:, 0] != rows[-1, 0])
             start = differ[-1] + 1 if len(differ) else 0
             held = [rows[start:]]
             if start:
@@ -481,8 +520,7 @@ def wide_links(codes: DataFrame, distance: int = WIDE_DISTANCE, node_rows: int =
         if held:
             yield found(np.concatenate(held))
 
-    keyed = nodes.select("pair", "key", *names)
-    return keyed.repartition("pair", "key").sortWithinPartitions("pair", "key").mapInArrow(search, "u long, v long").distinct()
+    return nodes.repartition("key").sortWithinPartitions("key").mapInArrow(search, "u long, v long")
 
 
 def set_links(sets: list[np.ndarray], linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -543,26 +581,24 @@ def _searched(rows: DataFrame, *task: str) -> DataFrame:
     return keyed.repartition("task").sortWithinPartitions("task").mapInArrow(_set_search, "u long, v long")
 
 
-def similar_sets(rooted: DataFrame, sets: DataFrame, block_rows: int = 1000, pivots: int = 16) -> DataFrame:
-    """(node, root): components of the links of Jaccard similarity 0.8 or more inside each group of ``rooted`` (fp, root).
+def similar_sets(members: DataFrame, sets: DataFrame, block_rows: int = 1000, pivots: int = 16) -> DataFrame:
+    """(node, root): components of the links of Jaccard similarity 0.8 or more inside each group of ``members`` (fp, root, n; n rows in the group).
 
     All pairs of a group are compared. A group of more than ``block_rows`` sets is
     cut into blocks; each is searched by itself together with a few sets that all
     blocks of the group get. What that leaves apart is searched in pairs of blocks,
     but for blocks that belong to one component already.
     """
-    sizes = rooted.groupBy("root").agg(F.count("*").alias("n")).where("n > 1")
-    blocks = F.ceil(F.col("n") / block_rows)
-    members = materialize(rooted.join(sizes, "root").select("fp", "root", blocks.alias("blocks")))
+    members = members.select("fp", "root", F.ceil(F.col("n") / block_rows).alias("blocks"))
     held = materialize(sets.join(members, "fp"))
     own = held.withColumn("block", F.pmod(F.xxhash64("fp"), "blocks")).withColumn("class", F.col("fp"))
     # about as many in each group; any choice gives the same result
     picked = held.where("blocks > 1").where(F.pmod(F.xxhash64("fp", F.lit("pivot")), F.col("blocks") * block_rows) < pivots)
     given = picked.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).withColumn("class", F.col("fp"))
     edges = checkpoint(_searched(own.unionByName(given.select(*own.columns)), "root", "block"))
-    if members.where("blocks > 1").isEmpty():
-        return components(edges)
     classes = components(edges)
+    if members.where("blocks > 1").isEmpty():
+        return classes
     large = members.where("blocks > 1").join(classes, members["fp"] == classes["node"], "left").select("fp", members["root"], F.coalesce(classes["root"], "fp").alias("class"))
     counts = checkpoint(large.groupBy("root", "class").agg(F.count("*").alias("n")))
     small = counts.where(F.col("n") < block_rows).groupBy("root").agg(F.sum("n").alias("small"))
@@ -584,14 +620,18 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
     """(doc_id, component_id, root, text_hash): components, named by ``root``, of texts whose sets of shingles have a Jaccard similarity of at least 0.8.
 
     Wide fingerprints find groups of candidates; inside each group the sets
-    themselves decide. Texts without words have the empty set and are one component.
+    themselves decide. Only the sets of groups of two or more are shuffled.
+    Texts without words have the empty set and are one component.
     ``component_id`` is the least id of a component, null if all are null.
     """
     marked = materialize(wide_fingerprints(docs, id_col, text_col, width))
-    codes = materialize(marked.groupBy("fp", "w0", "w1", "w2", "w3").agg(F.min("doc_id").alias("least")))
-    near = components(wide_links(codes, distance))
-    grouped = codes.join(near, codes["fp"] == near["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"))
-    stars = similar_sets(grouped, shingle_sets(docs, text_col, width), block_rows)
+    codes = materialize(marked.groupBy("fp", "code", "w0", "w1", "w2", "w3").agg(F.min("doc_id").alias("least"), F.min("text_hash").alias("text_hash")))
+    near = components(wide_links(codes.dropDuplicates(["code"]), distance))
+    grouped = materialize(codes.join(near, codes["code"] == near["node"], "left").select("fp", "text_hash", F.coalesce("root", "code").alias("root")))
+    sizes = grouped.groupBy("root").agg(F.count("*").alias("n")).where("n > 1")
+    members = materialize(grouped.join(sizes, "root").select("fp", "text_hash", "root", "n"))
+    some = passing(docs.select(docs[text_col].alias("text")), F.xxhash64("text"), key_filter(members, "text_hash"))
+    stars = similar_sets(members, shingle_sets(some, "text", width), block_rows)
     rooted = codes.join(stars, codes["fp"] == stars["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     # written, so that Spark can split the members of a large component when it joins them
     named = materialize(rooted.groupBy("root").agg(F.min("least").alias("component_id")))
@@ -605,8 +645,15 @@ def one_of_each(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id", text
     Ids need not be unique or known: rows of different components stay whatever
     their ids are. Of rows with the same id and text any one stays.
     """
-    least = groups.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_hash")).alias("of"))
+    groups = materialize(groups.select("doc_id", "root", "text_hash"))
+    least = groups.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_hash")).alias("of"), F.count("*").alias("n"))
     root, rank = fresh(docs, "__root"), fresh(docs, "__rank")
-    kept = least.select(F.col("root").alias(root), F.col("of.doc_id").alias("__kept"), F.col("of.text_hash").alias("__hash"))
-    stay = docs.join(kept, docs[id_col].eqNullSafe(kept["__kept"]) & (F.xxhash64(docs[text_col]) == kept["__hash"])).select(*(docs[c] for c in docs.columns), root)
-    return stay.withColumn(rank, F.row_number().over(Window.partitionBy(root).orderBy(F.lit(0)))).where(F.col(rank) == 1).drop(rank, root)
+    kept = materialize(least.select(F.col("root").alias(root), F.col("of.doc_id").alias("__kept"), F.col("of.text_hash").alias("__hash"), "n"))
+    shared = groups.join(kept.where("n > 1"), F.col("root") == F.col(root), "left_semi").select("text_hash").distinct()
+    bitmap = key_filter(shared, "text_hash")
+    # most rows are alone in their component: they stay where they lie, only the others are shuffled
+    alone = passing(docs, F.xxhash64(docs[text_col]), bitmap, wanted=False)
+    others = passing(docs, F.xxhash64(docs[text_col]), bitmap)
+    stay = others.join(kept, others[id_col].eqNullSafe(kept["__kept"]) & (F.xxhash64(others[text_col]) == kept["__hash"])).select(*(others[c] for c in docs.columns), root)
+    once = stay.withColumn(rank, F.row_number().over(Window.partitionBy(root).orderBy(F.lit(0)))).where(F.col(rank) == 1).drop(rank, root)
+    return alone.unionByName(once)

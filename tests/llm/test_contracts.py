@@ -9,6 +9,7 @@ import numpy as np
 import pandas as pd
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from evidencelake.llm import decontaminate, langid, licenses, mixing, quality, simhash, token_files, toxicity, url_filter
 from evidencelake.llm.queries import tokenizer_path
@@ -98,10 +99,10 @@ def test_group_links_prune():
     assert len(u) == 3999 and len(v) == 3999
 
 
-def test_decontamination(spark, docs):
+def test_decontamination(spark, docs, empty):
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
     words = WORD.findall(lower(dict(rows)[10]))
-    items = [("b1", "?! " + " ".join(words[5:30])), ("b2", "one two"), ("b3", None), ("b4", "..."), ("a1", " ".join(words[5:30]).upper()), ("b5", " ".join(words[:9] + ["zzz"]))]
+    items = [("b1", "?! " + " ".join(words[5:30])), ("b2", "one two"), ("b3", None), ("b4", "..."), ("a1", " ".join(words[5:30]).upper()), ("b5", " ".join(words[:9] + ["zzz"])), (None, " ".join(words[20:33])), ("b2", "one two"), ("b2", "three")]
     bench = spark.createDataFrame(items, "item_id string, text string")
     windows = {}
     for i, t in items:
@@ -117,17 +118,33 @@ def test_decontamination(spark, docs):
                 if (x := tuple(w[k : k + size])) in windows:
                     found |= windows[x]
                     hit |= set(range(k, k + size))
-        expected.append((-1 if d is None else d, len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit)))
+        expected.append((-1 if d is None else d, len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(f for f in found if f is not None)).encode()).hexdigest(), bool(hit)))
     whole = decontaminate.contamination(docs, bench)
-    for result in (whole, decontaminate.contamination(docs, bench, max_bytes=60)):  # in one share, and in several
+    for result in (whole, decontaminate.contamination(docs, bench, max_nodes=60)):  # in one share, and in several
         got = decontaminate.digest(result).toPandas().fillna({"doc_id": -1}).astype({"doc_id": int})
         assert sorted(expected) == sorted(got.itertuples(index=False, name=None))
     text = dict(rows)
     for r in whole.where("n_hit > 0").collect():
         marked = [w for s in r["spans"] for w in WORD.findall(lower(text[r["doc_id"]][s["start"] : s["end"]]))]
         assert len(marked) == r["n_hit"]
-    kept = decontaminate.clean(docs, bench)
-    assert kept.columns == docs.columns and kept.count() == sum(not e[5] for e in expected)
+    for kept in (decontaminate.clean(docs, bench), decontaminate.clean(docs, bench, max_nodes=60)):
+        assert kept.columns == docs.columns and kept.count() == sum(not e[5] for e in expected)
+    none = decontaminate.digest(decontaminate.contamination(docs, bench.limit(0))).agg(F.sum("n_hit"), F.count("*")).first()
+    assert tuple(none) == (0, len(rows)) and decontaminate.clean(docs, bench.limit(0)).count() == len(rows)
+    assert decontaminate.contamination(empty, bench).count() == decontaminate.clean(empty, bench).count() == 0
+
+
+def test_decontamination_of_long_texts(spark, monkeypatch):
+    """Items are cut into pieces without losing a window, and a text of millions of bytes is scanned whole."""
+    monkeypatch.setattr(decontaminate, "PIECE", 7)
+    words = [f"w{k}" for k in range(500)]
+    bench = spark.createDataFrame([("long", " ".join(words)), ("short", "a b")], "item_id string, text string")
+    filler = "x é " * 300_000
+    docs = spark.createDataFrame([(1, filler + " ".join(words[100:110]) + " " + filler), (2, " ".join(words[100:109])), (3, " ".join(words))], "doc_id long, text string")
+    for nodes in (10**6, 900):
+        got = {r["doc_id"]: r for r in decontaminate.contamination(docs, bench, max_nodes=nodes).collect()}
+        assert (got[1]["n_words"], got[1]["n_hit"], got[1]["items"]) == (1_200_010, 10, ["long"]) and got[2]["n_hit"] == 0 and got[3]["n_hit"] == 500
+        assert [tuple(s) for s in got[1]["spans"]] == [(len(filler), len(filler) + len(" ".join(words[100:110])))] and len(got[3]["spans"]) == 1
 
 
 def test_tokens(docs, empty):
@@ -403,7 +420,7 @@ def test_similar_texts_form_groups(spark):
     assert all(by_id[r[0]] == r[0] // 10 * 10 for r in rows[:160]) and by_id[1000] == by_id[1001] == 1000 and by_id[1002] == 1002
     kept = simhash.one_of_each(docs, simhash.similar(docs))
     assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == [*range(0, 400, 10), 1000, 1002]
-    codes = simhash.wide_fingerprints(docs).selectExpr("xxhash64(w0, w1, w2, w3) AS fp", "w0", "w1", "w2", "w3").distinct()
+    codes = simhash.wide_fingerprints(docs).select("w0", "w1", "w2", "w3").distinct()
     few = simhash.components(simhash.wide_links(codes, node_rows=3)).count()
     assert few == simhash.components(simhash.wide_links(codes)).count()
 
