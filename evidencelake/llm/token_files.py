@@ -2,23 +2,27 @@
 
 Texts are tokenized once and their ids written to the shared folder. A pass over
 them counts all ids; the counts give one length-limited canonical Huffman code
-for the corpus (package-merge). A second pass encodes each document where it
-lies, and only the coded bits are shuffled into ranges of ascending ids. A file row is one independent block: some
+for the corpus (package-merge). Ids are then dealt into ranges of ascending
+document ids and encoded there. A file row is one independent block: some
 documents, their numbers of ids, the coded words, and a checkpoint (bit offset)
 every ``STEP`` ids, from which a table-driven decoder can start. The code
 lengths are written beside the blocks, so the files stand alone.
 
-Texts are split at ASCII white space, which the tokenizer drops, and the ids of
-pieces already seen are kept in a bounded memo of the worker process;
-tests hold the result against encoding whole texts.
+A tokenizer whose normaliser and splitter are the known ones, which drop white
+space, gets texts cut at ASCII white space, in portions of bounded size, and the
+ids of pieces already seen are kept in a bounded memo of the worker process; any
+other tokenizer gets whole texts.
 
 Defined results: a null or empty text has the end id alone. Rows with equal ids
-stand in the order of their coded bytes; null ids come last. Other columns of
-the input are ignored. An empty table makes an empty file.
+stand in the order of a hash of their token ids, then of these; null ids come
+last. Rows that repeat stay rows. Texts of any length are encoded whole, their
+working memory bounded by portions. Other columns of the input are ignored,
+whatever their names. An empty table makes an empty file.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import uuid
@@ -28,6 +32,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -39,23 +44,35 @@ BLOCK_IDS = 1 << 16
 MEMO_PIECES = 1_000_000
 MEMO_RUNS = 500_000
 MEMO_BYTES = 40
-
+#: Bytes of text that are tokenized at once, ids that are coded at once, bytes of ids of one file.
+PORTION, CHUNK, PART_BYTES = 2 << 20, STEP << 9, 16 << 20
+
+# The configuration of tokenizers that may get texts piece by piece.
+NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+PRE_TOKENIZER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
 _encoders: dict[str, "_Encoder"] = {}
 
 
 #: Letters of ASCII and Latin-1, then ASCII punctuation without the apostrophe: the tokenizer cuts between the two runs.
 _SIMPLE = re.compile(r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+)([!-&(-/:-@\[-`{-~]*)")
+#: What may be hidden in such a piece.
+_INSIDE = re.compile(r"[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]*[!-&(-/:-@\[-`{-~]*")
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_SPACE = re.compile(rb"[\t-\r ]")
 _POWERS = np.cumprod(np.r_[np.uint64(1), np.full(MEMO_BYTES, 0x9E3779B97F4A7C15, np.uint64)])
 
 
 class _Encoder:
-    """The tokenizer of a worker process, with a bounded memo of pieces: sorted 64-bit hashes and the ids behind each.
+    """The tokenizer of a worker process, with a bounded memo of pieces: sorted 64-bit hashes, the pieces' bytes, and the ids behind each.
 
-    A hash stands for a piece of at most ``MEMO_BYTES`` bytes; with as many
-    pieces as the memo and a batch hold, two pieces share one with a chance
-    below one in a million million for each batch.
+    A hash only finds a piece; its bytes are compared before its ids are taken.
     """
 
     def __init__(self, path: str) -> None:
@@ -66,11 +83,18 @@ class _Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.keys, self.first, self.count = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.spelled: list[bytes] = []
+        self.place = np.zeros(0, np.int64)  # of each key in `spelled`
         self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
         self.runs: dict[str, list[int]] = {}
         spell = ByteLevel(add_prefix_space=False, use_regex=False)
         self.bytes_of = {c: spell.pre_tokenize_str(chr(c))[0][0] for c in range(0xC0, 0x100)}
-        self.simple = self._is_simple()
+        config = json.loads(self.tokenizer.to_str())
+        added = [t["content"] for t in config["added_tokens"]]
+        known = config["normalizer"] == NORMALIZER and config["pre_tokenizer"] == PRE_TOKENIZER and config["post_processor"] is None and not config["model"].get("dropout")
+        #: Whether white space parts texts for this tokenizer, and whether simple pieces are cut as ``_cut`` does.
+        self.parted = known and not any(re.search(r"\s", t) for t in added) and not any(t["lstrip"] or t["rstrip"] for t in config["added_tokens"])
+        self.simple = self.parted and not any(_INSIDE.fullmatch(t) for t in added)
 
     def run(self, text: str) -> list[int]:
         """Ids of a run of letters in lower case, or of punctuation, straight from the BPE model."""
@@ -81,11 +105,6 @@ class _Encoder:
                 self.runs[text] = ids
         return ids
 
-    def _is_simple(self) -> bool:
-        """Whether this tokenizer lower-cases simple pieces and cuts them as we do; otherwise all pieces go through it whole."""
-        probes = ["Alphabet", "TheThatWith!!", "Éléphant.,", "Übergrößen|", "ñandúÿ$$$", "ÀÖØÞÐ@#", "a", "z.", "reason###"]
-        return all(self.tokenizer.encode(p, add_special_tokens=False).ids == self._cut(_SIMPLE.fullmatch(p)) for p in probes)
-
     def _cut(self, match: re.Match) -> list[int]:
         letters, stops = match.groups()
         return self.run(letters.lower()) + self.run(stops) if stops else self.run(letters.lower())
@@ -105,10 +124,10 @@ class _Encoder:
             out[k] = got.ids
         return out
 
-    def _remember(self, keys: np.ndarray, ids: list[list[int]]) -> None:
+    def _remember(self, keys: np.ndarray, pieces: list[bytes], ids: list[list[int]]) -> None:
         """Add sorted new keys while there is room."""
         room = max(0, MEMO_PIECES - len(self.keys))
-        keys, ids = keys[:room], ids[:room]
+        keys, pieces, ids = keys[:room], pieces[:room], ids[:room]
         if not len(keys):
             return
         count = np.fromiter(map(len, ids), np.int64, len(ids))
@@ -120,9 +139,16 @@ class _Encoder:
         self.used += len(new)
         at = np.searchsorted(self.keys, keys)
         self.keys, self.first, self.count = np.insert(self.keys, at, keys), np.insert(self.first, at, first), np.insert(self.count, at, count)
-
-    def encode(self, texts: list[bytes], end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the texts, one text after the other with ``end_id`` behind each, and how many each has."""
+        self.place = np.insert(self.place, at, len(self.spelled) + np.arange(len(keys)))
+        self.spelled += pieces
+
+    def encode(self, texts: list[bytes], end_id: int | None, closed: list[bool] | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts, one text after the other, and how many each has; ``end_id`` stands behind each, or behind those of ``closed``."""
+        closed = np.ones(len(texts), bool) if closed is None else np.array(closed, bool)
+        if not self.parted:
+            made = [got.ids + ([end_id] if end and end_id is not None else []) for got, end in zip(self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False), closed.tolist(), strict=True)]
+            sizes = np.fromiter(map(len, made), np.int64, len(made))
+            return np.fromiter(chain.from_iterable(made), np.uint32, int(sizes.sum())), sizes
         data = b"\n".join(texts) + b"\n"
         raw = np.frombuffer(data, np.uint8)
         text_ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
@@ -132,35 +158,54 @@ class _Encoder:
         starts, ends = edge[0 : len(edge) // 2 * 2 : 2], edge[1::2]  # the last byte is a space
         sizes = ends - starts
         short = sizes <= MEMO_BYTES
-        inside = np.arange(len(raw)) - np.repeat(np.r_[0, starts], np.diff(np.r_[0, starts, len(raw)]))
-        terms = np.where(space, np.uint64(0), (raw.astype(np.uint64) + np.uint64(1)) * _POWERS[np.minimum(inside, MEMO_BYTES)])
-        hashes = (np.add.reduceat(terms, starts) if len(starts) else np.zeros(0, np.uint64)) ^ (sizes.astype(np.uint64) << np.uint64(56))
+        letters = np.flatnonzero(~space)
+        inside = letters - np.repeat(starts, sizes)
+        terms = (raw[letters].astype(np.uint64) + np.uint64(1)) * _POWERS[np.minimum(inside, MEMO_BYTES)]
+        before = np.cumsum(sizes) - sizes
+        hashes = (np.add.reduceat(terms, before) if len(starts) else np.zeros(0, np.uint64)) ^ (sizes.astype(np.uint64) << np.uint64(56))
         long = np.flatnonzero(~short)
         hashes[long] = np.arange(len(long), dtype=np.uint64)  # long pieces stand for themselves
         keys, sample, which = np.unique(hashes, return_index=True, return_inverse=True)
+        # pieces that share a hash are compared byte by byte; one that differs from its sample stands for itself
+        like = sample[which]
+        other = np.minimum(np.repeat(starts[like], sizes) + inside, len(raw) - 1)
+        differ = raw[letters] != raw[other]
+        odd = sizes != sizes[like]
+        if differ.any() or odd.any():
+            odd |= np.add.reduceat(differ, before) > 0
+            bad = np.flatnonzero(odd)
+            which[bad] = len(keys) + np.arange(len(bad))
+            keys, sample = np.r_[keys, np.zeros(len(bad), np.uint64)], np.r_[sample, bad]
         own = ~short[sample]
+        own[len(keys) - int(odd.sum()) :] = True
         at = np.searchsorted(self.keys, keys)
         at[at == len(self.keys)] = 0
         known = (self.keys[at] == keys) & ~own if len(self.keys) else np.zeros(len(keys), bool)
-        count = np.zeros(len(keys) + 1, np.int64)
-        first = np.zeros(len(keys) + 1, np.int64)
-        count[:-1][known], first[:-1][known] = self.count[at[known]], self.first[at[known]]
+        spelling = [data[a:b] for a, b in zip(starts[sample].tolist(), ends[sample].tolist(), strict=True)]
+        hit = np.flatnonzero(known)
+        same = np.fromiter((self.spelled[p] == spelling[k] for k, p in zip(hit.tolist(), self.place[at[hit]].tolist(), strict=True)), bool, len(hit))
+        known[hit[~same]] = False
+        own[hit[~same]] = True  # its key is taken
+        count = np.zeros(len(keys) + 2, np.int64)
+        first = np.zeros(len(keys) + 2, np.int64)
+        count[:-2][known], first[:-2][known] = self.count[at[known]], self.first[at[known]]
         new = np.flatnonzero(~known)
-        made = self.encode_pieces([data[a:b] for a, b in zip(starts[sample[new]].tolist(), ends[sample[new]].tolist(), strict=True)])
+        made = self.encode_pieces([spelling[k] for k in new.tolist()])
         made.append([] if end_id is None else [end_id])
         places = np.r_[new, len(keys)]
         count[places] = np.fromiter(map(len, made), np.int64, len(made))
         first[places] = self.used + np.cumsum(count[places]) - count[places]
         source = np.concatenate([self.flat[: self.used], np.fromiter(chain.from_iterable(made), np.uint32)])
-        # the words of each text, then its end
+        # the words of each text, then its end, or nothing
         words = np.searchsorted(starts, text_ends)
-        order = np.insert(which, words, len(keys))
+        order = np.insert(which, words, np.where(closed, len(keys), len(keys) + 1))
         n = count[order]
         total = np.cumsum(n)
         ids = source[np.repeat(first[order] - (total - n), n) + np.arange(total[-1] if len(total) else 0)]
         last = words + np.arange(len(words))  # where the ends stand in `order`
-        fresh = ~own[new]
-        self._remember(keys[new][fresh], [m for m, f in zip(made, fresh.tolist(), strict=False) if f])
+        fresh = new[~own[new]]
+        of = dict(zip(new.tolist(), made, strict=False))
+        self._remember(keys[fresh], [spelling[k] for k in fresh.tolist()], [of[k] for k in fresh.tolist()])
         return ids, np.diff(np.r_[0, total[last]])
 
 
@@ -176,17 +221,30 @@ def encode_texts(texts: list[bytes], path: str, end_id: int | None) -> list[np.n
     return np.split(ids, np.cumsum(sizes)[:-1]) if texts else []
 
 
-def _portions(texts: list[bytes]) -> Iterator[list[bytes]]:
+def _portions(texts: list[bytes], parted: bool, size: int | None = None) -> Iterator[tuple[list[bytes], list[bool]]]:
+    """Some texts at a time, and whether each ends there; if ``parted``, a long text is cut at white space."""
+    size = size or PORTION
     held: list[bytes] = []
-    size = 0
-    for t in texts:
-        held.append(t)
-        size += len(t)
-        if size > 2 << 20:
-            yield held
-            held, size = [], 0
+    ends: list[bool] = []
+    n = 0
+    for text in texts:
+        at = 0
+        while at < len(text) or not text:
+            cut = len(text)
+            if parted and len(text) - at > size:
+                space = _SPACE.search(text, at + size)
+                cut = space.start() if space else len(text)
+            held.append(text[at:cut])
+            ends.append(cut == len(text))
+            n += cut - at
+            at = cut
+            if n >= size:  # a text that goes on always ends its portion
+                yield held, ends
+                held, ends, n = [], [], 0
+            if not text:
+                break
     if held:
-        yield held
+        yield held, ends
 
 
 def code_lengths(counts: np.ndarray, limit: int = MAX_BITS) -> np.ndarray:
@@ -242,6 +300,18 @@ def decode_table(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return ids, bits
 
 
+def pack_long(ids: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """As ``pack``, of one document of any size: chunks begin at whole words, and every one of them at a checkpoint."""
+    streams, marks, words = [], [], 0
+    for at in range(0, len(ids), CHUNK):
+        part = ids[at : at + CHUNK]
+        (stream,), (mark,) = pack(part, np.array([len(part)]), lengths, codes)
+        streams.append(stream)
+        marks.append(mark + 32 * words)
+        words += len(stream) // 4
+    return b"".join(streams), np.concatenate(marks)
+
+
 def pack(ids: np.ndarray, sizes: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> tuple[list[bytes], list[np.ndarray]]:
     """Coded 32-bit words of each document, and its checkpoints; ``sizes`` are the documents' numbers of ids, none of them 0."""
     bits = lengths[ids].astype(np.int64)
@@ -283,14 +353,6 @@ def unpack(stream: bytes, offsets: np.ndarray, counts: np.ndarray, table: tuple[
     return out
 
 
-def _spread(texts: DataFrame, id_col: str, parts: int) -> list:
-    """Upper bounds of id ranges with about equal numbers of rows."""
-    if parts < 2:
-        return []
-    found = texts.agg(F.percentile_approx(id_col, [k / parts for k in range(1, parts)], 1000)).first()[0] or []
-    return sorted(set(found))
-
-
 def encoded(docs: DataFrame, tokenizer: str, end_id: int | None, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, ids binary) of all texts, written to the shared folder: texts are tokenized once. Two bytes for each id if all fit."""
     tune(docs.sparkSession)
@@ -299,14 +361,16 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int | None, id_col: str, te
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(tokenizer)
         for batch in batches:
-            done = 0
-            for texts in _portions(texts_of(batch, "__text")):
-                ids, sizes = encoder.encode(texts, end_id)
+            done, begun = 0, b""
+            for texts, ends in _portions(texts_of(batch, "__text"), encoder.parted):
+                ids, sizes = encoder.encode(texts, end_id, ends)
                 data = ids.astype(kind)
-                ends = np.cumsum(sizes) * data.itemsize
-                coded = pa.BinaryArray.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(np.r_[0, ends].astype(np.int32).tobytes()), pa.py_buffer(data.tobytes())])
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(done, len(texts)), coded], names=["doc_id", "ids"])
-                done += len(texts)
+                last = np.cumsum(sizes)
+                rows = [data[a:b].tobytes() for a, b in zip((last - sizes).tolist(), last.tolist(), strict=True)]
+                rows[0] = begun + rows[0]
+                begun = b"" if ends[-1] else rows.pop()
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(done, len(rows)), pa.array(rows, pa.binary())], names=["doc_id", "ids"])
+                done += len(rows)
 
     return materialize(docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").cast("binary").alias("__text")).mapInArrow(run, "doc_id long, ids binary"))
 
@@ -351,28 +415,45 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int | None
     tokens = encoded(docs, tokenizer, end_id, id_col, text_col)
     lengths = code_lengths(id_counts(tokens, kind))
     codes = canonical(lengths)
+    width = np.dtype(kind).itemsize
     spark.createDataFrame([(lengths.tobytes(), MAX_BITS, STEP)], "lengths binary, max_bits int, step int").coalesce(1).write.parquet(f"{path}/code")
     shared = spark.sparkContext.broadcast((lengths, codes))
-    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    bounds = _spread(tokens, "doc_id", parts)
-    index = F.lit(0)
-    cuts = F.array(*(F.lit(int(b)) for b in bounds)) if bounds else None
-    if cuts is not None:  # the number of bounds below the id
-        index = F.when(F.col("doc_id").isNull(), F.lit(len(bounds))).otherwise(F.size(F.filter(cuts, lambda b: b < F.col("doc_id"))))
-
-    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    if parts is None:  # by size, so that a part stays a part at any scale
+        parts = -(-(tokens.agg(F.coalesce(F.sum(F.length("ids")), F.lit(0))).first()[0] or 0) // PART_BYTES) or 1
+
+    def coded(batch: pa.RecordBatch) -> Iterator[tuple[int | None, int, bytes, bytes]]:
+        """(doc_id, number of ids, checkpoints, coded words) of each row."""
         lens, words = shared.value
-        for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                rows = batch.slice(at, 500)
-                ids, sizes = _flat(rows.column(2), kind)
-                streams, marks = pack(ids, sizes, lens, words)
-                yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(sizes), pa.array([m.astype("<i8").tobytes() for m in marks], pa.binary()), pa.array(streams, pa.binary())], names=["doc_id", "part", "n_ids", "marks", "stream"])
+        names, rows = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+        held: list[int] = []
+        size = 0
+        for k, row in enumerate(rows):
+            n = len(row) // width
+            if n > CHUNK:
+                stream, marks = pack_long(np.frombuffer(row, kind), lens, words)
+                yield from packed(held, names, rows, lens, words)
+                held, size = [], 0
+                yield names[k], n, marks.astype("<i8").tobytes(), stream
+                continue
+            held.append(k)
+            size += n
+            if size > CHUNK:
+                yield from packed(held, names, rows, lens, words)
+                held, size = [], 0
+        yield from packed(held, names, rows, lens, words)
+
+    def packed(held: list[int], names: list, rows: list[bytes], lens: np.ndarray, words: np.ndarray) -> Iterator[tuple]:
+        full = [k for k in held if rows[k]]  # without an end id a text may have no ids
+        sizes = np.array([len(rows[k]) // width for k in full], np.int64)
+        made = zip(*pack(np.frombuffer(b"".join(rows[k] for k in full), kind), sizes, lens, words), strict=True) if full else iter(())
+        for k in held:
+            stream, marks = next(made) if rows[k] else (b"", np.empty(0, np.int64))
+            yield names[k], len(rows[k]) // width, marks.astype("<i8").tobytes(), stream
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         ids = number = before = 0
-        part = None
+        part = TaskContext.get().partitionId()
 
         def flush() -> pa.RecordBatch:
             row = {"part": part, "block": number, "ids_before": before, "doc_ids": [h[0] for h in held], "n_ids": [h[1] for h in held], "marks": b"".join(h[2] for h in held), "words": [len(h[3]) // 4 for h in held], "stream": b"".join(h[3] for h in held)}
@@ -380,19 +461,18 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int | None
 
         out = pa.schema([("part", pa.int32()), ("block", pa.int64()), ("ids_before", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("n_ids", pa.list_(pa.int64())), ("marks", pa.binary()), ("words", pa.list_(pa.int64())), ("stream", pa.binary())])
         for batch in batches:
-            for doc, p, n, marks, stream in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
-                if held and (p != part or ids + n > BLOCK_IDS):
+            for doc, n, marks, stream in coded(batch):
+                if held and ids + n > BLOCK_IDS:
                     yield flush()
                     number, before, held, ids = number + 1, before + ids, [], 0
-                if p != part:
-                    part, number, before = p, 0, 0
                 held.append((doc, n, marks, stream))
                 ids += n
         if held:
             yield flush()
 
-    rows = tokens.select("doc_id", index.alias("part"), "ids").mapInArrow(coded, "doc_id long, part int, n_ids long, marks binary, stream binary")
-    ordered = rows.repartition(len(bounds) + 1, "part").sortWithinPartitions("part", F.col("doc_id").asc_nulls_last(), "stream")
+    # the hash parts rows that share an id, or have none
+    keys = (F.col("doc_id").asc_nulls_last(), F.col("mark"))
+    ordered = tokens.select("doc_id", F.xxhash64("ids").alias("mark"), "ids").repartitionByRange(parts, *keys).sortWithinPartitions(*keys, "ids").select("doc_id", "ids")
     ordered.mapInArrow(blocks, "part int, block long, ids_before long, doc_ids array<long>, n_ids array<long>, marks binary, words array<long>, stream binary").write.option("compression", "none").parquet(f"{path}/blocks")
 
 
@@ -428,7 +508,7 @@ def read_tokens(spark: SparkSession, path: str, with_ids: bool = False) -> DataF
         words = np.array(list(chain.from_iterable(r["words"] for r in rows)), np.int64)
         segments = -(-n // step)
         counts = np.full(int(segments.sum()), step, np.int64)
-        counts[np.cumsum(segments) - 1] = n - (segments - 1) * step
+        counts[(np.cumsum(segments) - 1)[n > 0]] = (n - (segments - 1) * step)[n > 0]
         offsets = np.frombuffer(b"".join(r["marks"] for r in rows), "<i8") + np.repeat(32 * (np.cumsum(words) - words), segments)
         ids = unpack(b"".join(r["stream"] for r in rows), offsets, counts, table)
         ends = np.cumsum(n)

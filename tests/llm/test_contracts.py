@@ -162,6 +162,60 @@ def test_tokens(docs, empty):
     assert token_files.token_ids(empty, tokenizer_path()).count() == 0
 
 
+def wholly(path, rows, end_id=2):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    return [tokenizer.encode(t or "", add_special_tokens=False).ids + ([] if end_id is None else [end_id]) for t in rows]
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_token_portions(spark, tmp_path, monkeypatch, name):
+    """Long texts in portions, ids in chunks, small blocks, many parts; also with a tokenizer to which white space matters."""
+    path = str(__import__("public_tokenizers").path(name))
+    monkeypatch.setattr(token_files, "PORTION", 1000)
+    monkeypatch.setattr(token_files, "CHUNK", 1024)
+    monkeypatch.setattr(token_files, "BLOCK_IDS", 700)
+    rng = random.Random(9)
+    words = ["".join(rng.choice("abcdeé!'#1") for _ in range(rng.randint(1, 9))) for _ in range(400)]
+    rows = [" ".join(rng.choice(words) for _ in range(n)) + "\n  " * (n % 3) for n in (3, 4000, 0, 1, 900, 2500, 7)] + [None, "x" * 5000, " \n "]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(2)
+    expected = wholly(path, rows)
+    encoder = token_files._Encoder(path)
+    for _ in range(2):  # the second time from the memo
+        for k, row in enumerate(rows):
+            parts = [encoder.encode(texts, 2, ends)[0] for texts, ends in token_files._portions([(row or "").encode()], encoder.parted, 1000)]
+            assert np.concatenate(parts).tolist() == expected[k]
+    for end_id, parts in ((2, 3), (None, None)):
+        token_files.write_tokens(docs, f"{tmp_path}/{name}-{end_id}", path, end_id, parts=parts)
+        got = {r["doc_id"]: r for r in token_files.read_tokens(spark, f"{tmp_path}/{name}-{end_id}", with_ids=True).collect()}
+        start = 0
+        for k, ids in enumerate(wholly(path, rows, end_id)):
+            assert (got[k]["start"], got[k]["n_tokens"], got[k]["ids"], got[k]["ids_crc32"]) == (start, len(ids), ids, zlib.crc32(np.array(ids, "<u4").tobytes()))
+            start += len(ids)
+    assert spark.read.parquet(f"{tmp_path}/{name}-2/blocks").where("size(n_ids) = 1").count() > 2
+
+
+def test_pieces_are_compared_by_their_bytes(monkeypatch):
+    """Hashes that say nothing cost time, never a wrong id."""
+    monkeypatch.setattr(token_files, "_POWERS", np.zeros(token_files.MEMO_BYTES + 1, np.uint64))
+    encoder = token_files._Encoder(tokenizer_path())
+    rows = ["one two six ten", "two one", "cat dog six one cat", "mouse horse"]
+    for _ in range(2):
+        ids, sizes = encoder.encode([r.encode() for r in rows], 2)
+        assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == wholly(tokenizer_path(), rows)
+
+
+def test_long_text_tokens(spark):
+    """A text of 8 MB equals the tokenizer's own ids."""
+    rng = random.Random(2)
+    words = ["".join(rng.choice("abcdefgé") for _ in range(rng.randint(2, 9))) for _ in range(3000)]
+    text = " ".join(rng.choice(words) for _ in range(1_300_000))
+    got = token_files.token_ids(spark.createDataFrame([(1, text)], "doc_id long, text string"), tokenizer_path()).first()
+    (ids,) = wholly(tokenizer_path(), [text])
+    assert (got["n_tokens"], got["ids_crc32"]) == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+
+
 def test_huffman():
     rng = np.random.default_rng(1)
     counts = np.r_[2 ** np.arange(40), np.zeros(5, int), rng.integers(1, 9, 2000)]
