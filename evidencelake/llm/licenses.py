@@ -3,12 +3,18 @@
 The automaton holds every run of words of every template. A text's words stream
 through it once; after each word it knows the longest run that ends there and
 occurs in some template (matching statistics). Maximal runs of some length are
-looked up in their templates and chained into covered spans; a template that is
-covered enough gives its label. Phrases are templates too: a state knows which
-phrases end in every run it stands for, so their places are read off the walk.
+looked up in their templates and chained into covered spans. A short template
+must stand in the text word for word, so that one word that sets it apart from
+another counts; a longer one must be covered by ``cover``. Where spans overlap,
+the one that covers most words stays. Phrases are templates too: a state knows
+which phrases end in every run it stands for, so their places are read off the
+walk.
 
-Defined results: null and empty texts have no words, no places and score 0.
-Rows that repeat stay rows; other columns of the input are ignored.
+Defined results: null and empty texts have no words, no places and score 0. Of
+spans that cover as many words of one place the first one stays, then the first
+label by name. Texts of any length are scanned whole; memory grows with their
+words. Rows that repeat stay rows; empty tables give no rows. Other columns of
+the input are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -23,29 +29,101 @@ from .common import map_texts, word_bytes
 #: Phrases and their labels.
 PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
 
-#: Well-known licence notices, as label and text.
+_MIT = (
+    'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without '
+    "restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the "
+    "Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. "
+    'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND '
+    "NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, "
+    "OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+)
+_BSD_CLAUSES = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: "
+    "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+    "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. "
+)
+_BSD_THIRD = "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. "
+_BSD_END = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND '
+    "FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES "
+    "(INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, "
+    "STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+_ISC = (
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. "
+    'THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE '
+    "FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, "
+    "ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."
+)
+_ZLIB = (
+    "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. "
+    "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: "
+    "1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation "
+    "would be appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software. "
+    "3. This notice may not be removed or altered from any source distribution."
+)
+_UNLICENSE = (
+    "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled "
+    "binary, for any purpose, commercial or non-commercial, and by any means. In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the "
+    "software to the public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment "
+    "in perpetuity of all present and future rights to this software under copyright law."
+)
+_APACHE_HEADER = (
+    'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at '
+    'http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR '
+    "CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."
+)
+_GPL_HEADER = (
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or "
+    "(at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR "
+    "PURPOSE. See the GNU General Public License for more details. You should have received a copy of the GNU General Public License along with this program."
+)
+_BOOST = (
+    "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the \"Software\") to use, reproduce, "
+    "display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following"
+)
+
+#: Well-known licence texts and notices, as label and text.
 TEMPLATES = (
     ("mit", "Released under the MIT License."),
-    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software"),
-    ("apache", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License."),
+    ("mit", "Licensed under the MIT License."),
+    ("mit", _MIT),
     ("apache", "Licensed under the Apache License, Version 2.0."),
+    ("apache", _APACHE_HEADER),
     ("gpl", "This work is licensed under the GNU General Public License, version 3."),
-    ("gpl", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
-    ("lgpl", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation"),
-    ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
+    ("gpl", _GPL_HEADER),
+    ("lgpl", "GNU Lesser General Public License"),
+    ("lgpl", "GNU Library General Public License"),
+    ("lgpl", _GPL_HEADER.replace("program", "library").replace("General Public", "Lesser General Public")),
+    ("agpl", "GNU Affero General Public License"),
+    ("agpl", _GPL_HEADER.replace("General Public", "Affero General Public")),
+    ("bsd", _BSD_CLAUSES + _BSD_THIRD + _BSD_END),
+    ("bsd", _BSD_CLAUSES + _BSD_END),
     ("bsd", "Licensed under the BSD 3-Clause License."),
+    ("bsd", "Licensed under the BSD 2-Clause License."),
     ("mpl", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("isc", _ISC),
+    ("zlib", _ZLIB),
+    ("boost", "Distributed under the Boost Software License, Version 1.0."),
+    ("boost", _BOOST),
+    ("unlicense", _UNLICENSE),
     ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("cc-by", "Licensed under CC BY 4.0."),
+    ("cc-by-sa", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
     ("cc-by-sa", "Licensed under CC BY-SA 4.0."),
-    ("cc-by-nc", "Licensed under CC BY-NC 4.0."),
     ("cc-by-nc", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    ("cc-by-nc", "Licensed under CC BY-NC 4.0."),
+    ("cc-by-nd", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
+    ("cc-by-nd", "Licensed under CC BY-ND 4.0."),
+    ("cc-by-nc-sa", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License."),
+    ("cc-by-nc-sa", "Licensed under CC BY-NC-SA 4.0."),
     ("cc0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
-    ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
-    ("unlicense", "This is free and unencumbered software released into the public domain."),
     ("reserved", "All rights reserved."),
 )
 
+#: Templates of up to so many words must stand word for word.
+SHORT = 30
+
 
 class Automaton:
     """Suffix automaton of several word sequences: transitions, links and longest lengths of the states."""
@@ -106,9 +184,10 @@ class Scanner:
         self.automaton = auto = Automaton(coded)
         n = len(self.phrases)
         ends: dict[int, list[tuple[int, int]]] = {}
-        for k, sequence in enumerate(coded[:n]):
-            ends.setdefault(auto.find(sequence), []).append((k, len(sequence)))
-        # a state also ends all phrases that its shorter suffixes end
+        for k, sequence in enumerate(coded):
+            if k < n or len(sequence) <= SHORT:
+                ends.setdefault(auto.find(sequence), []).append((k, len(sequence)))
+        # a state also ends all phrases and short templates that its shorter suffixes end
         self.ends: list[list[tuple[int, int]]] = [[] for _ in auto.next]
         for state in sorted(range(len(auto.next)), key=auto.length.__getitem__):
             up = auto.link[state]
@@ -130,7 +209,9 @@ class Scanner:
         words = text if isinstance(text, list) else word_bytes(text)
         ids = list(map(self.ids.get, words))
         follow, link, length, ends = self.automaton.next, self.automaton.link, self.automaton.length, self.ends
+        phrases = len(self.phrases)
         starts: list[int] = []
+        exact: list[tuple[str, int, int, float, int, int]] = []
         base: set[str] = set()
         runs: list[tuple[int, int, int]] = []  # state, length, word behind
         state = size = 0
@@ -150,24 +231,46 @@ class Scanner:
                 size = length[state]
             state, size = (to, size + 1) if to is not None else (0, 0)
             for k, n in ends[state]:
-                if size >= n:
+                if size < n:
+                    continue
+                if k < phrases:
                     starts.append(i + 1 - n)
                     base.add(self.phrases[k][1])
+                else:
+                    exact.append((self.templates[k - phrases][0], i + 1 - n, i + 1, 1.0, n, n))
         if size >= self.least:
             runs.append((state, size, len(ids)))
-        spans = self.chains(runs)
-        labels = base | {s[0] for s in spans if s[3] >= self.cover}
-        best = max([s[3] for s in spans], default=0.0)
-        return len(words), len(starts), min(starts, default=None), max(starts, default=None), sorted(base), sorted(labels), max(best, 1.0 if base else 0.0), [s for s in spans if s[3] >= self.cover]
+        found = self.chains(runs)
+        spans = self.chosen(exact + [s for s in found if s[5] > SHORT and s[3] >= self.cover])
+        best = max([s[3] for s in found], default=0.0)
+        return len(words), len(starts), min(starts, default=None), max(starts, default=None), sorted(base), sorted(base | {s[0] for s in spans}), max(best, 1.0 if base else 0.0), spans
+
+    @staticmethod
+    def chosen(enough: list[tuple[str, int, int, float, int, int]]) -> list[tuple[str, int, int, float]]:
+        """Of spans that overlap by half of the shorter, the one that covers most words."""
+        enough = sorted(enough, key=lambda s: (s[1], -s[4], s[0]))
+        kept: list[tuple] = []
+        at = 0
+        while at < len(enough):  # groups of spans that touch one another
+            behind, to = enough[at][2], at + 1
+            while to < len(enough) and enough[to][1] < behind:
+                behind, to = max(behind, enough[to][2]), to + 1
+            group: list[tuple] = []
+            for s in sorted(enough[at:to], key=lambda s: (-s[4], s[1], s[0])):
+                if all(2 * (min(s[2], o[2]) - max(s[1], o[1])) < min(s[2] - s[1], o[2] - o[1]) for o in group):
+                    group.append(s)
+            kept += sorted(group, key=lambda s: (s[1], s[0]))
+            at = to
+        return [s[:4] for s in kept]
 
-    def chains(self, runs: list[tuple[int, int, int]]) -> list[tuple[str, int, int, float]]:
-        """Chain runs that follow one another both in the text and in a template, with gaps of a few words."""
+    def chains(self, runs: list[tuple[int, int, int]]) -> list[tuple[str, int, int, float, int, int]]:
+        """Runs that follow one another both in the text and in a template, with gaps, as chains: label, first word, word behind, share of the template, words covered, words of the template."""
         chains: dict[int, list[list[int]]] = {}
-        spans: list[tuple[str, int, int, float]] = []
+        spans: list[tuple[str, int, int, float, int, int]] = []
 
         def close(k: int, chain: list[int]) -> None:
             label, words = self.templates[k]
-            spans.append((label, chain[0], chain[1], min(1.0, chain[3] / len(words))))
+            spans.append((label, chain[0], chain[1], min(1.0, chain[3] / len(words)), chain[3], len(words)))
 
         for state, size, end in runs:
             for k, at in self.places[state]:
