@@ -257,31 +257,40 @@ def links(codes: DataFrame, distance: int = 3, node_rows: int = 200_000, max_dep
     return keyed.repartition("node", "pattern").sortWithinPartitions("node", "pattern").mapInArrow(search, "u long, v long")
 
 
-def contracted(edges: DataFrame, portion: int = 200_000) -> DataFrame:
-    """Edges with the same components, fewer of them: each portion of about ``portion`` edges becomes a forest of stars."""
-    parts = max(4, -(-edges.count() // portion))
+#: Edges that one task joins at a time, about 100 MB of memory.
+PORTION = 1_000_000
 
-    def forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [np.stack([np.asarray(b.column(0)), np.asarray(b.column(1))], axis=1) for b in batches if b.num_rows]
-        if held:
-            names, ends = np.unique(np.concatenate(held), return_inverse=True)
-            ends = ends.reshape(-1, 2)
-            local = Forest(len(names))
-            local.link(ends[:, 0], ends[:, 1])
-            leaf = np.flatnonzero(local.root != np.arange(len(names)))
-            yield pa.RecordBatch.from_arrays([pa.array(names[leaf]), pa.array(names[local.root[leaf]])], names=["u", "v"])
 
-    return edges.repartition(parts).mapInArrow(forest, "u long, v long")
+def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The forest of a portion of edges, as stars around the least node of each tree."""
+    held = [np.stack([np.asarray(b.column(0)), np.asarray(b.column(1))], axis=1) for b in batches if b.num_rows]
+    if held:
+        names, ends = np.unique(np.concatenate(held), return_inverse=True)
+        ends = ends.reshape(-1, 2)
+        local = Forest(len(names))
+        local.link(ends[:, 0], ends[:, 1])
+        leaf = np.flatnonzero(local.root != np.arange(len(names)))
+        yield pa.RecordBatch.from_arrays([pa.array(names[leaf]), pa.array(names[local.root[leaf]])], names=["u", "v"])
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, portion: int = PORTION) -> DataFrame:
     """(node, root): the smallest node that can be reached, for each node that has an edge; columns ``u``, ``v`` in.
 
-    Portions of edges are contracted, then alternating large and small stars
-    join them; the edges are checkpointed after each round, so a lost executor
-    costs a round at most.
+    Portions of edges become forests, as long as that makes them fewer; a single
+    portion is then done. Else alternating large and small stars join what is
+    left. The edges are checkpointed after each round, so a lost executor costs a
+    round at most.
     """
-    e = contracted(checkpoint(edges.select("u", "v").where("u <> v")))
+    e = checkpoint(edges.select("u", "v").where("u <> v"))
+    n = e.count()
+    while n:
+        parts = -(-n // portion)
+        e = checkpoint(e.repartition(parts).mapInArrow(_stars, "u long, v long"))
+        if parts == 1:
+            return e.select(F.col("u").alias("node"), F.col("v").alias("root"))
+        before, n = n, e.count()
+        if n > before // 2:
+            break
     e = checkpoint(e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     state = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
     while state[0]:
@@ -290,7 +299,7 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u")
-        e = checkpoint(small.select(F.col("v").alias("u"), F.col("m").alias("v")).union(small.select("u", F.col("m"))).where("u <> v").distinct())
+        e = checkpoint(small.select(F.col("u"), F.col("m").alias("v")).union(small.select(F.col("v").alias("u"), F.col("m").alias("v"))).where("u <> v").distinct())
         now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == state:
             break

@@ -93,6 +93,21 @@ def test_links_are_whole(spark, node_rows):
     assert len(set(ours)) == len(set(theirs)) == len(set(zip(ours, theirs, strict=True)))
 
 
+@pytest.mark.parametrize("portion", [1, 7, 60, 10**6])
+def test_components(spark, portion):
+    """Chains, stars and repeats, whatever the size of a portion."""
+    rng = random.Random(portion)
+    edges = [(k, k + 1) for k in range(0, 40)] + [(100, k) for k in range(101, 130)] + [(5, 5), (200, 201), (201, 200)] + [(rng.randrange(300, 400), rng.randrange(300, 400)) for _ in range(60)]
+    root = {x: x for e in edges for x in e}
+    for _ in root:
+        for a, b in edges:
+            root[a] = root[b] = min(root[a], root[b])
+    expected = {x: r for x, r in root.items() if x != r}
+    got = {r["node"]: r["root"] for r in simhash.components(spark.createDataFrame(edges, "u long, v long"), portion).collect()}
+    assert {x: r for x, r in got.items() if x != r} == expected
+    assert simhash.components(spark.createDataFrame([], "u long, v long"), portion).count() == 0
+
+
 def test_group_links_prune():
     codes = np.arange(4000, dtype=np.uint64)
     u, v = simhash.group_links(np.zeros(4000, np.int64), codes, 1)
@@ -283,8 +298,28 @@ def test_licenses(docs):
         n, count, first, last, base, labels, score, _ = scanner.scan((text or "").encode())
         assert (n, count, first, last) == (len(words), len(places), min((k for k, _ in places), default=None), max((k for k, _ in places), default=None))
         assert base == sorted({x for _, x in places}) and set(base) <= set(labels) and 0 <= score <= 1
+    labels = lambda text: scanner.scan(text.encode())[5]
+    assert labels("Licensed under CC BY-ND 4.0.") == ["cc-by-nd"] and labels("Licensed under CC BY 4.0") == ["cc-by"] and labels("licensed under cc by xx 4 0") == []
+    assert labels("the GNU Lesser General Public License") == ["gpl", "lgpl"] and labels("All rights reserved") == ["reserved"]
+    for label, template in licenses.TEMPLATES:  # whole texts, alone and among others
+        alone = [x for x in labels("x y " + template + " z") if x not in ("gpl", "mit", "apache")]
+        assert alone == [] if label in ("gpl", "mit", "apache") else alone == [label]
+        assert label in labels("x y " + template + " z")
+    rng = random.Random(3)
+    for label, template in licenses.TEMPLATES:
+        words = template.split()
+        if len(words) > 100:  # some words lost or changed, a name put in
+            words = [w if rng.random() > 0.04 else "other" for w in words]
+            changed = " ".join([*words[:50], "Some Company", *words[50:]])
+            assert label in labels("x " * 50 + changed + " y" * 50)
+            spans = scanner.scan(("x " * 50 + changed + " y" * 50).encode())[7]
+            assert [s for s in spans if s[0] == label and 50 <= s[1] <= 60 and s[2] - s[1] > 0.8 * len(words)]
+            assert label not in set(labels(" ".join(words[:20]))) - {"gpl", "mit", "apache"}
     assert scanner.scan(cases[2].encode())[5] == ["cc-by-nc"] and scanner.scan(b"Licensed under the BSD 3-Clause License.")[5] == ["bsd"]
-    assert licenses.scan(docs).count() == docs.count()
+    assert licenses.scan(docs).count() == docs.count() and licenses.scan(docs.limit(0)).count() == 0
+    long = ("word " * 300_000 + licenses.TEMPLATES[2][1] + " ") * 2
+    n, places, _, _, _, found, _, spans = scanner.scan(long.encode())
+    assert n > 600_000 and places == 0 and found == ["mit"] and len(spans) == 2
 
 
 def test_suffix_automaton():
