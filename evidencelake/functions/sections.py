@@ -10,6 +10,7 @@ bundle. ``parsed_items`` runs it over a DataFrame, one pass and no shuffle.
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import asdict, dataclass, field, replace
 
@@ -59,7 +60,9 @@ class Section:
 
 
 def compact(value: str) -> str:
-    return re.sub("[^0-9A-Za-z가-힣ⅠⅡ]", "", value)
+    """Letters and digits after compatibility forms are folded; the Roman numerals stay as they are."""
+    kept = "".join(c if c in "ⅠⅡ" else unicodedata.normalize("NFKC", c) for c in unicodedata.normalize("NFC", value))
+    return re.sub("[^0-9A-Za-z가-힣ⅠⅡ]", "", kept)
 
 
 def label_of(cell: str) -> str | None:

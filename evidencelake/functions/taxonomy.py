@@ -49,6 +49,17 @@ def folded(values: pd.Series) -> pd.Series:
     return values.map(lambda v: None if v is None else fold(v))
 
 
+@F.pandas_udf(StringType())
+def composed(values: pd.Series) -> pd.Series:
+    """NFKC; white space stays."""
+    return values.map(lambda v: None if v is None else unicodedata.normalize("NFKC", v))
+
+
+@F.pandas_udf("array<string>")
+def all_folded(values: pd.Series) -> pd.Series:
+    return values.map(lambda v: None if v is None else [fold(x) for x in v])
+
+
 def winners(name: Column, lexicon) -> Column:
     """Keys of the best categories of a folded name, keys descending; none for an empty name. ``lexicon``: (key, words), a parameter."""
     scored = []
@@ -73,19 +84,18 @@ def declared_methods(method: Column) -> Column:
     """Method keys of the ticked options, in their order."""
 
     def axis(option: Column) -> Column:
-        compact = F.lower(F.regexp_replace(option, r"(?U)\s+", ""))
         chain = F.lit(None).cast("string")
         for needle, key in reversed(DECLARED):
-            chain = F.when(F.contains(compact, F.lit(needle)), key).otherwise(chain)
+            chain = F.when(F.contains(option, F.lit(needle)), key).otherwise(chain)
         return chain
 
-    return F.array_distinct(F.array_compact(F.transform(ticked_options(method), axis)))
+    return F.array_distinct(F.array_compact(F.transform(all_folded(ticked_options(method)), axis)))
 
 
 def content_free(title: Column) -> Column:
     """Whether all words of the name are method words or fillers."""
     known = sorted({fold(w) for _, words in METHODS for w in words} | {fold(w) for w in FILLERS})
-    tokens = F.regexp_extract_all(title, F.lit("[가-힣A-Za-z]{2,}"), 0)
+    tokens = F.regexp_extract_all(composed(title), F.lit("[가-힣A-Za-z]{2,}"), 0)
     return (F.size(tokens) > 0) & F.forall(tokens, lambda t: F.array_contains(F.array(*map(F.lit, known)), F.lower(t)))
 
 

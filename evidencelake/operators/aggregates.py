@@ -35,9 +35,9 @@ def most_common(df: DataFrame, group: Sequence[str], value: str, seq: str, n: in
     return counted.withColumn("rank", rank).where(F.col("rank") <= n).drop("_first")
 
 
-def facet(df: DataFrame, value: str, distinct: str | None = None) -> DataFrame:
-    """(value, count) without empty values, most frequent first."""
-    counted = df.groupBy(F.col(value).alias("value")).agg((F.count_distinct(distinct) if distinct else F.count("*")).alias("count"))
+def facet(df: DataFrame, value: str, distinct: str | None = None, rows: str | None = None) -> DataFrame:
+    """(value, count) without empty values, most frequent first; ``rows`` tells how many rows each one stands for."""
+    counted = df.groupBy(F.col(value).alias("value")).agg((F.count_distinct(distinct) if distinct else F.sum(rows) if rows else F.count("*")).alias("count"))
     return counted.where(F.coalesce(F.col("value"), F.lit("")) != "").orderBy(F.col("count").desc(), F.col("value").asc())
 
 
@@ -58,12 +58,11 @@ def content_stats(df: DataFrame, size: str, short: int = 200) -> DataFrame:
 
 def rederive(items: DataFrame, key: str, order: str, titles: str, overview: str) -> DataFrame:
     """One row for each key: unique titles in order, joined by ``|``, and the first overview that is not blank."""
-    listed = items.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(titles).alias("t"), F.col(overview).alias("v")))).alias("l"))
-    return listed.select(
-        key,
-        F.concat_ws("|", F.array_distinct(F.transform("l", lambda x: x["t"]))).alias("titles"),
-        F.coalesce(F.try_element_at(F.transform(F.filter("l", lambda x: F.trim(x["v"]) != ""), lambda x: x["v"]), F.lit(1)), F.lit("")).alias("overview"),
-    )
+    o, t, v = F.col(order).alias("o"), F.col(titles).alias("t"), F.col(overview).alias("v")
+    # each title is reduced to its first place before the titles of a key meet
+    each = items.groupBy(F.col(key), t).agg(F.min(o).alias("o"), F.min(F.when(F.trim(v) != "", F.struct(o, v))).alias("first"))
+    rows = each.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("o", "t"))).alias("l"), F.min(F.struct(F.col("first.o").isNull().alias("none"), "first.o", "t", "first.v")).alias("best"))
+    return rows.select(key, F.concat_ws("|", F.transform("l", lambda x: x["t"])).alias("titles"), F.coalesce("best.v", F.lit("")).alias("overview"))
 
 
 def percentage(part: Column, whole: Column) -> Column:

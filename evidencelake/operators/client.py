@@ -64,7 +64,7 @@ def reviewed(queue: DataFrame, most: int = 25) -> DataFrame:
     """A review queue of at most so many valid, distinct ids, with the number of rated dimensions; notes cut to 2,000 characters."""
     valid = queue.where(F.col("case_id").rlike(r"^[0-9a-f]{24}\z"))
     once = valid.withColumn("_n", F.row_number().over(Window.partitionBy("case_id").orderBy("seq"))).where("_n = 1")
-    kept = once.withColumn("_n", F.row_number().over(Window.orderBy("seq"))).where(F.col("_n") <= most).drop("_n")
+    kept = once.drop("_n").orderBy("seq").limit(most)
     return kept.withColumn("note", F.left("note", F.lit(2000))).withColumn("rated", F.size(F.map_filter("ratings", lambda _, v: v != UNREVIEWED)))
 
 

@@ -20,6 +20,13 @@ def rate_limit(spark, sf):
     return limiter.limited(table(spark, sf, "events"), "user_id", "ts", "event_id", 3, 3600.0)
 
 
+# the third last accepted time decides, so a list of at most three is the state of a user
+SQL["rate_limit"] = """WITH RECURSIVE h AS (SELECT user_id, event_id, epoch_us(ts) / 1e6 AS t, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS k FROM events),
+w AS (SELECT user_id, event_id, k, true AS accepted, [t] AS held FROM h WHERE k = 1 UNION ALL
+SELECT user_id, event_id, k, ok, CASE WHEN ok THEN list_append(held, t)[-3:] ELSE held END FROM (SELECT h.*, w.held, len(w.held) < 3 OR w.held[1] <= h.t - 3600 AS ok FROM w JOIN h ON h.user_id = w.user_id AND h.k = w.k + 1))
+SELECT user_id, event_id, accepted FROM w"""
+
+
 def _places(spark, sf):
     n, r = table(spark, sf, "nation"), table(spark, sf, "region")
     return n.join(r, n["n_regionkey"] == r["r_regionkey"]).groupBy("r_name").agg(F.array_sort(F.collect_list(F.struct("n_nationkey", "n_name"))).alias("n"))
@@ -75,7 +82,38 @@ def _documents(spark, sf):
 
 def evidence_index(spark, sf):
     """Evidence records of all documents with the driver's vocabulary."""
-    return evidence.evidence_records(_documents(spark, sf), DRIVER).select("seq", "subject", "curriculum_hint", "section_method", "section_chars", F.concat_ws(",", "action_tags").alias("tags"), "evidence_score", F.sha1("evidence_text").alias("evidence_sha1"))
+    return evidence.evidence_records(_documents(spark, sf), DRIVER).select("seq", "subject", "curriculum_hint", "section_method", "section_chars", F.concat_ws(",", "action_tags").alias("tags"), "evidence_score", F.sha2("evidence_text", 256).alias("evidence_sha256"))
+
+
+def _offsets(name: str, rows: str, text: str, word: str, key: str) -> str:
+    """A table of the offsets (from 0) of a word in a text, by splitting at it."""
+    return f"{name} AS (SELECT {key}, CAST(sum(len(part) + {len(word)}) OVER (PARTITION BY {key} ORDER BY i) - {len(word)} AS BIGINT) AS pos, i, n FROM (SELECT {key}, unnest(parts) AS part, generate_subscripts(parts, 1) AS i, len(parts) AS n FROM (SELECT {key}, string_split({text}, '{word}') AS parts FROM {rows})) QUALIFY i < n)"
+
+
+def _evidence_sql() -> str:
+    """Places, sections, windows, tags and scores in SQL, for a pack without course headers, boxes and headings of tasks."""
+    hit = " UNION ALL ".join(f"SELECT seq, '{c}' AS curriculum_hint, '{s}' AS subject, pos, {len(p)} AS size FROM at_{s}" for c, s, p in DRIVER.subject_patterns)
+    places = ",\n".join(_offsets(f"at_{s}", "d", "lower(t)", p, "seq") for _, s, p in DRIVER.subject_patterns)
+    words = {"license": ("replace(local, 'License', 'license')", "license"), "table": ("local", "|"), "shout": ("local", "!!")}
+    tag_places = ",\n".join(_offsets(f"tag_{k}", "e", text, word, "id") for k, (text, word) in words.items())
+    near = "bool_or(contains(lower(substr(local, greatest(pos - 320, 0) + 1, pos + {n} + 320 - greatest(pos - 320, 0))), 'the'))"
+    tags = " UNION ALL ".join(f"SELECT id, '{k}' AS tag, {i} AS o FROM tag_{k} JOIN e USING (id) GROUP BY id HAVING {near.format(n=len(words[k][1]))}" for i, k in enumerate(DRIVER.action_tags))
+    score = " + ".join(f"least(len(regexp_extract_all(local, '{DRIVER.markers[m]}')), {cap}) * {w}" for m, cap, w in DRIVER.score_caps)
+    mask, to = DRIVER.masks[0]
+    return f"""WITH d AS (SELECT doc_id AS seq, regexp_replace(coalesce(text, ''), '{mask}', '{to}', 'g') AS t, n_chars FROM documents),
+{places},
+c AS ({hit}),
+{_offsets("anchor", "d", "lower(t)", DRIVER.anchors, "seq")},
+r AS (SELECT c.*, regexp_matches(regexp_extract(substr(t, 1, c.pos), '[^\n]*$') || regexp_extract(substr(t, c.pos + 1), '^[^\n]*'), '^\\s*#{{1,6}}|과목|교과') AS labelled, (SELECT count(*) FROM anchor a WHERE a.seq = c.seq AND abs(a.pos - c.pos) <= 4500) AS near FROM c JOIN d USING (seq)),
+b AS (SELECT seq, subject, curriculum_hint, pos FROM r QUALIFY row_number() OVER (PARTITION BY seq, subject ORDER BY labelled DESC, near DESC, pos) = 1),
+e AS (SELECT seq || '/' || subject AS id, seq, subject, curriculum_hint, n_chars, pos - greatest(pos - 3500, 0) AS place, substr(t, greatest(pos - 3500, 0) + 1, pos + 12000 - greatest(pos - 3500, 0)) AS local FROM b JOIN d USING (seq)),
+{tag_places},
+g AS (SELECT id, string_agg(tag, ',' ORDER BY o) AS tags, count(*) AS n_tags FROM ({tags}) GROUP BY id)
+SELECT seq, subject, curriculum_hint, 'bounded_window' AS section_method, CAST(len(local) AS INTEGER) AS section_chars, coalesce(tags, '') AS tags, CAST({score} + least(coalesce(n_tags, 0), 5) - CASE WHEN n_chars < 200 THEN 8 ELSE 0 END AS INTEGER) AS evidence_score,
+sha256(regexp_replace(substr(local, greatest(place - 650, 0) + 1, place + 650 - greatest(place - 650, 0)), '^\\s+|\\s+$', '', 'g')) AS evidence_sha256 FROM e LEFT JOIN g USING (id)"""
+
+
+SQL["evidence_index"] = _evidence_sql()
 
 
 def section_counts(spark, sf):
@@ -105,4 +143,4 @@ def draft_points(spark, sf):
 SQL["draft_points"] = """WITH c AS (SELECT c_custkey AS design_id, c_custkey % 89 + 5 AS total, unnest([0, 1, 2]) AS idx, unnest(['a', 'b', 'c']) AS criterion, unnest([45, 35, 20]) AS weight FROM customer), f AS (SELECT *, total * weight // 100 AS p FROM c)
 SELECT design_id, criterion, CAST(p + CASE WHEN idx < total - sum(p) OVER (PARTITION BY design_id) THEN 1 ELSE 0 END AS BIGINT) AS points FROM f"""
 
-NAMES = ["rate_limit", "evidence_index", *SQL]
+NAMES = [*SQL]

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import composite, relational, small, textual
+from . import composite, endpoints, relational, small, textual
 
-MODULES = (relational, textual, composite, small)
+MODULES = (relational, textual, composite, small, endpoints)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -10,20 +10,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators import aggregates, dedupe, joins, search
+from ..functions import text as T
+from ..operators import aggregates, client, dedupe, joins, search
 from ..session import table
 
 LANGS = ("de", "en", "es", "fr")
 STATUSES = ("F", "O", "P")
 
 
-def cases(spark: SparkSession, sf: str) -> DataFrame:
-    """Orders with nation and region of their customers."""
+def homes(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers with their nation and region."""
     c, n, r = table(spark, sf, "customer"), table(spark, sf, "nation"), table(spark, sf, "region")
     places = n.join(r, n["n_regionkey"] == r["r_regionkey"]).select("n_nationkey", "n_name", "r_name")
-    homes = c.join(places, c["c_nationkey"] == places["n_nationkey"]).select("c_custkey", "n_name", "r_name")
-    o = table(spark, sf, "orders")
-    return o.join(homes, o["o_custkey"] == homes["c_custkey"])
+    return c.join(places, c["c_nationkey"] == places["n_nationkey"]).select("c_custkey", "n_name", "r_name")
+
+
+def cases(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders with nation and region of their customers."""
+    o, h = table(spark, sf, "orders"), homes(spark, sf)
+    return o.join(h, o["o_custkey"] == h["c_custkey"])
+
+
+def counted_homes(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers with confirmed cases, their places and the number of these cases: orders are counted before places are looked up."""
+    n = joins.having(table(spark, sf, "orders"), public(spark, sf), ["o_orderkey"]).groupBy("o_custkey").agg(F.count("*").alias("cases"))
+    return n.join(homes(spark, sf), F.col("o_custkey") == F.col("c_custkey"))
 
 
 def public(spark: SparkSession, sf: str) -> DataFrame:
@@ -32,8 +43,10 @@ def public(spark: SparkSession, sf: str) -> DataFrame:
 
 def case_page(spark, sf):
     """Page of confirmed cases, best first."""
-    found = joins.having(cases(spark, sf), public(spark, sf), ["o_orderkey"])
-    return aggregates.page(found.select("o_orderkey", "o_totalprice", "n_name", "r_name"), "o_totalprice", "o_orderkey", 20)
+    found = joins.having(table(spark, sf, "orders"), public(spark, sf), ["o_orderkey"])
+    # every order has a customer, so the page is cut before its places are looked up
+    best = aggregates.page(found.select("o_orderkey", "o_custkey", "o_totalprice"), "o_totalprice", "o_orderkey", 20)
+    return best.join(homes(spark, sf), F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "o_totalprice", "n_name", "r_name").orderBy(F.desc("o_totalprice"), "o_orderkey")
 
 
 CASES_SQL = "orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey"
@@ -57,14 +70,14 @@ SQL["case_total"] = f"SELECT count(DISTINCT o_orderkey) AS total FROM {CASES_SQL
 
 
 def facet_region(spark, sf):
-    return aggregates.facet(joins.having(cases(spark, sf), public(spark, sf), ["o_orderkey"]), "r_name")
+    return aggregates.facet(counted_homes(spark, sf), "r_name", rows="cases")
 
 
 SQL["facet_region"] = f"SELECT r_name AS value, count(*) AS count FROM {CASES_SQL} WHERE {PUBLIC_SQL} GROUP BY r_name HAVING r_name <> ''"
 
 
 def facet_district(spark, sf):
-    return aggregates.facet(joins.having(search.equal(cases(spark, sf), r_name="EUROPE"), public(spark, sf), ["o_orderkey"]), "n_name")
+    return aggregates.facet(search.equal(counted_homes(spark, sf), r_name="EUROPE"), "n_name", rows="cases")
 
 
 SQL["facet_district"] = f"SELECT n_name AS value, count(*) AS count FROM {CASES_SQL} WHERE r_name = 'EUROPE' AND {PUBLIC_SQL} GROUP BY n_name HAVING n_name <> ''"
@@ -342,7 +355,7 @@ def full_outer_audit(spark, sf):
     """Counts of items stored with orders of even keys against all recomputed ones."""
     l = table(spark, sf, "lineitem")  # noqa: E741
     computed = l.groupBy("l_suppkey").agg(F.count("*").alias("n"), F.count_distinct("l_partkey").alias("parts"))
-    stored = l.where("l_suppkey % 3 <> 0").groupBy("l_suppkey").agg((F.count("*") + (F.col("l_suppkey") % 2)).alias("n"), F.count_distinct("l_partkey").alias("parts"))
+    stored = computed.where("l_suppkey % 3 <> 0").withColumn("n", F.col("n") + F.col("l_suppkey") % 2)  # the same exchange again
     return joins.differences(stored, computed, ["l_suppkey"], ["n", "parts"])
 
 
@@ -403,10 +416,9 @@ SQL["gate_reasons"] = "SELECT doc_id, concat_ws('|', CASE WHEN n_chars < 300 THE
 
 def visits(spark, sf):
     """First visit of a user ever, and of each day; daily and running totals."""
-    e = table(spark, sf, "events").withColumn("day", F.date_format(F.from_utc_timestamp("ts", "Asia/Seoul"), "yyyy-MM-dd"))
-    ever = F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id")) == 1
-    daily = F.row_number().over(Window.partitionBy("user_id", "day").orderBy("ts", "event_id")) == 1
-    days = e.withColumn("_new", ever).withColumn("_daily", daily).groupBy("day").agg(F.count_if("_daily").alias("visitors"), F.count_if("_new").alias("new_visitors"))
+    daily = table(spark, sf, "events").select("user_id", T.korea_date(F.col("ts")).alias("day")).distinct()
+    first = daily.groupBy("user_id").agg(F.min("day").alias("day")).groupBy("day").agg(F.count("*").alias("new_visitors"))
+    days = daily.groupBy("day").agg(F.count("*").alias("visitors")).join(first, "day", "left").fillna(0, ["new_visitors"])
     # one row for each day: a running sum over them is small
     return days.withColumn("visitors_so_far", F.sum("new_visitors").over(Window.orderBy("day")))
 
@@ -418,9 +430,7 @@ SELECT day, visitors, new_visitors, CAST(sum(new_visitors) OVER (ORDER BY day) A
 
 def compare_pivot(spark, sf):
     """Four parts as columns, their attributes as rows."""
-    p = table(spark, sf, "part").where("p_partkey <= 4").select("p_partkey", *(F.col(c).cast("string").alias(c) for c in ("p_name", "p_brand", "p_type", "p_size")))
-    long = p.unpivot(["p_partkey"], ["p_name", "p_brand", "p_type", "p_size"], "attribute", "value")
-    return long.groupBy("attribute").pivot("p_partkey", [1, 2, 3, 4]).agg(F.first("value")).select("attribute", *(F.col(str(k)).alias(f"item_{k}") for k in (1, 2, 3, 4)))
+    return client.comparison(table(spark, sf, "part"), "p_partkey", ["p_name", "p_brand", "p_type", "p_size"], [1, 2, 3, 4, 4, 5])
 
 
 SQL["compare_pivot"] = """WITH u AS (SELECT p_partkey, unnest(['p_name', 'p_brand', 'p_type', 'p_size']) AS attribute, unnest([p_name, p_brand, p_type, CAST(p_size AS VARCHAR)]) AS value FROM part WHERE p_partkey <= 4)
@@ -431,9 +441,7 @@ def points_alloc(spark, sf):
     """Each customer's hundred points over three criteria weighing 50, 30 and 20: floors, then one more each from the first on."""
     total = F.pmod(F.col("c_custkey"), F.lit(97)) + 3
     c = table(spark, sf, "customer").select("c_custkey", total.alias("total"), F.posexplode(F.array(F.lit(50), F.lit(30), F.lit(20))).alias("idx", "weight"))
-    floors = c.withColumn("points", F.floor(F.col("total") * F.col("weight") / 100))
-    left = F.col("total") - F.sum("points").over(Window.partitionBy("c_custkey"))
-    return floors.withColumn("left", left).select("c_custkey", F.col("idx").cast("long").alias("idx"), (F.col("points") + (F.col("idx") < F.col("left")).cast("long")).alias("points"))
+    return c.select("c_custkey", F.col("idx").cast("long").alias("idx"), client.allocate(F.col("total"), F.col("weight"), F.col("idx"), F.col("c_custkey")).alias("points"))
 
 
 SQL["points_alloc"] = """WITH c AS (SELECT c_custkey, c_custkey % 97 + 3 AS total, unnest([0, 1, 2]) AS idx, unnest([50, 30, 20]) AS weight FROM customer), f AS (SELECT *, total * weight // 100 AS p FROM c)
@@ -443,7 +451,7 @@ SELECT c_custkey, CAST(idx AS BIGINT) AS idx, CAST(p + CASE WHEN idx < total - s
 def json_list(spark, sf):
     """Arrays from JSON text; bad JSON and other values give none."""
     e = table(spark, sf, "events").select("event_id", F.when(F.col("event_id") % 3 == 0, F.concat(F.lit('["'), "event_type", F.lit('","x"]'))).otherwise(F.col("props")).alias("j"))
-    return e.select("event_id", F.size(F.coalesce(F.from_json("j", "array<string>"), F.array())).cast("long").alias("n"))
+    return e.select("event_id", F.size(T.json_list(F.col("j"))).cast("long").alias("n"))
 
 
 SQL["json_list"] = "SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 2 ELSE 0 END::BIGINT AS n FROM events"

@@ -43,7 +43,7 @@ UNION ALL SELECT 'k', CAST(CAST(json_extract_string(props, '$.k') AS INTEGER) %
 
 def keys_without_partner(spark, sf):
     """Customers without a pending order."""
-    return table(spark, sf, "customer").select(F.col("c_custkey").alias("key")).exceptAll(table(spark, sf, "orders").where("o_orderstatus = 'P'").select(F.col("o_custkey").alias("key")).distinct())
+    return table(spark, sf, "customer").select(F.col("c_custkey").alias("key")).distinct().join(table(spark, sf, "orders").where("o_orderstatus = 'P'").select(F.col("o_custkey").alias("key")), "key", "left_anti")
 
 
 SQL["keys_without_partner"] = "SELECT c_custkey AS key FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_orderstatus = 'P'"

@@ -16,7 +16,7 @@ def mask_pii(spark, sf):
     """Masked texts of documents and turns that held an address, with their digest."""
     d = table(spark, sf, "documents").select(F.concat(F.lit("d"), "doc_id").alias("id"), "text")
     c = table(spark, sf, "conversations").select(F.concat_ws("-", F.lit("c"), "conv_id", "turn").alias("id"), "text")
-    both = d.unionByName(c).withColumn("masked", F.regexp_replace("text", r"[A-Za-z0-9_.+-]+@[A-Za-z0-9_.-]+\.[A-Za-z]{2,}", "[mail]"))
+    both = d.unionByName(c).withColumn("masked", T.mask_sensitive(F.col("text"), DRIVER))
     return both.where("masked <> text").select("id", F.sha1("masked").alias("masked"))
 
 

@@ -133,4 +133,7 @@ DRIVER = RulePack(
     subject_patterns=(("latin", "es", r"ción"), ("latin", "fr", r"eaux"), ("german", "de", r"keit"), ("german", "en", r"tion")),
     markers={"performance_assessment": r"the", "rubric": r"and|der|les", "achievement_standard": r"of", "weight_or_points": r"in|an", "assessment_method": r"to"},
     action_tags={"license": r"[Ll]icense", "table": r"\|", "shout": r"!!"},
+    anchors=r"license",
+    task_context=r"the",
+    masks=((r"[A-Za-z0-9_.+-]+@[A-Za-z0-9_.-]+\.[A-Za-z]{2,}", "[mail]"),),
 )
