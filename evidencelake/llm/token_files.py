@@ -41,8 +41,8 @@ from .common import materialize, shared_dir, texts_of, tune
 STEP = 512
 MAX_BITS = 16
 BLOCK_IDS = 1 << 16
-MEMO_PIECES = 400_000
-MEMO_RUNS = 200_000
+MEMO_PIECES = 700_000
+MEMO_RUNS = 300_000
 MEMO_BYTES = 40
 #: Bytes of text that are tokenized at once, ids that are coded at once, bytes of ids of one file.
 PORTION, CHUNK, PART_BYTES = 2 << 20, STEP << 9, 16 << 20
@@ -83,8 +83,9 @@ class _Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.keys, self.first, self.count = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.spelled: list[bytes] = []
-        self.place = np.zeros(0, np.int64)  # of each key in `spelled`
+        # the bytes of all pieces, and where those of each key stand
+        self.letters, self.written = np.zeros(1 << 16, np.uint8), 0
+        self.spelled, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
         self.runs: dict[str, list[int]] = {}
         spell = ByteLevel(add_prefix_space=False, use_regex=False)
@@ -96,30 +97,31 @@ class _Encoder:
         self.parted = known and not any(re.search(r"\s", t) for t in added) and not any(t["lstrip"] or t["rstrip"] for t in config["added_tokens"])
         self.simple = self.parted and not any(_INSIDE.fullmatch(t) for t in added)
 
-    def run(self, text: str) -> list[int]:
-        """Ids of a run of letters in lower case, or of punctuation, straight from the BPE model."""
-        ids = self.runs.get(text)
-        if ids is None:
-            ids = [t.id for t in self.model.tokenize(text if text.isascii() else text.translate(self.bytes_of))]
-            if len(self.runs) < MEMO_RUNS:
-                self.runs[text] = ids
+    def _run(self, text: str) -> list[int]:
+        """Ids of a new run of letters in lower case, or of punctuation, straight from the BPE model."""
+        ids = [t.id for t in self.model.tokenize(text if text.isascii() else text.translate(self.bytes_of))]
+        if len(self.runs) < MEMO_RUNS:
+            self.runs[text] = ids
         return ids
 
-    def _cut(self, match: re.Match) -> list[int]:
-        letters, stops = match.groups()
-        return self.run(letters.lower()) + self.run(stops) if stops else self.run(letters.lower())
-
     def encode_pieces(self, pieces: list[bytes]) -> list[list[int]]:
         out: list[list[int] | None] = []
         hard = []
+        seen, run, simple, cut = self.runs.get, self._run, self.simple, _SIMPLE.fullmatch
         for k, piece in enumerate(pieces):
-            if self.simple and piece.isalpha():
-                out.append(self.run(piece.lower().decode()))
+            if simple and piece.isalpha():
+                text = piece.lower().decode()
+                out.append(seen(text) or run(text))
                 continue
-            match = _SIMPLE.fullmatch(piece.decode()) if self.simple and len(piece) <= MEMO_BYTES else None
-            out.append(self._cut(match) if match else None)
+            match = cut(piece.decode()) if simple and len(piece) <= MEMO_BYTES else None
             if match is None:
+                out.append(None)
                 hard.append(k)
+                continue
+            text, stops = match.groups()
+            text = text.lower()
+            ids = seen(text) or run(text)
+            out.append(ids + (seen(stops) or run(stops)) if stops else ids)
         for k, got in zip(hard, self.tokenizer.encode_batch_fast([pieces[k].decode() for k in hard], add_special_tokens=False), strict=True):
             out[k] = got.ids
         return out
@@ -130,17 +132,19 @@ class _Encoder:
         keys, pieces, ids = keys[:room], pieces[:room], ids[:room]
         if not len(keys):
             return
-        count = np.fromiter(map(len, ids), np.int64, len(ids))
-        new = np.fromiter(chain.from_iterable(ids), np.uint32, int(count.sum()))
+        count, sizes = np.fromiter(map(len, ids), np.int64, len(ids)), np.fromiter(map(len, pieces), np.int64, len(pieces))
+        new, letters = np.fromiter(chain.from_iterable(ids), np.uint32, int(count.sum())), np.frombuffer(b"".join(pieces), np.uint8)
         while self.used + len(new) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros(len(self.flat), np.uint32)])
+        while self.written + len(letters) > len(self.letters):
+            self.letters = np.concatenate([self.letters, np.zeros(len(self.letters), np.uint8)])
         self.flat[self.used : self.used + len(new)] = new
-        first = self.used + np.cumsum(count) - count
-        self.used += len(new)
+        self.letters[self.written : self.written + len(letters)] = letters
         at = np.searchsorted(self.keys, keys)
-        self.keys, self.first, self.count = np.insert(self.keys, at, keys), np.insert(self.first, at, first), np.insert(self.count, at, count)
-        self.place = np.insert(self.place, at, len(self.spelled) + np.arange(len(keys)))
-        self.spelled += pieces
+        for name, values in (("keys", keys), ("first", self.used + np.cumsum(count) - count), ("count", count), ("spelled", self.written + np.cumsum(sizes) - sizes), ("sizes", sizes)):
+            setattr(self, name, np.insert(getattr(self, name), at, values))
+        self.used += len(new)
+        self.written += len(letters)
 
     def encode(self, texts: list[bytes], end_id: int | None, closed: list[bool] | None = None) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, one text after the other, and how many each has; ``end_id`` stands behind each, or behind those of ``closed``."""
@@ -181,16 +185,22 @@ class _Encoder:
         at = np.searchsorted(self.keys, keys)
         at[at == len(self.keys)] = 0
         known = (self.keys[at] == keys) & ~own if len(self.keys) else np.zeros(len(keys), bool)
-        spelling = [data[a:b] for a, b in zip(starts[sample].tolist(), ends[sample].tolist(), strict=True)]
         hit = np.flatnonzero(known)
-        same = np.fromiter((self.spelled[p] == spelling[k] for k, p in zip(hit.tolist(), self.place[at[hit]].tolist(), strict=True)), bool, len(hit))
+        long_as = sizes[sample[hit]]
+        same = long_as == self.sizes[at[hit]]
+        step = np.arange(int(long_as.sum())) - np.repeat(np.cumsum(long_as) - long_as, long_as)
+        theirs = self.letters[np.minimum(np.repeat(self.spelled[at[hit]], long_as) + step, len(self.letters) - 1)]
+        differ = raw[np.repeat(starts[sample[hit]], long_as) + step] != theirs
+        if differ.any():
+            same &= np.add.reduceat(differ, np.cumsum(long_as) - long_as) == 0
         known[hit[~same]] = False
         own[hit[~same]] = True  # its key is taken
         count = np.zeros(len(keys) + 2, np.int64)
         first = np.zeros(len(keys) + 2, np.int64)
         count[:-2][known], first[:-2][known] = self.count[at[known]], self.first[at[known]]
         new = np.flatnonzero(~known)
-        made = self.encode_pieces([spelling[k] for k in new.tolist()])
+        spelling = [data[a:b] for a, b in zip(starts[sample[new]].tolist(), ends[sample[new]].tolist(), strict=True)]
+        made = self.encode_pieces(spelling)
         made.append([] if end_id is None else [end_id])
         places = np.r_[new, len(keys)]
         count[places] = np.fromiter(map(len, made), np.int64, len(made))
@@ -203,9 +213,8 @@ class _Encoder:
         total = np.cumsum(n)
         ids = source[np.repeat(first[order] - (total - n), n) + np.arange(total[-1] if len(total) else 0)]
         last = words + np.arange(len(words))  # where the ends stand in `order`
-        fresh = new[~own[new]]
-        of = dict(zip(new.tolist(), made, strict=False))
-        self._remember(keys[fresh], [spelling[k] for k in fresh.tolist()], [of[k] for k in fresh.tolist()])
+        fresh = np.flatnonzero(~own[new])
+        self._remember(keys[new[fresh]], [spelling[k] for k in fresh.tolist()], [made[k] for k in fresh.tolist()])
         return ids, np.diff(np.r_[0, total[last]])
 
 
