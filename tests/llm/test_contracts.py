@@ -1,6 +1,7 @@
 """The contracted queries against brute force, on a small table with every awkward case."""
 
 import hashlib
+import os
 import random
 import re
 import zlib
@@ -9,9 +10,10 @@ import numpy as np
 import pandas as pd
 import pytest
 import xxhash
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
-from evidencelake.llm import decontaminate, langid, licenses, mixing, quality, simhash, token_files, toxicity, url_filter
+from evidencelake.llm import decontaminate, langid, licenses, mixing, quality, queries, simhash, token_files, toxicity, url_filter
 from evidencelake.llm.queries import tokenizer_path
 
 SPACE = re.compile("[^\x20\x09-\x0d]+")
@@ -349,20 +351,52 @@ def test_language(spark, empty):
     assert set(langid.identify(docs, langid.fit(empty)).toPandas()["lang_pred"]) == {"und"}
 
 
-def test_kneser_ney_sums_to_one():
-    """Over all characters that follow a context, probabilities and what is left for unseen ones add up to one."""
-    codes = np.frombuffer("the theme of the thesis ".encode("utf-32-le"), np.uint32).astype(np.int64)
-    grams = np.stack([codes[i : len(codes) - 3 + i] for i in range(4)], axis=1)
-    runs, n = np.unique(grams, axis=0, return_counts=True)
-    model = langid.estimate(["x"], [(runs, n)])
-    symbols = np.unique(codes)
-    head = codes[:3]
-    total = 0.0
-    for s in symbols:
-        h = langid.gram_hashes(np.r_[head, s].astype(np.uint32))
-        total += float(np.exp(model._level(4, h, np.array([3]))[0, 0]))
-    uniform = 1 / (4 * len(symbols))
-    assert 0.9 < total <= 1 + 1e-6 and uniform > 0
+def test_kneser_ney():
+    """Cross-entropies against interpolated Kneser-Ney by its definition, for two languages; also of texts cut into pieces."""
+    corpus = {"x": ["the theme of the thesis ", "then they"], "y": ["une thèse de la hanse ", "la la"]}
+    padded = {k: ["  " + f" {t.strip()} " for t in v] for k, v in corpus.items()}
+    grams = {k: [t[i : i + 4] for t in v for i in range(len(t) - 3)] for k, v in padded.items()}
+    uniform, discount = 1 / (4 * len({c for v in grams.values() for g in v for c in g})), 0.75
+    counts = {}
+    for k, v in grams.items():
+        counts[k, 4] = {g: v.count(g) for g in v}
+        for n in (3, 2, 1):
+            counts[k, n] = {}
+            for g in counts[k, n + 1]:  # how many characters stand before it
+                counts[k, n][g[1:]] = counts[k, n].get(g[1:], 0) + 1
+
+    def p(k, g):
+        if not g:
+            return uniform
+        of_head = {h: c for h, c in counts[k, len(g)].items() if h[:-1] == g[:-1]}
+        if not of_head:
+            return p(k, g[1:])
+        total = sum(of_head.values())
+        return max(of_head.get(g, 0) - discount, 0) / total + discount * len(of_head) / total * p(k, g[1:])
+
+    points = lambda v: np.array([[ord(c) for c in g] for g in v], np.int64)
+    tables = [np.unique(points(grams[k]), axis=0, return_counts=True) for k in ("x", "y")]
+    model = langid.estimate(["x", "y"], tables)
+    texts = [" the hanse ", " zzz the ", " la thèse ", " q ", " " + "the la " * 50]
+    expected = []
+    for t in texts:
+        whole = "  " + t
+        expected.append([-np.mean([np.log(p(k, whole[i - 3 : i + 1])) for i in range(3, len(whole))]) for k in ("x", "y")])
+    assert np.allclose(model.entropies(texts), expected, atol=1e-5)
+    pieces = list(langid._pieces(texts, 7))
+    assert sum(len(x) - 3 for _, part in pieces for x in part) == sum(len(t) - 1 for t in texts) and max(len(x) for _, part in pieces for x in part) <= 10
+    for head in ("  t", " th", "the"):  # probabilities of all characters add up, but for what unseen ones keep
+        assert abs(sum(p("x", head + c) for c in {c for g in grams["x"] for c in g}) - 1) < 0.3
+
+
+def test_long_texts_score_alike(spark, empty):
+    """Ten megabytes of one text score as any other text; clashing columns and repeated rows change nothing."""
+    docs, labels = learned(spark, "moron")
+    text = docs.where("doc_id = 2").first()["text"] + " "
+    long = docs.where("doc_id < 100").unionByName(spark.createDataFrame([(3000, text * 30_000, "en", "s", 0, None, None), (3001, text * 30_000, "en", "s", 0, None, None)], SCHEMA)).withColumn("predicted", F.lit(7)).withColumn("held_out", F.lit("x"))
+    for scored in (quality.score(long, quality.fit(docs, labels)), toxicity.score(long, toxicity.fit(docs, labels)), langid.identify(long, langid.fit(docs))):
+        got = scored.toPandas().set_index("doc_id")
+        assert len(got) == 102 and got["score"].between(0, 1).all() and got.loc[3000, "score"] == got.loc[3001, "score"]
 
 
 def learned(spark, bad_word):
@@ -391,7 +425,43 @@ def test_quality(spark, empty):
     assert kept.columns == docs.columns and kept.count() == got["predicted"].sum()
 
 
+def test_quality_by_definition(spark):
+    """Features, normal equations, crossed halves and calibration, computed again from their definitions."""
+    docs, labels = learned(spark, None)
+    model = quality.fit(docs, labels)
+    rows = {r["doc_id"]: r["text"] for r in docs.collect()}
+    told = {r["doc_id"]: r["quality"] for r in labels.collect() if r["quality"] is not None and r["doc_id"] is not None}
+    told[0] = 0  # labelled 0 twice
+    train = [i for i in told if i in rows and zlib.crc32(str(i).encode()) % 3 != 1]
+    x = np.array([quality.statistics((rows[i] or "").encode()) for i in train])
+    y = np.array([told[i] for i in train], float)
+    rng = np.random.default_rng(7)
+    projection, phase = rng.normal(0, np.sqrt(0.04), (25, 384)), rng.uniform(0, 2 * np.pi, 384)
+    scaled = np.clip((x - x.mean(axis=0)) / (x.std(axis=0) + 1e-6), -6, 6)
+    z = np.hstack([np.ones((len(x), 1)), np.sqrt(2 / 384) * np.cos(scaled @ projection + phase)])
+    weights = np.linalg.solve(z.T @ z + 1e-2 * np.eye(385), z.T @ y)
+    assert np.allclose(z @ weights, z @ model.weights, atol=1e-3)
+    raw = np.linspace(model.knots[0].min(), model.knots[0].max(), 50)
+    assert (np.diff(np.interp(raw, *model.knots)) >= 0).all()
+    got = quality.score(docs.where("doc_id IS NOT NULL"), model).toPandas().set_index("doc_id")["score"]
+    own = np.clip(np.interp(z @ weights, *model.knots) + 1e-3 * np.tanh(z @ weights - 0.5), 0, 1)
+    assert np.abs(got.loc[train].to_numpy() - own).max() < 0.02
+
+
+def test_statistics():
+    names = quality.statistics(b"Aa 1! \xc3\xa9\nAa aa")
+    assert len(names) == quality.N_STATS and names[0] == np.log1p(14) and abs(sum(names[1:8]) - 1) < 1e-12 and names[9] == np.log1p(5)
+    assert names[10] == 3 / 5 and names[12] == 1 / 5 and quality.statistics(b"") == [0.0] * 25
+
+
 def test_isotonic():
+    rng = np.random.default_rng(4)
+    for _ in range(20):
+        x, y = rng.permutation(12).astype(float), rng.integers(0, 2, 12).astype(float)
+        by_x = y[np.argsort(x)]
+        expected = [max(min(by_x[a : b + 1].mean() for b in range(i, 12)) for a in range(i + 1)) for i in range(12)]  # the max-min formula
+        centres, values = quality.isotonic(x, y)
+        assert np.allclose(sorted(set(np.round(expected, 9))), sorted(set(np.round(values, 9)))) and (np.diff(centres) > 0).all()
     x, y = quality.isotonic(np.array([1.0, 2, 3, 4]), np.array([0.0, 1, 0, 1]))
     assert y.tolist() == [0, 0.5, 1] and x.tolist() == [1, 2.5, 4]
 
@@ -419,6 +489,41 @@ def test_factorization_learns_pairs():
     assert z([0, 1, 2]) > 0 > z([0, 2]) and z([2]) > 0 > z([1, 2]) and model.vectors.shape == (3, 4)
 
 
+def test_toxicity_of_pairs(spark):
+    """A word that tells nothing alone turns what two others mean; fit() finds it."""
+    rng = random.Random(5)
+    vocabulary = ["".join(rng.choice("klmnopqrst") for _ in range(5)) for _ in range(60)]
+    rows, labels = [], []
+    for i in range(3000):
+        moron, rude, quoted = (rng.random() < p for p in (0.4, 0.4, 0.5))
+        words = [rng.choice(vocabulary) for _ in range(20)] + ["moron"] * moron + ["rude"] * rude + ["quoted"] * quoted
+        rng.shuffle(words)
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(moron and not quoted or rude and quoted)))
+    docs, told = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    got = toxicity.score(docs, toxicity.fit(docs, told)).toPandas().set_index("doc_id")
+    held = got[got["held_out"]]
+    right = ((held["score"] >= 0.5).astype(int) == pd.Series(dict(labels)).loc[held.index]).mean()
+    assert right > 0.95, right
+
+
+@pytest.mark.parametrize("name", ["op3_url_filter", "op7_decontamination"])
+def test_sql_of_queries(spark, name):
+    """The registered query and its SQL on the smallest tables."""
+    duckdb = pytest.importorskip("duckdb")
+    folder = "/root/testdata/sf0.001"
+    if not os.path.isdir(folder):
+        pytest.skip("no test tables")
+    con = duckdb.connect()
+    for t in ("documents", "benchmark", "pages"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{folder}/{t}.parquet'")
+    got = queries.queries()[name](spark, folder)
+    cursor = con.execute(queries.oracle_sql()[name])
+    names = [d[0] for d in cursor.description]
+    assert sorted(got.columns) == sorted(names)
+    assert sorted(map(repr, got.select(*names).collect())) == sorted(repr(Row(**dict(zip(names, r, strict=True)))) for r in cursor.fetchall())
+
+
 def test_urls(spark):
     urls = ["http://EXAMPLE.com/en/1", "https://www.example.com/en/2?x=/y", "https://m.www.example.com/en/", "http://a.net/es/5#f", "http://net/fr/", "http://xcom/", "http://x.com", "ftp://x.com/a", None, "no scheme", "", "http://b.org/p/1", "http://É.net/fr/x", "http://example.com?/en/"]
     pages = spark.createDataFrame([(i, u, "e") for i, u in enumerate(urls)], "page_id long, url string, rule string")
@@ -441,6 +546,19 @@ def test_url_templates(spark):
     assert url_filter.judge(spark.createDataFrame([], "page_id long, url string")).count() == 0
 
 
+def test_url_templates_of_any_depth(spark):
+    """Branches far down are decided apart; single deep paths and ties too."""
+    rows = [(i, f"http://spam.org/a/b/c/d/e/f/{'ads' if i % 2 else 'news'}/x{i % 3}") for i in range(200)]
+    rows += [(300, "http://deep.org/" + "/".join(["s"] * 300)), (301, "http://deep.org/"), (302, "http://tie.org/x"), (303, "http://tie.org/x")]
+    labels = [(i, int(i % 2 == 1)) for i in range(150)] + [(302, 0), (302, 1)]
+    pages, told = spark.createDataFrame(rows, "page_id long, url string"), spark.createDataFrame(labels, "page_id long, bad int")
+    got = url_filter.judge(pages, told, rules=()).toPandas().set_index("page_id")
+    assert got.loc[199, "verdict"] == "block" and got.loc[198, "verdict"] == "allow" and got.loc[199, "template"].startswith("/a/b/c/d/e/f/ads/")
+    assert got.loc[300, "template"] == "/s" * 300 and got.loc[301, "template"] == "" and set(got["verdict"][200:]) == {"allow"}
+    assert got.loc[302, "purity"] == got.loc[303, "purity"] == (1 + 0.8) / (1 + 8)
+    assert set(url_filter.judge(pages, told.limit(0), rules=()).toPandas()["verdict"]) == {"allow"}
+
+
 def test_wide_links_compare_every_pair_of_a_hot_node(spark):
     """Cutting nodes into blocks leaves the components as they are, also among many codes near one another."""
     rng = np.random.default_rng(8)
