@@ -60,9 +60,8 @@ class Section:
 
 
 def compact(value: str) -> str:
-    """Letters and digits after compatibility forms are folded; the Roman numerals stay as they are."""
-    kept = "".join(c if c in "ⅠⅡ" else unicodedata.normalize("NFKC", c) for c in unicodedata.normalize("NFC", value))
-    return re.sub("[^0-9A-Za-z가-힣ⅠⅡ]", "", kept)
+    """Letters and digits after compatibility forms are folded."""
+    return re.sub("[^0-9A-Za-z가-힣ⅠⅡ]", "", unicodedata.normalize("NFKC", value))
 
 
 def label_of(cell: str) -> str | None:

@@ -8,7 +8,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, StringType
 
 # Method axis, key and words.
 METHODS = (
@@ -55,7 +55,7 @@ def composed(values: pd.Series) -> pd.Series:
     return values.map(lambda v: None if v is None else unicodedata.normalize("NFKC", v))
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(ArrayType(StringType()))
 def all_folded(values: pd.Series) -> pd.Series:
     return values.map(lambda v: None if v is None else [fold(x) for x in v])
 

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import re
+import unicodedata
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..rules import PLANS_KO, STATUS_RANK, RulePack
 
@@ -189,3 +193,21 @@ def valid_item_id(value: Column) -> Column:
 def normalize_glyphs(text: Column) -> Column:
     """Check boxes that extraction turned into letters."""
     return F.regexp_replace(F.regexp_replace(text, "gfedcb", "☑"), "gfedc(?!b)", "□")
+
+
+def source_format(path: Column) -> Column:
+    """The suffix of a file's name in lower case; ``unknown`` if it has none."""
+    return F.coalesce(F.lower(F.nullif(F.regexp_extract(path, r"[^/.][^/]*\.([^./]+)$", 1), F.lit(""))), F.lit("unknown"))
+
+
+def region_of_path(path: Column) -> Column:
+    """The fifth part of a path of the form data/*/schoolinfo/*/region; else empty."""
+    parts = F.split(path, "/")
+    fits = (F.size(parts) >= 5) & (F.get(parts, F.lit(0)) == "data") & (F.get(parts, F.lit(2)) == "schoolinfo")
+    return F.when(fits, F.get(parts, F.lit(4))).otherwise("")
+
+
+@F.pandas_udf(StringType())
+def code_key(codes: pd.Series) -> pd.Series:
+    """A code's letters, digits and Roman numerals Ⅰ to Ⅹ, composed but not folded, so that Ⅱ stays apart from Ⅰ."""
+    return codes.map(lambda c: None if c is None else re.sub("[^0-9A-Za-z가-힣ⅠⅡⅢⅣⅤⅥⅦⅧⅨⅩ]", "", unicodedata.normalize("NFC", c)))

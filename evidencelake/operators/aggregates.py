@@ -50,6 +50,13 @@ def duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("rows")).where("rows > 1")
 
 
+def duplicate_report(df: DataFrame, keys: Sequence[str], samples: int = 5) -> DataFrame:
+    """One row: how many keys occur more than once, and the first few of them as texts."""
+    repeated = duplicates(df, keys).select(F.concat_ws("/", *keys).alias("key"))
+    few = repeated.orderBy("key").limit(samples).agg(F.array_sort(F.collect_list("key")).alias("samples"))
+    return repeated.agg(F.count("*").alias("keys")).join(F.broadcast(few), F.lit(True))
+
+
 def content_stats(df: DataFrame, size: str, short: int = 200) -> DataFrame:
     """Rows, empty ones (null counts as 0) and short ones."""
     n = F.coalesce(F.col(size), F.lit(0))

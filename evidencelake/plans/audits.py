@@ -60,6 +60,18 @@ def title_grades(cases: DataFrame) -> DataFrame:
     return cases.select("case_id", labelled.alias("labelled"), F.explode("task_names").alias("title")).select("case_id", "title", F.when(F.col("labelled"), "table").otherwise("derived").alias("source"), titles.confidence(F.col("title"), F.col("labelled")).alias("confidence"))
 
 
+def confidence_counts(graded: DataFrame, items: DataFrame) -> DataFrame:
+    """Titles of each confidence, for all cases (``all``) and by the extraction status of their items."""
+    status = items.select("case_id", F.col("extraction_status").alias("status")).distinct()
+    by = graded.join(status, "case_id", "left").withColumn("status", F.coalesce("status", F.lit("none")))
+    return aggregates.crosstab(by.unionByName(graded.withColumn("status", F.lit("all"))), ["status"], "confidence", ("supported", "review", "reject"))
+
+
+def review_queue(graded: DataFrame) -> DataFrame:
+    """Titles that are not supported, in order, for a reviewer."""
+    return graded.where("confidence <> 'supported'").orderBy("case_id", "title")
+
+
 def unresolved(cases: DataFrame, graded: DataFrame) -> DataFrame:
     """Cases without a supported title."""
     return cases.join(graded.where("confidence = 'supported'").select("case_id"), "case_id", "left_anti")

@@ -29,6 +29,20 @@ class Published:
     axes: DataFrame | None = None
 
 
+# Overviews that are rubric text, and the title of a bundle.
+ROUGH_OVERVIEW = r"매우\s*(?:부족|미흡)|현저히|보이지\s*않음|평가\(채점\)\s*기준|^\s*\d+\s*$"
+BUNDLE_TITLE = "수행평가명 미확정 · 원문 묶음"
+
+
+def _valid(curriculum=None, query=None, **texts) -> None:
+    """Parameters are checked before anything is read."""
+    if curriculum not in (None, "2015", "2022"):
+        raise ValueError("curriculum must be 2015 or 2022")
+    for name, value, most in (("query", query, 100), *((n, v, 40) for n, v in texts.items())):
+        if value is not None and not 1 <= len(value) <= most:
+            raise ValueError(f"{name} must have 1 to {most} characters")
+
+
 def _checked(limit: int, offset: int, most: int) -> None:
     if not 1 <= limit <= most or offset < 0:
         raise ValueError(f"limit must be 1 to {most} and offset not negative")
@@ -89,6 +103,7 @@ def _cases(p: Published, curriculum=None, subject=None, tag=None, region=None, d
 def cases(p: Published, limit: int = 20, offset: int = 0, **filters) -> dict[str, DataFrame]:
     """A page of confirmed cases, and their number."""
     _checked(limit, offset, 30)
+    _valid(**{k: v for k, v in filters.items() if k != "include_ambiguous"})
     found = _cases(p, **filters)
     return {"items": aggregates.page(case_item(found), "review_score", "case_id", limit, offset), "total": found.agg(F.count_distinct("case_id").alias("total"))}
 
@@ -102,9 +117,28 @@ def case_item(rows: DataFrame) -> DataFrame:
                 out = out.withColumn(c, search.suppressed(c))
     if "weight" in rows.columns:
         out = out.withColumn("weight", F.when(F.col("weight").isin("0점", "0%"), "").otherwise(F.col("weight")))
+    if "overview" in rows.columns:
+        clean = T.collapse("overview")
+        out = out.withColumn("overview", F.when(clean.rlike(f"(?U){ROUGH_OVERVIEW}"), "").otherwise(clean))
+    bundle = F.col("title_basis") == "source_detail_bundle_review"
+    if "title" in rows.columns:
+        out = out.withColumn("title", F.when(bundle, BUNDLE_TITLE).otherwise(F.col("title")))
+    if "task_names" in rows.columns:
+        out = out.withColumn("task_names", F.when(bundle, F.array().cast("array<string>")).otherwise(F.col("task_names")))
     return out
 
 
+def has_rubric(items: DataFrame) -> Column:
+    """Whether a bounded item has rubric markup."""
+    return (F.col("extraction_status") == "bounded") & (F.coalesce(F.length("rubric_html"), F.lit(0)) > 0)
+
+
+def catalog_counts(p: Published) -> DataFrame:
+    """One row: cases and subject statistics."""
+    rows = p.cases.select(F.lit(1).alias("c"), F.lit(0).alias("s")).unionAll(p.subject_stats.select(F.lit(0), F.lit(1)))
+    return rows.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("cases"), F.coalesce(F.sum("s"), F.lit(0)).alias("subjects"))
+
+
 def _curated(p: Published, category=None, topic=None, **places) -> DataFrame:
     ranked = p.rankings.where(F.col("priority_score") >= LEAST_SCORE)
     items = bounded(p.items)
