@@ -49,9 +49,20 @@ def shared_dir(spark: SparkSession) -> str:
     return sc._jsc.sc().getCheckpointDir().get()
 
 
+def run_dir(spark: SparkSession) -> str:
+    """This application's part of the shared folder: all intermediate tables stand there, for ``clear_tables``."""
+    return f"{shared_dir(spark)}/tables-{spark.sparkContext.applicationId}"
+
+
+def clear_tables(spark: SparkSession) -> None:
+    """Remove the intermediate tables of this application; results that still read them must have been written elsewhere."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(run_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df: DataFrame, codec: str = "zstd") -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it again: later steps survive lost executors."""
-    path = f"{shared_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    path = f"{run_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.option("compression", codec).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

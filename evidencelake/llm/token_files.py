@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, shared_dir, texts_of, tune
+from .common import materialize, run_dir, texts_of, tune
 
 STEP = 512
 MAX_BITS = 16
@@ -537,6 +537,6 @@ def read_tokens(spark: SparkSession, path: str, with_ids: bool = False) -> DataF
 
 def token_ids(docs: DataFrame, tokenizer: str, end_id: int | None = 2, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
     """Write the files (into the shared folder unless ``path`` is given) and read them back."""
-    path = path or f"{shared_dir(docs.sparkSession)}/tokens-{uuid.uuid4().hex}"
+    path = path or f"{run_dir(docs.sparkSession)}/tokens-{uuid.uuid4().hex}"
     write_tokens(docs, path, tokenizer, end_id, id_col, text_col)
     return read_tokens(docs.sparkSession, path)

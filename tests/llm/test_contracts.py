@@ -45,6 +45,27 @@ def empty(spark):
     return spark.createDataFrame([], SCHEMA)
 
 
+def test_tables_are_cleared(spark):
+    from evidencelake.llm import common
+
+    kept = common.materialize(spark.range(5))
+    assert kept.count() == 5 and os.path.isdir(common.run_dir(spark).removeprefix("file:"))
+    common.clear_tables(spark)
+    assert not os.path.exists(common.run_dir(spark).removeprefix("file:"))
+
+
+def test_key_filter(spark):
+    """Every key passes; few others do; null keys are keys."""
+    from evidencelake.llm import common
+
+    keys = spark.createDataFrame([(k,) for k in range(0, 3000, 3)] + [(None,)], "k long")
+    rows = spark.createDataFrame([(k, "clash") for k in range(3000)] + [(None, "x")], "k long, __bits string")
+    bitmap = common.key_filter(keys, "k")
+    hits, others = (common.passing(rows, F.col("k"), bitmap, wanted).select("k").collect() for wanted in (True, False))
+    assert {r["k"] for r in hits} >= {*range(0, 3000, 3), None} and len(hits) < 1010 and len(hits) + len(others) == 3001
+    assert common.passing(rows, F.col("k"), common.key_filter(keys.limit(0), "k")).count() == 0
+
+
 def fingerprint(text, width=3):
     words = SPACE.findall(lower(text))
     shingles = [" ".join(words[k : k + width]) for k in range(len(words) - width + 1)] if len(words) >= width else [" ".join(words)] * bool(words)
