@@ -219,7 +219,7 @@ def _keyed(batch: pa.RecordBatch, bits: np.ndarray | None) -> Iterator[pa.Record
     """The descriptors of a batch under each pair of words; with a filter only those that pass it."""
     words = [np.asarray(batch.column(_NAMES.index(f"w{k}"))).astype(np.uint64) for k in range(4)]
     for k, (a, b) in enumerate(PAIRS):
-        hashed = _mixed(((words[a] << np.uint64(32)) | words[b]) ^ _mixed(np.uint64(k + 1)))
+        hashed = _mixed(((words[a] << np.uint64(32)) | words[b]) ^ _mixed(np.array([k + 1], np.uint64)))
         slots = hashed >> np.uint64(64 - FILTER_BITS)
         rows = batch
         if bits is not None:
