@@ -4,6 +4,16 @@
 All stages but the last return the columns of ``documents``; each decides on
 what its predecessor kept. ``run`` writes every stage's result as Parquet into
 the shared folder and reads it again.
+
+Defined results, for all stages: ids may be null or repeat; every row is judged
+by its text. Null and empty texts are texts without words: the classifier scores
+them like any other, all of them are one near-duplicate group, no benchmark item
+is in them, the mix gives them size 0, and they have the end id alone as tokens.
+Rows of equal id, source and text get the same number of copies. Texts of any
+length are taken whole. An empty table of documents gives an empty table at each
+stage; without usable labels the classifier keeps everything, with an empty
+benchmark nothing is contaminated. Extra columns go through the first four
+stages unchanged, whatever their names.
 """
 
 from __future__ import annotations
@@ -16,13 +26,13 @@ from evidencelake.llm.queries import END_ID, tokenizer_path
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier rejects (score below 0.5) go."""
+    """Documents that the quality classifier rejects (score below 0.5) go; a score of exactly 0.5 stays."""
     model = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return quality.accepted(docs, model)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of documents whose sets of five-word shingles are about 0.8 alike or more, one stays."""
+    """Of each group of documents linked by a Jaccard similarity of 0.8 or more of their sets of five-word shingles, one stays: the least id, null ids last, and of one id the least hash of the text."""
     return simhash.one_of_each(docs, simhash.similar(docs, width=5))
 
 
