@@ -18,6 +18,10 @@ from . import markup as M
 # Headers that tell which tables belong together, labels of sections in their order, level names.
 SECTIONS = ("평가개요", "성취기준", "평가방법", "채점기준", "유의사항")
 UPPER_LEVELS, LOWER_LEVELS = ("A", "B", "C"), ("D", "E")
+# How cells end that go on behind a page break, and the longest piece of text that may be left over.
+UNFINISHED = re.compile(r"(?:기준을|충족하지|수준을|이상을|미만)$")
+SHORT_TEXT = 32
+HEADING = re.compile(r"(?is)<h([2-6])\b[^>]*>(.*?)</h\1>")
 KNOWN_HEADERS = ("평가영역", "평가요소", "채점기준", "배점", "성취기준", "성취수준")
 
 
@@ -31,6 +35,8 @@ class Counters:
     clamped_spans: int = 0
     pruned_columns: int = 0
     split_sections: int = 0
+    reconstructed_cells: int = 0
+    displaced_headings: int = 0
 
 
 def _compact(text: str) -> str:
@@ -66,7 +72,7 @@ def levels(grid: list[list[str]]) -> set[str]:
 
 
 def join_tables(grids: list[list[list[str]]], n: Counters) -> list[list[list[str]]]:
-    """Neighbours with the same known header as one; a table that goes on with levels D and E behind A to C; rows without a header that end as wide."""
+    """Neighbours with the same known header as one; a table that goes on with levels D and E behind A to C. The narrower rows are filled up, no cell is cut."""
     out: list[list[list[str]]] = []
     for grid in grids:
         before = out[-1] if out else None
@@ -74,8 +80,8 @@ def join_tables(grids: list[list[list[str]]], n: Counters) -> list[list[list[str
             before += grid[1:]
             n.merged_headers += 1
         elif before and grid and levels(grid) and levels(grid) <= {*LOWER_LEVELS} and levels(before) >= {"C"} and not levels(before) & {*LOWER_LEVELS}:
-            width = len(before[0])
-            before += [(r + [""] * width)[:width] for r in grid]
+            width = max(map(len, [*before, *grid]))
+            before[:] = [r + [""] * (width - len(r)) for r in [*before, *grid]]
             n.joined_levels += 1
             n.continuation_rows += len(grid)
         else:
@@ -83,6 +89,37 @@ def join_tables(grids: list[list[list[str]]], n: Counters) -> list[list[list[str
     return out
 
 
+def unfinished(row: list[str]) -> int | None:
+    """Where the last filled cell of a row stands, if its text breaks off."""
+    filled = [k for k, c in enumerate(row) if _compact(c)]
+    return filled[-1] if filled and UNFINISHED.search(_compact(row[filled[-1]])) else None
+
+
+def take_suffixes(before: list[list[str]], grid: list[list[str]], n: Counters) -> bool:
+    """Whether ``grid`` holds only the last words of cells of ``before``, as a page break leaves them; they are then put there.
+
+    Its first row is blank, each other row has one short cell, and exactly one run of as many rows before breaks off.
+    """
+    texts = [[c for c in row if _compact(c)] for row in grid]
+    if not 4 <= len(grid) <= 24 or texts[0] or any(len(t) != 1 or len(_compact(t[0])) > SHORT_TEXT for t in texts[1:]):
+        return False
+    ends = [unfinished(row) for row in before]
+    size = len(grid) - 1
+    runs = [k for k in range(len(before) - size + 1) if None not in ends[k : k + size]]
+    if len(runs) != 1:
+        return False
+    for row, end, (text,) in zip(before[runs[0] :], ends[runs[0] :], texts[1:], strict=False):
+        row[end] = f"{row[end]} {text}"
+    n.reconstructed_cells += size
+    return True
+
+
+def short_headings(markup: str) -> list[str] | None:
+    """The texts of headings of a few words, if the markup holds nothing else."""
+    found = [re.sub(r"<[^>]+>", "", m.group(2)).strip() for m in HEADING.finditer(markup)]
+    return found if not HEADING.sub("", markup).strip() and all(len(_compact(t)) <= SHORT_TEXT for t in found) else None
+
+
 def group_orphans(grid: list[list[str]], n: Counters) -> list[list[str]]:
     """Runs of two or more rows that hold nothing but a standard's code go to the row above them."""
     out: list[list[str]] = []
@@ -132,22 +169,31 @@ def repair(markup: str) -> tuple[str, Counters]:
     """The markup with its top-level tables repaired; text between tables keeps them apart."""
     n = Counters()
     markup = strip_dangerous(markup, n)
-    out, held, at = [], [], 0
+    out, held, notes, at = [], [], [], 0
 
     def flush() -> None:
         for grid in join_tables(held, n):
             out.extend(render(p) for p in split_sections(prune(group_orphans(grid, n), n), n))
         held.clear()
+        if notes:
+            out.append("<aside>" + "".join(f"<p>{escape(t, quote=False)}</p>" for t in notes) + "</aside>")
+            notes.clear()
 
     for m in re.finditer(r"(?is)<table\b.*?</table>", markup):
         between = markup[at : m.start()]
+        at = m.end()
+        tables = M.spanned_tables(m.group())
+        grid = M.dense(clamp([list(r) for r in tables[-1]], n)) if tables else []
+        displaced = short_headings(between)
+        if held and grid and displaced is not None and take_suffixes(held[-1], grid, n):
+            notes.extend(displaced)  # headings that stood between the pieces
+            n.displaced_headings += len(displaced)
+            continue
         if between.strip():
             flush()
             out.append(between)
-        tables = M.spanned_tables(m.group())
-        if tables:
-            held.append(M.dense(clamp([list(r) for r in tables[-1]], n)))
-        at = m.end()
+        if grid:
+            held.append(grid)
     flush()
     return "".join(out) + markup[at:], n
 

@@ -111,3 +111,14 @@ def classify(df: DataFrame, title: str, overview: str, declared: str, topics, me
     made = made.withColumn("topics", F.when((F.size("_topics") == 0) & content_free(F.col(title)), F.array(F.lit(FREE))).otherwise(F.col("_topics")))
     made = made.withColumn("topic", pick("topics")).withColumn("method", pick("methods")).withColumn("ambiguous", (F.size("topics") != 1) | (F.size("methods") != 1))
     return made.drop("_title", "_overview", "_topics", "_methods")
+
+
+# Names of the evidence an item may have.
+SIGNALS = ("채점기준", "성취기준", "배점", "평가방법", "평가 개요")
+
+
+def item_signals(rubric: Column, standards: Column, score: Column, weight: Column, method: Column, overview: Column) -> Column:
+    """The names of the kinds of evidence that an item has; ``standards`` is an array, the others are texts."""
+    filled = lambda c: F.trim(F.coalesce(c, F.lit(""))) != ""
+    present = (filled(rubric), F.coalesce(F.size(standards), F.lit(0)) > 0, filled(score) | filled(weight), filled(method), filled(overview))
+    return F.array_compact(F.array(*(F.when(p, F.lit(name)) for name, p in zip(SIGNALS, present, strict=True))))

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from evidencelake.functions import taxonomy, titles
+from evidencelake.functions import repair, taxonomy, titles
 from evidencelake.functions import text as T
 from evidencelake.functions.sections import compact
 from evidencelake.operators import aggregates
@@ -50,3 +50,25 @@ def test_counts(spark):
     assert tuple(report) == (7, ["0/x", "1/x", "2/x"])
     published = serve.Published(graded, items, items, graded.limit(2))
     assert tuple(serve.catalog_counts(published).first()) == (4, 2)
+
+
+def test_suffix_tables():
+    """The last words of cells behind a page break go back to their cells, with the headings between them; unclear cases stay."""
+    html = lambda rows: "<table>" + "".join("<tr>" + "".join(f"<td>{c}</td>" for c in r) + "</tr>" for r in rows) + "</table>"
+    first = [["평가요소", "채점기준"], ["가", "모든 기준을"], ["나", "일부 기준을"], ["다", "기준을 충족하지"], ["라", "끝."]]
+    rest = [["", ""], ["", "충족함"], ["", "만족함"], ["", "못함"]]
+    fixed, n = repair.repair(html(first) + "<h3>나. 채점</h3>" + html(rest))
+    assert n.reconstructed_cells == 3 and n.displaced_headings == 1 and fixed.count("<table>") == 1
+    assert "모든 기준을 충족함" in fixed and "기준을 충족하지 못함" in fixed and "<aside><p>나. 채점</p></aside>" in fixed
+    for unclear in (html(first) + "<p>글</p>" + html(rest), html(first) + html(rest[:3]), html(first + first[1:4]) + html(rest), html(first) + html([["", "머리"], *rest[1:]])):
+        fixed, n = repair.repair(unclear)
+        assert n.reconstructed_cells == 0 and fixed.count("<table>") == 2
+    wide, n = repair.repair(html([["A", "가"], ["B", "나"], ["C", "다"]]) + html([["D", "라", "마"], ["E", "바", "사"]]))
+    assert n.joined_levels == 1 and "사" in wide and wide.count("<td>") == 15
+
+
+def test_item_signals(spark):
+    rows = [(1, "<p>", ["[12생과]"], "", "20%", None, " "), (2, None, None, None, None, None, None), (3, "", [], "5점", "", "발표", "글")]
+    frame = spark.createDataFrame(rows, "k int, rubric string, standards array<string>, score string, weight string, method string, overview string")
+    got = {r["k"]: r["s"] for r in frame.select("k", taxonomy.item_signals(*(F.col(c) for c in frame.columns[1:])).alias("s")).collect()}
+    assert got == {1: ["채점기준", "성취기준", "배점"], 2: [], 3: ["배점", "평가방법", "평가 개요"]}
