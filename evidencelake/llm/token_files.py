@@ -41,8 +41,8 @@ from .common import materialize, run_dir, texts_of, tune
 STEP = 512
 MAX_BITS = 16
 BLOCK_IDS = 1 << 16
-MEMO_PIECES = 700_000
-MEMO_RUNS = 300_000
+MEMO_PIECES = 400_000
+MEMO_RUNS = 150_000
 MEMO_BYTES = 40
 #: Bytes of text that are tokenized at once, ids that are coded at once, bytes of ids of one file.
 PORTION, CHUNK, PART_BYTES = 2 << 20, STEP << 9, 16 << 20
