@@ -8,9 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, images, langid, licenses, mixing, quality, simhash, token_files, toxicity, url_filter
+from . import bpe, clusters, decontaminate, images, langid, licenses, mixing, quality, runs, simhash, token_files, toxicity, url_filter
 
-#: The tokenizer of op6; PUBLIC_TOKENIZER overrides it.
+#: The tokenizer of op6 and the rank file of op11; PUBLIC_TOKENIZER and PUBLIC_RANKS override them.
 END_ID = 2
 
 
@@ -23,6 +23,15 @@ def tokenizer_path() -> str:
     return str(public_tokenizers.path("word_bpe_49k.json"))
 
 
+def ranks_path() -> str:
+    given = os.environ.get("PUBLIC_RANKS")
+    if given:
+        return given
+    import public_tokenizers
+
+    return str(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -72,6 +81,18 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, langid.fit(docs))
 
 
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(table(spark, sf_dir, "documents"), ranks_path())
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.assignments(table(spark, sf_dir, "embeddings"))
+
+
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.digest(runs.collapse(runs.looped(table(spark, sf_dir, "documents"))))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -79,7 +100,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality, op2_mixing, op3_url_filter, op4_image_copies, op5_toxicity, op6_token_files, op7_decontamination, op8_simhash, op9_licenses, op10_language, pipeline)}
+    return {f.__name__: f for f in (op1_quality, op2_mixing, op3_url_filter, op4_image_copies, op5_toxicity, op6_token_files, op7_decontamination, op8_simhash, op9_licenses, op10_language, op11_bpe, op12_centroids, op13_runs, pipeline)}
 
 
 #: Words of a text after A-Z is lower-cased.
@@ -113,7 +134,24 @@ w AS (SELECT host, segs, purity FROM t JOIN v USING (host, prefix))
 SELECT page_id, host, path, rule, coalesce(told, CASE WHEN purity >= {threshold} THEN 'block' ELSE 'allow' END) AS verdict FROM u LEFT JOIN w USING (host, segs)"""
 
 
+def _centroid_sql(k: int = 8, rounds: int = 10, width: int = 64, scale: int = 1024) -> str:
+    """Lloyd's rounds one after the other, every vector against every centroid, in exact integers."""
+    parts = [
+        f"v AS MATERIALIZED (SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings WHERE len(embedding) = {width} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {width})",
+        f"c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h NULLS LAST, e) - 1 AS k, e FROM (SELECT e, sha256('3:' || vec_id) AS h FROM v) QUALIFY k < {k})",
+    ]
+    for r in range(rounds + 1):
+        parts.append(f"d{r} AS MATERIALIZED (SELECT rid, vec_id, v.e AS e, k, list_sum(list_transform(range(1, {width} + 1), lambda i: (v.e[i] - c.e[i]) * (v.e[i] - c.e[i]))) AS d FROM v, c{r} c)")
+        parts.append(f"a{r} AS MATERIALIZED (SELECT rid, vec_id, e, k, d FROM d{r} QUALIFY row_number() OVER (PARTITION BY rid ORDER BY d, k) = 1)")
+        if r < rounds:
+            parts.append(f"s{r} AS (SELECT k, i, sum(e[i]) AS s, count(*) AS n FROM a{r}, range(1, {width} + 1) AS g(i) GROUP BY k, i)")
+            parts.append(f"m{r} AS (SELECT k, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS e FROM s{r} GROUP BY k)")
+            parts.append(f"c{r + 1} AS MATERIALIZED (SELECT c.k AS k, coalesce(m.e, c.e) AS e FROM c{r} c LEFT JOIN m{r} m ON c.k = m.k)")
+    return f"WITH {', '.join(parts)} SELECT vec_id, CAST(a.k AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance, CAST(sum(d) OVER (PARTITION BY a.k) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c.e, ',')) AS centroid_sha256 FROM a{rounds} a JOIN c{rounds} c ON a.k = c.k"
+
+
 SQL = {
+    "op12_centroids": _centroid_sql(),
     "op3_url_filter": _url_sql(),
     "op7_decontamination": f"""WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_WORDS} AS w FROM documents),
 b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark),
