@@ -7,17 +7,22 @@ of the pair stay the same and each part keeps its expectation. A source is cut
 by hash of the id into groups of bounded size; each group leaves at most one
 fractional document, and these residuals meet in the next level of a reduction
 tree until one is left for a source, which is rounded. So a source's taken
-words differ from its target by less than the size of one document.
+words differ from its target by at most half the size of one document.
+
+Equal rows (id, source and text; ``mixed`` also wants all other columns equal)
+are counted into a unit before anything else is shuffled. Of a unit of n rows
+whose parts are p each, floor(n * p) rows get one more copy outright, and one
+row with what is left of n * p takes part in the rounding. So a row that a third
+of all rows repeat is one unit, and moves a source by no more than its size.
 
 Defined results: a null text has size 0; a text of size 0 is copied as often as
 the whole part of its source's ratio says. Rows with the same id, source and text
-are one unit and get the same number of copies. Draws are hashes of ids, so
-runs agree whatever the partitioning. Null sources are one source, the last;
+get numbers of copies that differ by one at most. Draws are hashes of ids, so
+runs agree whatever the partitioning. The last part of a source rounds to the
+nearer number, exactly 0.5 up. Null sources are one source, the last;
 sources with equal names as text are one. Texts of any length count whole. Empty
-tables give no rows. Other columns of the input are ignored, whatever their
-names. Rows are counted into units before anything else is shuffled, so an id
-that a third of all rows share (or lack) with one text is one unit, and with
-different texts as many units as texts.
+tables give no rows. ``mix`` ignores other columns of the input and ``mixed``
+keeps them, whatever their names.
 The targets need all sources in order: one task sorts a row for each source.
 """
 
@@ -27,24 +32,31 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import fresh, materialize, tune
+from .common import materialize, tune
 
 #: Rows of a unit that one row stands for while they are dealt out.
 PORTION = 10_000
 
-UNIT = "doc_id {id}, source string, size long, mark long, rows long, ratio double, part double, copies long, draw long, settled boolean"
+UNIT = "doc_id {id}, source string, size long, mark long, rows long, part double, copies long, extra long, draw long, settled boolean"
+
+
+def row_hash(docs: DataFrame) -> Column:
+    """A hash of all columns that tells nulls from each other's places."""
+    own = [F.map_entries(docs[f.name]) if f.dataType.typeName() == "map" else docs[f.name] for f in docs.schema]
+    return F.xxhash64(*own, *(docs[f.name].isNull() for f in docs.schema))
 
 
-def sized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    return docs.select(docs[id_col].alias("doc_id"), docs[source_col].cast("string").alias("source"), F.coalesce(F.regexp_count(docs[text_col], F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long").alias("size"), F.xxhash64(docs[text_col]).alias("mark"))
+def sized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", mark: Column | None = None) -> DataFrame:
+    words = F.coalesce(F.regexp_count(docs[text_col], F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
+    return docs.select(docs[id_col].alias("doc_id"), docs[source_col].cast("string").alias("source"), words.alias("size"), (F.xxhash64(docs[text_col]) if mark is None else mark).alias("mark"))
 
 
-def units_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """(doc_id, source, size, mark, rows): rows of one id, source and text as one unit; ``mark`` is the text's hash."""
-    return sized(docs, id_col, text_col, source_col).groupBy("doc_id", "source", "size", "mark").agg(F.count("*").alias("rows"))
+def units_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", mark: Column | None = None) -> DataFrame:
+    """(doc_id, source, size, mark, rows): rows of one id, source and mark as one unit; without another ``mark`` it is the text's hash."""
+    return sized(docs, id_col, text_col, source_col, mark).groupBy("doc_id", "source", "size", "mark").agg(F.count("*").alias("rows"))
 
 
 def targets(units: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.5, most: float = 2.0) -> DataFrame:
@@ -97,7 +109,7 @@ def _round_group(pdf: pd.DataFrame, tries: int = 1) -> pd.DataFrame:
     """Settle all units of a group but one. Of several draws the one counts that leaves the least to be rounded."""
     # larger units first, so that what is left is rather a small one
     pdf = pdf.sort_values(["size", "draw", "mark"], ascending=[False, True, True], ignore_index=True)
-    weight = (pdf["size"] * pdf["rows"]).to_numpy(np.float64)
+    weight = pdf["size"].to_numpy(np.float64)
     draw = pdf["draw"].to_numpy(np.int64).astype(np.uint64)
     best = None
     for k in range(tries):
@@ -112,23 +124,24 @@ def _round_group(pdf: pd.DataFrame, tries: int = 1) -> pd.DataFrame:
     if held is not None:
         pdf.loc[held, "settled"] = False
     full = pdf["settled"] & (pdf["part"] >= 1)
-    pdf.loc[full, "copies"] += 1
+    pdf.loc[full, "extra"] += 1
     pdf.loc[pdf["settled"], "part"] = 0.0
-    return pdf[["doc_id", "source", "size", "mark", "rows", "ratio", "part", "copies", "draw", "settled"]]
+    return pdf[["doc_id", "source", "size", "mark", "rows", "part", "copies", "extra", "draw", "settled"]]
 
 
 def _rounder(tries: int):
     return lambda pdf: _round_group(pdf, tries)
 
 
-def copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: Sequence[float] = (3, 1, 2), share: float = 1.5, most: float = 2.0, group_rows: int = 4096, tries: int = 16, seed: str = "mix") -> tuple[DataFrame, DataFrame]:
-    """(doc_id, source, size, mark, rows, copies), one row for each unit, and the targets of the sources."""
+def copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", mark: Column | None = None, weights: Sequence[float] = (3, 1, 2), share: float = 1.5, most: float = 2.0, group_rows: int = 4096, tries: int = 16, seed: str = "mix") -> tuple[DataFrame, DataFrame]:
+    """(doc_id, source, size, mark, rows, copies, extra), one row for each unit, ``extra`` of its rows with one copy more, and the targets of the sources."""
     tune(docs.sparkSession)
-    units = materialize(units_of(docs, id_col, text_col, source_col))
+    units = materialize(units_of(docs, id_col, text_col, source_col, mark))
     goal = materialize(targets(units, weights, share, most))
     kind = docs.schema[id_col].dataType.simpleString()
     plan = goal.select(F.col("source").alias("__source"), F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0).alias("ratio"), F.ceil(F.col("n") / group_rows).alias("groups"))
-    state = units.join(plan, F.col("source").eqNullSafe(F.col("__source"))).select("doc_id", "source", "size", "mark", "rows", "ratio", F.when(F.col("size") > 0, F.col("ratio") - F.floor("ratio")).otherwise(0.0).alias("part"), F.floor("ratio").alias("copies"), F.xxhash64("doc_id", "source", "mark", F.lit(seed)).alias("draw"), F.pmod(F.xxhash64("doc_id", "mark", F.lit(f"{seed} group")), "groups").alias("group"))
+    mass = F.when(F.col("size") > 0, F.col("rows") * (F.col("ratio") - F.floor("ratio"))).otherwise(0.0)
+    state = units.join(plan, F.col("source").eqNullSafe(F.col("__source"))).select("doc_id", "source", "size", "mark", "rows", (mass - F.floor(mass)).alias("part"), F.floor("ratio").alias("copies"), F.floor(mass).alias("extra"), F.xxhash64("doc_id", "source", "mark", F.lit(seed)).alias("draw"), F.pmod(F.xxhash64("doc_id", "mark", F.lit(f"{seed} group")), "groups").alias("group"))
     width = goal.agg(F.max(F.ceil(F.col("n") / group_rows))).first()[0] or 0
     settled = None
     while True:
@@ -141,27 +154,33 @@ def copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sour
         width = -(-width // group_rows)
         state = left.drop("settled").withColumn("group", F.pmod(F.xxhash64("doc_id", "mark", F.lit(f"{seed} {width}")), F.lit(width)))
     # one residual for each source at most: the nearer whole number
-    last = left.withColumn("copies", F.col("copies") + F.when(F.col("part") >= 0.5, 1).otherwise(0))
-    return settled.unionByName(last).select("doc_id", "source", "size", "mark", "rows", "copies"), goal
+    last = left.withColumn("extra", F.col("extra") + F.when(F.col("part") >= 0.5, 1).otherwise(0))
+    return settled.unionByName(last).select("doc_id", "source", "size", "mark", "rows", "copies", "extra"), goal
+
+
+def dealt(rows: DataFrame, number: str, keys: Sequence[str]) -> DataFrame:
+    """Each row as often as its column ``number`` says, with the running number in ``__row``; what is repeated very often is first dealt out to many tasks."""
+    few, many = rows.where(F.col(number) <= PORTION), rows.where(F.col(number) > PORTION)
+    begins = many.withColumn("__at", F.explode(F.sequence(F.lit(0).cast("long"), F.col(number) - 1, F.lit(PORTION).cast("long")))).repartition(*keys, "__at")
+    portions = few.where(F.col(number) > 0).withColumn("__at", F.lit(0).cast("long")).unionByName(begins)
+    return portions.withColumn("__row", F.explode(F.sequence(F.col("__at") + 1, F.least(F.col("__at") + PORTION, F.col(number))))).drop("__at")
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
     """(doc_id, size, source_size, target, taken), one row for each row of ``docs``."""
     units, goal = copies(docs, id_col, text_col, source_col, **options)
     goal = goal.select(F.col("source").alias("__source"), "source_size", "target")
-    rows = units.join(goal, F.col("source").eqNullSafe(F.col("__source")))
-    # a unit of many rows is dealt out before it is spread
-    few, many = rows.where(F.col("rows") <= PORTION), rows.where(F.col("rows") > PORTION)
-    dealt = many.withColumn("__at", F.explode(F.sequence(F.lit(0).cast("long"), F.col("rows") - 1, F.lit(PORTION).cast("long")))).repartition("doc_id", "size", "__at").withColumn("rows", F.least(F.lit(PORTION).cast("long"), F.col("rows") - F.col("__at"))).drop("__at")
-    rows = few.unionByName(dealt).withColumn("__row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))))
-    return rows.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+    rows = dealt(units.join(goal, F.col("source").eqNullSafe(F.col("__source"))), "rows", ("doc_id", "size"))
+    return rows.select("doc_id", "size", "source_size", "target", ((F.col("copies") + (F.col("__row") <= F.col("extra")).cast("long")) * F.col("size")).alias("taken"))
 
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it; all columns stay."""
-    units, _ = copies(docs, id_col, text_col, source_col, **options)
-    mark, times = fresh(docs, "__mark"), fresh(docs, "__copies")
-    take = units.where("copies > 0").select(F.col("doc_id").alias("__u_id"), F.col("source").alias("__u_source"), F.col("mark").alias("__u_mark"), F.col("copies").alias(times))
-    marked = docs.withColumn(mark, F.xxhash64(docs[text_col]))
-    picked = marked.join(take, marked[id_col].eqNullSafe(take["__u_id"]) & marked[source_col].cast("string").eqNullSafe(take["__u_source"]) & (marked[mark] == take["__u_mark"]))
-    return picked.withColumn(times, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*docs.columns)
+    mark = row_hash(docs)
+    units, _ = copies(docs, id_col, text_col, source_col, mark=mark, **options)
+    times = (F.col("rows") * F.col("copies") + F.col("extra")).alias("__times")
+    take = units.select(F.col("doc_id").alias("__u_id"), F.col("source").alias("__u_source"), F.col("mark").alias("__u_mark"), times).where("__times > 0")
+    # rows of a unit are equal: one of them stands for all
+    once = docs.groupBy(docs[id_col].alias("__id"), docs[source_col].cast("string").alias("__source"), mark.alias("__mark")).agg(F.first(F.struct(*(docs[c] for c in docs.columns))).alias("__doc"))
+    picked = once.join(take, F.col("__id").eqNullSafe(F.col("__u_id")) & F.col("__source").eqNullSafe(F.col("__u_source")) & (F.col("__mark") == F.col("__u_mark")))
+    return dealt(picked.select("__doc", "__times", "__mark"), "__times", ("__mark",)).select("__doc.*")

@@ -296,8 +296,37 @@ def test_mixing(docs, empty):
     for target, part in got.groupby("target"):
         assert abs(part["taken"].sum() - target) <= part["size"].max()
     picked = mixing.mixed(docs)
-    assert picked.columns == docs.columns and sum(len(SPACE.findall(r["text"] or "")) for r in picked.collect()) == got["taken"].sum()
-    assert mixing.mix(empty).count() == 0
+    words = picked.toPandas().assign(taken=lambda d: [len(SPACE.findall(t or "")) for t in d["text"]]).groupby("source", dropna=False)["taken"].sum()
+    assert picked.columns == docs.columns
+    for source, target in goal.items():
+        assert abs(words[source] - target) <= rows["size"].max()
+    assert mixing.mix(empty).count() == 0 == mixing.mixed(empty).count()
+
+
+@pytest.mark.parametrize("portion", [10_000, 64])
+def test_repeated_rows_keep_sources_on_target(spark, monkeypatch, portion):
+    """A source of equal rows, and a third of all rows equal: off by at most half of the largest document."""
+    monkeypatch.setattr(mixing, "PORTION", portion)
+    rng = random.Random(8)
+    rows = [(None, "one two three four five six seven eight nine ten", "en", "b", 1, None, None)] * 1000
+    rows += [(k, " ".join(["w"] * rng.randint(1, 11)), "en", "ac"[k % 2], k, None, None) for k in range(1500)]
+    rows += [(9000, "x y z", "en", "c", n % 3, None, None) for n in range(500)]  # equal texts in rows that differ elsewhere
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    got = mixing.mix(docs).toPandas()
+    assert len(got) == len(rows) and (got["taken"] <= 2 * got["size"]).all()
+    targets = {}
+    for (size, target), part in got.groupby(["source_size", "target"]):
+        assert abs(part["taken"].sum() - target) <= 5.5 + 1e-6
+        targets[size] = target
+    assert len(targets) == 3
+    picked = mixing.mixed(docs).toPandas().assign(taken=lambda d: [len(t.split()) for t in d["text"]])
+    whole = pd.DataFrame(rows, columns=docs.columns).assign(size=lambda d: [len(t.split()) for t in d["text"]]).groupby("source")["size"].sum()
+    for source, taken in picked.groupby("source")["taken"].sum().items():
+        assert abs(taken - targets[whole[source]]) <= 5.5 + 1e-6
+    import corpus_pipeline
+
+    staged = corpus_pipeline.mixing_stage(spark, docs, "").groupBy("source").agg(F.sum(F.size(F.split("text", " "))).alias("taken")).collect()
+    assert all(abs(r["taken"] - targets[whole[r["source"]]]) <= 5.5 + 1e-6 for r in staged)
 
 
 def test_pivot_keeps_mass():
