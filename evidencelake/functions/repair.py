@@ -6,8 +6,10 @@ One Arrow-batched UDF from markup to markup and counters.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 from dataclasses import asdict, dataclass
 from html import escape
+from itertools import groupby
 
 import pandas as pd
 from pyspark.sql import functions as F
@@ -18,9 +20,15 @@ from . import markup as M
 # Headers that tell which tables belong together, labels of sections in their order, level names.
 SECTIONS = ("평가개요", "성취기준", "평가방법", "채점기준", "유의사항")
 UPPER_LEVELS, LOWER_LEVELS = ("A", "B", "C"), ("D", "E")
-# How cells end that go on behind a page break, and the longest piece of text that may be left over.
+# How cells end that go on behind a page break, the longest piece of text that may be left over, and the rows of a table of such pieces.
 UNFINISHED = re.compile(r"(?:기준을|충족하지|수준을|이상을|미만)$")
 SHORT_TEXT = 32
+LEAST_ROWS, MOST_ROWS = 4, 24
+LONG_HEADER = 180
+# Lone codes of standards, and the captions of notes.
+ORPHAN_CODES = re.compile(r"(?:\[\s*12[A-Za-z가-힣ⅠⅡ]{1,16}\s*\d{2}\s*[-‐‑‒–—]\s*\d{2}\s*\]\s*)+")
+CAPTIONS = {"headings": "원문 변환 중 표 밖에 남은 문구", "standards": "원문에 별도 표기된 성취기준"}
+ELEMENT = re.compile(r"(?is)<(h[1-6]|p|div|li|ul|ol|span|aside)\b[^>]*>(.*?)</\1>")
 HEADING = re.compile(r"(?is)<h([2-6])\b[^>]*>(.*?)</h\1>")
 KNOWN_HEADERS = ("평가영역", "평가요소", "채점기준", "배점", "성취기준", "성취수준")
 
@@ -37,6 +45,7 @@ class Counters:
     split_sections: int = 0
     reconstructed_cells: int = 0
     displaced_headings: int = 0
+    long_headers: int = 0
 
 
 def _compact(text: str) -> str:
@@ -89,35 +98,85 @@ def join_tables(grids: list[list[list[str]]], n: Counters) -> list[list[list[str
     return out
 
 
-def unfinished(row: list[str]) -> int | None:
-    """Where the last filled cell of a row stands, if its text breaks off."""
-    filled = [k for k, c in enumerate(row) if _compact(c)]
-    return filled[-1] if filled and UNFINISHED.search(_compact(row[filled[-1]])) else None
+def islands(marks: Iterable[bool]) -> list[tuple[int, int]]:
+    """(start, length) of each unbroken stretch of true marks."""
+    found, at = [], 0
+    for mark, group in groupby(marks):
+        length = sum(1 for _ in group)
+        if mark:
+            found.append((at, length))
+        at += length
+    return found
 
 
-def take_suffixes(before: list[list[str]], grid: list[list[str]], n: Counters) -> bool:
-    """Whether ``grid`` holds only the last words of cells of ``before``, as a page break leaves them; they are then put there.
+def filled(row: list[str]) -> list[int]:
+    return [k for k, c in enumerate(row) if _compact(c)]
 
-    Its first row is blank, each other row has one short cell, and exactly one run of as many rows before breaks off.
+
+def leftovers(grid: list[list[str]]) -> list[str]:
+    """The last words that a page break cut off, a row each below a blank one; none if the table is anything else."""
+    if not grid or not LEAST_ROWS <= len(grid) <= MOST_ROWS or [len(filled(r)) for r in grid] != [0] + [1] * (len(grid) - 1):
+        return []
+    words = [row[filled(row)[0]] for row in grid[1:]]
+    return words if max(len(_compact(w)) for w in words) <= SHORT_TEXT else []
+
+
+def put_back(before: list[list[str]], words: list[str], n: Counters) -> bool:
+    """Give each word to a row of ``before`` that breaks off, if one place only can have lost them all.
+
+    Rows that break off form islands; an island of k rows offers k - size + 1
+    places, so exactly one place means one island of the very size and no larger one.
     """
-    texts = [[c for c in row if _compact(c)] for row in grid]
-    if not 4 <= len(grid) <= 24 or texts[0] or any(len(t) != 1 or len(_compact(t[0])) > SHORT_TEXT for t in texts[1:]):
+    ends = [row[k[-1]] if (k := filled(row)) else "" for row in before]
+    places = [(start, length - len(words) + 1) for start, length in islands(bool(UNFINISHED.search(_compact(e))) for e in ends) if length >= len(words)]
+    if not words or [count for _, count in places] != [1]:
         return False
-    ends = [unfinished(row) for row in before]
-    size = len(grid) - 1
-    runs = [k for k in range(len(before) - size + 1) if None not in ends[k : k + size]]
-    if len(runs) != 1:
-        return False
-    for row, end, (text,) in zip(before[runs[0] :], ends[runs[0] :], texts[1:], strict=False):
-        row[end] = f"{row[end]} {text}"
-    n.reconstructed_cells += size
+    start = places[0][0]
+    for k, word in enumerate(words, start):
+        before[k][filled(before[k])[-1]] += f" {word}"
+    n.reconstructed_cells += len(words)
     return True
 
 
-def short_headings(markup: str) -> list[str] | None:
-    """The texts of headings of a few words, if the markup holds nothing else."""
-    found = [re.sub(r"<[^>]+>", "", m.group(2)).strip() for m in HEADING.finditer(markup)]
-    return found if not HEADING.sub("", markup).strip() and all(len(_compact(t)) <= SHORT_TEXT for t in found) else None
+def kind_of(name: str, body: str) -> str | None:
+    """Whether an element between tables is a displaced heading or holds codes of standards only."""
+    text = M.visible_text(body)
+    if ORPHAN_CODES.fullmatch(text):
+        return "standards"
+    return "headings" if re.fullmatch("h[4-6]", name.lower()) and 0 < len(_compact(text)) <= SHORT_TEXT else None
+
+
+def gathered(between: str, n: Counters) -> str:
+    """Markup between tables, in which two or more displaced headings (or lone standards) in a row are one note under a caption."""
+    found = [(m, kind_of(m.group(1), m.group(2))) for m in ELEMENT.finditer(between)]
+    apart = [bool(between[a.end() : b.start()].strip()) for (a, _), (b, _) in zip(found, found[1:], strict=False)]
+    # an element starts a new stretch if it is of another kind or text stands before it
+    starts = [k == 0 or found[k][1] != found[k - 1][1] or apart[k - 1] for k in range(len(found))]
+    edges = [k for k, s in enumerate(starts) if s] + [len(found)]
+    out, at = [], 0
+    for first, last in zip(edges, edges[1:], strict=False):
+        kind = found[first][1] if found else None
+        if kind and last - first >= 2:
+            out += [between[at : found[first][0].start()], note(CAPTIONS[kind], [M.visible_text(m.group(2)) for m, _ in found[first:last]])]
+            at = found[last - 1][0].end()
+            n.displaced_headings += kind == "headings"
+            n.grouped_standards += kind == "standards"
+    return "".join(out) + between[at:]
+
+
+def note(caption: str, texts: list[str]) -> str:
+    return f"<aside><strong>{caption}</strong>" + "".join(f"<span>{escape(t, quote=False)}</span>" for t in texts) + "</aside>"
+
+
+def is_long_header(cell: str) -> bool:
+    """Whether a header cell has swallowed text: very long, with a code or several lines."""
+    return len(_compact(M.visible_text(cell))) >= LONG_HEADER and bool(re.search(r"\[(?:10|12)[A-Za-z가-힣ⅠⅡ]", cell) or len(re.findall(r"(?i)<br\b", cell)) >= 3)
+
+
+def gap_headings(between: str) -> list[str] | None:
+    """The texts of short headings, if the markup holds nothing else."""
+    found = [M.visible_text(m.group(2)) for m in HEADING.finditer(between)]
+    return found if not HEADING.sub("", between).strip() and all(len(_compact(t)) <= SHORT_TEXT for t in found) else None
 
 
 def group_orphans(grid: list[list[str]], n: Counters) -> list[list[str]]:
@@ -169,33 +228,34 @@ def repair(markup: str) -> tuple[str, Counters]:
     """The markup with its top-level tables repaired; text between tables keeps them apart."""
     n = Counters()
     markup = strip_dangerous(markup, n)
-    out, held, notes, at = [], [], [], 0
+    out, held, lost, at = [], [], [], 0
 
     def flush() -> None:
         for grid in join_tables(held, n):
             out.extend(render(p) for p in split_sections(prune(group_orphans(grid, n), n), n))
         held.clear()
-        if notes:
-            out.append("<aside>" + "".join(f"<p>{escape(t, quote=False)}</p>" for t in notes) + "</aside>")
-            notes.clear()
+        if lost:  # headings that stood between the pieces of a table
+            out.append(note(CAPTIONS["headings"], lost))
+            n.displaced_headings += 1
+            lost.clear()
 
     for m in re.finditer(r"(?is)<table\b.*?</table>", markup):
         between = markup[at : m.start()]
         at = m.end()
         tables = M.spanned_tables(m.group())
         grid = M.dense(clamp([list(r) for r in tables[-1]], n)) if tables else []
-        displaced = short_headings(between)
-        if held and grid and displaced is not None and take_suffixes(held[-1], grid, n):
-            notes.extend(displaced)  # headings that stood between the pieces
-            n.displaced_headings += len(displaced)
+        gap = gap_headings(between)
+        if held and gap is not None and put_back(held[-1], leftovers(grid), n):
+            lost.extend(gap)
             continue
         if between.strip():
             flush()
-            out.append(between)
+            out.append(gathered(between, n))
         if grid:
+            n.long_headers += sum(is_long_header(c) for c in re.findall(r"(?is)<th\b[^>]*>(.*?)</th>", m.group()))
             held.append(grid)
     flush()
-    return "".join(out) + markup[at:], n
+    return "".join(out) + gathered(markup[at:], n), n
 
 
 COUNTERS = ", ".join(f"{k} int" for k in asdict(Counters()))

@@ -77,31 +77,50 @@ def is_rubric(grid: list[list[str]]) -> bool:
     return any(any(w in h for w in RUBRIC_LABELS) for h in head) and not fields
 
 
-def subject_part(text: str, subject: str, rules: RulePack = PLANS_KO) -> tuple[str, str]:
-    """The part about the subject and how it was found: its exact heading, a heading or label that names it, a mention, or nothing."""
+# The line before a member of an archive in a concatenated text, and what a plan's file name holds.
+MEMBER = re.compile(r"(?im)^\[zip:(.+?)\]\[[^\]]+\][ \t]*$")
+MEMBER_NAME = "평가"
+
+
+def member_span(text: str, subject: str) -> tuple[int, int] | None:
+    """The archive member whose file name holds the subject and little else; the first of equals."""
+    heads = [(m.start(), compact(re.sub(r"\.[^./]*$", "", m.group(1).rsplit("/", 1)[-1])), compact(m.group(1))) for m in MEMBER.finditer(text)]
+    stops = [at for at, _, _ in heads[1:]] + [len(text)]
+    key = compact(subject)
+    fits = [(len(stem) - len(key), at, stop) for (at, stem, name), stop in zip(heads, stops, strict=False) if key and key in name and MEMBER_NAME in name]
+    return min(fits)[1:] if fits else None
+
+
+def subject_span(text: str, subject: str, rules: RulePack = PLANS_KO) -> tuple[int, int, str]:
+    """Where the part about the subject stands and how it was found: its archive member, its exact heading, a heading or label that names it, a mention, or nothing."""
+    member = member_span(text, subject)
+    if member:
+        return *member, "zip_member_subject"
     pattern = next((p for _, s, p in rules.subject_patterns if s == subject), re.escape(subject))
     heads = [(m.start(), len(m.group(1)), m.group(2).strip()) for m in re.finditer(r"(?m)^(#{1,6})\s*(.+)$", text)]
     names = [p for _, s, p in rules.subject_patterns if s != subject]
 
-    def part(start: int, level: int) -> str:
-        for at, depth, title in heads:
-            # the next heading that is as high, or names another subject, ends the part
-            if at > start and (depth < level or depth == level and not re.search(pattern, title) and any(re.search(n, title) for n in names)):
-                return text[start:at]
-        return text[start:]
+    def stop(start: int, level: int) -> int:
+        # the next heading that is as high, or names another subject, ends the part
+        ends = (at for at, depth, title in heads if at > start and (depth < level or depth == level and not re.search(pattern, title) and any(re.search(n, title) for n in names)))
+        return next(ends, len(text))
 
     for at, level, title in heads:
         if re.fullmatch(rf"(?i)[<\[(]?\s*(?:{pattern})\s*[>\])]?", title):
-            return part(at, level), "subject_heading_exact"
+            return at, stop(at, level), "subject_heading_exact"
     for at, level, title in heads:
         if re.search(rf"(?i){pattern}", title):
-            return part(at, level), "subject_heading"
+            return at, stop(at, level), "subject_heading"
     label = re.search(rf"(?im)^.*(?:과목\s*명?|교과\s*목?)\s*[:：|]?\s*(?:{pattern}).*$", text)
     if label:
-        return text[label.start() :], "subject_heading"
-    if re.search(rf"(?i){pattern}", text):
-        return text, "subject_mention_only"
-    return text, "subject_heading_not_found"
+        return label.start(), len(text), "subject_heading"
+    return 0, len(text), "subject_mention_only" if re.search(rf"(?i){pattern}", text) else "subject_heading_not_found"
+
+
+def subject_part(text: str, subject: str, rules: RulePack = PLANS_KO) -> tuple[str, str]:
+    """The part about the subject and how it was found."""
+    start, stop, status = subject_span(text, subject, rules)
+    return text[start:stop], status
 
 
 def assessment_block(part: str, rules: RulePack = PLANS_KO) -> tuple[str, str]:

@@ -59,7 +59,7 @@ def test_suffix_tables():
     rest = [["", ""], ["", "충족함"], ["", "만족함"], ["", "못함"]]
     fixed, n = repair.repair(html(first) + "<h3>나. 채점</h3>" + html(rest))
     assert n.reconstructed_cells == 3 and n.displaced_headings == 1 and fixed.count("<table>") == 1
-    assert "모든 기준을 충족함" in fixed and "기준을 충족하지 못함" in fixed and "<aside><p>나. 채점</p></aside>" in fixed
+    assert "모든 기준을 충족함" in fixed and "기준을 충족하지 못함" in fixed and "<span>나. 채점</span></aside>" in fixed
     for unclear in (html(first) + "<p>글</p>" + html(rest), html(first) + html(rest[:3]), html(first + first[1:4]) + html(rest), html(first) + html([["", "머리"], *rest[1:]])):
         fixed, n = repair.repair(unclear)
         assert n.reconstructed_cells == 0 and fixed.count("<table>") == 2
@@ -67,6 +67,27 @@ def test_suffix_tables():
     assert n.joined_levels == 1 and "사" in wide and wide.count("<td>") == 15
 
 
+@pytest.mark.parametrize("ends, size, place", [("xxx", 3, 0), ("..xx.xxx.", 3, 5), ("xxxx", 3, None), ("xx.xx", 2, None), ("x.xx", 3, None), ("xx.xxx.x", 3, 3), ("", 3, None)])
+def test_words_go_back_to_one_place_only(ends, size, place):
+    """Against a search over all places: exactly one stretch of rows that break off takes the words."""
+    table = [["가", "모든 기준을" if c == "x" else "끝.", ""] for c in ends]
+    words, n = [f"말{k}" for k in range(size)], repair.Counters()
+    starts = [k for k in range(len(ends) - size + 1) if set(ends[k : k + size]) == {"x"}]
+    assert (starts == [place]) == (place is not None)
+    assert repair.put_back(table, words, n) == (place is not None) and n.reconstructed_cells == (size if place is not None else 0)
+    assert [r[1] for r in table if "말" in r[1]] == ([f"모든 기준을 말{k}" for k in range(size)] if place is not None else [])
+
+
+def test_displaced_headings_and_lone_standards():
+    h = "<h4>가. 채점</h4>\n<h5>나. 배점</h5>"
+    fixed, n = repair.repair(f"<p>글</p>{h}<p>[12생과Ⅰ01-01]</p><p>[12생과Ⅰ01-02] [12생과Ⅰ01-03]</p>")
+    assert (n.displaced_headings, n.grouped_standards) == (1, 1) and fixed.count("<aside>") == 2 and "<span>나. 배점</span>" in fixed and fixed.startswith("<p>글</p><aside>")
+    for alone in ("<h4>가. 채점</h4><p>글</p><h5>나. 배점</h5>", "<h4>가. 채점</h4> 글 <h5>나. 배점</h5>", "<h3>가</h3><h3>나</h3>", f"<h4>{'긴' * 33}</h4><h4>나</h4>"):
+        assert repair.repair(alone) == (alone, repair.Counters())
+    long = "<table><tr><th>[12생과Ⅰ01-01]" + "글" * 180 + "</th></tr></table>"
+    assert repair.repair(long)[1].long_headers == 1 and repair.repair(long.replace("[12", "[1"))[1].long_headers == 0
+
+
 def test_item_signals(spark):
     rows = [(1, "<p>", ["[12생과]"], "", "20%", None, " "), (2, None, None, None, None, None, None), (3, "", [], "5점", "", "발표", "글")]
     frame = spark.createDataFrame(rows, "k int, rubric string, standards array<string>, score string, weight string, method string, overview string")
