@@ -114,20 +114,24 @@ def _url_sql(prior: float = 0.1, weight: float = 8.0, z: float = 1.96, threshold
     fits = [(v, r, "(host = '{0}' OR ends_with(host, '.{0}')) AND starts_with(path, '/{1}')".format(*r.split("/", 1))) for v, r in rules]
     case = lambda k: "CASE " + " ".join(f"WHEN {f[2]} THEN '{f[k]}'" for f in fits) + " END"
     variable = r"regexp_matches(x, '^[0-9]+(\.[A-Za-z]+)?$') OR regexp_matches(x, '^[0-9a-fA-F-]{16,}$') OR (regexp_matches(x, '^[A-Za-z0-9_.-]{12,}$') AND regexp_matches(x, '[0-9]') AND regexp_matches(x, '[A-Za-z]'))"
-    a, b = f"(cl + {weight})", f"(nl - cl + {weight})"
-    p, q = f"((cb + {weight * prior}) / {a})", f"((nb - cb + {weight * prior}) / {b})"
+    a, b = f"(before_l + {weight})", f"(cl + {weight})"
+    p, q = f"((before_b + {weight * prior}) / {a})", f"((cb + {weight * prior}) / {b})"
     pooled = f"(({p} * {a} + {q} * {b}) / ({a} + {b}))"
     differs = f"abs({p} - {q}) > {z} * sqrt({pooled} * (1 - {pooled}) * (1 / {a} + 1 / {b}))"
+    upward = f"PARTITION BY host, prefix, cl > 0, seg = '' ORDER BY (cb + {weight * prior}) / (cl + {weight}), cl, cb"
     return f"""WITH RECURSIVE r AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) END AS rest FROM pages),
 p AS (SELECT page_id, coalesce(translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host, coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path FROM r),
 u AS (SELECT *, {case(1)} AS rule, {case(0)} AS told, list_transform(list_filter(string_split(path, '/'), lambda x: x <> ''), lambda x: CASE WHEN {variable} THEN '*' ELSE x END) AS segs FROM p),
 walk AS (
 SELECT host, segs, count(told) AS labelled, count(*) FILTER (told = 'block') AS bad, '' AS prefix, 0 AS level FROM u WHERE host <> '' GROUP BY host, segs
 UNION ALL
-SELECT host, segs, labelled, bad, CASE WHEN seg = '' THEN prefix WHEN branches = 1 OR {differs} THEN prefix || '/' || seg ELSE prefix || '/*' END, level + 1 FROM (
-SELECT *, sum(labelled) OVER child AS cl, sum(bad) OVER child AS cb, sum(labelled) OVER node AS nl, sum(bad) OVER node AS nb, count(DISTINCT CASE WHEN seg <> '' THEN seg END) OVER node AS branches
-FROM (SELECT *, CASE WHEN len(segs) > level THEN segs[level + 1] ELSE '' END AS seg FROM walk WHERE level <= len(segs))
-WINDOW child AS (PARTITION BY host, prefix, seg), node AS (PARTITION BY host, prefix))),
+SELECT host, segs, labelled, bad, CASE WHEN seg = '' THEN prefix WHEN members = 1 THEN prefix || '/' || seg WHEN members = branches THEN prefix || '/*' ELSE prefix || '/*~' || first END, level + 1 FROM (
+SELECT *, count(DISTINCT seg) OVER kind AS members, min(seg) OVER kind AS first, count(DISTINCT CASE WHEN seg <> '' THEN seg END) OVER (PARTITION BY host, prefix) AS branches FROM (
+SELECT *, sum(cut) OVER ({upward}) AS cluster FROM (
+SELECT *, CASE WHEN cl = 0 OR seg = '' THEN 0 ELSE CAST(coalesce({differs}, true) AS INT) END AS cut FROM (
+SELECT *, lag(cl) OVER ({upward}) AS before_l, lag(cb) OVER ({upward}) AS before_b FROM (
+SELECT *, sum(labelled) OVER (PARTITION BY host, prefix, seg) AS cl, sum(bad) OVER (PARTITION BY host, prefix, seg) AS cb FROM (SELECT *, CASE WHEN len(segs) > level THEN segs[level + 1] ELSE '' END AS seg FROM walk WHERE level <= len(segs))))))
+WINDOW kind AS (PARTITION BY host, prefix, cl > 0, seg = '', cluster))),
 t AS (SELECT * FROM walk WHERE level = len(segs) + 1),
 v AS (SELECT host, prefix, (sum(bad) + {prior * weight}) / (sum(labelled) + {weight}) AS purity FROM t GROUP BY ALL),
 w AS (SELECT host, segs, purity FROM t JOIN v USING (host, prefix))

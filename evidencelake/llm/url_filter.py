@@ -2,12 +2,19 @@
 
 Only DataFrame functions. URLs are first counted by host and lexical template
 (digits, hex runs and long mixed tokens become ``*``), so later steps see few
-rows. Then, level by level, the literal branches of a node are held against
-their siblings: branches whose smoothed share of bad labels does not differ
-significantly are merged into ``*``, others stay. Levels go on until no node has
-two paths left, however deep; a path that is alone in its node keeps its other
-segments as they are. A template is blocked if its smoothed share of bad labels
-reaches ``threshold``; a template without labels keeps the prior and is allowed.
+rows. The tree is walked from branching to branching: what all paths of a node
+share is passed in one step, so the number of steps is that of branchings on a
+path and not of its segments. The labelled branches of a node are sorted by
+their smoothed share of bad labels, and neighbours whose shares do not differ
+significantly become one template: ``*`` if that is the whole node, else
+``*~`` and its first branch. Branches without labels have nothing to be alike
+by; those of a node are one template that keeps the prior. A branch that is
+alone in its template keeps its name. A node with one path, or without a label
+below it, is not walked further. A template is blocked if its smoothed share of
+bad labels reaches ``threshold``; without labels it is allowed.
+
+Branches with equal counts are one row before neighbours are compared, so a node
+with very many branches puts few rows into a window.
 
 Defined results: a null url, or one without ``://``, has an empty host and path,
 no rule, and is allowed. Rows that repeat stay rows and count each. An id whose
@@ -20,7 +27,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import lower_ascii, materialize
@@ -56,26 +63,50 @@ def segments(path: Column) -> Column:
     return F.transform(parts, lambda s: F.when(s.rlike(variable), F.lit("*")).otherwise(s))
 
 
+def differ(labelled: tuple[Column, Column], bad: tuple[Column, Column], prior: float, weight: float, z: float) -> Column:
+    """Whether the smoothed shares of two branches are apart by more than ``z`` standard errors."""
+    a, b = (n + weight for n in labelled)
+    p, q = (bad[0] + weight * prior) / a, (bad[1] + weight * prior) / b
+    pooled = (p * a + q * b) / (a + b)
+    return F.abs(p - q) > z * F.sqrt(pooled * (1 - pooled) * (1 / a + 1 / b))
+
+
+def branch_names(children: DataFrame, prior: float, weight: float, z: float) -> DataFrame:
+    """(host, prefix, seg, name) of branches (host, prefix, seg, labelled, bad): one name for each cluster of alike siblings. The end of a path is no branch."""
+    node = ["host", "prefix"]
+    kinds = children.where("seg <> ''").groupBy(*node, "labelled", "bad").agg(F.min("seg").alias("first"), F.count("*").alias("n"))
+    upward = Window.partitionBy(*node).orderBy((F.col("bad") + weight * prior) / (F.col("labelled") + weight), "labelled", "bad")
+    labelled, bad = ((F.lag(c).over(upward), F.col(c)) for c in ("labelled", "bad"))
+    told = kinds.where("labelled > 0").withColumn("cut", F.coalesce(differ(labelled, bad, prior, weight, z), F.lit(True)).cast("int")).withColumn("cluster", F.sum("cut").over(upward)).drop("cut")
+    every = told.unionByName(kinds.where("labelled = 0").withColumn("cluster", F.lit(0).cast("long")))
+    own, all_of = Window.partitionBy(*node, "cluster"), Window.partitionBy(*node)
+    sized = every.select(*node, "labelled", "bad", F.sum("n").over(own).alias("members"), F.min("first").over(own).alias("first"), F.sum("n").over(all_of).alias("branches"))
+    name = F.when(F.col("members") == F.col("branches"), "*").otherwise(F.concat(F.lit("*~"), "first"))
+    alike = sized.select(*node, "labelled", "bad", F.when(F.col("members") == 1, F.col("first")).otherwise(name).alias("name"))
+    return children.join(alike, [*node, "labelled", "bad"], "left").select(*node, "seg", F.when(F.col("seg") == "", "").otherwise(F.col("name")).alias("name"))
+
+
 def templates(counts: DataFrame, prior: float, weight: float, z: float) -> DataFrame:
     """(host, segments, labelled, bad, template) of rows (host, segments, labelled, bad): each path's template after merging."""
-    state, done, level = counts.select("host", "segments", "labelled", "bad", F.lit("").alias("prefix")), None, 0
+    own = ["host", "segments", "labelled", "bad"]
+    state, done = counts.select(*own, F.lit("").alias("prefix"), F.col("segments").alias("rest")), None
+    behind = lambda n: F.slice("rest", n + 1, F.greatest(F.size("rest") - n, F.lit(0)))
     while True:
-        branch = state.withColumn("seg", F.when(F.size("segments") > level, F.col("segments")[level]).otherwise(F.lit("")))
-        child = branch.groupBy("host", "prefix", "seg").agg(F.sum("labelled").alias("c_labelled"), F.sum("bad").alias("c_bad"), F.count("*").alias("c_paths"))
-        node = child.groupBy("host", "prefix").agg(F.sum("c_labelled").alias("n_labelled"), F.sum("c_bad").alias("n_bad"), F.sum("c_paths").alias("paths"), F.count_if(F.col("seg") != "").alias("branches"))
-        a, b = F.col("c_labelled") + weight, F.col("n_labelled") - F.col("c_labelled") + weight
-        p, q = (F.col("c_bad") + weight * prior) / a, (F.col("n_bad") - F.col("c_bad") + weight * prior) / b
-        pooled = (p * a + q * b) / (a + b)
-        differs = F.abs(p - q) > z * F.sqrt(pooled * (1 - pooled) * (1 / a + 1 / b))
-        name = F.when((F.col("seg") == "") | (F.col("branches") == 1) | differs, F.col("seg")).otherwise(F.lit("*"))
-        choice = child.join(node, ["host", "prefix"]).select("host", "prefix", "seg", "paths", name.alias("name"))
-        rest = F.when(F.col("paths") == 1, F.slice("segments", level + 1, F.greatest(F.size("segments") - level, F.lit(0)))).when(F.col("name") == "", F.array().cast("array<string>")).otherwise(F.array("name"))
-        walked = branch.join(choice, ["host", "prefix", "seg"]).select("host", "segments", "labelled", "bad", F.concat_ws("/", F.array("prefix"), rest).alias("prefix"), ((F.size("segments") <= level) | (F.col("paths") == 1)).alias("ends"))
-        # written at each level: it is read three times
-        walked = materialize(walked)
-        ended = walked.where("ends").select("host", "segments", "labelled", "bad", F.col("prefix").alias("template"))
+        node = state.groupBy("host", "prefix").agg(F.count("*").alias("paths"), F.sum("labelled").alias("evidence"), F.min("rest").alias("low"), F.max("rest").alias("high"))
+        # the least and the greatest path share what all paths share
+        parts = F.array_position(F.zip_with("low", "high", lambda a, b: a.eqNullSafe(b)), False)
+        node = node.select("host", "prefix", "paths", "evidence", F.when(parts > 0, parts - 1).otherwise(F.size("low")).cast("int").alias("shared"))
+        at = state.join(node, ["host", "prefix"])
+        ends = at.where("paths = 1 or evidence = 0").select(*own, F.concat_ws("/", F.array("prefix"), F.when(F.col("paths") == 1, F.col("rest")).otherwise(F.array(F.lit("**")))).alias("prefix"), F.lit(None).cast("array<string>").alias("rest"))
+        walked = at.where("paths > 1 and evidence > 0").select(*own, F.concat_ws("/", F.array("prefix"), F.slice("rest", F.lit(1), F.col("shared"))).alias("prefix"), F.coalesce(F.get("rest", F.col("shared")), F.lit("")).alias("seg"), behind(F.col("shared") + 1).alias("rest"))
+        children = walked.groupBy("host", "prefix", "seg").agg(F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
+        named = walked.join(branch_names(children, prior, weight, z), ["host", "prefix", "seg"])
+        on = named.select(*own, F.when(F.col("seg") == "", F.col("prefix")).otherwise(F.concat_ws("/", "prefix", "name")).alias("prefix"), F.when(F.col("seg") != "", F.col("rest")).alias("rest"))
+        # written at each branching: it is read several times
+        step = materialize(ends.unionByName(on))
+        ended = step.where("rest is null").select(*own, F.col("prefix").alias("template"))
         done = ended if done is None else done.unionByName(ended)
-        state, level = walked.where("not ends").drop("ends"), level + 1
+        state = step.where("rest is not null")
         if state.isEmpty():
             return done
 

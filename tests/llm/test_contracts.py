@@ -557,6 +557,70 @@ def test_toxicity_of_pairs(spark):
     assert right > 0.95, right
 
 
+def walked(paths, prior=0.1, weight=8.0, z=1.96):
+    """The purity of each path (segments: labelled, bad) by plain recursion over a node's branches."""
+    smooth = lambda n, b: (b + weight * prior) / (n + weight)
+
+    def apart(x, y):
+        a, b = x[0] + weight, y[0] + weight
+        pooled = (x[1] + y[1] + 2 * weight * prior) / (a + b)
+        return abs(smooth(*x) - smooth(*y)) > z * (pooled * (1 - pooled) * (1 / a + 1 / b)) ** 0.5
+
+    found = {}
+
+    def node(members, level):
+        branches = {}
+        for segs in members:
+            branches.setdefault(segs[level] if len(segs) > level else None, []).append(segs)
+        total = lambda many: tuple(sum(paths[s][k] for s in many) for k in (0, 1))
+        ended = branches.pop(None, None)
+        if ended:
+            found.update(dict.fromkeys(ended, smooth(*total(ended))))
+        told = sorted((b for b in branches if total(branches[b])[0]), key=lambda b: (smooth(*total(branches[b])), *total(branches[b])))
+        clusters = [[b for b in branches if b not in told]]
+        for k, b in enumerate(told):
+            if k == 0 or apart(total(branches[told[k - 1]]), total(branches[b])):
+                clusters.append([])
+            clusters[-1].append(b)
+        for cluster in clusters:
+            if cluster:
+                node([s for b in cluster for s in branches[b]], level + 1)
+
+    node([*paths], 0)
+    return found
+
+
+def test_url_tree_against_recursion(spark):
+    rng = random.Random(12)
+    for trial in range(4):
+        rows, labels = [], []
+        for _ in range(250):
+            segs = [rng.choice("abcdefg"[: 2 + 2 * trial]) for _ in range(rng.randint(0, 4))]
+            rows.append((len(rows), "http://h.org/" + "/".join(segs), tuple(segs)))
+            if rng.random() < 0.6:
+                labels.append((len(rows) - 1, int(rng.random() < (0.9 if segs and segs[-1] in "ace" else 0.1))))
+        told = dict(labels)
+        paths = {}
+        for i, _, segs in rows:
+            n, b = paths.get(segs, (0, 0))
+            paths[segs] = (n + (i in told), b + told.get(i, 0))
+        want = walked(paths)
+        got = url_filter.judge(spark.createDataFrame([r[:2] for r in rows], "page_id long, url string"), spark.createDataFrame(labels, "page_id long, bad int"), rules=()).collect()
+        for r in got:
+            assert abs(r["purity"] - want[rows[r["page_id"]][2]]) < 1e-12, (trial, rows[r["page_id"]], r)
+
+
+def test_alike_siblings_are_one_template(spark):
+    """Six siblings of two kinds make two templates; two paths of a thousand equal segments take one step; clashing columns are left alone."""
+    rows = [(i, f"http://s.org/{'ab'[i % 2]}{i % 6 // 2}/x", "clash", 1, "t") for i in range(180)]
+    rows += [(900 + k, "http://trap.org/" + "/".join(["t"] * 1000) + f"/{'ab'[k]}", None, None, None) for k in range(2)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, segments string, bad int, template string")
+    labels = spark.createDataFrame([(i, int(i % 2 == 0), "x") for i in range(170)] + [(900, 1, "x")], "page_id long, bad int, template string")
+    got = url_filter.judge(pages, labels, rules=()).toPandas().set_index("page_id")
+    assert set(got["template"][:180]) == {"/*~a0/x", "/*~b0/x"} and set(got["verdict"][:180:2]) == {"block"} and set(got["verdict"][1:180:2]) == {"allow"}
+    assert {t.count("/") for t in got["template"][180:]} == {1001}
+
+
 @pytest.mark.parametrize("name", ["op3_url_filter", "op7_decontamination"])
 def test_sql_of_queries(spark, name):
     """The registered query and its SQL on the smallest tables."""
@@ -600,7 +664,7 @@ def test_url_templates_of_any_depth(spark):
     """Branches far down are decided apart; single deep paths and ties too."""
     rows = [(i, f"http://spam.org/a/b/c/d/e/f/{'ads' if i % 2 else 'news'}/x{i % 3}") for i in range(200)]
     rows += [(300, "http://deep.org/" + "/".join(["s"] * 300)), (301, "http://deep.org/"), (302, "http://tie.org/x"), (303, "http://tie.org/x")]
-    labels = [(i, int(i % 2 == 1)) for i in range(150)] + [(302, 0), (302, 1)]
+    labels = [(i, int(i % 2 == 1)) for i in range(150)] + [(300, 0), (301, 0), (302, 0), (302, 1)]
     pages, told = spark.createDataFrame(rows, "page_id long, url string"), spark.createDataFrame(labels, "page_id long, bad int")
     got = url_filter.judge(pages, told, rules=()).toPandas().set_index("page_id")
     assert got.loc[199, "verdict"] == "block" and got.loc[198, "verdict"] == "allow" and got.loc[199, "template"].startswith("/a/b/c/d/e/f/ads/")
