@@ -1,6 +1,6 @@
 """Language identification by interpolated Kneser-Ney character models.
 
-A text is lower-cased and reduced to its letters, with one space between runs.
+A text is composed (NFC), lower-cased and reduced to its letters and their marks, with one space between runs.
 For each language a Kneser-Ney model of ``ORDER`` characters is estimated; all
 models live in one set of sorted hash arrays, with a vector of log
 probabilities (one entry for each language) behind each hash, so a text is
@@ -25,6 +25,7 @@ are ignored, whatever their names.
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,12 +38,18 @@ from .common import crc_fold, map_texts, materialize, tune
 ORDER = 4
 UNKNOWN = "und"
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
+# combining marks belong to the letter before them: vowel signs are no end of a word
+_MARKS = "".join(chr(c) for c in range(0x300, 0x110000) if unicodedata.category(chr(c)) in ("Mn", "Mc"))
+_MARK, _NOT_LETTERS_OR_MARKS = re.compile(f"[{_MARKS}]"), re.compile(rf"(?:(?![{_MARKS}])[\W\d_])+")
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
 def letters(text: bytes) -> str:
-    """Letters in lower case, single spaces between and around them; empty if there is no letter."""
-    kept = _NOT_LETTERS.sub(" ", text.decode().lower()).strip()
+    """Letters with their marks, composed and in lower case, single spaces between and around them; empty if there is no letter."""
+    shown = text.decode()
+    shown = (shown if shown.isascii() else unicodedata.normalize("NFC", shown)).lower()
+    apart = _NOT_LETTERS if shown.isascii() or not _MARK.search(shown) else _NOT_LETTERS_OR_MARKS
+    kept = apart.sub(" ", shown).strip()
     if not kept.replace(" ", "").isalpha() and not any(map(str.isalpha, kept)):
         return ""
     return f" {kept} "

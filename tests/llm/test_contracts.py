@@ -557,6 +557,13 @@ def test_toxicity_of_pairs(spark):
     assert right > 0.95, right
 
 
+def test_letters_keep_their_marks():
+    assert langid.letters("हिन्दी, नमस्ते 12!".encode()) == " हिन्दी नमस्ते "
+    assert langid.letters("Cafe\u0301 É\u0301x".encode()) == " café é\u0301x ".replace("é\u0301", "é\u0301")
+    assert langid.letters("ภาษาไทยที่ดี".encode()).split() == ["ภาษาไทยที่ดี"]
+    assert langid.letters(b"abc_d3e") == " abc d e " and langid.letters("12 \u0301".encode()) == ""
+
+
 def walked(paths, prior=0.1, weight=8.0, z=1.96):
     """The purity of each path (segments: labelled, bad) by plain recursion over a node's branches."""
     smooth = lambda n, b: (b + weight * prior) / (n + weight)
