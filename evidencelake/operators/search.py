@@ -22,8 +22,8 @@ def folded(column: Column) -> Column:
 
 
 def contains_token(column: Column, token: str) -> Column:
-    """Whether a search word (letters and digits only) occurs, ASCII letters in either case; the text is not rewritten for it."""
-    return column.rlike("(?i)" + token)
+    """Whether a search word occurs, ASCII letters in either case; the text is not rewritten for it."""
+    return column.rlike("(?i)" + re.escape(token))
 
 
 def matches(df: DataFrame, query: str, columns: list[str], items: DataFrame | None = None, key: str = "case_id", item_columns: list[str] | None = None) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import repair, sections
 from ..functions import text as T
 from ..operators import client
+from ..sources import staged
 from ..rules import DRIVER
 from ..session import table
 from ..streaming import limiter
@@ -55,13 +56,24 @@ def repair_html(spark, sf):
 SQL["repair_html"] = "SELECT r_name, 1::BIGINT AS tables, count(*) + 1 AS rows, count(*) - 1 AS merged FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY r_name"
 
 
+def staged_stream(spark, sf):
+    """Customers as lines of one compressed stream in parts of 4 kB, unpacked again; parts that their manifest knows."""
+    c = table(spark, sf, "customer").select("c_custkey", F.to_json(F.struct("c_custkey", "c_name", "c_mktsegment")).alias("line"))
+    parts = staged.parts_of(c, "line", ["c_custkey"], part_bytes=4096, member_bytes=8192)
+    faults = staged.broken(parts, staged.manifest_of(parts)).select("chunk", "part")
+    return staged.lines_of(parts.join(faults, ["chunk", "part"], "left_anti")).select(F.get_json_object("line", "$.c_custkey").cast("long").alias("c_custkey"), "line")
+
+
+SQL["staged_stream"] = """SELECT c_custkey, '{"c_custkey":' || c_custkey || ',"c_name":"' || c_name || '","c_mktsegment":"' || c_mktsegment || '"}' AS line FROM customer"""
+
+
 def page_safety(spark, sf):
     """Whether scripts are left in repaired pages."""
     p = table(spark, sf, "pages").select("page_id", F.contains("html", F.lit("<script")).alias("had_script"), repair.safe_markup("html").alias("c"))
     return p.select("page_id", "had_script", F.contains("c", F.lit("<script")).alias("has_script"))
 
 
-SQL["page_safety"] = "SELECT page_id, contains(html, '<script') AS had_script, false AS has_script FROM pages"
+SQL["page_safety"] = r"SELECT page_id, contains(html, '<script') AS had_script, contains(regexp_replace(html, '(?is)<(?:script|iframe|object|embed)\b.*?(?:</(?:script|iframe|object|embed)\s*>|/>|\z)', '', 'g'), '<script') AS has_script FROM pages"
 
 
 def page_links(spark, sf):

@@ -166,16 +166,17 @@ SQL["endpoint_detail"] = _sql(f"SELECT c.case_id, item_order, b.title, c.subject
 
 
 def endpoint_item(spark, sf):
-    """Items of some cases by their ids."""
+    """Items by their ids, some of them known."""
     p = published(spark, sf)
     made = None
-    for key in (1, 2, 8, 13, 51):
-        part = serve.assessment_item(p, f"{key:024x}-1").select("item_id", "title", "curriculum", "subject")
+    for key in _KEYS:
+        part = serve.assessment_item(p, key).select("item_id", "title", "curriculum", "subject")
         made = part if made is None else made.unionByName(part)
     return made
 
 
-_IDS = ", ".join(f"'{k:024x}-1'" for k in (1, 2, 8, 13, 51))
+_KEYS = [f"{case:024x}-{line}" for case in (0, 2, 4, 8) for line in (2, 3, 6, 7)]
+_IDS = ", ".join(f"'{k}'" for k in _KEYS)
 SQL["endpoint_item"] = _sql(f"SELECT item_id, b.title, curriculum, subject FROM bounded b JOIN cases USING (case_id) WHERE item_id IN ({_IDS})")
 
 NAMES = [*SQL]

@@ -44,7 +44,8 @@ def public(spark: SparkSession, sf: str) -> DataFrame:
 def case_page(spark, sf):
     """Page of confirmed cases, best first."""
     found = joins.having(table(spark, sf, "orders"), public(spark, sf), ["o_orderkey"])
-    # every order has a customer, so the page is cut before its places are looked up
+    # orders without a place are out before the page is cut; the places of its rows are looked up afterwards
+    found = joins.having(found, homes(spark, sf).select(F.col("c_custkey").alias("o_custkey")), ["o_custkey"])
     best = aggregates.page(found.select("o_orderkey", "o_custkey", "o_totalprice"), "o_totalprice", "o_orderkey", 20)
     return best.join(homes(spark, sf), F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "o_totalprice", "n_name", "r_name").orderBy(F.desc("o_totalprice"), "o_orderkey")
 
@@ -454,7 +455,8 @@ def json_list(spark, sf):
     return e.select("event_id", F.size(T.json_list(F.col("j"))).cast("long").alias("n"))
 
 
-SQL["json_list"] = "SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 2 ELSE 0 END::BIGINT AS n FROM events"
+SQL["json_list"] = """WITH j AS (SELECT event_id, CASE WHEN event_id % 3 = 0 THEN '["' || event_type || '","x"]' ELSE props END AS j FROM events)
+SELECT event_id, CASE WHEN json_valid(j) AND json_type(j) = 'ARRAY' THEN json_array_length(j) ELSE 0 END::BIGINT AS n FROM j"""
 
 
 def extracted_years(spark, sf):
