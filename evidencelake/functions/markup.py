@@ -239,9 +239,30 @@ def pipe_to_html(fragment: str) -> str:
     return f"<table><thead>{row(head, 'th')}</thead><tbody>{''.join(row(b, 'td') for b in body)}</tbody></table>"
 
 
+_TABLE_TAG = re.compile(r"(?i)<(/?)table\b[^>]*>")
+
+
+def fused(text: str) -> str:
+    """Outer tables with nothing but white space between them as one, as a page break may have cut them; one that is never closed ends with the text.
+
+    A table of its own is led by a heading or a line of text. Inner tables stay as they are.
+    """
+    kept, at, depth, closed = [], 0, 0, None
+    for tag in _TABLE_TAG.finditer(text):
+        if tag.group(1):
+            depth = max(0, depth - 1)
+            closed = tag if depth == 0 else closed
+            continue
+        if depth == 0 and closed is not None and not text[closed.end() : tag.start()].strip():
+            kept.append(text[at : closed.start()])
+            at = tag.end()
+        depth += 1
+    return "\n".join([*kept, text[at:]]) + "</table>" * depth
+
+
 def to_html(text: str) -> str:
-    """A Markdown and HTML mix as safe HTML: tables, headings one level down, list items, paragraphs."""
-    parts, at = [], 0
+    """A Markdown and HTML mix as safe HTML: tables (those that a page break cut as one), headings one level down, list items, paragraphs."""
+    text, parts, at = fused(text), [], 0
     for start, end, fragment in [*table_spans(text), (len(text), len(text), "")]:
         items: list[str] = []
         for line in [*(x.strip() for x in text[at:start].splitlines()), ""]:

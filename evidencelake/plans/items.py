@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import plan_words as W
 from ..functions import headings as H
+from ..functions import markup as M
 from ..operators import plan_tables as P
 from ..session import table
 
@@ -121,6 +122,18 @@ def plan_names(spark, sf):
 SQL["plan_names"] = """SELECT s_nationkey::BIGINT AS case_id, row_number() OVER (PARTITION BY s_nationkey ORDER BY first) - 1 AS place, 'Task ' || k || ' 탐구' AS title FROM (SELECT s_nationkey, s_suppkey % 40 AS k, min(s_suppkey) AS first FROM supplier GROUP BY ALL)"""
 
 
+def split_tables(spark, sf):
+    """A table of each region's nations, cut by page breaks behind some of them, as it is shown."""
+    n = table(spark, sf, "nation").groupBy("n_regionkey").agg(F.array_sort(F.collect_list(F.struct("n_nationkey", "n_name"))).alias("all"))
+    row = lambda x: F.concat(_row(x["n_name"], "1"), F.when(x["n_nationkey"] % 3 == 0, F.lit("</table>\n\n<table>")).when(x["n_nationkey"] % 3 == 1, F.lit("</table>\n글\n<table>")).otherwise(""))
+    text = F.concat(F.lit("<table>"), F.array_join(F.transform("all", row), ""), _row("", ""), F.lit("</table>"))
+    shown = n.select("n_regionkey", F.pandas_udf(lambda v: v.map(M.to_html), "string")(text).alias("html"))
+    return shown.select("n_regionkey", F.regexp_count("html", F.lit("<table>")).cast("long").alias("tables"), F.regexp_count("html", F.lit("<tr>")).cast("long").alias("rows"))
+
+
+SQL["split_tables"] = "SELECT n_regionkey, 1 + count_if(n_nationkey % 3 = 1)::BIGINT AS tables, count(*) + 1 AS rows FROM nation GROUP BY n_regionkey"
+
+
 def item_union(spark, sf):
     """Titles of three sources: of equal ones the first source counts, numbers go by source and place."""
     o = table(spark, sf, "orders").select(F.col("o_custkey").cast("string").alias("case_id"), F.concat(F.lit("Task-"), F.col("o_orderkey") % 5).alias("title"), F.col("o_orderkey").cast("int").alias("table_no"), F.lit(0).alias("start"), F.substring("o_orderpriority", 1, 1).alias("p"))
