@@ -30,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,16 +40,20 @@ ORDER = 4
 UNKNOWN = "und"
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
 # combining marks belong to the letter before them: vowel signs are no end of a word
-_MARKS = "".join(chr(c) for c in range(0x300, 0x110000) if unicodedata.category(chr(c)) in ("Mn", "Mc"))
-_MARK, _NOT_LETTERS_OR_MARKS = re.compile(f"[{_MARKS}]"), re.compile(rf"(?:(?![{_MARKS}])[\W\d_])+")
+_IS_MARK = np.array([unicodedata.category(chr(c)) in ("Mn", "Mc") for c in range(0x110000)])
+_NOT_LETTERS_OR_MARKS = regex.compile(r"[\W\d\p{Pc}]+")
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
 def letters(text: bytes) -> str:
     """Letters with their marks, composed and in lower case, single spaces between and around them; empty if there is no letter."""
-    shown = text.decode()
-    shown = (shown if shown.isascii() else unicodedata.normalize("NFC", shown)).lower()
-    apart = _NOT_LETTERS if shown.isascii() or not _MARK.search(shown) else _NOT_LETTERS_OR_MARKS
+    shown, apart = text.decode(), _NOT_LETTERS
+    if shown.isascii():
+        shown = shown.lower()
+    else:
+        shown = unicodedata.normalize("NFC", shown).lower()
+        if _IS_MARK[np.frombuffer(shown.encode("utf-32-le", "surrogatepass"), "<u4")].any():
+            apart = _NOT_LETTERS_OR_MARKS  # whose words hold marks
     kept = apart.sub(" ", shown).strip()
     if not kept.replace(" ", "").isalpha() and not any(map(str.isalpha, kept)):
         return ""
