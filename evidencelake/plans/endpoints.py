@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import serve
+from . import responses, serve
 
 SQL = {}
 
@@ -179,4 +179,50 @@ _KEYS = [f"{case:024x}-{line}" for case in (0, 2, 4, 8) for line in (2, 3, 6, 7)
 _IDS = ", ".join(f"'{k}'" for k in _KEYS)
 SQL["endpoint_item"] = _sql(f"SELECT item_id, b.title, curriculum, subject FROM bounded b JOIN cases USING (case_id) WHERE item_id IN ({_IDS})")
 
+def response_cases(spark, sf):
+    """Confirmed cases as clients get them, nested groups flattened for the comparison."""
+    p = published(spark, sf)
+    marked = serve.confirmed(p).withColumn("title", F.concat(F.lit("<b>"), "title", F.lit("</b>"))).withColumn("academic_years", F.to_json(F.array(F.lit(2024), (F.length("district") + 2000))))
+    marked = marked.withColumn("overview", F.when(F.length("district") > 6, F.col("district")).otherwise("12")).withColumn("standards", F.array("region")).withColumn("methods", F.array(F.concat(F.lit("□ 서술 ☑ "), "region"), F.lit("□ 서술 □ 발표")))
+    marked = marked.withColumn("rubric_marker_count", F.length("region"))
+    a = F.col("assessment_structure")
+    shown = responses.case_rows(marked).select(
+        "case_id", "curriculum_ambiguous", "primary_task_name", F.array_join(F.col("academic_years").cast("array<string>"), ",").alias("years"), "evidence_score", "evidence_excerpt", F.col("evidence_markers.rubric").alias("rubric"),
+        a["overview"].alias("overview"), F.array_join(a["methods"], ",").alias("methods"), a["weight"].alias("weight"), F.array_join(a["standards"], ",").alias("standards"), F.size("task_names").alias("tasks"), "source_url",
+    )
+    return shown
+
+
+SQL["response_cases"] = _sql("""SELECT case_id, curriculum = 'shared' AS curriculum_ambiguous, title AS primary_task_name, '2024,' || (2000 + len(district)) AS years, CAST(trunc(review_score) AS BIGINT) AS evidence_score, excerpt AS evidence_excerpt, CAST(len(region) AS BIGINT) AS rubric,
+CASE WHEN other OR len(district) <= 6 THEN '' ELSE district END AS overview, region AS methods, weight, CASE WHEN other THEN '' ELSE region END AS standards, 0 AS tasks, '' AS source_url FROM (SELECT *, CAST('0x' || case_id[9:] AS BIGINT) % 7 = 0 AS other FROM confirmed)""")
+
+
+def response_items(spark, sf):
+    """Publishable items as clients get them."""
+    items = serve.bounded(published(spark, sf).items).withColumn("method", F.concat_ws(" ", F.lit("☑ 실험 □"), "overview")).withColumn("rubric_html", F.when(F.length("overview") > 8, F.col("title")).otherwise("")).withColumn("standards", F.to_json(F.array("overview", "title")))
+    return responses.item_rows(items).select("item_id", "order", "title", "method", F.array_join("standards", ",").alias("standards"), "has_rubric", "source_available")
+
+
+SQL["response_items"] = _sql("SELECT item_id, CAST(item_order AS BIGINT) AS \"order\", title, '실험' AS method, overview || ',' || title AS standards, len(overview) > 8 AS has_rubric, true AS source_available FROM bounded")
+
+
+def response_trends(spark, sf):
+    """Statistics of subjects as clients get them; coverage that no table has is unknown."""
+    p = published(spark, sf)
+    tags = p.cases.select("curriculum", "subject", F.explode("action_tags").alias("tag")).groupBy("curriculum", "subject", "tag").agg(F.count("*").alias("document_count"))
+    rows = responses.trend_rows(serve.trends(p, tags.where("subject <> '5-LOW'")))
+    return rows.select("curriculum", "subject", "documents", "curriculum_ambiguous", F.col("coverage.found").alias("found"), F.col("coverage.extraction_failed").alias("failed"), F.col("grade_documents.1").alias("first_grade"), F.size("action_tags").alias("tags"))
+
+
+SQL["response_trends"] = _sql("SELECT curriculum, subject, documents, curriculum = 'shared' AS curriculum_ambiguous, coverage_found AS found, NULL::BIGINT AS failed, 0::BIGINT AS first_grade, CAST(coalesce(n, 0) AS INTEGER) AS tags FROM stats LEFT JOIN (SELECT curriculum, subject, count(DISTINCT tag) AS n FROM (SELECT curriculum, subject, unnest(action_tags) AS tag FROM cases WHERE subject <> '5-LOW') GROUP BY ALL) USING (curriculum, subject)")
+
+
+def metric_panel(spark, sf):
+    """The numbers of the data snapshot as they are shown."""
+    return responses.metric_panel(serve.meta(published(spark, sf)))
+
+
+_PANEL = (("(SELECT max(coverage_found + coverage_other) FROM stats)", "곳"), ("(SELECT count(*) FROM cases)", "건"), ("(SELECT count(DISTINCT (school_name, region, district)) FROM cases)", "곳"), ("(SELECT count(DISTINCT case_id) FROM bounded)", "건"), ("(SELECT count(*) FROM bounded)", "건"))
+SQL["metric_panel"] = _sql(" UNION ALL ".join(f"SELECT {k} AS pos, '{responses.SNAPSHOT[k][0]}' AS label, format('{{:,}}', {n}) || '{unit}' AS value" for k, (n, unit) in enumerate(_PANEL)))
+
 NAMES = [*SQL]
