@@ -10,6 +10,7 @@ from ..functions import headings as H
 from ..functions import markup as M
 from ..operators import plan_tables as P
 from ..session import table
+from . import publish
 
 SQL = {}
 
@@ -240,4 +241,80 @@ length(hs) BETWEEN 2 AND 100 AND NOT ({no_title}) AND NOT (length(hs) > 4 AND re
 
 SQL["heading_structure"] = _structure_sql()
 SQL["heading_titles"] = f"""WITH {_MADE}, {_title_sql("made", "heading")} SELECT p_partkey, title, heading AS title_raw FROM titles JOIN made USING (p_partkey)"""
+
+
+TOPICS = (("size", ("small", "large", "medium")), ("tone", ("red", "blue", "green", "cold")), ("offer", ("promo", "economy")))
+WAYS = (("inquiry", ("widget", "wid")), ("fixing", ("bolt", "nut", "rod")), ("heat", ("cold", "hot")))
+
+
+def _parsed(spark, sf):
+    """Lines of orders as parsed items: named after their parts, with a method and a weight here and there."""
+    l, p = table(spark, sf, "lineitem"), table(spark, sf, "part")  # noqa: E741
+    once = l.groupBy("l_orderkey", "l_linenumber").agg(F.min(F.struct("l_partkey", "l_suppkey", "l_quantity", "l_returnflag", "l_linestatus")).alias("l")).select("l_orderkey", "l_linenumber", "l.*")
+    n = F.col("l_partkey")
+    return once.join(p, once["l_partkey"] == p["p_partkey"]).select(
+        F.col("l_orderkey").alias("case_id"), F.concat_ws("-", "l_orderkey", "l_linenumber").alias("item_id"), F.col("l_linenumber").alias("item_order"), F.col("p_name").alias("title"), F.when(n % 3 == 0, " ").otherwise(F.lower("p_type")).alias("overview"),
+        F.when(n % 2 == 0, "").otherwise(F.col("p_brand")).alias("method"), F.when(n % 5 == 0, F.concat(F.col("p_size"), F.lit("%"))).alias("weight"), F.concat(F.col("p_size"), F.lit("점")).alias("score"), F.array(F.concat(F.lit("["), n % 4, F.lit("]")), F.concat(F.lit("["), F.col("p_size") % 4, F.lit("]"))).alias("standards"),
+        F.when(F.col("l_returnflag") == "N", "bundle_review").otherwise("bounded").alias("extraction_status"), F.when(F.col("l_linestatus") == "F", "table").otherwise("unbounded_bundle").alias("title_basis"), F.lit("a:b").alias("boundary_status"), F.col("l_linenumber").alias("section_char_count"), F.when(n % 7 == 0, "<p>").otherwise("").alias("rubric_html"),
+    )
+
+
+_PARSED = """l AS (SELECT l_orderkey AS case_id, l_orderkey || '-' || l_linenumber AS item_id, l_linenumber AS item_order, l_partkey AS k, p_name AS title, CASE WHEN l_partkey % 3 = 0 THEN '' ELSE lower(p_type) END AS overview, CASE WHEN l_partkey % 2 = 0 THEN '' ELSE p_brand END AS method,
+CASE WHEN l_partkey % 5 = 0 THEN p_size || '%' ELSE '' END AS weight, p_size || '점' AS score, ['[' || l_partkey % 4 || ']', '[' || p_size % 4 || ']'] AS standards, l_returnflag <> 'N' AND l_linestatus = 'F' AS bounded
+FROM (SELECT * FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_quantity, l_returnflag, l_linestatus) = 1) JOIN part ON l_partkey = p_partkey)"""
+
+
+def publish_axes(spark, sf):
+    """Every topic and method of every item, by title, else by overview."""
+    cases = table(spark, sf, "orders").select(F.col("o_orderkey").alias("case_id"), F.col("o_totalprice").alias("review_score"))
+    return publish.axes(publish.ranked(_parsed(spark, sf), cases, TOPICS, WAYS))
+
+
+def _lexicon(name: str, lexicon) -> str:
+    return f"{name}(k, w) AS (VALUES " + ", ".join(f"('{k}', '{w}')" for k, ws in lexicon for w in ws) + ")"
+
+
+_WON = ",\n".join(f"{axis}_won AS (SELECT item_id, f, k FROM (SELECT item_id, f, k, max(len(w)) AS longest, count(*) AS hits FROM texts JOIN {axis}s ON contains(v, w) GROUP BY ALL) QUALIFY rank() OVER (PARTITION BY item_id, f ORDER BY longest DESC, hits DESC) = 1 AND f = min(f) OVER (PARTITION BY item_id))" for axis in ("topic", "way"))
+_AXES = f"""{_PARSED}, {_lexicon('topics', TOPICS)}, {_lexicon('ways', WAYS)}, texts AS (SELECT item_id, 0 AS f, replace(lower(title), ' ', '') AS v FROM l UNION ALL SELECT item_id, 1, replace(overview, ' ', '') FROM l),
+{_WON},
+axes AS (SELECT item_id, 'topic' AS axis, k AS value FROM topic_won UNION ALL SELECT item_id, 'method', k FROM way_won QUALIFY k <> 'inquiry' OR count(*) OVER (PARTITION BY item_id) = 1)"""
+SQL["publish_axes"] = f"WITH {_AXES} SELECT item_id, axis, value FROM axes"
+
+
+def publish_rankings(spark, sf):
+    """Items with their case's score, category, topic, and the kinds of evidence they have."""
+    cases = table(spark, sf, "orders").where("o_orderkey % 3 > 0").select(F.col("o_orderkey").alias("case_id"), F.floor("o_totalprice").alias("review_score"))
+    return publish.ranked(_parsed(spark, sf), cases, TOPICS, WAYS).select("item_id", "category", "topic", "ambiguous", "priority_score", F.array_join("priority_signals", ",").alias("signals"))
+
+
+SQL["publish_rankings"] = f"""WITH {_AXES}, a AS (SELECT item_id, coalesce(max(value) FILTER (axis = 'method'), '') AS category, coalesce(max(value) FILTER (axis = 'topic'), '') AS topic, count(*) FILTER (axis = 'method') <> 1 OR count(*) FILTER (axis = 'topic') <> 1 AS ambiguous FROM axes GROUP BY item_id)
+SELECT item_id, coalesce(category, '') AS category, coalesce(topic, '') AS topic, coalesce(ambiguous, true) AS ambiguous, CASE WHEN case_id % 3 > 0 THEN CAST(floor(o_totalprice) AS BIGINT) ELSE 0 END AS priority_score,
+concat_ws(',', CASE WHEN k % 7 = 0 THEN '채점기준' END, '성취기준', '배점', CASE WHEN method <> '' THEN '평가방법' END, CASE WHEN overview <> '' THEN '평가 개요' END) AS signals FROM l JOIN orders ON case_id = o_orderkey LEFT JOIN a USING (item_id)"""
+
+
+def publish_statuses(spark, sf):
+    """Title basis of every case that was read."""
+    cases = table(spark, sf, "orders").select(F.col("o_orderkey").alias("case_id"), F.when(F.col("o_orderkey") % 2 == 0, F.concat(F.lit("a/b."), F.col("o_orderstatus"))).alias("saved_path"))
+    return publish.statuses(_parsed(spark, sf), cases)
+
+
+SQL["publish_statuses"] = f"WITH {_PARSED} SELECT case_id, CASE WHEN case_id % 2 = 0 THEN lower(any_value(o_orderstatus)) ELSE 'unknown' END AS source_format, 'a:b' AS boundary_status, max(item_order) AS section_char_count, CASE WHEN bool_or(bounded) THEN 'source_detail' ELSE 'source_detail_bundle_review' END AS title_basis FROM l JOIN orders ON case_id = o_orderkey GROUP BY case_id"
+
+
+def publish_refresh(spark, sf):
+    """Cases with titles, methods, standards, overview and weight of their bounded items; others keep theirs."""
+    cases = table(spark, sf, "orders").select(F.col("o_orderkey").alias("case_id"), F.col("o_orderpriority").alias("title"), F.lit("old").alias("overview"))
+    rows = publish.refreshed(cases, _parsed(spark, sf))
+    return rows.select("case_id", "title", "overview", "weight", *(F.array_join(c, "|").alias(c) for c in ("task_names", "methods", "standards")))
+
+
+def _distinct(value: str, source: str = "l", at: str = "item_order") -> str:
+    return f"(SELECT case_id, string_agg(v, '|' ORDER BY o) AS s, arg_min(v, o) AS f FROM (SELECT case_id, {value} AS v, min({at}) AS o FROM {source} WHERE bounded AND trim({value}) <> '' GROUP BY ALL) GROUP BY case_id)"
+
+
+SQL["publish_refresh"] = f"""WITH {_PARSED}, c AS (SELECT case_id, bounded, unnest(standards) AS code, item_order * 10 + generate_subscripts(standards, 1) AS place FROM l)
+SELECT o_orderkey AS case_id, coalesce(t.f, o_orderpriority) AS title, CASE WHEN t.f IS NULL THEN 'old' ELSE coalesce(v.f, '') END AS overview, CASE WHEN t.f IS NOT NULL THEN coalesce(w.f, s.f, '') END AS weight, t.s AS task_names, CASE WHEN t.f IS NOT NULL THEN coalesce(m.s, '') END AS methods, c2.s AS standards
+FROM orders LEFT JOIN {_distinct('title')} t ON t.case_id = o_orderkey LEFT JOIN {_distinct('overview')} v ON v.case_id = o_orderkey LEFT JOIN {_distinct('weight')} w ON w.case_id = o_orderkey LEFT JOIN {_distinct('score')} s ON s.case_id = o_orderkey
+LEFT JOIN {_distinct('method')} m ON m.case_id = o_orderkey LEFT JOIN {_distinct('code', 'c', 'place')} c2 ON c2.case_id = o_orderkey"""
+
 NAMES = (*SQL,)
