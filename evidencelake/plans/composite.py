@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import repair, sections
 from ..functions import text as T
-from ..operators import client
+from ..operators import client, drafts
 from ..sources import staged
 from ..rules import DRIVER
 from ..session import table
@@ -155,4 +155,57 @@ def draft_points(spark, sf):
 SQL["draft_points"] = """WITH c AS (SELECT c_custkey AS design_id, c_custkey % 89 + 5 AS total, unnest([0, 1, 2]) AS idx, unnest(['a', 'b', 'c']) AS criterion, unnest([45, 35, 20]) AS weight FROM customer), f AS (SELECT *, total * weight // 100 AS p FROM c)
 SELECT design_id, criterion, CAST(p + CASE WHEN idx < total - sum(p) OVER (PARTITION BY design_id) THEN 1 ELSE 0 END AS BIGINT) AS points FROM f"""
 
+
+def attachments(spark, sf):
+    """Forms made of orders: odd lines as numbered file links, even ones as links to the servlet, of which numbers seen before are left out."""
+    l = table(spark, sf, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_partkey").alias("l_partkey"))  # noqa: E741
+    lines = l.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey"))).alias("l"))
+    n, part = (lambda x: x["l_linenumber"]), (lambda x: x["l_partkey"].cast("string"))
+    numbered = lambda x: F.concat(F.lit("<a class='file_name' onclick=\"getEiFile1('"), n(x), F.lit("')\">"), part(x), F.lit(".hwp (1,024 KB)</a>"))
+    linked = lambda x: F.concat(F.lit('<a href="/EiFileDownLoad.do?FILE_SEQ='), n(x) - n(x) % 3, F.lit("&amp;P="), part(x), F.lit('">n&amp;'), part(x), F.lit("</a>"))
+    html = F.concat(F.lit('<input type="hidden" name="K" value="'), F.col("l_orderkey"), F.lit('"><input type="hidden" name="P" value="none">'), F.array_join(F.transform("l", lambda x: F.when(n(x) % 2 == 1, numbered(x)).otherwise(linked(x))), " "))
+    found = client.attachments(lines.select("l_orderkey", html.alias("html")), "l_orderkey", "html", {"Y": "2024", "K": "0"})
+    of = lambda k: F.col("params").getItem(k)
+    return found.select(F.col("id").alias("l_orderkey"), F.col("pos").cast("long").alias("pos"), "seq", "name", of("K").alias("k"), of("P").alias("p"), of("Y").alias("y"), of("FILE_SEQ").alias("file_seq"))
+
+
+SQL["attachments"] = """WITH l AS (SELECT l_orderkey, l_linenumber AS n, min(l_partkey) AS part FROM lineitem GROUP BY ALL),
+a AS (SELECT l_orderkey, 0 AS kind, n AS o, n AS seq, part || '.hwp' AS name, 'none' AS p FROM l WHERE n % 2 = 1
+UNION ALL SELECT l_orderkey, 1, n, n - n % 3, 'n&' || part, part::VARCHAR FROM l WHERE n % 2 = 0 AND NOT EXISTS (SELECT 1 FROM l m WHERE m.l_orderkey = l.l_orderkey AND m.n % 2 = 1 AND m.n = l.n - l.n % 3) QUALIFY row_number() OVER (PARTITION BY l_orderkey, n - n % 3 ORDER BY n) = 1)
+SELECT l_orderkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY kind, o) - 1 AS pos, seq::VARCHAR AS seq, name, l_orderkey::VARCHAR AS k, p, '2024' AS y, seq::VARCHAR AS file_seq FROM a"""
+
+
+def draft_text(spark, sf):
+    """Drafts of customers' designs as text."""
+    key = F.col("c_custkey")
+    designs = table(spark, sf, "customer").select(
+        key.alias("design_id"), F.lit("p").alias("pattern"), F.when(key % 3 > 0, F.col("c_mktsegment")).alias("topic"), F.col("c_name").alias("subject"), F.lit("2022").alias("curriculum"), (key % 3 + 1).alias("grade"), (key % 2 + 1).alias("semester"),
+        (key % 9 + 1).alias("lessons"), (key % 89 + 5).alias("points"), F.lit("모둠").alias("collaboration"), F.when(key % 2 == 0, drafts.NO_AI).otherwise("허용").alias("ai_policy"),
+    )
+    kind = "pattern string, label string, product string, method_phrase string, phases array<struct<title:string,evidence:string>>, criteria array<struct<label:string,weight:int,focus:string>>"
+    patterns = spark.createDataFrame([("p", "탐구", "보고서", "탐구합니다", [("설계", "계획"), ("수행", "기록")], [("가", 45, "하나"), ("나", 35, "둘"), ("다", 20, "셋")])], kind)
+    return drafts.as_text(drafts.drafts(designs, F.broadcast(patterns)))
+
+
+def _draft_sql() -> str:
+    points = [f"total * {w} // 100" for w in (45, 35, 20)]
+    left = "total - (" + " + ".join(points) + ")"
+    shown = [f"({p} + CASE WHEN {i} < {left} THEN 1 ELSE 0 END)" for i, p in enumerate(points)]
+    lesson = lambda a, b: f"(CASE WHEN {a} >= {b} THEN {a} || '차시' ELSE {a} || '–' || {b} || '차시' END)"
+    half = "(lessons // 2)"
+    brief = drafts.BRIEF.replace("'", "''").split("%s")
+    fair = "- " + "\n- ".join(drafts.FAIRNESS).replace("%s", "모둠")
+    bodies = (
+        "'- 2022 개정 ' || c_name || '\n- ' || grade || '학년 ' || (c_custkey % 2 + 1) || '학기 · ' || lessons || '차시 · 모둠\n- 총 ' || total || '점'", f"'{drafts.NO_STANDARDS}'", f"'{drafts.SOURCE_CHECK}'",
+        f"'{brief[0]}' || grade || '{brief[1]}' || c_name || '{brief[2]}' || topic || '{brief[3]}탐구합니다{brief[4]}모둠{brief[5]}'", "'보고서'",
+        f"'- ' || {lesson('1', f'greatest(1, {half})')} || ' 설계: 계획\n- ' || {lesson(f'({half} + 1)', 'lessons')} || ' 수행: 기록'",
+        " || '\n' || ".join(f"'- {n} (' || {p} || '점): {f}'" for n, p, f in zip("가나다", shown, ("하나", "둘", "셋"), strict=True)),
+        f"CASE WHEN c_custkey % 2 = 0 THEN '{drafts.GUIDANCE[drafts.NO_AI]}' ELSE '{drafts.OTHER_GUIDANCE}' END", f"'{fair}'",
+    )
+    text = " || ".join(["topic || ' — 탐구'", *(f"'\n\n[{name}]\n' || ({body})" for name, body in zip(drafts.SECTIONS, bodies, strict=True))])
+    return f"SELECT c_custkey AS design_id, {text} AS text FROM (SELECT *, c_custkey % 3 + 1 AS grade, c_custkey % 9 + 1 AS lessons, c_custkey % 89 + 5 AS total, CASE WHEN c_custkey % 3 > 0 THEN c_mktsegment ELSE '{drafts.NO_TOPIC}' END AS topic FROM customer)"
+
+
+SQL["draft_text"] = _draft_sql()
+
 NAMES = [*SQL]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -21,6 +21,49 @@ def jsonl(spark: SparkSession, paths: str | list[str], schema: str | StructType,
     return spark.read.schema(StructType([*full.fields, StructField(CORRUPT, StringType())])).option("columnNameOfCorruptRecord", CORRUPT).json(paths)
 
 
+def is_json(line: Column) -> Column:
+    """Whether a line is one JSON value and nothing else; a blank line is none. In brackets, what follows a value is no longer passed over."""
+    return F.coalesce(F.json_array_length(F.concat(F.lit("["), line, F.lit("]"))) == 1, F.lit(False))
+
+
+def first_bad_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """(file, line_no, value) of the first malformed line of each file, lines counted from 1.
+
+    One scan leaves a row for each block of a file: its lines, and its first bad
+    one. The blocks before it are then counted, so a file may be split.
+    """
+    lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id"))
+    bad = F.min(F.when(~is_json(F.col("value")), F.struct("id", "value"))).alias("bad")
+    blocks = lines.groupBy("file", "block").agg(F.count("*").alias("n"), F.min("id").alias("first"), bad)
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    found = blocks.withColumn("line_no", before + F.col("bad.id") - F.col("first") + 1).where("bad IS NOT NULL")
+    return found.groupBy("file").agg(F.min(F.struct("line_no", "bad.value")).alias("l")).select("file", "l.*")
+
+
+def objects(spark: SparkSession, paths: str | list[str], schema: str | StructType) -> DataFrame:
+    """JSON lines, checked as a whole first: the first malformed line is an error that names its file and number; what is no object is left out.
+
+    A value that does not fit its column is null. Of keys that an object repeats the last one counts.
+    """
+    bad = first_bad_lines(spark, paths).orderBy("file").limit(1).collect()
+    if bad:
+        raise ValueError(f"malformed JSON line {bad[0]['file']}:{bad[0]['line_no']}: {(bad[0]['value'] or '')[:160]}")
+    lines = spark.read.text(paths).where(F.ltrim("value").startswith("{"))
+    return lines.select(F.from_json("value", schema).alias("r")).select("r.*")
+
+
+def lexicon(spark: SparkSession, path: str) -> tuple[tuple[str, tuple[str, ...]], ...]:
+    """A lexicon document: JSON lines of key and words, in the file's order; empty words are left out, a repeated key is an error.
+
+    A lexicon is a parameter of the size of a word list, so it is read by the driver.
+    """
+    rows = objects(spark, path, "key string, words array<string>").collect()
+    found = tuple((r["key"], tuple(w for w in r["words"] or () if w and w.strip())) for r in rows)
+    if any(not k for k, _ in found) or len({k for k, _ in found}) < len(found):
+        raise ValueError("a lexicon needs a key for each line, and each key once")
+    return found
+
+
 def jsonl_counts(spark: SparkSession, paths: str | list[str], schema: str | StructType) -> DataFrame:
     """One row: lines that are not blank, and malformed ones."""
     full = StructType.fromDDL(schema) if isinstance(schema, str) else schema

@@ -12,10 +12,33 @@ def write_jsonl(df: DataFrame, path: str) -> None:
     df.write.mode("errorifexists").json(path)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
+def write_csv(df: DataFrame, path: str, bom: bool = False) -> None:
+    """CSV with a header; a byte order mark, if wanted, stands before it in every file (``sources.files.csv`` drops it again)."""
+    if bom and df.columns:
+        first, *rest = df.columns
+        df = df.toDF("\ufeff" + first, *rest)
     df.write.mode("errorifexists").option("header", True).csv(path)
 
 
+def replace_table(df: DataFrame, path: str) -> None:
+    """Put a table in the place of another. The new one is written whole beside it first, so a job that fails leaves the old one.
+
+    Names change at the end, the old table's first; its files are removed after that.
+    """
+    jvm = df.sparkSession.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration())
+    new, old = (jvm.org.apache.hadoop.fs.Path(at.getParent(), f".{at.getName()}.{x}") for x in ("partial", "before"))
+    df.write.mode("overwrite").parquet(new.toString())
+    if fs.exists(old):
+        fs.delete(old, True)
+    if fs.exists(at) and not fs.rename(at, old):
+        raise OSError(f"{path} cannot be moved")
+    if not fs.rename(new, at):
+        raise OSError(f"{path} cannot be put in place")
+    fs.delete(old, True)
+
+
 def summary(counts: dict[str, DataFrame]) -> DataFrame:
     """One row with a map of counts for each (value, count) table; for small group tables."""
     made = None

@@ -141,3 +141,43 @@ def test_spans_and_attachments(spark):
     inner = spark.createDataFrame([(1, 5, 8), (1, 20, 30), (2, 5, 8)], "d int, start int, end int")
     outer = spark.createDataFrame([(1, 0, 10)], "d int, start int, end int")
     assert sorted((r["d"], r["start"]) for r in joins.suppressed_spans(inner, outer, "d").collect()) == [(1, 20), (2, 5)]
+
+
+def test_checked_json_lines(spark, tmp_path):
+    import pytest
+
+    from evidencelake.sources import files
+
+    good = tmp_path / "good.jsonl"
+    good.write_text('{"key": "a", "words": ["x", " ", "y"]}\n[1]\n"t"\nnull\n 3\n{"key": "b", "key": "c"}\n', encoding="utf-8")
+    assert [tuple(r) for r in files.objects(spark, str(good), "key string").collect()] == [("a",), ("c",)]
+    assert files.lexicon(spark, str(good)) == (("a", ("x", "y")), ("c", ()))
+    for bad, line in (('{"a": 1}\n{"a": 2} x\n{', 2), ("\n{}", 1), ('{"a":1}\n{"a"', 2), ('{"a":1}\n1, 2\n', 2)):
+        path = tmp_path / f"bad{abs(hash(bad))}.jsonl"
+        path.write_text(bad)
+        with pytest.raises(ValueError, match=rf"\.jsonl:{line}:"):
+            files.objects(spark, str(path), "a int")
+    # a file that is read in many blocks has the same line numbers
+    long = tmp_path / "long.jsonl"
+    long.write_text("".join(f'{{"a": {i}}}\n' if i not in (3000, 4000) else f"{{{i}\n" for i in range(5000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+        assert [(r["line_no"], r["value"]) for r in files.first_bad_lines(spark, [str(long), str(good)]).collect()] == [(3001, "{3000")]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_replaced_and_marked(spark, tmp_path):
+    from evidencelake.sources import files, sinks
+
+    path = str(tmp_path / "t")
+    for n in (3, 5):
+        sinks.replace_table(spark.range(n), path)
+        assert spark.read.parquet(path).count() == n
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["t"]
+    sinks.write_csv(spark.createDataFrame([("가", "1")], "name string, n string").coalesce(1), str(tmp_path / "c"), bom=True)
+    part = next((tmp_path / "c").glob("*.csv"))
+    assert part.read_bytes().startswith("﻿name,n".encode())
+    back = files.csv(spark, str(tmp_path / "c"))
+    assert back.columns == ["name", "n"] and back.first()["name"] == "가"
