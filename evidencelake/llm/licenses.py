@@ -8,7 +8,12 @@ must stand in the text word for word, so that one word that sets it apart from
 another counts; a longer one must be covered by ``cover``. Where spans overlap,
 the one that covers most words stays. Phrases are templates too: a state knows
 which phrases end in every run it stands for, so their places are read off the
-walk.
+walk. Licence names and SPDX identifiers are short templates; "licence" counts as
+"license" in templates, but never as a place of a phrase.
+
+The score is 1 where a phrase stands, else the best cover of a span that gives a
+label; where nothing does, it is the best part of a template times ``cover``, so
+a score below ``cover`` means that no label was found.
 
 Defined results: null and empty texts have no words, no places and score 0. Of
 spans that cover as many words of one place the first one stays, then the first
@@ -121,6 +126,52 @@ TEMPLATES = (
     ("reserved", "All rights reserved."),
 )
 
+#: Identifiers of the SPDX list by label; an identifier goes on with "only" or "or later" behind a version.
+SPDX = {
+    "mit": ("MIT", "MIT-0"),
+    "apache": ("Apache-1.1", "Apache-2.0"),
+    "gpl": ("GPL-1.0", "GPL-2.0", "GPL-3.0"),
+    "lgpl": ("LGPL-2.0", "LGPL-2.1", "LGPL-3.0"),
+    "agpl": ("AGPL-3.0",),
+    "bsd": ("0BSD", "BSD-1-Clause", "BSD-2-Clause", "BSD-3-Clause", "BSD-4-Clause"),
+    "mpl": ("MPL-1.1", "MPL-2.0"),
+    "epl": ("EPL-1.0", "EPL-2.0"),
+    "eupl": ("EUPL-1.1", "EUPL-1.2"),
+    "isc": ("ISC",),
+    "zlib": ("Zlib",),
+    "boost": ("BSL-1.0",),
+    "unlicense": ("Unlicense",),
+    "artistic": ("Artistic-2.0",),
+    "cc-by": ("CC-BY-3.0", "CC-BY-4.0"),
+    "cc-by-sa": ("CC-BY-SA-3.0", "CC-BY-SA-4.0"),
+    "cc-by-nc": ("CC-BY-NC-3.0", "CC-BY-NC-4.0"),
+    "cc-by-nd": ("CC-BY-ND-3.0", "CC-BY-ND-4.0"),
+    "cc-by-nc-sa": ("CC-BY-NC-SA-3.0", "CC-BY-NC-SA-4.0"),
+    "cc-by-nc-nd": ("CC-BY-NC-ND-3.0", "CC-BY-NC-ND-4.0"),
+    "cc0": ("CC0-1.0",),
+}
+#: Full names that stand for a licence wherever they are.
+NAMES = (
+    ("mpl", "Mozilla Public License"),
+    ("epl", "Eclipse Public License"),
+    ("eupl", "European Union Public License"),
+    ("boost", "Boost Software License"),
+    ("artistic", "Artistic License 2.0"),
+    ("isc", "ISC License"),
+    ("zlib", "zlib License"),
+    ("bsd", "BSD 3-Clause License"),
+    ("bsd", "BSD 2-Clause License"),
+    ("cc0", "Creative Commons Zero"),
+    ("cc-by", "Creative Commons Attribution 4.0"),
+    ("cc-by-sa", "Creative Commons Attribution-ShareAlike 4.0"),
+    ("cc-by-nc", "Creative Commons Attribution-NonCommercial 4.0"),
+    ("cc-by-nc-nd", "Creative Commons Attribution-NonCommercial-NoDerivatives 4.0"),
+)
+TEMPLATES += NAMES + tuple((label, f"SPDX-License-Identifier: {name}") for label, names in SPDX.items() for name in names)
+
+#: Spellings that templates do not use, and theirs.
+SPELLINGS = (("licence", "license"), ("licences", "licenses"), ("licenced", "licensed"), ("sublicence", "sublicense"))
+
 #: Templates of up to so many words must stand word for word.
 SHORT = 30
 
@@ -181,6 +232,7 @@ class Scanner:
         self.templates = [(label, word_bytes(t.encode())) for label, t in templates]
         self.ids: dict[bytes, int] = {}
         coded = [[self.ids.setdefault(w, len(self.ids)) for w in words] for words in [p for p, _ in self.phrases] + [t for _, t in self.templates]]
+        self.ids |= {other.encode(): self.ids[own.encode()] for other, own in SPELLINGS if own.encode() in self.ids and other.encode() not in self.ids}
         self.automaton = auto = Automaton(coded)
         n = len(self.phrases)
         ends: dict[int, list[tuple[int, int]]] = {}
@@ -234,16 +286,22 @@ class Scanner:
                 if size < n:
                     continue
                 if k < phrases:
-                    starts.append(i + 1 - n)
-                    base.add(self.phrases[k][1])
+                    phrase, label = self.phrases[k]
+                    if words[i + 1 - n : i + 1] == phrase:
+                        starts.append(i + 1 - n)
+                        base.add(label)
+                    else:  # in another spelling it is no place of the phrase
+                        exact.append((label, i + 1 - n, i + 1, 1.0, n, n))
                 else:
                     exact.append((self.templates[k - phrases][0], i + 1 - n, i + 1, 1.0, n, n))
         if size >= self.least:
             runs.append((state, size, len(ids)))
         found = self.chains(runs)
         spans = self.chosen(exact + [s for s in found if s[5] > SHORT and s[3] >= self.cover])
-        best = max([s[3] for s in found], default=0.0)
-        return len(words), len(starts), min(starts, default=None), max(starts, default=None), sorted(base), sorted(base | {s[0] for s in spans}), max(best, 1.0 if base else 0.0), spans
+        # a part of a template that is not enough for its label scores below what is
+        part = max([self.cover * min(s[3], 0.99) for s in found], default=0.0)
+        score = 1.0 if base else max([part, *(s[3] for s in spans)])
+        return len(words), len(starts), min(starts, default=None), max(starts, default=None), sorted(base), sorted(base | {s[0] for s in spans}), score, spans
 
     @staticmethod
     def chosen(enough: list[tuple[str, int, int, float, int, int]]) -> list[tuple[str, int, int, float]]:

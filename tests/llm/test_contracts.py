@@ -374,6 +374,35 @@ def test_licenses(docs):
     assert n > 600_000 and places == 0 and found == ["mit"] and len(spans) == 2
 
 
+def test_license_names_and_spellings(spark):
+    scanner = licenses.Scanner()
+    labels = lambda text: scanner.scan(text.encode())[5]
+    assert labels("Licensed under the Eclipse Public License 2.0") == ["epl"] and labels("Mozilla Public License Version 2.0") == ["mpl"]
+    assert labels("// SPDX-License-Identifier: GPL-2.0-only") == ["gpl"] and labels("SPDX-License-Identifier: LGPL-2.1-or-later") == ["lgpl"] and labels("SPDX-License-Identifier: CC-BY-NC-SA-4.0") == ["cc-by-nc-sa"]
+    assert labels("SPDX-License-Identifier: Mine") == []
+    # the other spelling gives the label but no place of a phrase
+    n, places, first, last, base, found, score, spans = scanner.scan(b"licensed under the MIT licence")
+    assert (n, places, first, last, base, found, score) == (5, 0, None, None, [], ["mit"], 1.0) and [s[:3] for s in spans] == [("mit", 0, 5)]
+    assert labels("any MIT licence") == ["mit"] and scanner.scan(b"MIT licence or MIT license")[1:4] == (1, 3, 3)
+    rng = random.Random(8)
+    short = [(label, WORD.findall(lower(t))) for label, t in licenses.TEMPLATES if len(WORD.findall(lower(t))) <= licenses.SHORT] + [(label, p.split()) for p, label in licenses.PHRASES]
+    vocabulary = sorted({w for _, words in short for w in words})
+    for _ in range(300):
+        words = []
+        for _ in range(rng.randint(1, 6)):
+            label, some = rng.choice(short)
+            cut = rng.randint(1, len(some)) if rng.random() < 0.4 else len(some)
+            words += some[:cut] + rng.choices(vocabulary, k=rng.randint(0, 2))
+        _, _, _, _, base, found, score, spans = scanner.scan(" ".join(words).encode())
+        places = {(label, k, k + len(w)) for label, w in short for k in range(len(words)) if words[k : k + len(w)] == w}
+        assert set(found) <= {label for label, _, _ in places} and (score >= scanner.cover) == bool(found) == bool(places)
+        # every place is shown, or overlaps a span that covers at least as many words
+        for _, first, behind in places - {(p[0], p[1], p[2]) for p in spans}:
+            assert any(s < behind and e > first and e - s >= behind - first for _, s, e, _ in spans) or behind - first <= 3 and base
+    rows = spark.createDataFrame([(1, "MIT license", 5, "x"), (2, None, 6, "y")], "doc_id int, text string, n_words int, labels string")
+    assert [(r["n_words"], r["labels"]) for r in licenses.scan(rows).orderBy("doc_id").collect()] == [(2, "mit"), (0, "")]
+
+
 def test_suffix_automaton():
     rng = random.Random(4)
     sequences = [[rng.randint(0, 3) for _ in range(rng.randint(1, 15))] for _ in range(8)]
