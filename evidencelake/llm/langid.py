@@ -101,8 +101,41 @@ def _pieces(texts: list[str], size: int = 300_000) -> Iterator[tuple[list[int],
         yield owners, pieces
 
 
+class Sparse:
+    """Values of the languages that have a run, run after run: for models whose full table would be large."""
+
+    def __init__(self, starts: np.ndarray, columns: np.ndarray, data: np.ndarray) -> None:
+        self.starts, self.columns, self.data = starts, columns, data
+
+    def of(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For each value of the given runs: the number of the run among them, the language, the value."""
+        lengths = self.starts[rows + 1] - self.starts[rows]
+        owner = np.repeat(np.arange(len(rows)), lengths)
+        flat = np.arange(len(owner)) + np.repeat(self.starts[rows] - (np.cumsum(lengths) - lengths), lengths)
+        return owner, self.columns[flat], self.data[flat]
+
+
+def gathered(per_language: list[tuple[np.ndarray, np.ndarray]], width: int, empty: float, dense_cells: int) -> tuple[np.ndarray, np.ndarray | Sparse]:
+    """Sorted distinct keys of all languages with their values: a full table if it has at most ``dense_cells`` entries."""
+    keys = np.unique(np.concatenate([k for k, _ in per_language]))
+    if len(keys) * width <= dense_cells:
+        values = np.full((len(keys), width), empty, np.float32)
+        for j, (k, v) in enumerate(per_language):
+            values[np.searchsorted(keys, k), j] = v
+        return keys, values
+    every = np.concatenate([k for k, _ in per_language])
+    order = np.argsort(every, kind="stable")
+    columns = np.repeat(np.arange(len(per_language), dtype=np.int32), [len(k) for k, _ in per_language])[order]
+    starts = np.append(np.searchsorted(every[order], keys), len(every))
+    return keys, Sparse(starts, columns, np.concatenate([v for _, v in per_language]).astype(np.float32)[order])
+
+
 class Model:
-    """Sorted hash arrays: ``grams[n]`` with log probabilities, ``contexts[n]`` with log back-off weights."""
+    """Sorted hash arrays: ``grams[n]`` with log probabilities, ``contexts[n]`` with log back-off weights.
+
+    In a full table a language without a run has its backed-off value; in a
+    sparse one that is summed up where it is needed, to the same numbers.
+    """
 
     def __init__(self, languages: list[str], grams: list, contexts: list, floor: np.ndarray) -> None:
         self.languages, self.grams, self.contexts, self.floor = languages, grams, contexts, floor
@@ -117,19 +150,35 @@ class Model:
         place = np.searchsorted(keys, wanted)
         place[place == len(keys)] = 0
         hit = keys[place] == wanted
+        if isinstance(values, Sparse):
+            out = self._backed_off(n, hashes, at)
+            spots = np.flatnonzero(hit)
+            owner, language, found = values.of(place[spots])
+            out[spots[owner], language] = found
+            return out
         out = values[place]
         miss = np.flatnonzero(~hit)
         if len(miss):
-            lower = np.array(self._level(n - 1, hashes, at[miss]))
-            if n > 1:
-                known, weights = self.contexts[n - 2]
-                before = hashes[n - 2][at[miss] - 1]
-                spot = np.searchsorted(known, before)
-                spot[spot == len(known)] = 0
-                lower += np.where((known[spot] == before)[:, None], weights[spot], 0.0)
-            out[miss] = lower
+            out[miss] = self._backed_off(n, hashes, at[miss])
         return out
 
+    def _backed_off(self, n: int, hashes: list[np.ndarray], at: np.ndarray) -> np.ndarray:
+        """What runs of ``n`` characters that end at ``at`` have if no model knows them."""
+        lower = np.array(self._level(n - 1, hashes, at))
+        if n > 1:
+            known, weights = self.contexts[n - 2]
+            before = hashes[n - 2][at - 1]
+            spot = np.searchsorted(known, before)
+            spot[spot == len(known)] = 0
+            same = known[spot] == before
+            if isinstance(weights, Sparse):
+                spots = np.flatnonzero(same)
+                owner, language, found = weights.of(spot[spots])
+                lower[spots[owner], language] += found
+            else:
+                lower += np.where(same[:, None], weights[spot], 0.0)
+        return lower
+
     def entropies(self, texts: list[str]) -> np.ndarray:
         """Mean negative log probability of a character, for each text (none may be empty) and language; any length in pieces."""
         sums = np.zeros((len(texts), len(self.languages)))
@@ -164,64 +213,52 @@ class Model:
         return e / e.sum(axis=1, keepdims=True)
 
 
-def estimate(languages: list[str], tables: list[tuple[np.ndarray, np.ndarray]], discount: float = 0.75) -> Model:
-    """Kneser-Ney models from each language's distinct runs (rows of ORDER code points) and their counts."""
+def estimate(languages: list[str], tables: list[tuple[np.ndarray, np.ndarray]], discount: float = 0.75, dense_cells: int = 1 << 26) -> Model:
+    """Kneser-Ney models from each language's distinct runs (rows of ORDER code points) and their counts.
+
+    ``dense_cells`` only chooses how a level is stored.
+    """
     L = len(languages)
     logs: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in range(ORDER)]
     backs: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in range(ORDER - 1)]
-    alphabet = max(1, len(np.unique(np.concatenate([t[0].ravel() for t in tables]))))
-    floor = np.full(L, -np.log(4.0 * alphabet), np.float32)
-    for grams, counts in tables:
+    alphabet = max(1, len(np.unique(np.concatenate([np.unique(t[0]) for t in tables]))))
+    uniform = 1.0 / (4.0 * alphabet)
+    floor = np.full(L, np.log(uniform), np.float32)
+    for j, (grams, counts) in enumerate(tables):
         # counts of each order: the runs themselves, then how many characters precede each shorter run
         by_order: list[tuple[np.ndarray, np.ndarray]] = [(grams, counts.astype(np.float64))]
         for _ in range(ORDER - 1):
             rest, n = np.unique(by_order[0][0][:, 1:], axis=0, return_counts=True)
             by_order.insert(0, (rest, n.astype(np.float64)))
-        below: dict[bytes, float] = {}
-        uniform = 1.0 / (4.0 * alphabet)
+        below: tuple[np.ndarray, np.ndarray] = (np.empty(0, np.uint64), np.empty(0))  # sorted hashes of the runs one shorter, their probabilities
         for n, (runs, c) in enumerate(by_order, 1):
             if n == 1:
                 total, kinds = c.sum(), len(c)
                 p = np.maximum(c - discount, 0) / total + discount * kinds / total * uniform
-                floor[len(logs[0])] = np.log(discount * kinds / total * uniform)  # of characters it has not seen
+                floor[j] = np.log(discount * kinds / total * uniform)  # of characters it has not seen
             else:
                 heads, owner = np.unique(runs[:, :-1], axis=0, return_inverse=True)
                 owner = owner.ravel()
                 total, kinds = np.bincount(owner, c), np.bincount(owner)
                 gamma = discount * kinds / total
-                lower = np.array([below[r.tobytes()] for r in np.ascontiguousarray(runs[:, 1:])])
+                lower = below[1][np.searchsorted(below[0], _hash_rows(runs[:, 1:]))]
                 p = np.maximum(c - discount, 0) / total[owner] + gamma[owner] * lower
                 backs[n - 2].append((_hash_rows(heads), np.log(gamma)))
-            below = dict(zip((r.tobytes() for r in np.ascontiguousarray(runs)), p.tolist(), strict=True))
-            logs[n - 1].append((_hash_rows(runs), np.log(p)))
-    contexts = []
-    for per_language in backs:
-        keys = np.unique(np.concatenate([k for k, _ in per_language]))
-        weights = np.zeros((len(keys), L), np.float32)
-        for j, (k, v) in enumerate(per_language):
-            weights[np.searchsorted(keys, k), j] = v
-        contexts.append((keys, weights))
+            keys = _hash_rows(runs)
+            order = np.argsort(keys)
+            below = (keys[order], p[order])
+            logs[n - 1].append((keys, np.log(p)))
+    contexts = [gathered(per_language, L, 0.0, dense_cells) for per_language in backs]
     model = Model(languages, [], contexts, floor)
     for n, per_language in enumerate(logs, 1):
-        # the rows, so that languages without a run get their backed-off value
-        runs = np.unique(np.concatenate([_shorter(t[0], n) for t in tables]), axis=0)
-        keys = _hash_rows(runs)
-        order = np.argsort(keys)
-        keys, runs = keys[order], runs[order]
-        values = np.full((len(keys), L), np.nan, np.float32)
-        for j, (k, v) in enumerate(per_language):
-            values[np.searchsorted(keys, k), j] = v
-        gap = np.isnan(values)
-        if gap.any():
-            if n == 1:
-                lower = np.broadcast_to(floor, values.shape)
-            else:
-                known, weights = contexts[n - 2]
-                heads = _hash_rows(runs[:, :-1])
-                spot = np.minimum(np.searchsorted(known, heads), len(known) - 1)
-                lowk, lowv = model.grams[n - 2]
-                lower = lowv[np.searchsorted(lowk, _hash_rows(runs[:, 1:]))] + np.where((known[spot] == heads)[:, None], weights[spot], 0)
-            values[gap] = lower[gap]
+        keys, values = gathered(per_language, L, np.nan, dense_cells)
+        if not isinstance(values, Sparse) and (gap := np.isnan(values)).any():
+            # languages without a run get their backed-off value; the runs' characters are needed for it
+            runs = np.unique(np.concatenate([_shorter(t[0], n) for t in tables]), axis=0)
+            runs = runs[np.argsort(_hash_rows(runs))]  # in the order of the keys, one after the other
+            shown = runs.astype(np.uint32).ravel()
+            hashes = gram_hashes(shown)
+            values[gap] = model._backed_off(n, hashes, np.arange(n - 1, len(shown), n))[gap]
         model.grams.append((keys, values))
     return model
 
@@ -237,12 +274,13 @@ def _hash_rows(runs: np.ndarray) -> np.ndarray:
     return _mixed(h)
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", folds: int = 4, held_out: int = 2, rows_per_language: int = 1500, max_cells: int = 1 << 26, reject: float = 0.01) -> Model:
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", folds: int = 4, held_out: int = 2, rows_per_language: int = 1500, dense_cells: int = 1 << 26, reject: float = 0.01) -> Model:
     """Models of the languages of rows outside the held-out fold.
 
     ``rows_per_language`` bounds the rows learned from; those that repeat id and
-    text count once. ``max_cells`` bounds distinct runs times languages, as
-    floats of the model: runs of low counts are left out if there are more.
+    text count once. All their runs are kept, whatever the number of languages
+    and letters; a level of more than ``dense_cells`` runs times languages is
+    stored sparsely, which changes no result.
     """
     tune(docs.sparkSession)
     usable = docs.where(docs[lang_col].isNotNull() & docs[id_col].isNotNull() & (crc_fold(docs[id_col], folds) != held_out))
@@ -267,11 +305,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
                     yield _counted(lang, pieces)
 
     counted = materialize(rows.mapInArrow(runs, "lang string, a long, b long, n long").groupBy("lang", "a", "b").agg(F.sum("n").alias("n")))
-    least, total = 1, counted.count()
-    while total * len(languages) > max_cells:
-        least *= 2
-        total = counted.where(F.col("n") >= least).count()
-    counts = counted.where(F.col("n") >= least).toPandas()
+    counts = counted.toPandas()  # of the bounded rows
     tables, learned = [], []
     for lang in languages:
         part = counts[counts["lang"] == lang].sort_values(["a", "b"])
@@ -281,7 +315,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
             learned.append(lang)
     if not learned:
         return Model([], [], [], np.empty(0))
-    model = estimate(learned, tables)
+    model = estimate(learned, tables, dense_cells=dense_cells)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def costs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -423,6 +423,8 @@ def test_language(spark, empty):
     rows += [(900, None, "en", "s", 0, None, None), (901, "12 -- !!", None, "s", 0, None, None), (902, "", "fr", "s", 0, None, None), (903, "日本", None, "s", 0, None, None)]
     docs = spark.createDataFrame(rows, SCHEMA)
     got = langid.identify(docs, langid.fit(docs)).toPandas().set_index("doc_id")
+    sparse = langid.identify(docs, langid.fit(docs, dense_cells=0)).toPandas().set_index("doc_id").loc[got.index]
+    assert (sparse["lang_pred"] == got["lang_pred"]).all() and np.allclose(sparse["score"], got["score"], atol=1e-4)
     assert all(got.loc[r[0], "lang_pred"] == r[2] for r in rows[:300]) and got["score"].between(0, 1).all()
     assert [got.loc[i, "lang_pred"] for i in (900, 901, 902)] == ["und"] * 3 and got.loc[903, "lang_pred"] in words
     assert list(got["held_out"]) == [zlib.crc32(str(i).encode()) % 4 == 2 for i in got.index]
@@ -462,6 +464,11 @@ def test_kneser_ney():
         whole = "  " + t
         expected.append([-np.mean([np.log(p(k, whole[i - 3 : i + 1])) for i in range(3, len(whole))]) for k in ("x", "y")])
     assert np.allclose(model.entropies(texts), expected, atol=1e-5)
+    # a sparse model, or one that is sparse on some levels only, has the same numbers
+    for cells in (0, 30, 45, 60):
+        sparse = langid.estimate(["x", "y"], tables, dense_cells=cells)
+        assert np.allclose(sparse.entropies(texts), expected, atol=1e-5) and any(isinstance(v, langid.Sparse) for _, v in sparse.grams)
+    assert not any(isinstance(v, langid.Sparse) for _, v in model.grams)
     pieces = list(langid._pieces(texts, 7))
     assert sum(len(x) - 3 for _, part in pieces for x in part) == sum(len(t) - 1 for t in texts) and max(len(x) for _, part in pieces for x in part) <= 10
     for head in ("  t", " th", "the"):  # probabilities of all characters add up, but for what unseen ones keep
