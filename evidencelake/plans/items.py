@@ -9,6 +9,7 @@ from .. import plan_words as W
 from ..functions import headings as H
 from ..functions import markup as M
 from ..operators import plan_tables as P
+from ..operators import task_names as N
 from ..session import table
 from . import publish
 
@@ -317,4 +318,22 @@ SELECT o_orderkey AS case_id, coalesce(t.f, o_orderpriority) AS title, CASE WHEN
 FROM orders LEFT JOIN {_distinct('title')} t ON t.case_id = o_orderkey LEFT JOIN {_distinct('overview')} v ON v.case_id = o_orderkey LEFT JOIN {_distinct('weight')} w ON w.case_id = o_orderkey LEFT JOIN {_distinct('score')} s ON s.case_id = o_orderkey
 LEFT JOIN {_distinct('method')} m ON m.case_id = o_orderkey LEFT JOIN {_distinct('code', 'c', 'place')} c2 ON c2.case_id = o_orderkey"""
 
+
+def task_names(spark, sf):
+    """Plans of parts in a subject's section: names right of a label, below one, behind one in a line, and in bare lines; the known ones left out."""
+    k, name, kind = F.col("p_partkey"), F.col("p_name"), F.lower("p_type")
+    head, foreign = F.lit("앞의 글 실험하기\n# 생명과학Ⅰ 교수학습 및 평가 계획\n"), F.concat(F.lit("\n# 물리학 교수학습 평가 운영\n"), name, F.lit(" 실험하기\n"))
+    across = _markup(_row("과제명", F.concat(name, F.lit(" 관찰하기")), F.concat(kind, F.lit(" 조사하기")), "배점", "반영하지 않기"))
+    below = _markup(_row("평가영역", "배점"), _row(F.concat(kind, F.lit(" 제작하기")), k))
+    line = F.concat(F.lit("\n수행평가명 | "), name, F.lit(" 토론하기 | 배점\n"), kind, F.lit(" 자세히 설명하기\n"))
+    text = F.concat(head, F.when(k % 2 == 0, F.concat(across, below)).otherwise(""), line, foreign)
+    cases = table(spark, sf, "part").select(k.alias("id"), F.lit("생명과학Ⅰ").alias("subject"), text.alias("text"), F.when(k % 4 == 0, F.array(F.concat(F.lit("1. "), name, F.lit("  관찰하기")))).alias("seen"))
+    return N.derived_names(cases).select(F.col("id").cast("long").alias("p_partkey"), F.col("rank").cast("long").alias("rank"), "name", "source")
+
+
+SQL["task_names"] = """WITH p AS (SELECT p_partkey, p_name AS n, lower(p_type) AS t FROM part), c AS (
+SELECT p_partkey, n || ' 관찰하기' AS name, 'table' AS source, 0 AS o FROM p WHERE p_partkey % 2 = 0 AND p_partkey % 4 <> 0 UNION ALL SELECT p_partkey, t || ' 조사하기', 'table', 1 FROM p WHERE p_partkey % 2 = 0
+UNION ALL SELECT p_partkey, t || ' 제작하기', 'table', 2 FROM p WHERE p_partkey % 2 = 0 UNION ALL SELECT p_partkey, n || ' 토론하기', 'context', 3 FROM p UNION ALL SELECT p_partkey, t || ' 자세히 설명하기', 'section', 4 FROM p WHERE p_partkey % 2 = 1)
+SELECT p_partkey, row_number() OVER (PARTITION BY p_partkey ORDER BY source = 'section', -len(replace(name, ' ', '')), o) AS rank, name, source FROM c"""
+
 NAMES = (*SQL,)
