@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import composite, endpoints, items, relational, small, textual
+from . import composite, endpoints, filed, items, relational, small, textual
 
-MODULES = (relational, textual, composite, small, endpoints, items)
+MODULES = (relational, textual, composite, small, endpoints, items, filed)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -2,8 +2,26 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def shared_path(spark, name: str) -> str:
+    """A new path in the folder that driver and executors share, ``spark.checkpoint.dir``.
+
+    Only a local session may go without it and gets a temporary folder.
+    """
+    current = spark.sparkContext._jsc.sc().getCheckpointDir()
+    folder = current.get() if current.isDefined() else spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="evidence-shared-")
+    return f"{folder}/{name}-{uuid.uuid4().hex}"

@@ -13,11 +13,11 @@ def write_jsonl(df: DataFrame, path: str) -> None:
 
 
 def write_csv(df: DataFrame, path: str, bom: bool = False) -> None:
-    """CSV with a header; a byte order mark, if wanted, stands before it in every file (``sources.files.csv`` drops it again)."""
+    """CSV with a header, quotes in values doubled; a byte order mark, if wanted, stands before it in every file (``sources.files.csv`` drops it again)."""
     if bom and df.columns:
         first, *rest = df.columns
         df = df.toDF("\ufeff" + first, *rest)
-    df.write.mode("errorifexists").option("header", True).csv(path)
+    df.write.mode("errorifexists").option("header", True).option("escape", '"').csv(path)
 
 
 def replace_table(df: DataFrame, path: str) -> None:
