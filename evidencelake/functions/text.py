@@ -41,6 +41,26 @@ def collapse(text: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(text, r"(?U)\s+", " "), r"^ | $", "")
 
 
+# Tags that part words; entities of texts taken from pages, the ampersand last.
+BLOCK_TAGS = ("br", "tr", "td", "th", "table", "p", "div", "li", "h1", "h2", "h3", "h4", "h5", "h6")
+ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", "\u00a0"), ("&middot;", "·"), ("&lsquo;", "‘"), ("&rsquo;", "’"), ("&ldquo;", "“"), ("&rdquo;", "”"), ("&hellip;", "…"), ("&amp;", "&"))
+
+
+def unescaped(text: Column) -> Column:
+    """Without the entities listed; others stay."""
+    return reduce(lambda t, e: F.replace(t, F.lit(e[0]), F.lit(e[1])), ENTITIES, text)
+
+
+def plain_text(value: Column) -> Column:
+    """What a fragment of markup says: block tags as a space, other tags and comments as nothing, so that words neither run together nor break.
+
+    A text without ``<`` is no markup and stays as it is, and so does ``<`` that begins no tag.
+    """
+    spaced = F.regexp_replace(value, rf"(?i)<(?:{'|'.join(BLOCK_TAGS)})(?![a-z0-9])[^>]*>", " ")
+    bare = F.regexp_replace(spaced, "(?s)<!--.*?-->|</?[A-Za-z][^>]*>", "")
+    return F.when(F.contains(value, F.lit("<")), unescaped(bare)).otherwise(value)
+
+
 def marker_counts(text: Column, rules: RulePack = PLANS_KO) -> Column:
     return F.struct(*(F.regexp_count(text, F.lit(unicode(p))).alias(name) for name, p in rules.markers.items()))
 

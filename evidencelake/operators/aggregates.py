@@ -82,3 +82,8 @@ def page(df: DataFrame, score: str, key: str, limit: int = 20, offset: int = 0,
     if not 1 <= limit <= most or offset < 0:
         raise ValueError(f"limit must be 1 to {most} and offset not negative")
     return df.orderBy(F.col(score).desc(), F.col(key).asc()).offset(offset).limit(limit)
+
+
+def first_seen_sums(df: DataFrame, key: str, seq: str, **sums: Column) -> DataFrame:
+    """Sums for each key, with ``first_seen``, the first place of the key in the input; in that order."""
+    return df.groupBy(key).agg(*(F.sum(c).alias(n) for n, c in sums.items()), F.min(seq).alias("first_seen")).orderBy("first_seen", key)

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import unescaped
+
 # Rating dimensions' neutral value, placeholder title, badge words.
 UNREVIEWED = "unreviewed"
 PLACEHOLDER = "수행평가 묶음"
@@ -121,13 +123,6 @@ SERVLET, FILE_SEQ = "EiFileDownLoad.do", "FILE_SEQ"
 FILE_LINK = r"""(?is)<a\b[^>]*class=["'][^"']*\bfile_name\b[^"']*["'][^>]*>.*?</a>"""
 SEQ_CALL = r"getEiFile\d+\('([^']+)'\)"
 SIZE_SUFFIX = r"\([0-9,]+\s*KB\)\s*\z"
-ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", "\u00a0"), ("&amp;", "&"))
-
-
-def unescaped(text: Column) -> Column:
-    for entity, char in ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return text
 
 
 def merged(*maps: Column) -> Column:

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import titles
+from ..functions import headings, titles
 from ..functions.sections import LABELS
 from ..functions.text import compact
 
@@ -75,7 +75,7 @@ def title_flags(title: Column) -> Column:
     """Flags of a published title, over-flagging by design, joined by ``|``."""
     text, short = F.trim(title), compact(F.trim(title))
     flags = (
-        ("empty_title", short == ""), ("policy_prose", titles.is_policy_prose(text)), ("exam_name", text.rlike(r"(?U)^(?:제?\d*\s*[차회]?\s*)?(?:중간|기말|정기)?\s*(?:고사|시험)$")),
+        ("empty_title", short == ""), ("structural_heading", headings.is_structural(text)), ("policy_prose", titles.is_policy_prose(text)), ("exam_name", text.rlike(r"(?U)^(?:제?\d*\s*[차회]?\s*)?(?:중간|기말|정기)?\s*(?:고사|시험)$")),
         ("field_label_as_title", field_of(text).isNotNull()), ("achievement_code_as_title", text.rlike(r"^\[?(?:10|12)[가-힣A-ZⅠ-Ⅹ]{1,6}\d")), ("score_only", text.rlike(r"(?U)^[\d\s.,()%점배분]+$")),
         ("sentence_length", F.length(short) > 60), ("bullet_prefix", text.rlike("^[·•▪∙ㆍ-]")),
     )

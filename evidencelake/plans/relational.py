@@ -471,11 +471,11 @@ SQL["extracted_years"] = "SELECT page_id, array_to_string(list_sort(list_distinc
 def group_sum(spark, sf):
     """Orders by customer segment over all nations, with the share of all orders."""
     o, c = table(spark, sf, "orders"), table(spark, sf, "customer")
-    g = o.join(c, o["o_custkey"] == c["c_custkey"]).groupBy("c_mktsegment").agg(F.count("*").alias("orders"), F.count_if(F.col("o_orderstatus") == "F").alias("done"))
+    g = aggregates.first_seen_sums(o.join(c, o["o_custkey"] == c["c_custkey"]), "c_mktsegment", "o_orderkey", orders=F.lit(1), done=(F.col("o_orderstatus") == "F").cast("int"))
     return g.withColumn("percent", aggregates.percentage(F.col("done"), F.col("orders")))
 
 
-SQL["group_sum"] = "SELECT c_mktsegment, count(*) AS orders, count(*) FILTER (o_orderstatus = 'F') AS done, CAST(floor(count(*) FILTER (o_orderstatus = 'F') / count(*) * 100 + 0.5) AS BIGINT) AS percent FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1"
+SQL["group_sum"] = "SELECT c_mktsegment, count(*) AS orders, count(*) FILTER (o_orderstatus = 'F') AS done, CAST(floor(count(*) FILTER (o_orderstatus = 'F') / count(*) * 100 + 0.5) AS BIGINT) AS percent, min(o_orderkey) AS first_seen FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1"
 
 
 def layered(spark, sf):

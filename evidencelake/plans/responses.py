@@ -79,8 +79,8 @@ def trend_rows(trends: DataFrame) -> DataFrame:
 
 
 def plain(text: Column) -> Column:
-    """One line of text, tags as spaces."""
-    return T.collapse(F.regexp_replace(text, "<[^>]+>", " "))
+    """One line of what the markup says."""
+    return T.collapse(T.plain_text(text))
 
 
 def case_rows(cases: DataFrame) -> DataFrame:

@@ -29,6 +29,6 @@ def test_names(spark):
 
 def test_flags(spark):
     df = spark.createDataFrame([("세포 관찰하기",), ("",), ("평가방법",), ("· 탐구 활동하기",), ("중간고사",), ("30점",)], "t string")
-    assert [r[0] for r in df.select(G.title_flags(F.col("t"))).collect()][:3] == ["", "empty_title", "policy_prose|field_label_as_title"]
+    assert [r[0] for r in df.select(G.title_flags(F.col("t"))).collect()][:3] == ["", "empty_title", "structural_heading|policy_prose|field_label_as_title"]
     items = spark.createDataFrame([("세포 탐구", "inquiry", 40, "bounded"), ("세포 탐구 3", "inquiry", 40, "bounded"), ("물리 탐구", "inquiry", 40, "bounded"), ("a\nb", "inquiry", 40, "bounded"), ("낮음", "inquiry", 1, "bounded")], "title string, category string, priority_score int, extraction_status string")
     assert [r["title"] for r in G.legacy_curated(items, "inquiry", ("물리",)).collect()] == ["세포 탐구"]

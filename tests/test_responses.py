@@ -47,3 +47,11 @@ def test_panel(spark):
     got = [(r["label"], r["value"]) for r in R.metric_panel(meta).orderBy("pos").collect()]
     assert got == [("공개계획 확인 대상", "—"), ("수집 정규화 사례", "1,234,567건"), ("공개 확정 학교", "—"), ("공개 확정 사례", "—"), ("공개 수행평가", "0건")]
     assert [r["value"] for r in R.metric_panel(meta, R.HERO).orderBy("pos").collect()] == ["—", "0", "—"]
+
+
+def test_plain_text(spark):
+    from evidencelake.functions import text as T
+
+    cases = {"효<b>소</b> 실험": "효소 실험", "가<br/>나<TD x='1'>다</TD>라": "가 나 다라", "a &lt; b": "a &lt; b", "a<p>&lt;b&gt; &amp;lt; &middot;": "a <b> &lt; ·", "1 < 2 <!-- x\n<b> -->둘<i>": "1 < 2 둘", "<thead>머리<tbody>몸": "머리몸", "": ""}
+    df = spark.createDataFrame([(k,) for k in [*cases, None]], "t string")
+    assert {r["t"]: r["p"] for r in df.select("t", T.plain_text(F.col("t")).alias("p")).collect()} == cases | {None: None}
