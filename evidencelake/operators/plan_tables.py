@@ -3,15 +3,15 @@
 ``table_rows`` reads the tables of all texts once, in Arrow batches; all rules
 work on its rows (case, table, row and the row's cells) with DataFrame
 operations, grouped by case and table, so one plan's tables are spread like any
-others. Several rules read the same rows: a caller that uses them persists the
-rows first (Spark spills them to disk and makes lost ones again). What differs between domains is a ``PlanWords``.
+others. Several rules read the same rows: a caller that uses them takes them from
+``shared_rows`` (Spark spills them to disk and makes lost ones again). What differs between domains is a ``PlanWords``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,8 +20,13 @@ from ..functions import markup as M
 from ..functions import sections
 from ..plan_words import CODE_SHAPE, CODE_SIGNS, GRADED, PLANS, RELIABLE, PlanWords
 from ..rules import PLANS_KO, RulePack
+from ..session import spread
 
 ROWS = "case_id string, subject string, status string, inside boolean, table_no int, start int, stop int, row_no int, cells array<struct<text: string, key: string>>"
+#: The columns of ``ROWS`` before the cells.
+HEAD = {"case_id": pa.string(), "subject": pa.string(), "status": pa.string(), "inside": pa.bool_(), "table_no": pa.int32(), "start": pa.int32(), "stop": pa.int32(), "row_no": pa.int32()}
+#: Texts whose rows are held at once.
+TEXTS = 500
 TABLE = ("case_id", "table_no")
 #: Rows of a table in which a title's label may stand.
 LABEL_ROWS = 8
@@ -36,19 +41,38 @@ PROVENANCE = ("heading", "table", "local", "hinted", "code", "bundle")
 def table_rows(cases: DataFrame, rules: RulePack = PLANS_KO) -> DataFrame:
     """The rows of all tables of (case_id, subject, text), with the status of the subject's part and whether a table stands in it. Null texts have none."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = [f.split()[0] for f in ROWS.split("cells")[0].rstrip(", ").split(", ")] + ["cells"]
+    def read(batch: pa.RecordBatch) -> pa.RecordBatch:
+        heads, ends, texts, keys = [], [0], [], []
+        for case_id, subject, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            spans = M.table_spans(text or "")
+            if not spans:
+                continue
+            begin, end, status = sections.subject_span(text, subject or "", rules)
+            for number, (start, stop, fragment) in enumerate(spans):
+                for k, row in enumerate(M.any_grid(fragment)):
+                    shown = [M.visible_text(c) for c in row]
+                    texts += shown
+                    keys += map(sections.compact, shown)
+                    ends.append(len(texts))
+                    heads.append((case_id, subject, status, begin <= start < end, number, start, stop, k))
+        cells = pa.StructArray.from_arrays([pa.array(texts, pa.string()), pa.array(keys, pa.string())], ["text", "key"])
+        columns = zip(*heads, strict=True) if heads else [()] * len(HEAD)
+        return pa.RecordBatch.from_arrays([*(pa.array(c, t) for c, t in zip(columns, HEAD.values(), strict=True)), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), cells)], [*HEAD, "cells"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for case_id, subject, text in zip(batch["case_id"], batch["subject"], batch["text"], strict=True):
-                begin, end, status = sections.subject_span(text or "", subject or "", rules)
-                for number, (start, stop, fragment) in enumerate(M.table_spans(text or "")):
-                    for k, row in enumerate(M.any_grid(fragment)):
-                        shown = [M.visible_text(c) for c in row]
-                        rows.append((case_id, subject, status, begin <= start < end, number, start, stop, k, [{"text": t, "key": sections.compact(t)} for t in shown]))
-            yield pd.DataFrame(rows, columns=names)
+            yield from (read(batch.slice(at, TEXTS)) for at in range(0, batch.num_rows, TEXTS))
 
-    return cases.select(F.col("case_id").cast("string"), F.col("subject").cast("string"), F.col("text").cast("string")).mapInPandas(run, ROWS)
+    texts = cases.select(F.col("case_id").cast("string"), F.col("subject").cast("string"), F.col("text").cast("string"))
+    return spread(texts, "case_id").mapInArrow(run, ROWS)
+
+
+def shared_rows(cases: DataFrame, rules: RulePack = PLANS_KO) -> DataFrame:
+    """``table_rows`` for several rules: read once, dealt by table, so that what is grouped by table is not shuffled again, and persisted.
+
+    Stages that ask for persisted rows at the same time would each make them; behind a shuffle they are made by one.
+    """
+    return spread(table_rows(cases, rules), *TABLE).persist()
 
 
 def is_label(key: Column, words: PlanWords = PLANS) -> Column:
@@ -164,10 +188,16 @@ def _items(titles: DataFrame, facts: DataFrame, fields: DataFrame, order: tuple[
     return made.withColumn("__n", first).where("__n = 1").select("case_id", F.col("c.title").alias("title"), F.col("c.title_raw").alias("title_raw"), "label", "table_no", "start", "stop", *FIELDS, "standards")
 
 
+def _of(rows: DataFrame, facts: DataFrame) -> DataFrame:
+    """The rows of the tables that ``facts`` keeps, made once: titles and fields, which cost most, are sought in these only."""
+    return spread(rows.join(facts.select(*TABLE), [*TABLE], "left_semi"), *TABLE).persist()
+
+
 def code_items(rows: DataFrame, words: PlanWords = PLANS) -> DataFrame:
     """Items of tables anywhere in a text whose codes all belong to the subject; the title still needs its label."""
     facts = table_facts(rows, words).where("alignment = 'expected'")
-    return _items(table_titles(rows, words).join(facts.select(*TABLE), [*TABLE], "left_semi"), facts, table_fields(rows, words))
+    kept = _of(rows, facts)
+    return _items(table_titles(kept, words), facts, table_fields(kept, words))
 
 
 def local_facts(rows: DataFrame, words: PlanWords = PLANS, least: int = 2) -> DataFrame:
@@ -178,7 +208,8 @@ def local_facts(rows: DataFrame, words: PlanWords = PLANS, least: int = 2) -> Da
 def local_items(rows: DataFrame, words: PlanWords = PLANS, least: int = 2) -> DataFrame:
     """Items of labelled tables in the subject's part, without headings."""
     facts = local_facts(rows, words, least)
-    return _items(table_titles(rows, words).join(facts.select(*TABLE), [*TABLE], "left_semi"), facts, table_fields(rows, words))
+    kept = _of(rows, facts)
+    return _items(table_titles(kept, words), facts, table_fields(kept, words))
 
 
 def hinted_items(rows: DataFrame, hints: DataFrame, words: PlanWords = PLANS, least: int = 2) -> DataFrame:
@@ -187,15 +218,19 @@ def hinted_items(rows: DataFrame, hints: DataFrame, words: PlanWords = PLANS, le
     A cell does if its compact text is the hint's, or holds one of six signs or
     more with at most sixteen others. The first cell of the first table counts.
     """
-    known = hints.select(F.col("case_id").cast("string"), F.trim("hint").alias("hint")).where(H.is_plan_title(F.col("hint")) & ~H.is_structural(F.col("hint"))).withColumn("hint_key", H.compact(F.col("hint"))).where("hint_key <> ''")
+    # tested behind the grouping: a plain filter would move below it, into the few splits that the hints come from
+    fit = F.filter("hints", lambda h: ~H.is_structural(h) & H.is_plan_title(h))
+    named = hints.select(F.col("case_id").cast("string"), F.trim("hint").alias("hint")).withColumn("hint_key", H.compact(F.col("hint"))).where("hint_key <> ''")
+    known = spread(named, "case_id").groupBy("case_id", "hint_key").agg(F.array_sort(F.collect_set("hint")).alias("hints")).select("case_id", "hint_key", F.explode(F.slice(fit, 1, 1)).alias("hint"))
     facts = table_facts(rows, words).where(F.col("inside") & (F.col("markers") >= least) & ((F.col("alignment") == "expected") | ((F.col("alignment") == "unknown") & F.col("status").isin(*RELIABLE))))
-    cells = rows.select(*TABLE, "row_no", F.posexplode("cells").alias("col_no", "cell")).join(facts.select(*TABLE), [*TABLE], "left_semi")
+    kept = _of(rows, facts)
+    cells = kept.select(*TABLE, "row_no", F.posexplode("cells").alias("col_no", "cell"))
     key = F.col("cell.key")
     near = (F.length("hint_key") >= 6) & F.contains(key, F.col("hint_key")) & (F.length(key) - F.length("hint_key") <= 16)
-    met = cells.join(known.dropDuplicates(["case_id", "hint_key"]), "case_id").where((key == F.col("hint_key")) | near)
+    met = cells.join(known.hint("merge"), "case_id").where((key == F.col("hint_key")) | near)
     met = met.groupBy("case_id", "hint_key").agg(F.min(F.struct("table_no", "row_no", "col_no", "cell.text", "hint")).alias("m"))
     titles = met.select("case_id", "m.table_no", "m.row_no", "m.col_no", F.col("m.text").alias("title"), F.col("m.hint").alias("label"))
-    return _items(titles, facts, table_fields(rows, words), ("table_no", "row_no", "col_no")).withColumn("title", H.undecorated(F.col("title_raw")))
+    return _items(titles, facts, table_fields(kept, words), ("table_no", "row_no", "col_no")).withColumn("title", H.undecorated(F.col("title_raw")))
 
 
 def plan_titles(rows: DataFrame, words: PlanWords = PLANS) -> DataFrame:
@@ -231,7 +266,7 @@ def plan_items(cases: DataFrame, hints: DataFrame | None = None, words: PlanWord
     and then to one bundle, which bears the plan's title if the plan names only one.
     """
     cases = cases.select(F.col("case_id").cast("string"), F.col("subject").cast("string"), F.col("text").cast("string"))
-    rows = table_rows(cases, rules).persist()
+    rows = shared_rows(cases, rules)
     parsed = sections.parsed_items(cases, rules)
     clean = parsed.where(F.col("extraction_status") == "bounded").withColumn("c", H.cleaned(F.col("title"))).where((F.col("title_basis") != "heading") | ~H.is_structural(F.col("c.title")))
     clean = clean.select("case_id", F.col("c.title").alias("title"), F.col("c.title_raw").alias("title_raw"), F.lit("").alias("label"), F.col("item_order").alias("table_no"), F.lit(0).alias("start"), F.lit(0).alias("stop"), *FIELDS, "standards", "title_basis")

@@ -10,7 +10,7 @@ from ..functions import headings as H
 from ..functions import markup as M
 from ..operators import plan_tables as P
 from ..operators import task_names as N
-from ..session import table
+from ..session import spread, table
 from . import publish
 
 SQL = {}
@@ -26,11 +26,6 @@ def _row(*cells) -> Column:
     return F.concat(F.lit("<tr>"), *(F.concat(F.lit("<td>"), c.cast("string"), F.lit("</td>")) for c in shown), F.lit("</tr>"))
 
 
-def _rows(cases):
-    """The rows of the cases' tables, read once for all rules of a query."""
-    return P.table_rows(cases).persist()
-
-
 def _picked(options: list[str], at: Column) -> Column:
     return F.element_at(F.array(*(F.lit(x) for x in options)), (at % len(options) + 1).cast("int"))
 
@@ -49,7 +44,7 @@ def code_tables(spark, sf):
     second = F.floor(p["p_partkey"] / 7) + p["p_size"]
     text = _markup(_row("과제명", F.concat("p_name", F.lit(" 탐구"))), _row("성취기준", F.concat(F.lit("["), _picked(CODES, F.col("p_size")), F.lit("] and ["), _picked(CODES, second), F.lit("]"))), _row("평가시기", F.concat("p_size", F.lit("주"))))
     cases = p.select(F.col("p_partkey").alias("case_id"), _picked(COURSES, F.col("p_partkey")).alias("subject"), text.alias("text"))
-    return P.code_items(_rows(cases)).select(F.col("case_id").cast("long").alias("case_id"), "title", "timing", F.array_join("standards", ",").alias("standards"))
+    return P.code_items(P.shared_rows(cases)).select(F.col("case_id").cast("long").alias("case_id"), "title", "timing", F.array_join("standards", ",").alias("standards"))
 
 
 _PREFIXES = ", ".join(f"('{s}', '{p}')" for s, p in W.CODE_PREFIXES.items())
@@ -64,7 +59,7 @@ def local_tables(spark, sf):
     head = F.when(F.col("o_orderkey") % 3 != 0, "# 생명과학Ⅰ\n").otherwise("생명과학Ⅰ 안내\n")
     rows = [_row("수행평가명", F.concat(F.lit("order "), F.col("o_orderkey"), F.lit(" 조사"))), F.when(F.col("o_orderstatus") == "F", _row("평가방법", "발표", "토론")), F.when(F.col("o_custkey") % 2 == 0, _row("반영비율", F.concat(F.col("o_custkey") % 50, F.lit("%")))), F.when(F.startswith("o_orderpriority", F.lit("1")), _row("채점기준", "정확"))]
     cases = o.select(F.col("o_orderkey").alias("case_id"), F.lit("생명과학Ⅰ").alias("subject"), F.concat(head, _markup(*rows)).alias("text"))
-    return P.local_items(_rows(cases)).select(F.col("case_id").cast("long").alias("case_id"), "title", "method", "weight")
+    return P.local_items(P.shared_rows(cases)).select(F.col("case_id").cast("long").alias("case_id"), "title", "method", "weight")
 
 
 SQL["local_tables"] = """SELECT o_orderkey AS case_id, 'order ' || o_orderkey || ' 조사' AS title, CASE WHEN o_orderstatus = 'F' THEN '발표 · 토론' ELSE '' END AS method, CASE WHEN o_custkey % 2 = 0 THEN (o_custkey % 50) || '%' ELSE '' END AS weight
@@ -77,7 +72,7 @@ def horizontal_answers(spark, sf):
     name = F.concat("c_name", F.lit(" 실험"))
     text = F.when(F.col("c_custkey") % 3 == 0, _markup(_row("과제명", "", name), _row("성취기준", "x"))).when(F.col("c_custkey") % 3 == 1, _markup(_row("과제명", "반영비율"), _row(name, "10%"))).otherwise(_markup(_row("과제명", ""), _row(name, "")))
     cases = c.select(F.col("c_custkey").alias("case_id"), F.lit("생명과학Ⅰ").alias("subject"), text.alias("text"))
-    rows = _rows(cases)
+    rows = P.shared_rows(cases)
     labels = P.label_cells(rows).select("case_id", "table_no", "answered", F.col("answer.text").alias("answer"))
     return labels.join(P.table_titles(rows).select("case_id", "table_no", "title"), ["case_id", "table_no"], "left").select(F.col("case_id").cast("long").alias("case_id"), "answered", "answer", "title")
 
@@ -91,7 +86,7 @@ def vertical_titles(spark, sf):
     rows = F.array_join(F.transform("kinds", lambda k: _row(F.lit("정확"), F.concat(F.lit("Task "), k, F.lit(" 조사")))), "")
     text = F.concat(F.lit("<table>"), _row("평가요소", "수행과제"), rows, F.lit("</table>"))
     cases = c.select(F.col("trio").alias("case_id"), F.lit("생명과학Ⅰ").alias("subject"), text.alias("text"))
-    return P.table_titles(_rows(cases)).select(F.col("case_id").cast("long").alias("case_id"), "title", "label")
+    return P.table_titles(P.shared_rows(cases)).select(F.col("case_id").cast("long").alias("case_id"), "title", "label")
 
 
 SQL["vertical_titles"] = """SELECT c_custkey // 3 AS case_id, 'Task ' || min(c_nationkey % 2) || ' 조사' AS title, '수행과제' AS label FROM customer GROUP BY c_custkey // 3 HAVING count(DISTINCT c_nationkey % 2) = 1"""
@@ -104,7 +99,7 @@ def hinted_tables(spark, sf):
     text = F.concat(F.lit("# 생명과학Ⅰ\n"), _markup(_row("활동", "배점", "평가요소"), _row(cell, "10", "정확")))
     cases = p.select(F.col("p_partkey").alias("case_id"), F.lit("생명과학Ⅰ").alias("subject"), text.alias("text"))
     hints = p.select(F.col("p_partkey").alias("case_id"), F.when(F.col("p_partkey") % 4 == 0, F.lit("a task of another plan")).otherwise(F.concat("p_name", F.lit("  보고서"))).alias("hint"))
-    return P.hinted_items(_rows(cases), hints).select(F.col("case_id").cast("long").alias("case_id"), "title", F.trim("label").alias("hint"))
+    return P.hinted_items(P.shared_rows(cases), hints).select(F.col("case_id").cast("long").alias("case_id"), "title", F.trim("label").alias("hint"))
 
 
 _SHORT = "regexp_replace({}, '[^0-9A-Za-z가-힣ⅠⅡⅢⅣⅤ]', '', 'g')"
@@ -118,7 +113,7 @@ def plan_names(spark, sf):
     rows = F.array_join(F.transform("all", lambda x: _row(F.concat(F.lit("Task "), x["s_suppkey"] % 40, F.lit(" 탐구")), x["s_acctbal"])), "")
     text = F.concat(F.lit("# 생명과학Ⅰ\n<table>"), _row("평가영역", "평가만점"), rows, F.lit("</table>"))
     cases = s.select(F.col("s_nationkey").alias("case_id"), F.lit("생명과학Ⅰ").alias("subject"), text.alias("text"))
-    return P.plan_titles(_rows(cases)).select(F.col("case_id").cast("long").alias("case_id"), F.posexplode("titles").alias("place", "title")).select("case_id", F.col("place").cast("long").alias("place"), "title")
+    return P.plan_titles(P.shared_rows(cases)).select(F.col("case_id").cast("long").alias("case_id"), F.posexplode("titles").alias("place", "title")).select("case_id", F.col("place").cast("long").alias("place"), "title")
 
 
 SQL["plan_names"] = """SELECT s_nationkey::BIGINT AS case_id, row_number() OVER (PARTITION BY s_nationkey ORDER BY first) - 1 AS place, 'Task ' || k || ' 탐구' AS title FROM (SELECT s_nationkey, s_suppkey % 40 AS k, min(s_suppkey) AS first FROM supplier GROUP BY ALL)"""
@@ -175,7 +170,7 @@ FORMS = [
 
 
 def _headings(spark, sf):
-    p = table(spark, sf, "part")
+    p = spread(table(spark, sf, "part"), "p_partkey")
     return p.select("p_partkey", F.replace(_picked([f.replace("%%", "％") for f in FORMS], F.col("p_partkey")), F.lit("%s"), F.col("p_name")).alias("heading"))
 
 

@@ -12,6 +12,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(frame: DataFrame, *keys: str) -> DataFrame:
+    """The same rows, dealt by ``keys`` into as many partitions as a shuffle has.
+
+    For work that costs far more than reading its rows: a file of a few megabytes
+    is one split, and so one task, however long each of its rows takes.
+    """
+    return frame.repartition(int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def shared_path(spark, name: str) -> str:
     """A new path in the folder that driver and executors share, ``spark.checkpoint.dir``.
 
