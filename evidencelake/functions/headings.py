@@ -119,7 +119,7 @@ def is_plan_title(title: Column) -> Column:
 
     def judged(c: Column) -> Column:
         text, short = c["text"], c["short"]
-        no = [short.isin(*W.NO_PLAN_NAMES), F.length(short) > 60, *(hits(text, k, p) for k, p in W.NO_PLAN_TITLES), hits(cleaned(text)["title"], *W.EXAMS), is_prose(text), is_rubric_line(text)]
+        no = [short.isin(*W.NO_PLAN_NAMES), F.length(short) > 60, *(hits(text, k, p) for k, p in W.NO_PLAN_TITLES), text.rlike(W.EXAM_SIGNS) & hits(cleaned(text)["title"], *W.EXAMS), is_prose(text), is_rubric_line(text)]
         return is_title(text) & ~any_of(no)
 
     return _with_compact(F.trim(title), judged)
