@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
+from .headings import bound
+
 # Method axis, key and words.
 METHODS = (
     ("reasoning", ("추론", "이유", "근거", "원리", "설명", "해석", "논증", "제안")),
@@ -45,16 +47,29 @@ def fold(value: str) -> str:
 
 
 @F.pandas_udf(StringType())
-def folded(values: pd.Series) -> pd.Series:
+def _folded(values: pd.Series) -> pd.Series:
     return values.map(lambda v: None if v is None else fold(v))
 
 
 @F.pandas_udf(StringType())
-def composed(values: pd.Series) -> pd.Series:
-    """NFKC; white space stays."""
+def _composed(values: pd.Series) -> pd.Series:
     return values.map(lambda v: None if v is None else unicodedata.normalize("NFKC", v))
 
 
+def _other(text: Column) -> Column:
+    """A text with signs beyond ASCII, else null: only such ones need Python."""
+    return F.when(text.rlike(r"[^\x00-\x7F]"), text)
+
+
+def folded(text: Column) -> Column:
+    return F.coalesce(_folded(_other(text)), F.lower(F.regexp_replace(text, r"[\s\x1C-\x1F]+", "")))
+
+
+def composed(text: Column) -> Column:
+    """NFKC; white space stays."""
+    return F.coalesce(_composed(_other(text)), text)
+
+
 @F.pandas_udf(ArrayType(StringType()))
 def all_folded(values: pd.Series) -> pd.Series:
     return values.map(lambda v: None if v is None else [fold(x) for x in v])
@@ -62,14 +77,20 @@ def all_folded(values: pd.Series) -> pd.Series:
 
 def winners(name: Column, lexicon) -> Column:
     """Keys of the best categories of a folded name, keys descending; none for an empty name. ``lexicon``: (key, words), a parameter."""
-    scored = []
-    for key, words in lexicon:
-        found = F.filter(F.array(*(F.lit(fold(w)) for w in words)), lambda w: F.contains(name, w))
-        scored.append(F.struct(F.coalesce(F.array_max(F.transform(found, lambda w: F.length(w))), F.lit(0)).alias("longest"), F.size(found).alias("hits"), F.lit(key).alias("key")))
-    hit = F.filter(F.array(*scored), lambda s: s["hits"] > 0)
-    best = F.array_max(F.transform(hit, lambda s: F.struct(s["longest"], s["hits"])))
-    kept = F.filter(hit, lambda s: (s["longest"] == best["longest"]) & (s["hits"] == best["hits"]))
-    return F.coalesce(F.sort_array(F.transform(kept, lambda s: s["key"]), asc=False), F.array().cast("array<string>"))
+
+    def score(key: str):
+        return lambda f: F.struct(F.coalesce(F.array_max(F.transform(f, lambda w: F.length(w))), F.lit(0)).alias("longest"), F.size(f).alias("hits"), F.lit(key).alias("key"))
+
+    def best(hit: Column) -> Column:
+        top = F.array_max(F.transform(hit, lambda s: F.struct(s["longest"], s["hits"])))
+        return bound(top, lambda t: F.transform(F.filter(hit, lambda s: (s["longest"] == t["longest"]) & (s["hits"] == t["hits"])), lambda s: s["key"]))
+
+    def found(text: Column) -> Column:
+        scored = [bound(F.filter(F.array(*(F.lit(fold(w)) for w in words)), lambda w: F.contains(text, w)), score(key)) for key, words in lexicon]
+        return F.filter(F.array(*scored), lambda s: s["hits"] > 0)
+
+    keys = bound(bound(name, found), best)
+    return F.coalesce(F.sort_array(keys, asc=False), F.array().cast("array<string>"))
 
 
 def ticked_options(method: Column) -> Column:
@@ -101,16 +122,17 @@ def content_free(title: Column) -> Column:
 
 def classify(df: DataFrame, title: str, overview: str, declared: str, topics, methods=METHODS) -> DataFrame:
     """Add topics, methods, topic, method and ambiguous: title first; overview and ticked methods only for an axis the title leaves empty."""
-    first = lambda *lists: F.coalesce(*(F.when(F.size(x) > 0, x) for x in lists), F.array().cast("array<string>"))
     pick = lambda a: F.coalesce(F.try_element_at(F.col(a), F.lit(1)), F.lit(""))
-    named = df.withColumn("_title", folded(F.col(title))).withColumn("_overview", folded(F.col(overview)))
-    by_word = named.withColumn("_topics", first(winners(F.col("_title"), topics), winners(F.col("_overview"), topics)))
-    by_word = by_word.withColumn("_methods", first(winners(F.col("_title"), methods), declared_methods(F.col(declared)), winners(F.col("_overview"), methods)))
+    some = lambda a: bound(a, lambda v: F.when(F.size(v) > 0, v))
+    none = F.array().cast("array<string>")
+    named = df.withColumn("_title", folded(F.col(title))).withColumn("_overview", folded(F.col(overview))).withColumn("_declared_methods", declared_methods(F.col(declared)))
+    by_word = named.withColumn("_topics", F.coalesce(some(winners(F.col("_title"), topics)), some(winners(F.col("_overview"), topics)), none))
+    by_word = by_word.withColumn("_methods", F.coalesce(some(winners(F.col("_title"), methods)), some(F.col("_declared_methods")), some(winners(F.col("_overview"), methods)), none))
     concrete = F.filter("_methods", lambda k: k != UMBRELLA)
     made = by_word.withColumn("methods", F.when(F.size(concrete) > 0, concrete).otherwise(F.col("_methods")))
     made = made.withColumn("topics", F.when((F.size("_topics") == 0) & content_free(F.col(title)), F.array(F.lit(FREE))).otherwise(F.col("_topics")))
     made = made.withColumn("topic", pick("topics")).withColumn("method", pick("methods")).withColumn("ambiguous", (F.size("topics") != 1) | (F.size("methods") != 1))
-    return made.drop("_title", "_overview", "_topics", "_methods")
+    return made.drop("_title", "_overview", "_topics", "_methods", "_declared_methods")
 
 
 # Names of the evidence an item may have.

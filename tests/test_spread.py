@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import os
+
 import pytest
+from pyspark.sql import functions as F
 
 from evidencelake.functions import markup as M
+from evidencelake.functions import taxonomy
 from evidencelake.operators import plan_tables as P
+from evidencelake.operators import task_names
+from evidencelake.plans import items
 
 CASES = "case_id string, subject string, text string"
 
@@ -52,3 +58,18 @@ def test_of_equal_hints_one_that_names_a_task_counts(spark):
 def test_plain_tables_are_read_as_the_parser_reads_them(markup):
     assert M.any_grid(markup) == M.grids(markup)[-1]
     assert (M.plain_grid(markup) is None) == any(x in markup for x in ("&", "colspan", "<br>"))
+
+
+def test_only_signs_beyond_ascii_are_folded_by_python(spark):
+    texts = ["A b\tC\x1fd", "ﬁ Ａ b", "", None, "가 나", "a\x85B"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", taxonomy.folded(F.col("t")).alias("f"), taxonomy._other(F.col("t")).alias("o")).collect()
+    assert [r["f"] for r in rows] == [None if t is None else taxonomy.fold(t) for t in texts]
+    assert [r["o"] for r in rows] == [t if t and not t.isascii() else None for t in texts]
+
+
+def test_the_best_categories_are_found_once_for_a_name(spark):
+    plan = spark.range(1).select(taxonomy.winners(F.col("id").cast("string"), (("a", ("1", "12")), ("b", ("2",)))).alias("k"))
+    assert plan._jdf.queryExecution().optimizedPlan().toString().count("array_max") <= 3  # one for each category, one for the best
+    lexicon = (("a", ("x", "yy")), ("b", ("yy", "x")), ("c", ("yy",)))
+    got = spark.createDataFrame([("xyy",), ("yy",), ("",), ("x",)], "n string").select("n", taxonomy.winners(F.col("n"), lexicon).alias("k")).collect()
+    assert [r["k"] for r in got] == [["b", "a"], ["c", "b", "a"], [], ["b", "a"]]
