@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import markup as M
 from ..functions import titles
 from ..functions.text import compact
+from ..session import spread
 
 # What a label of a task holds, fields that end its values (both in compact form), headings of a course's plan.
 TASK_MARKERS = ("수행평가명", "수행평가과제명", "수행평가영역", "수행평가과제", "평가과제명", "평가과제", "평가영역", "과제명", "수행평가")
@@ -88,7 +89,7 @@ def derived_names(cases: DataFrame) -> DataFrame:
     within them the longer comes first, then the first in the text. Null texts
     have none; ids must differ.
     """
-    local = cases.select("id", subject_lines(F.coalesce("text", F.lit("")), F.col("subject")).alias("local"))
+    local = spread(cases, "id").select("id", subject_lines(F.coalesce("text", F.lit("")), F.col("subject")).alias("local"))
     grid = M.grid_rows(local, "id", "local")
     rows = grid.groupBy("id", "table_no", "row_no").agg(F.array_sort(F.collect_list(F.struct("col_no", "text"))).alias("cells"))
     raw = _of_tables(rows).withColumn("source", F.lit(TABLES)).unionByName(_of_lines(local))

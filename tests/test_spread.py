@@ -73,3 +73,11 @@ def test_the_best_categories_are_found_once_for_a_name(spark):
     lexicon = (("a", ("x", "yy")), ("b", ("yy", "x")), ("c", ("yy",)))
     got = spark.createDataFrame([("xyy",), ("yy",), ("",), ("x",)], "n string").select("n", taxonomy.winners(F.col("n"), lexicon).alias("k")).collect()
     assert [r["k"] for r in got] == [["b", "a"], ["c", "b", "a"], [], ["b", "a"]]
+
+
+def test_names_and_headings_of_one_split_are_read_by_many_tasks(spark):
+    cases = spark.createDataFrame([(k, "생명과학Ⅰ", f"수행평가명 | 물 {k} 토론하기 | 배점", None) for k in range(40)], "id long, subject string, text string, seen array<string>").coalesce(1)
+    found = task_names.derived_names(cases)
+    assert found.count() == 40 and "REPARTITION_BY_NUM" in found._jdf.queryExecution().executedPlan().toString()
+    if os.path.isdir("/root/testdata/sf0.001"):
+        assert _parts(items.heading_structure(spark, "/root/testdata/sf0.001")) == int(spark.conf.get("spark.sql.shuffle.partitions"))
