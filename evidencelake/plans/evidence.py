@@ -22,11 +22,13 @@ def manifest(log: DataFrame) -> DataFrame:
 
 def evidence_records(documents: DataFrame, rules: RulePack = PLANS_KO) -> DataFrame:
     """Documents x subjects that occur in them (stored labels where none is found), with evidence around their place."""
-    masked = documents.withColumn("text", T.mask_sensitive(F.coalesce("text", F.lit("")), rules))
-    found = T.subject_hits(F.col("text"), rules)
     stored = F.coalesce("subject_hits", F.array().cast("array<struct<subject:string,curriculum_hint:string>>"))
-    hits = F.filter(F.array_distinct(F.when(F.size(found) > 0, found).otherwise(stored)), lambda h: h["subject"] != "")
-    listed = masked.withColumn("_h", hits).where(F.size("_h") > 0)
+    wanted = lambda found: F.filter(F.array_distinct(F.when(F.size(found) > 0, found).otherwise(stored)), lambda h: h["subject"] != "")
+    # bound step by step and exploded: as columns of a filter, mask and patterns would be put into it at every place where they are used
+    masked = F.array(T.mask_sensitive(F.coalesce("text", F.lit("")), rules))
+    found = F.transform(masked, lambda t: F.struct(t.alias("text"), T.subject_hits(t, rules).alias("found")))
+    hits = F.filter(F.transform(found, lambda d: F.struct(d["text"].alias("text"), wanted(d["found"]).alias("h"))), lambda d: F.size(d["h"]) > 0)
+    listed = documents.select(*(F.col(c) for c in documents.columns if c != "text"), F.explode(hits).alias("_d")).select("*", F.col("_d.text").alias("text"), F.col("_d.h").alias("_h")).drop("_d")
     # a document is read once for all its subjects
     read = listed.withColumn("_e", located.evidence(F.col("text"), F.transform("_h", lambda h: h["subject"]), rules)).withColumn("_p", F.explode(F.arrays_zip("_h", "_e")))
     rows = read.where("_p._e IS NOT NULL").select("*", F.col("_p._h.subject").alias("subject"), F.col("_p._h.curriculum_hint").alias("curriculum_hint"), "_p._e.*").drop("_h", "_e", "_p", "subject_hits", "text")

@@ -11,7 +11,7 @@ from evidencelake.functions import markup as M
 from evidencelake.functions import taxonomy
 from evidencelake.operators import plan_tables as P
 from evidencelake.operators import task_names
-from evidencelake.plans import items
+from evidencelake.plans import evidence, items
 
 CASES = "case_id string, subject string, text string"
 
@@ -81,3 +81,11 @@ def test_names_and_headings_of_one_split_are_read_by_many_tasks(spark):
     assert found.count() == 40 and "REPARTITION_BY_NUM" in found._jdf.queryExecution().executedPlan().toString()
     if os.path.isdir("/root/testdata/sf0.001"):
         assert _parts(items.heading_structure(spark, "/root/testdata/sf0.001")) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_a_text_is_masked_and_searched_once(spark):
+    docs = spark.createDataFrame([(1, "통합 과학 a@b.kr 수행평가"), (2, "글"), (3, None)], "seq long, text string").select("seq", "text", F.lit("ok").alias("extract_status"), F.array(F.struct(F.lit("s").alias("subject"), F.lit("c").alias("curriculum_hint"))).alias("subject_hits"))
+    found = evidence.evidence_records(docs)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("이메일") == 1 and plan.count("고급\\s*생명") == 1  # in a filter each place of use would repeat them
+    assert [(r["seq"], r["subject"], r["evidence_text"]) for r in found.collect()] == [(1, "통합과학", "통합 과학 [이메일] 수행평가")]
