@@ -89,3 +89,9 @@ def test_a_text_is_masked_and_searched_once(spark):
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("이메일") == 1 and plan.count("고급\\s*생명") == 1  # in a filter each place of use would repeat them
     assert [(r["seq"], r["subject"], r["evidence_text"]) for r in found.collect()] == [(1, "통합과학", "통합 과학 [이메일] 수행평가")]
+
+
+def test_a_worker_holds_few_texts_at_once(spark):
+    rows = spark.createDataFrame([(" a",), (None,)], "t string").select(M.text_udf(str.strip)(F.col("t")).alias("t"))
+    assert "ArrowEvalPython" not in rows._jdf.queryExecution().executedPlan().toString()  # its batches hold ten thousand rows
+    assert [r["t"] for r in rows.collect()] == ["a", None]
