@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -125,29 +125,39 @@ SEQ_CALL = r"getEiFile\d+\('([^']+)'\)"
 SIZE_SUFFIX = r"\([0-9,]+\s*KB\)\s*\z"
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, at however many places ``use`` has it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def merged(*maps: Column) -> Column:
     """One map; of a key that several maps have the last map's value counts."""
-    return reduce(lambda a, b: F.map_concat(F.map_filter(a, lambda k, _: ~F.map_contains_key(b, k)), b), maps)
+    return reduce(lambda a, b: bound(b, lambda m: F.map_concat(F.map_filter(a, lambda k, _: ~F.map_contains_key(m, k)), m)), maps)
 
 
 def last_wins(entries: Column) -> Column:
     """A map of (key, value) structs in which a repeated key has its last value."""
-    return F.aggregate(entries, F.create_map().cast("map<string,string>"), lambda m, e: merged(m, F.create_map(e["key"], e["value"])))
+    return bound(entries, lambda all_: F.map_from_entries(F.filter(all_, lambda e, i: ~F.exists(F.slice(all_, i + 2, F.size(all_)), lambda later: later["key"] == e["key"]))))
+
+
+def decoded(text: Column) -> Column:
+    """Without entities; they are sought in a text with an ampersand only."""
+    return bound(text, lambda t: F.when(F.contains(t, F.lit("&")), unescaped(t)).otherwise(t))
 
 
 def hidden_inputs(html: Column) -> Column:
     """Names and values of a form's inputs."""
     tags = F.regexp_extract_all(html, F.lit(r"""(?i)<input[^>]+name=["'][^"']+["'][^>]*value=["'][^"']*["']"""), 0)
     value = lambda tag, name: F.regexp_extract(tag, rf"""(?i).*\b{name}=["']([^"']*)["']""", 1)
-    return last_wins(F.transform(tags, lambda t: F.struct(F.regexp_extract(t, r"""(?i)name=["']([^"']+)["']""", 1).alias("key"), unescaped(value(t, "value")).alias("value"))))
+    return last_wins(F.transform(tags, lambda t: F.struct(F.regexp_extract(t, r"""(?i)name=["']([^"']+)["']""", 1).alias("key"), decoded(value(t, "value")).alias("value"))))
 
 
 def query_of(url: Column) -> Column:
     """Parameters of a url that have a value, decoded; of a repeated one the last."""
     text = F.split_part(F.split_part(url, F.lit("#"), F.lit(1)), F.lit("?"), F.lit(2))
     pairs = F.filter(F.split(text, "&"), lambda p: p.rlike("^[^=]*=."))
-    decoded = lambda c: F.coalesce(F.try_url_decode(c), c)
-    return last_wins(F.transform(pairs, lambda p: F.struct(decoded(F.substring_index(p, "=", 1)).alias("key"), decoded(F.regexp_extract(p, "(?s)=(.*)", 1)).alias("value"))))
+    unquoted = lambda c: bound(c, lambda x: F.coalesce(F.try_url_decode(x), x))
+    return last_wins(F.transform(pairs, lambda p: F.struct(unquoted(F.substring_index(p, "=", 1)).alias("key"), unquoted(F.substr(p, F.instr(p, "=") + 1)).alias("value"))))
 
 
 def attachments(pages: DataFrame, id_col: str, html_col: str, defaults: dict[str, str] | None = None, unnamed: str = "attachment_") -> DataFrame:
@@ -161,18 +171,18 @@ def attachments(pages: DataFrame, id_col: str, html_col: str, defaults: dict[str
     """
     html = F.coalesce(F.col(html_col), F.lit(""))
     base = F.create_map(*(F.lit(x) for kv in (defaults or {}).items() for x in kv)).cast("map<string,string>") if defaults else F.create_map().cast("map<string,string>")
-    text = lambda c: F.regexp_replace(F.regexp_replace(unescaped(F.regexp_replace(c, "<[^>]+>", " ")), r"(?U)\s+", " "), "^ | $", "")
+    text = lambda c: F.trim(F.regexp_replace(decoded(F.regexp_replace(c, "<[^>]+>", " ")), r"(?U)\s+", " "))
     servlet = SERVLET.replace(".", r"\.")
     hrefs = F.regexp_extract_all(html, F.lit(rf"""(?i)(?:href|action)=["']([^"']*{servlet}[^"']*)["']"""), 1)
     texts = F.transform(F.regexp_extract_all(html, F.lit(rf"""(?is)<a[^>]+(?:href|onclick)=["'][^"']*{servlet}[^"']*["'][^>]*>(.*?)</a>"""), 1), text)
     read = pages.select(F.col(id_col).alias("id"), merged(base, hidden_inputs(html)).alias("hidden"), F.regexp_extract_all(html, F.lit(FILE_LINK), 0).alias("anchors"), hrefs.alias("hrefs"), texts.alias("texts"))
     numbered = F.filter(F.transform("anchors", lambda a: F.struct(F.regexp_extract(a, SEQ_CALL, 1).alias("seq"), F.trim(F.regexp_replace(text(a), SIZE_SUFFIX, "")).alias("name"))), lambda a: a["seq"] != "")
     own = F.transform(numbered, lambda a: F.struct(a["seq"].alias("seq"), a["name"].alias("name"), merged(F.col("hidden"), F.create_map(F.lit(FILE_SEQ), a["seq"])).alias("params")))
-    queried = F.transform("hrefs", lambda u, i: F.struct(query_of(unescaped(u)).alias("query"), (F.contains(unescaped(u), F.lit("?"))).alias("asked"), i.alias("i")))
+    queried = F.transform(F.transform("hrefs", decoded), lambda u, i: F.struct(query_of(u).alias("query"), F.contains(u, F.lit("?")).alias("asked"), i.alias("i")))
     linked = F.transform(queried, lambda q: F.struct(q["asked"].alias("asked"), q["i"].alias("i"), merged(F.col("hidden"), q["query"]).alias("params")))
     named = F.transform(linked, lambda q: F.struct(F.coalesce(F.nullif(F.try_element_at(q["params"], F.lit(FILE_SEQ)), F.lit("")), (q["i"] + 1).cast("string")).alias("seq"), F.coalesce(F.get("texts", q["i"]), F.lit("")).alias("name"), q["params"].alias("params"), (q["asked"] | (F.coalesce(F.try_element_at(q["params"], F.lit(FILE_SEQ)), F.lit("")) != "")).alias("usable")))
     rows = read.select("id", own.alias("own"), F.filter(named, lambda q: q["usable"]).alias("named"))
-    fresh = F.filter("named", lambda q, i: ~F.exists("own", lambda o: o["seq"] == q["seq"]) & (F.array_position(F.transform("named", lambda x: x["seq"]), q["seq"]) == i + 1))
+    fresh = bound(F.transform("named", lambda x: x["seq"]), lambda seqs: F.filter("named", lambda q, i: ~F.exists("own", lambda o: o["seq"] == q["seq"]) & (F.array_position(seqs, q["seq"]) == i + 1)))
     every = F.concat("own", F.transform(fresh, lambda q: F.struct(q["seq"].alias("seq"), q["name"].alias("name"), q["params"].alias("params"))))
     out = rows.select("id", F.posexplode(every).alias("pos", "a")).select("id", "pos", "a.*")
     return out.withColumn("name", F.when(F.col("name") == "", F.concat(F.lit(unnamed), "seq")).otherwise(F.col("name")))

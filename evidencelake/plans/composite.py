@@ -9,7 +9,7 @@ from ..functions import text as T
 from ..operators import client, drafts
 from ..sources import staged
 from ..rules import DRIVER
-from ..session import table
+from ..session import spread, table
 from ..streaming import limiter
 from . import evidence
 
@@ -158,7 +158,7 @@ SELECT design_id, criterion, CAST(p + CASE WHEN idx < total - sum(p) OVER (PARTI
 
 def attachments(spark, sf):
     """Forms made of orders: odd lines as numbered file links, even ones as links to the servlet, of which numbers seen before are left out."""
-    l = table(spark, sf, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_partkey").alias("l_partkey"))  # noqa: E741
+    l = spread(table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey"), "l_orderkey").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_partkey").alias("l_partkey"))  # noqa: E741
     lines = l.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey"))).alias("l"))
     n, part = (lambda x: x["l_linenumber"]), (lambda x: x["l_partkey"].cast("string"))
     numbered = lambda x: F.concat(F.lit("<a class='file_name' onclick=\"getEiFile1('"), n(x), F.lit("')\">"), part(x), F.lit(".hwp (1,024 KB)</a>"))
