@@ -245,8 +245,8 @@ WAYS = (("inquiry", ("widget", "wid")), ("fixing", ("bolt", "nut", "rod")), ("he
 
 def _parsed(spark, sf):
     """Lines of orders as parsed items: named after their parts, with a method and a weight here and there."""
-    l, p = table(spark, sf, "lineitem"), table(spark, sf, "part")  # noqa: E741
-    once = l.groupBy("l_orderkey", "l_linenumber").agg(F.min(F.struct("l_partkey", "l_suppkey", "l_quantity", "l_returnflag", "l_linestatus")).alias("l")).select("l_orderkey", "l_linenumber", "l.*")
+    l, p = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag", "l_linestatus"), table(spark, sf, "part")  # noqa: E741
+    once = spread(l, "l_orderkey").groupBy("l_orderkey", "l_linenumber").agg(F.min(F.struct("l_partkey", "l_suppkey", "l_quantity", "l_returnflag", "l_linestatus")).alias("l")).select("l_orderkey", "l_linenumber", "l.*")
     n = F.col("l_partkey")
     return once.join(p, once["l_partkey"] == p["p_partkey"]).select(
         F.col("l_orderkey").alias("case_id"), F.concat_ws("-", "l_orderkey", "l_linenumber").alias("item_id"), F.col("l_linenumber").alias("item_order"), F.col("p_name").alias("title"), F.when(n % 3 == 0, " ").otherwise(F.lower("p_type")).alias("overview"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import taxonomy
 from ..functions import text as T
+from ..session import spread
 from . import serve
 
 BLANK = r"(?U)^\s*\z"
@@ -53,7 +54,8 @@ def derived(items: DataFrame) -> DataFrame:
     bounded = items.where((F.col("extraction_status") == "bounded") & F.col("title_basis").isin(*serve.BASES))
     one = lambda name: F.array(F.struct(F.lit(name).alias("field"), F.coalesce(F.col(name), F.lit("")).alias("value")))
     codes = F.transform(F.coalesce("standards", F.array().cast("array<string>")), lambda s: F.struct(F.lit("standard").alias("field"), F.coalesce(s, F.lit("")).alias("value")))
-    long = bounded.select("case_id", "item_order", F.posexplode(F.concat(*(one(c) for c in ("title", "method", "overview", "weight", "score")), codes)).alias("pos", "v"))
+    # dealt by case before values are unfolded: small tasks, and both groupings stay where they are
+    long = spread(bounded, "case_id").select("case_id", "item_order", F.posexplode(F.concat(*(one(c) for c in ("title", "method", "overview", "weight", "score")), codes)).alias("pos", "v"))
     first = long.where(~F.col("v.value").rlike(BLANK)).groupBy("case_id", F.col("v.field").alias("field"), F.col("v.value").alias("value")).agg(F.min(F.struct("item_order", "pos")).alias("at"))
     of = lambda name: F.when(F.col("field") == name, F.struct("at", "value"))
     listed = [F.transform(F.array_sort(F.collect_list(of(f))), lambda x: x["value"]).alias(c) for f, c in LISTS.items()]

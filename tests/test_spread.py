@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from evidencelake.functions import markup as M
 from evidencelake.functions import taxonomy
+from evidencelake.operators import client
 from evidencelake.operators import plan_tables as P
 from evidencelake.operators import task_names
-from evidencelake.plans import evidence, items
+from evidencelake.plans import evidence, items, publish
 
 CASES = "case_id string, subject string, text string"
 
@@ -95,3 +96,18 @@ def test_a_worker_holds_few_texts_at_once(spark):
     rows = spark.createDataFrame([(" a",), (None,)], "t string").select(M.text_udf(str.strip)(F.col("t")).alias("t"))
     assert "ArrowEvalPython" not in rows._jdf.queryExecution().executedPlan().toString()  # its batches hold ten thousand rows
     assert [r["t"] for r in rows.collect()] == ["a", None]
+
+
+def test_items_are_dealt_by_case_once(spark):
+    rows = [("a", k, t, "o", "m", "", "9점", ["[1]"], "bounded", "table", "x:y") for k, t in ((2, "T"), (1, "S"), (3, "T"))]
+    items_ = spark.createDataFrame(rows, "case_id string, item_order int, title string, overview string, method string, weight string, score string, standards array<string>, extraction_status string, title_basis string, boundary_status string").coalesce(1)
+    found = publish.derived(items_)
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 1 and "REPARTITION_BY_NUM" in found._jdf.queryExecution().executedPlan().toString()
+    assert [(r["case_id"], r["task_names"], r["weight"], r["title"]) for r in found.collect()] == [("a", ["S", "T"], "9점", "S")]
+
+
+def test_inputs_of_a_form_are_read_once(spark):
+    page = """<input name="A" value="1"><input name="B" value="x&amp;y"><input name="A" value="2"><a href="EiFileDownLoad.do?FILE_SEQ=7&amp;B=&amp;C=a=b"> n <b>m</b></a>"""
+    got = client.attachments(spark.createDataFrame([(1, page)], "id int, html string"), "id", "html", {"A": "0", "Y": "3"})
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("<input") == 1
+    assert [(r["seq"], r["name"], r["params"]) for r in got.collect()] == [("7", "n m", {"A": "2", "B": "x&y", "Y": "3", "FILE_SEQ": "7", "C": "a=b"})]
