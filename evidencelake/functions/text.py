@@ -20,7 +20,15 @@ def unicode(pattern: str) -> str:
 
 
 def mask_sensitive(text: Column, rules: RulePack = PLANS_KO) -> Column:
-    return reduce(lambda c, rule: F.regexp_replace(c, unicode(rule[0]), rule[1]), rules.masks, text)
+    """All masks in order. A pattern tries a word again at each of its letters, so a text without the pattern's sign is not searched."""
+
+    def masked(c: Column, pattern: str, to: str) -> Column:
+        replaced = lambda t: F.regexp_replace(t, unicode(pattern), to)
+        sign = rules.mask_signs.get(pattern)
+        # bound as an array's element, since the text is used three times
+        return F.element_at(F.transform(F.array(c), lambda t: F.when(F.contains(t, F.lit(sign)), replaced(t)).otherwise(t)), 1) if sign else replaced(c)
+
+    return reduce(lambda c, rule: masked(c, *rule), rules.masks, text)
 
 
 # What may not be published at all, a mobile number or a resident number with a valid birth date.

@@ -91,6 +91,9 @@ MASKS = (
     (r"(?<!\d)\d{6}[-\s]?[1-4]\d{6}(?!\d)", "[식별번호]"),
 )
 
+# A sign without which a mask's pattern does not occur; texts without it are not searched.
+MASK_SIGNS = {MASKS[0][0]: "@"}
+
 # Ranks of extraction results.
 STATUS_RANK = {"ok": 4, "short": 3, "failed": 2, "missing": 1}
 
@@ -116,6 +119,7 @@ class RulePack:
     anchors: str = ANCHORS
     anchor_groups: tuple[str, ...] = ANCHOR_GROUPS
     masks: tuple[tuple[str, str], ...] = MASKS
+    mask_signs: dict[str, str] = field(default_factory=lambda: dict(MASK_SIGNS))
 
     def groups(self) -> list[tuple[str, str]]:
         """(curriculum, subject) of all subjects, in configured order."""
@@ -136,4 +140,5 @@ DRIVER = RulePack(
     anchors=r"license",
     task_context=r"the",
     masks=((r"[A-Za-z0-9_.+-]+@[A-Za-z0-9_.-]+\.[A-Za-z]{2,}", "[mail]"),),
+    mask_signs={r"[A-Za-z0-9_.+-]+@[A-Za-z0-9_.-]+\.[A-Za-z]{2,}": "@"},
 )

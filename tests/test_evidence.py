@@ -1,13 +1,15 @@
 """Text functions and the evidence pipeline on small inputs of our own."""
 
+from dataclasses import replace
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from evidencelake.functions import text as T
-from evidencelake.functions.evidence import Document, Patterns, action_tags, representatives, task_bounds, task_names, windows
+from evidencelake.functions.evidence import Document, Patterns, action_tags, read, representatives, task_bounds, task_names, windows
 from evidencelake.plans import evidence as E
-from evidencelake.rules import JUMP, PLANS_KO
+from evidencelake.rules import DRIVER, JUMP, PLANS_KO
 
 
 def one(spark, value, **columns):
@@ -127,3 +129,30 @@ def test_manifest(spark):
     log = spark.createDataFrame(rows, "seq long, result string, item_no string, record_type string, saved_path string, final_url string, source_url string, candidate_name string")
     got = {r["seq"]: (r["subject_canonical"], r["curriculum_candidate"]) for r in E.manifest(log).collect()}
     assert got == {1: ("생명과학", "2022_candidate"), 5: ("통합과학", "unknown")}
+
+
+def test_only_texts_with_a_sign_are_searched_for_its_mask(spark):
+    texts = ["a.b@c.kr", "b@c", "@", "word 010-1234-5678", "x@y.kr9z@w.kr", "", None]
+    for rules in (PLANS_KO, DRIVER):
+        plain = replace(rules, mask_signs={})
+        rows = spark.createDataFrame([(t,) for t in texts], "t string").select(T.mask_sensitive(F.col("t"), rules).alias("a"), T.mask_sensitive(F.col("t"), plain).alias("b")).collect()
+        assert [r["a"] for r in rows] == [r["b"] for r in rows] and rows[0]["a"] == rules.masks[0][1] and rows[-1]["a"] is None
+        plan = spark.range(1).select(T.mask_sensitive(F.col("id").cast("string"), rules).alias("m"))._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count(rules.masks[0][1]) == 1 and "CASE WHEN Contains(" in plan
+
+
+def test_a_label_counts_on_its_own_line():
+    patterns = Patterns(PLANS_KO)
+    place = lambda text, subject="생명과학": Document(text, patterns).place(subject)
+    assert place("생명과학\n생명과학\n과목 생명과학 생명과학") == 13 and place("#\n생명과학 a\n \n ## 생명과학") == 15  # the first on a labelled line
+    assert place("# 가\n생명\n과학 배점\n교과 생명과학\n") == 16 and place("# 생명\n과학\n교과 생명과학") == 2  # one that goes over two lines has both
+    assert action_tags("☑\n발표 ☑ 토론", patterns, True) == ["발표", "토론"] and action_tags("수행평가 □\n발표 □ 토론", patterns, False) == ["발표"]
+
+
+def test_few_places_and_tags_are_not_read_through_arrays(monkeypatch):
+    """A call on an array of a few numbers costs more than the pattern that found them."""
+    calls = []
+    for name in ("unique", "lexsort", "searchsorted", "concatenate", "stack"):
+        monkeypatch.setattr(np, name, lambda *a, name=name, f=getattr(np, name), **k: (calls.append(name), f(*a, **k))[1])
+    found = read(Document("생명과학 수행평가 배점 발표 토론 □ 제작 ☑ 실험\n" * 3, Patterns(PLANS_KO)), "생명과학")
+    assert not calls and found["action_tags"] == ["발표", "토론", "실험"] and found["marker_counts"]["performance_assessment"] == 3
