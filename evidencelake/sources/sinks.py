@@ -67,12 +67,18 @@ def content_addressed(files: DataFrame, code: str, name: str, content: str) -> D
     return hashed.dropDuplicates(["sha256"]).withColumn("stored_name", F.concat_ws("_", F.col(code), F.left("sha256", F.lit(12)), safe))
 
 
+#: On a local disk Hadoop starts a process for every file, and another for its checksum file, to set their permissions: most of
+#: what a small part costs. Pages of Parquet files hold checksums of their own. Paths of other stores know no such files.
+NO_CHECKSUM_FILES = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
+
+
 def manifest(df: DataFrame, path: str, rows_per_part: int) -> DataFrame:
     """Write in parts of at most so many rows; returns (file, rows, sha256 of its rows' digests)."""
-    df.write.mode("errorifexists").option("maxRecordsPerFile", rows_per_part).parquet(path)
-    back = df.sparkSession.read.parquet(path)
+    df.write.mode("errorifexists").options(**NO_CHECKSUM_FILES).option("maxRecordsPerFile", rows_per_part).parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
     digest = F.sha2(F.concat_ws("|", *(F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in back.columns)), 256)
-    parts = back.select(F.element_at(F.split("_metadata.file_path", "/"), -1).alias("file"), digest.alias("d"))
+    # a split holds some thirty small files, whatever their size; a task takes many splits, so that tasks do not grow with the parts
+    parts = back.select(F.col("_metadata.file_name").alias("file"), digest.alias("d")).coalesce(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     return parts.groupBy("file").agg(F.count("*").alias("rows"), F.sha2(F.hex(F.bit_xor(F.xxhash64("d"))), 256).alias("sha256"))
 
 

@@ -43,6 +43,20 @@ def test_sinks(spark, tmp_path):
     assert sinks.summary({"by": df.groupBy("v").count()}).first()["by"] == {"a": 1, "b": 1, "c": 1}
 
 
+def test_a_manifest_of_many_small_parts(spark, tmp_path):
+    """No checksum file, and so no second process, for each part; parts are read by no more tasks than a shuffle has."""
+    rows = spark.range(0, 300, numPartitions=3).select("id", F.when(F.col("id") % 2 == 0, F.col("id").cast("string")).alias("v"))
+    parts = sinks.manifest(rows, f"{tmp_path}/m", 2)
+    named = {p.name for p in (tmp_path / "m").glob("part-*")}
+    assert len(named) == 150 and not list((tmp_path / "m").glob(".part-*.crc"))
+    got = parts.collect()
+    assert {r["file"] for r in got} == named and {r["rows"] for r in got} == {2} and len({r["sha256"] for r in got}) == 150
+    assert spark.read.parquet(f"{tmp_path}/m").rdd.getNumPartitions() > int(spark.conf.get("spark.sql.shuffle.partitions")) and "Coalesce 4" in parts._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(Exception, match="already exists|PATH_ALREADY_EXISTS"):
+        sinks.manifest(rows, f"{tmp_path}/m", 2)
+    assert sinks.manifest(rows.where("id < 0"), f"{tmp_path}/none", 2).collect() == []
+
+
 def plain(times, limit, window):
     held, out = [], []
     for t in times:
